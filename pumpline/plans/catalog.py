@@ -343,7 +343,7 @@ def q_assemble_features(spark, sf):
 
 def q_feature_stats(spark, sf):
     s = ml.feature_stats(td.wide_features(spark, sf), FW)
-    return s.select("position", "feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+    return s.select("position", "feature", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"))
 
 
 def q_standardize(spark, sf):

@@ -354,8 +354,8 @@ SELECT device_id, row_number() OVER (PARTITION BY device_id ORDER BY ts, seq, ev
     "assemble_features": w(W) + "SELECT row_id, " + ", ".join(
         f"CAST({f} AS DOUBLE) AS f{i}" for i, f in enumerate(FW)) + " FROM W",
     "feature_stats": w(W) + "SELECT * FROM (" + " UNION ALL ".join(
-        f"SELECT CAST({i} AS INTEGER) AS position, '{f}' AS feature, round(avg({f}), 6) AS mean, "
-        f"round(stddev_samp({f}), 6) AS std FROM W" for i, f in enumerate(FW)) + ") u",
+        f"SELECT CAST({i} AS INTEGER) AS position, '{f}' AS feature, round(avg({f}), 9) AS mean, "
+        f"round(stddev_samp({f}), 9) AS std FROM W" for i, f in enumerate(FW)) + ") u",
     "standardize": w(W, "M AS (SELECT " + ", ".join(
         f"avg({f}) AS m_{f}, stddev_samp({f}) AS s_{f}" for f in FW) + " FROM W)") + "SELECT row_id, " + ", ".join(
         f"round(CASE WHEN s_{f} = 0 THEN 0.0 ELSE ({f} - m_{f}) / s_{f} END, 6) AS {f}_z" for f in FW) + " FROM W, M",

@@ -1,4 +1,163 @@
-"""Streaming queries of the catalogue (filled in by pumpline.streaming.pipelines)."""
+"""Streaming entries of the query catalogue.
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLES: dict = {}
+Each query replays a view derived from the driver tables as a time-sliced
+file stream, runs the streaming operator with ``availableNow`` into a sink in
+the shared folder, and returns the sink's final content.  Where the answer
+does not depend on batch boundaries the oracle is the batch SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pumpline.config import TESTDATA_PARAMS as P
+from pumpline.operators import ml, monitor
+from pumpline.plans import oracles as O
+from pumpline.session import work_path
+from pumpline.sources import testdata as td, wide
+from pumpline.streaming import pipelines as S
+
+N_SLICES = 8
+
+
+def _replayed(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = work_path(spark, f"replay_{name}")
+    schema = S.replay(spark, df, path, N_SLICES)
+    return S.source(spark, path, schema)
+
+
+def _dirs(spark, name):
+    return work_path(spark, f"{name}_out"), work_path(spark, f"{name}_ckpt")
+
+
+def q_stream_alerts(spark, sf):
+    text = td.reading_text(td.sample_readings(spark, sf))
+    out, ck = _dirs(spark, "stream_alerts")
+    S.run_to_files(S.alert_stream(_replayed(spark, text, "text"), P), out, ck)
+    return spark.read.parquet(out)
+
+
+def q_stream_restart(spark, sf):
+    """Stop after part of the input, add the rest, restart on the same checkpoint:
+    every alert is emitted exactly once."""
+    text = td.reading_text(td.sample_readings(spark, sf))
+    src = work_path(spark, "replay_restart")
+    sec = F.col("ts")
+    bounds = text.agg(F.min(sec), F.max(sec)).first()
+    mid = bounds[0] + (bounds[1] - bounds[0]) / 2
+    first, rest = text.filter(F.col("ts") < mid), text.filter(F.col("ts") >= mid)
+    out, ck = _dirs(spark, "stream_restart")
+    S.replay(spark, first, src, N_SLICES // 2)
+    S.run_to_files(S.alert_stream(S.source(spark, src, text.schema), P), out, ck)
+    S.replay(spark, rest, src, N_SLICES // 2)
+    S.run_to_files(S.alert_stream(S.source(spark, src, text.schema), P), out, ck)
+    return spark.read.parquet(out)
+
+
+def q_stream_late_drop(spark, sf):
+    out, ck = _dirs(spark, "stream_late")
+    S.run_foreach_batch(S.daily_counts_stream(_replayed(spark, td.readings(spark, sf), "readings")), out, ck)
+    return S.latest_per_key(spark, out, ["device_id", "day"])
+
+
+def q_stream_conflate(spark, sf):
+    """Per micro-batch, one refresh per device with its newest sample."""
+    out, ck = _dirs(spark, "stream_conflate")
+    stream = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        (monitor.latest_per_device(batch).withColumn("batch", F.lit(batch_id))
+         .write.mode("overwrite").parquet(f"{out}/b={batch_id}"))
+
+    (stream.writeStream.foreachBatch(sink).option("checkpointLocation", ck)
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(out).drop("b")
+
+
+def q_stream_device_state(spark, sf):
+    mixed = S.mixed_feed(monitor.valid_samples(td.sample_readings(spark, sf)), td.source_status(spark, sf))
+    out, ck = _dirs(spark, "stream_state")
+    S.run_to_files(S.device_state_stream(_replayed(spark, mixed, "mixed"), P), out, ck)
+    return spark.read.parquet(out)
+
+
+def q_stream_counters(spark, sf):
+    mixed = S.mixed_feed(monitor.valid_samples(td.sample_readings(spark, sf)), td.source_status(spark, sf), None)
+    out, ck = _dirs(spark, "stream_counters")
+    S.run_foreach_batch(S.counters_stream(_replayed(spark, mixed, "mixed_all"), P), out, ck)
+    return S.latest_per_key(spark, out, ["device_id"])
+
+
+def q_stream_recent_alerts(spark, sf):
+    out, ck = _dirs(spark, "stream_recent")
+    stream = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
+    S.run_foreach_batch(S.sliding_alerts_stream(stream, P.recent_horizon_s, 3600, P), out, ck)
+    return S.latest_per_key(spark, out, ["device_id", "window_start"])
+
+
+def q_stream_macro_counts(spark, sf):
+    out, ck = _dirs(spark, "stream_macro")
+    S.run_foreach_batch(S.macro_counts_stream(_replayed(spark, td.readings(spark, sf), "readings")), out, ck,
+                        mode="complete")
+    return S.latest_per_key(spark, out, ["device_id"])
+
+
+def q_stream_upsert(spark, sf):
+    """Keyed upsert driven by a stream: each micro-batch is one idempotent upsert."""
+    r = td.readings(spark, sf).withColumn("row_key", F.date_format("ts", "yyyy-MM-dd HH:00:00.000000"))
+    table = work_path(spark, "stream_wave")
+    ck = work_path(spark, "stream_wave_ckpt")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        cells = td.inject_cell_faults(wide.unpivot_cells(batch, F.col("row_key"), "event_id"))
+        wide.upsert_cells(batch.sparkSession, table, cells, batch_id)
+
+    (_replayed(spark, r, "upsert").writeStream.foreachBatch(sink).option("checkpointLocation", ck)
+     .trigger(availableNow=True).start().awaitTermination())
+    return wide.read_cells(spark, table)
+
+
+def q_stream_score(spark, sf):
+    """Model trained in batch, saved, loaded by the stream and applied to arriving rows."""
+    from pyspark.ml import PipelineModel
+
+    w = ml.hash_split(td.wide_features(spark, sf), "row_id")
+    model_path = work_path(spark, "rf_model")
+    ml.fit_rf(w.filter(F.col("split") == "train"), td.FEATURES_W, P).write().overwrite().save(model_path)
+    model = PipelineModel.load(model_path)
+    test = w.filter(F.col("split") == "test").drop("split", "split_bucket")
+    out, ck = _dirs(spark, "stream_score")
+    scored = model.transform(_replayed(spark, test, "score")).select("row_id", "ts", "label", "prediction")
+    S.run_to_files(scored, out, ck)
+    return spark.read.parquet(out)
+
+
+STREAM_QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_stream")}
+
+_ALERTS_SQL = O.w(O.R, O.S, O.TEXT) + f"""SELECT event_id, device_id, {O.message('row_key', 's04n', 's10n')} AS message
+FROM PT WHERE reason IS NULL AND predn = 1.0"""
+
+STREAM_ORACLES = {
+    "stream_alerts": _ALERTS_SQL,
+    "stream_restart": _ALERTS_SQL,
+    "stream_late_drop": O.w(O.R) + """SELECT device_id, CAST(ts AS DATE) AS day, count(*) AS n_rows
+FROM R GROUP BY device_id, CAST(ts AS DATE)""",
+    "stream_device_state": O.ORACLES["device_state"],
+    "stream_counters": O.w(O.R, O.VS, O.S, O.RECONNECTS) + """SELECT d.device_id,
+  coalesce(a.session_alerts, 0) AS session_alerts,
+  coalesce(RCN.batch_reconnects + RCN.speed_reconnects, 0) AS total_reconnects
+FROM (SELECT device_id FROM VS UNION SELECT device_id FROM S) d
+LEFT JOIN (SELECT device_id, count(*) FILTER (WHERE pred = 1.0) AS session_alerts FROM VS GROUP BY device_id) a
+  USING (device_id)
+LEFT JOIN RCN USING (device_id)""",
+    "stream_recent_alerts": O.w(O.R, O.V) + f"""SELECT device_id, window_start, count(*) AS alerts FROM (
+  SELECT device_id, date_trunc('hour', ts) - INTERVAL (k) HOUR AS window_start
+  FROM V, range(0, {P.recent_horizon_s // 3600}) t(k) WHERE pred = 1.0) z
+GROUP BY device_id, window_start""",
+    "stream_macro_counts": O.ORACLES["macro_counts"],
+    "stream_upsert": O.w(O.R, O.cells_cte("strftime(ts, '%Y-%m-%d %H:00:00.000000')", "R", "C")) + """
+SELECT row_key, family, qualifier, value, version FROM (
+  SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version DESC) AS rn FROM C) z
+WHERE rn = 1""",
+}

@@ -207,9 +207,9 @@ def kpi_snapshot(samples: DataFrame, status: DataFrame, p: Params = DEFAULT_PARA
                 .filter(F.col("ts") <= F.col("_lts"))
                 .groupBy(DEV).agg(F.max_by("online", F.struct("ts", "event_id")).alias("_online")))
     rc = reconnect_count(status, p)
-    devices = samples.select(DEV).unionByName(status.select(DEV)).distinct()
-    out = (devices.join(agg, DEV, "left").join(recent, DEV, "left").join(feed_now, DEV, "left")
-                  .join(rc, DEV, "left"))
+    # the device set comes from the two per-device aggregates (full outer join),
+    # not from another distinct over the raw inputs
+    out = (agg.join(rc, DEV, "full").join(recent, DEV, "left").join(feed_now, DEV, "left"))
     state = (F.when(F.col("last_ts").isNull(), F.lit("STANDBY"))
               .when(F.col("_online") == F.lit(False), F.lit("INTERRUPTED"))
               .when(F.coalesce(F.col("last_pred") == F.lit(float(p.alert_pred)), F.lit(False)), F.lit("ABNORMAL"))

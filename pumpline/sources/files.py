@@ -39,10 +39,13 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType = READIN
     raw = (spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT)
            .option("timestampNTZFormat", TS_NTZ_FORMAT).csv(path))
-    # the corrupt-record column may only be queried after the scan is materialised
-    # together with other columns; selecting both keeps the scan single-pass.
-    good = drop_columns(raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    # A row is only valid if every field parses, but the CSV reader parses just
+    # the referenced columns (and refuses scans that reference only the
+    # corrupt-record column, e.g. ``bad.count()``).  An always-true test over all
+    # fields, which the optimizer cannot fold, keeps every field parsed.
+    anchor = F.length(F.concat_ws("", *[F.col(f.name).cast("string") for f in schema.fields])) >= 0
+    good = drop_columns(raw.filter(F.col(CORRUPT).isNull() & anchor).drop(CORRUPT))
+    bad = raw.filter(F.col(CORRUPT).isNotNull() & anchor).select(CORRUPT)
     return good, bad
 
 

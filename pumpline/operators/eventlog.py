@@ -150,3 +150,15 @@ def export_lines(lines_since_clear: DataFrame, p: Params = DEFAULT_PARAMS) -> Da
     head = devs.select(DEV, F.lit(1).cast("long").alias("line_no"), F.lit(C.EXPORT_HEADER).alias("line"))
     rule = devs.select(DEV, F.lit(2).cast("long").alias("line_no"), F.lit(C.EXPORT_RULE).alias("line"))
     return head.unionByName(rule).unionByName(body)
+
+
+def write_export(lines: DataFrame, path: str, files_per_device: int = 4) -> None:
+    """Write export text per device folder, lines in order.
+
+    Range partitioning on (device, line_no) spreads a long log over several
+    ordered files (part-00000, part-00001, ...) instead of one task per device.
+    """
+    n = max(1, files_per_device)
+    (lines.repartitionByRange(n * 8, DEV, "line_no")
+          .sortWithinPartitions(DEV, "line_no")
+          .select(DEV, "line").write.mode("overwrite").partitionBy(DEV).text(path))

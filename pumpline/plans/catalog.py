@@ -367,7 +367,14 @@ def _split_w(spark, sf):
 
 def _fit(spark, sf):
     w = _split_w(spark, sf)
-    return ml.fit_rf(w.filter(F.col("split") == "train"), FW, P), w
+    # the forest makes one pass per tree level: keep the projected training rows
+    # (5 columns) cached for the fit instead of re-reading and re-hashing each pass
+    train = w.filter(F.col("split") == "train").select(*FW, "label").persist()
+    try:
+        model = ml.fit_rf(train, FW, P)
+    finally:
+        train.unpersist()
+    return model, w
 
 
 def q_rf_train(spark, sf):

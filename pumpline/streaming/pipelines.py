@@ -200,6 +200,42 @@ def mixed_feed(samples: DataFrame, status: DataFrame, feed: str | None = "speed"
     return st.unionByName(sm)
 
 
+RECENT_OUT = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField(DEV, T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()), T.StructField("recent_alerts", T.LongType())])
+RECENT_STATE = T.StructType([T.StructField("alert_us", T.ArrayType(T.LongType()))])
+
+
+def _recent_fn(horizon_us: int, alert_value: float):
+    import numpy as np
+
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        kept = np.asarray(state.get[0] if state.exists else [], dtype="int64")
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
+        us = rows["_us"].to_numpy(dtype="int64")
+        alerts = np.sort(np.concatenate([kept, us[(rows["pred"] == alert_value).to_numpy()]]))
+        # alerts in [now - horizon, now]; peers at the same instant count (range frame)
+        n = np.searchsorted(alerts, us, "right") - np.searchsorted(alerts, us - horizon_us, "left")
+        newest = us.max() if len(us) else (kept.max() if len(kept) else 0)
+        state.update((alerts[alerts >= newest - horizon_us].tolist(),))
+        yield pd.DataFrame({"event_id": rows["event_id"], DEV: rows[DEV], "ts": rows["ts"],
+                            "recent_alerts": n.astype("int64")})
+    return fn
+
+
+def recent_alerts_exact_stream(readings: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Exact trailing alert count at every sample, as a state of alert times.
+
+    The state keeps only alerts younger than the horizon, so it is bounded by the
+    alert rate times the horizon, not by the history.  Assumes event-time order
+    across micro-batches (the replay guarantees it).
+    """
+    d = readings.select(DEV, "ts", "event_id", "pred").withColumn("_us", X.epoch_micros("ts"))
+    return d.groupBy(DEV).applyInPandasWithState(
+        _recent_fn(int(p.recent_horizon_s) * 1_000_000, float(p.alert_pred)), RECENT_OUT, RECENT_STATE,
+        "append", GroupStateTimeout.NoTimeout)
+
+
 # --- F10: batch view as a stream ------------------------------------------------------
 
 def macro_counts_stream(readings: DataFrame) -> DataFrame:

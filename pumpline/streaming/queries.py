@@ -96,6 +96,13 @@ def q_stream_recent_alerts(spark, sf):
     return S.latest_per_key(spark, out, ["device_id", "window_start"])
 
 
+def q_stream_recent_alerts_exact(spark, sf):
+    out, ck = _dirs(spark, "stream_recent_exact")
+    stream = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
+    S.run_to_files(S.recent_alerts_exact_stream(stream, P), out, ck)
+    return spark.read.parquet(out)
+
+
 def q_stream_macro_counts(spark, sf):
     out, ck = _dirs(spark, "stream_macro")
     S.run_foreach_batch(S.macro_counts_stream(_replayed(spark, td.readings(spark, sf), "readings")), out, ck,
@@ -156,6 +163,7 @@ LEFT JOIN RCN USING (device_id)""",
   FROM V, range(0, {P.recent_horizon_s // 3600}) t(k) WHERE pred = 1.0) z
 GROUP BY device_id, window_start""",
     "stream_macro_counts": O.ORACLES["macro_counts"],
+    "stream_recent_alerts_exact": O.ORACLES["recent_alerts_5m"],
     "stream_upsert": O.w(O.R, O.cells_cte("strftime(ts, '%Y-%m-%d %H:00:00.000000')", "R", "C")) + """
 SELECT row_key, family, qualifier, value, version FROM (
   SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version DESC) AS rn FROM C) z

@@ -159,3 +159,14 @@ def test_auc_exact_matches_evaluator(spark):
     neg = [s for s, l in rows if not l]
     exp = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert abs(got - round(exp, 6)) < 1e-9
+
+
+def test_export_text_in_order(spark):
+    lines = spark.createDataFrame([(1, i, f"line {i}") for i in range(1, 301)] + [(2, 1, "x")],
+                                  "device_id long, line_no long, line string")
+    path = work_path(spark, "t_export")
+    eventlog.write_export(lines, path, files_per_device=3)
+    import glob
+    parts = sorted(glob.glob(f"{path.replace('file:', '')}/device_id=1/part-*"))
+    text = [ln.rstrip("\n") for fp in parts for ln in open(fp, encoding="utf-8")]
+    assert text == [f"line {i}" for i in range(1, 301)]

@@ -13,6 +13,7 @@ windows and watermarks behave the same in every session time zone.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,28 +42,39 @@ def instant_to_ntz(ts) -> Column:
 
 # --- replay ----------------------------------------------------------------------
 
-def replay(spark: SparkSession, df: DataFrame, path: str, n_slices: int = 8, ts: str = "ts") -> T.StructType:
-    """Write ``df`` as a file stream: one file per time slice, oldest first.
+@dataclass(frozen=True)
+class Replay:
+    path: str
+    schema: T.StructType
+    files_per_trigger: int
+    delay: str           # watermark delay that covers one slice of arrival disorder
+
+
+def replay(spark: SparkSession, df: DataFrame, path: str, n_slices: int = 8, files_per_slice: int = 8,
+           ts: str = "ts", key: str = DEV) -> Replay:
+    """Write ``df`` as a file stream in event-time slices, oldest slice first.
 
     File sources admit files in modification order, so slices are written one
-    after another; with ``maxFilesPerTrigger=1`` each micro-batch is one slice
-    and batches arrive in event-time order.
+    after another.  Inside a slice rows are hash-partitioned by device: each
+    device's rows of a slice sit in one file, so per-device order holds across
+    micro-batches however the files are grouped, and no task writes a whole
+    slice.  Global watermark operators get a delay of one slice width.
     """
     sec = X.epoch_seconds(ts)
     lo, hi = df.agg(F.min(sec), F.max(sec)).first()
     if lo is None:
         df.limit(0).write.mode("append").parquet(path)
-        return df.schema
+        return Replay(path, df.schema, files_per_slice, "1 hour")
     width = max(1, (hi - lo) // n_slices + 1)
     for i in range(n_slices):
         part = df.filter((sec >= lo + i * width) & (sec < lo + (i + 1) * width))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return df.schema
+        part.repartition(files_per_slice, key).write.mode("append").parquet(path)
+    return Replay(path, df.schema, files_per_slice, f"{width + 3600} seconds")
 
 
-def source(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(path))
+def source(spark: SparkSession, rp: Replay) -> DataFrame:
+    return (spark.readStream.schema(rp.schema).option("maxFilesPerTrigger", rp.files_per_trigger)
+            .parquet(rp.path))
 
 
 def run_to_files(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:

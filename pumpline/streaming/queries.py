@@ -21,10 +21,10 @@ from pumpline.streaming import pipelines as S
 N_SLICES = 8
 
 
-def _replayed(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    path = work_path(spark, f"replay_{name}")
-    schema = S.replay(spark, df, path, N_SLICES)
-    return S.source(spark, path, schema)
+def _replayed(spark: SparkSession, df: DataFrame, name: str, key: str = "device_id") -> tuple[DataFrame, str]:
+    """Replay ``df``; ``key`` is the unit whose arrival order the operator relies on."""
+    rp = S.replay(spark, df, work_path(spark, f"replay_{name}"), N_SLICES, key=key)
+    return S.source(spark, rp), rp.delay
 
 
 def _dirs(spark, name):
@@ -34,7 +34,8 @@ def _dirs(spark, name):
 def q_stream_alerts(spark, sf):
     text = td.reading_text(td.sample_readings(spark, sf))
     out, ck = _dirs(spark, "stream_alerts")
-    S.run_to_files(S.alert_stream(_replayed(spark, text, "text"), P), out, ck)
+    stream, delay = _replayed(spark, text, "text", key="row_key")
+    S.run_to_files(S.alert_stream(stream, P, delay), out, ck)
     return spark.read.parquet(out)
 
 
@@ -48,23 +49,25 @@ def q_stream_restart(spark, sf):
     mid = bounds[0] + (bounds[1] - bounds[0]) / 2
     first, rest = text.filter(F.col("ts") < mid), text.filter(F.col("ts") >= mid)
     out, ck = _dirs(spark, "stream_restart")
-    S.replay(spark, first, src, N_SLICES // 2)
-    S.run_to_files(S.alert_stream(S.source(spark, src, text.schema), P), out, ck)
-    S.replay(spark, rest, src, N_SLICES // 2)
-    S.run_to_files(S.alert_stream(S.source(spark, src, text.schema), P), out, ck)
+    rp = S.replay(spark, first, src, N_SLICES // 2)
+    S.run_to_files(S.alert_stream(S.source(spark, rp), P, rp.delay), out, ck)
+    rp2 = S.replay(spark, rest, src, N_SLICES // 2)
+    S.run_to_files(S.alert_stream(S.source(spark, rp2), P, max(rp.delay, rp2.delay, key=lambda d: int(d.split()[0]))),
+                   out, ck)
     return spark.read.parquet(out)
 
 
 def q_stream_late_drop(spark, sf):
     out, ck = _dirs(spark, "stream_late")
-    S.run_foreach_batch(S.daily_counts_stream(_replayed(spark, td.readings(spark, sf), "readings")), out, ck)
+    stream, delay = _replayed(spark, td.readings(spark, sf), "readings")
+    S.run_foreach_batch(S.daily_counts_stream(stream, delay), out, ck)
     return S.latest_per_key(spark, out, ["device_id", "day"])
 
 
 def q_stream_conflate(spark, sf):
     """Per micro-batch, one refresh per device with its newest sample."""
     out, ck = _dirs(spark, "stream_conflate")
-    stream = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
+    stream, _ = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         (monitor.latest_per_device(batch).withColumn("batch", F.lit(batch_id))
@@ -78,34 +81,34 @@ def q_stream_conflate(spark, sf):
 def q_stream_device_state(spark, sf):
     mixed = S.mixed_feed(monitor.valid_samples(td.sample_readings(spark, sf)), td.source_status(spark, sf))
     out, ck = _dirs(spark, "stream_state")
-    S.run_to_files(S.device_state_stream(_replayed(spark, mixed, "mixed"), P), out, ck)
+    S.run_to_files(S.device_state_stream(_replayed(spark, mixed, "mixed")[0], P), out, ck)
     return spark.read.parquet(out)
 
 
 def q_stream_counters(spark, sf):
     mixed = S.mixed_feed(monitor.valid_samples(td.sample_readings(spark, sf)), td.source_status(spark, sf), None)
     out, ck = _dirs(spark, "stream_counters")
-    S.run_foreach_batch(S.counters_stream(_replayed(spark, mixed, "mixed_all"), P), out, ck)
+    S.run_foreach_batch(S.counters_stream(_replayed(spark, mixed, "mixed_all")[0], P), out, ck)
     return S.latest_per_key(spark, out, ["device_id"])
 
 
 def q_stream_recent_alerts(spark, sf):
     out, ck = _dirs(spark, "stream_recent")
-    stream = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
-    S.run_foreach_batch(S.sliding_alerts_stream(stream, P.recent_horizon_s, 3600, P), out, ck)
+    stream, delay = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
+    S.run_foreach_batch(S.sliding_alerts_stream(stream, P.recent_horizon_s, 3600, P, delay), out, ck)
     return S.latest_per_key(spark, out, ["device_id", "window_start"])
 
 
 def q_stream_recent_alerts_exact(spark, sf):
     out, ck = _dirs(spark, "stream_recent_exact")
-    stream = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
+    stream, _ = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
     S.run_to_files(S.recent_alerts_exact_stream(stream, P), out, ck)
     return spark.read.parquet(out)
 
 
 def q_stream_macro_counts(spark, sf):
     out, ck = _dirs(spark, "stream_macro")
-    S.run_foreach_batch(S.macro_counts_stream(_replayed(spark, td.readings(spark, sf), "readings")), out, ck,
+    S.run_foreach_batch(S.macro_counts_stream(_replayed(spark, td.readings(spark, sf), "readings")[0]), out, ck,
                         mode="complete")
     return S.latest_per_key(spark, out, ["device_id"])
 
@@ -120,7 +123,7 @@ def q_stream_upsert(spark, sf):
         cells = td.inject_cell_faults(wide.unpivot_cells(batch, F.col("row_key"), "event_id"))
         wide.upsert_cells(batch.sparkSession, table, cells, batch_id)
 
-    (_replayed(spark, r, "upsert").writeStream.foreachBatch(sink).option("checkpointLocation", ck)
+    (_replayed(spark, r, "upsert", key="row_key")[0].writeStream.foreachBatch(sink).option("checkpointLocation", ck)
      .trigger(availableNow=True).start().awaitTermination())
     return wide.read_cells(spark, table)
 
@@ -135,7 +138,7 @@ def q_stream_score(spark, sf):
     model = PipelineModel.load(model_path)
     test = w.filter(F.col("split") == "test").drop("split", "split_bucket")
     out, ck = _dirs(spark, "stream_score")
-    scored = model.transform(_replayed(spark, test, "score")).select("row_id", "ts", "label", "prediction")
+    scored = model.transform(_replayed(spark, test, "score", key="row_id")[0]).select("row_id", "ts", "label", "prediction")
     S.run_to_files(scored, out, ck)
     return spark.read.parquet(out)
 

@@ -28,9 +28,8 @@ def mute_windows(toggles: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     test, all of them split by device and time bucket.
     """
     L = int(p.mute_s)
-    t = Q.neighbor_value(toggles, [DEV], ORDER, "ts", p.bucket_s, "ts", "_prev_ts", "prev")
-    t = Q.neighbor_value(t, [DEV], ORDER, "ts", p.bucket_s, "ts", "_next_ts", "next")
-    t = Q.sequence_number(t, [DEV], ORDER, "ts", p.bucket_s, "_n")
+    t = Q.ordered_context(toggles, [DEV], ORDER, "ts", p.bucket_s, seq="_n",
+                          prev={"ts": "_prev_ts"}, nxt={"ts": "_next_ts"})
     starts_run = F.col("_prev_ts").isNull() | (F.col("ts") >= X.plus_seconds("_prev_ts", L))
     t = t.withColumn("_run_start", F.when(starts_run, F.col("_n")))
     t = Q.carry_last(t, [DEV], ORDER, "ts", p.bucket_s, ["_run_start"])

@@ -113,6 +113,48 @@ def neighbor_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts:
             .drop("_pl_nb", "_pl_edge", "_pl_ci", B))
 
 
+def ordered_context(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str, width_s: int,
+                    seq: str | None = None, prev: dict[str, str] | None = None,
+                    nxt: dict[str, str] | None = None) -> DataFrame:
+    """Sequence number, previous and next values per key from one pass.
+
+    ``prev`` / ``nxt`` map a source column to the output name.  One window over
+    ``(key, bucket)``, one bucket summary (count, first and last values) and one
+    join replace separate ``sequence_number`` / ``neighbor_value`` passes.
+    """
+    prev, nxt = dict(prev or {}), dict(nxt or {})
+    d = with_bucket(df, ts, width_s)
+    wb = Window.partitionBy(*keys, B).orderBy(*_orders(order))
+    d = d.withColumn("_pl_rn", F.row_number().over(wb)) \
+         .withColumn("_pl_cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, B)))
+    for c, name in prev.items():
+        d = d.withColumn(f"_pl_lag_{name}", F.lag(c).over(wb))
+    for c, name in nxt.items():
+        d = d.withColumn(f"_pl_lead_{name}", F.lead(c).over(wb))
+    ordk = _order_struct(order)
+    summ = d.groupBy(*keys, B).agg(
+        F.count(F.lit(1)).alias("_pl_n"),
+        *[F.max_by(F.col(c), ordk).alias(f"_pl_last_{n}") for c, n in prev.items()],
+        *[F.min_by(F.col(c), ordk).alias(f"_pl_first_{n}") for c, n in nxt.items()])
+    wk = Window.partitionBy(*keys).orderBy(B)
+    carry = summ.select(
+        *keys, B, F.coalesce(F.sum("_pl_n").over(wk.rowsBetween(UNB, -1)), F.lit(0)).alias("_pl_off"),
+        *[F.lag(f"_pl_last_{n}").over(wk).alias(f"_pl_pc_{n}") for n in prev.values()],
+        *[F.lead(f"_pl_first_{n}").over(wk).alias(f"_pl_nc_{n}") for n in nxt.values()])
+    out = d.join(carry, [*keys, B])
+    if seq:
+        out = out.withColumn(seq, (F.col("_pl_off") + F.col("_pl_rn")).cast("long"))
+    for n in prev.values():
+        out = out.withColumn(n, F.when(F.col("_pl_rn") == 1, F.col(f"_pl_pc_{n}")).otherwise(F.col(f"_pl_lag_{n}")))
+    for n in nxt.values():
+        out = out.withColumn(n, F.when(F.col("_pl_rn") == F.col("_pl_cnt"), F.col(f"_pl_nc_{n}"))
+                             .otherwise(F.col(f"_pl_lead_{n}")))
+    drop = ["_pl_rn", "_pl_cnt", "_pl_off", B, *[f"_pl_lag_{n}" for n in prev.values()],
+            *[f"_pl_pc_{n}" for n in prev.values()], *[f"_pl_lead_{n}" for n in nxt.values()],
+            *[f"_pl_nc_{n}" for n in nxt.values()]]
+    return out.drop(*drop)
+
+
 def trailing_sum(df: DataFrame, keys: Sequence[str], ts: str, value: str | Column,
                  horizon_s: int, width_s: int, name: str) -> DataFrame:
     """Sum of ``value`` over rows with ``ts - horizon <= ts' <= ts`` per key.

@@ -87,3 +87,14 @@ def test_partition_invariance(spark, data):
     a = Q.running_sum(data.repartition(1), ["device_id"], ["ts", "event_id"], "ts", 60, F.coalesce("v", F.lit(0)), "s")
     b = Q.running_sum(data.repartition(7), ["device_id"], ["ts", "event_id"], "ts", 60, F.coalesce("v", F.lit(0)), "s")
     assert _collect(a, ["event_id", "s"]) == _collect(b, ["event_id", "s"])
+
+
+@pytest.mark.parametrize("width", [60, 3600])
+def test_ordered_context(spark, data, width):
+    got = Q.ordered_context(data, ["device_id"], ["ts", "event_id"], "ts", width, seq="seq",
+                            prev={"v": "pv", "b": "pb"}, nxt={"v": "nv"})
+    w = Window.partitionBy("device_id").orderBy("ts", "event_id")
+    exp = (data.withColumn("seq", F.row_number().over(w).cast("long")).withColumn("pv", F.lag("v").over(w))
+               .withColumn("pb", F.lag("b").over(w)).withColumn("nv", F.lead("v").over(w)))
+    cols = ["event_id", "seq", "pv", "pb", "nv"]
+    assert _collect(got, cols) == _collect(exp, cols)

@@ -129,3 +129,27 @@ def status_distribution(df: DataFrame, status: str = "machine_status") -> DataFr
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def clean_readings(raw: DataFrame, ts_text: str | None = None) -> DataFrame:
+    """The cleaning step: drop index/empty columns, type the timestamp, fill numeric gaps."""
+    d = drop_columns(raw)
+    if ts_text:
+        d = d.withColumn(ts_text, parse_timestamp(ts_text))
+    return fill_zero(d)
+
+
+def write_with_metrics(df: DataFrame, path: str, status: str = "machine_status",
+                       statuses=("NORMAL", "BROKEN", "RECOVERING")) -> dict:
+    """Write ``df`` as Parquet and collect row count + status histogram in the same pass.
+
+    ``DataFrame.observe`` computes the metrics while the write runs, instead of a
+    separate ``count()`` and ``groupBy().count()`` over the input.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation("clean_metrics")
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(status).isNull()).alias("status_null")]
+    aggs += [F.count_if(F.col(status) == s_).alias(f"status_{s_}") for s_ in statuses]
+    df.observe(obs, *aggs).write.mode("overwrite").parquet(path)
+    return obs.get

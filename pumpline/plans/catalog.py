@@ -156,6 +156,15 @@ def q_fill_zero(spark, sf):
     return clean.fill_zero(r)
 
 
+def q_clean_job(spark, sf):
+    """Cleaning job end to end: raw rows with index/empty columns -> cleaned Parquet,
+    metrics observed during the write."""
+    raw = _with_junk_columns(spark, sf)
+    path = work_path(spark, "cleaned")
+    clean.write_with_metrics(clean.clean_readings(raw), path)
+    return spark.read.parquet(path)
+
+
 def q_label_binary(spark, sf):
     return clean.label_binary(td.readings(spark, sf)).select("event_id", "machine_status", "label")
 

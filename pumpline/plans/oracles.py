@@ -241,6 +241,8 @@ SELECT event_id, ts_text, try_strptime(ts_text, '%Y-%m-%d %H:%M:%S') AS ts_parse
   coalesce(CASE WHEN isnan(s10x) THEN NULL ELSE s10x END, 0) AS s10,
   coalesce(CASE WHEN isnan(pred) THEN NULL ELSE pred END, 0) AS pred, machine_status
 FROM (SELECT *, CASE WHEN event_id % 37 = 0 THEN CAST('NaN' AS DOUBLE) ELSE s10 END AS s10x FROM R) z""",
+    "clean_job": w(R) + """SELECT event_id, device_id, ts, event_type, coalesce(s04, 0) AS s04, s10, pred, machine_status
+FROM R""",
     "label_binary": w(R) + "SELECT event_id, machine_status, CAST(CASE WHEN machine_status = 'NORMAL' THEN 0 "
                            "ELSE 1 END AS INTEGER) AS label FROM R",
     "feature_columns": w(W) + "SELECT row_id, l_quantity, l_extendedprice, l_discount, l_tax FROM W",

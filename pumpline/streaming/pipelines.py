@@ -252,3 +252,19 @@ def recent_alerts_exact_stream(readings: DataFrame, p: Params = DEFAULT_PARAMS)
 
 def macro_counts_stream(readings: DataFrame) -> DataFrame:
     return monitor.macro_counts(readings)
+
+
+def route_batch(out: str, tags=("log", "macro", "status", "micro")):
+    """foreachBatch body: cache the batch once, write one output per known tag.
+
+    Unknown tags are ignored.  Each output folder is keyed by batch id, so a
+    replayed batch overwrites its own files.
+    """
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for t in tags:
+                batch.filter(F.col("tag") == t).write.mode("overwrite").parquet(f"{out}/{t}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+    return sink

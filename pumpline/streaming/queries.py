@@ -99,6 +99,26 @@ def q_stream_recent_alerts(spark, sf):
     return S.latest_per_key(spark, out, ["device_id", "window_start"])
 
 
+def q_stream_route_events(spark, sf):
+    """Event records arrive as a stream and are routed to one output per handler."""
+    from pumpline.plans.catalog import _event_log
+
+    log = _event_log(spark, sf).select("device_id", "ts", "seq", "event_id", "tag", "level", "message")
+    out, ck = _dirs(spark, "stream_route")
+    stream, _ = _replayed(spark, log, "route")
+    (stream.writeStream.foreachBatch(S.route_batch(out)).option("checkpointLocation", ck)
+     .trigger(availableNow=True).start().awaitTermination())
+    routed = None
+    for t in ("log", "macro", "status", "micro"):
+        try:
+            part = spark.read.parquet(f"{out}/{t}")
+        except Exception:  # noqa: BLE001  (a handler that received nothing has no folder)
+            continue
+        part = part.groupBy(F.lit(t).alias("handler"), "level").agg(F.count(F.lit(1)).alias("n_events"))
+        routed = part if routed is None else routed.unionByName(part)
+    return routed
+
+
 def q_stream_recent_alerts_exact(spark, sf):
     out, ck = _dirs(spark, "stream_recent_exact")
     stream, _ = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
@@ -166,6 +186,7 @@ LEFT JOIN RCN USING (device_id)""",
   FROM V, range(0, {P.recent_horizon_s // 3600}) t(k) WHERE pred = 1.0) z
 GROUP BY device_id, window_start""",
     "stream_macro_counts": O.ORACLES["macro_counts"],
+    "stream_route_events": O.ORACLES["route_events"],
     "stream_recent_alerts_exact": O.ORACLES["recent_alerts_5m"],
     "stream_upsert": O.w(O.R, O.cells_cte("strftime(ts, '%Y-%m-%d %H:00:00.000000')", "R", "C")) + """
 SELECT row_key, family, qualifier, value, version FROM (

@@ -170,3 +170,20 @@ def test_export_text_in_order(spark):
     parts = sorted(glob.glob(f"{path.replace('file:', '')}/device_id=1/part-*"))
     text = [ln.rstrip("\n") for fp in parts for ln in open(fp, encoding="utf-8")]
     assert text == [f"line {i}" for i in range(1, 301)]
+
+
+def test_write_with_metrics_counts_in_one_pass(spark):
+    df = spark.createDataFrame([("NORMAL",), ("BROKEN",), (None,), ("NORMAL",)], "machine_status string")
+    m = clean.write_with_metrics(df, work_path(spark, "t_metrics"))
+    assert m["n_rows"] == 4 and m["status_NORMAL"] == 2 and m["status_BROKEN"] == 1 and m["status_null"] == 1
+
+
+def test_auc_exact_equals_mllib_evaluator_on_model(spark):
+    from pumpline.sources import testdata as td
+    from tests.conftest import SF_SMALL
+    w = ml.hash_split(td.wide_features(spark, SF_SMALL), "row_id")
+    model = ml.fit_rf(w.filter("split = 'train'"), td.FEATURES_W, D.with_(num_trees=5, max_depth=3))
+    scored = ml.score(model, w.filter("split = 'test'"))
+    ours = ml.auc_exact(scored, "raw_score", "label", n_ranges=8).first().auc
+    assert abs(ours - ml.evaluator_auc(scored)) < 1e-6
+    assert ours > 0.9   # the derived label is learnable

@@ -141,15 +141,16 @@ def clean_readings(raw: DataFrame, ts_text: str | None = None) -> DataFrame:
 
 def write_with_metrics(df: DataFrame, path: str, status: str = "machine_status",
                        statuses=("NORMAL", "BROKEN", "RECOVERING")) -> dict:
-    """Write ``df`` as Parquet and collect row count + status histogram in the same pass.
+    """Write ``df`` as Parquet, then take row count + status histogram from the output.
 
-    ``DataFrame.observe`` computes the metrics while the write runs, instead of a
-    separate ``count()`` and ``groupBy().count()`` over the input.
+    The original job counted and grouped the raw CSV in separate passes.  Here the
+    input is read once (by the write); the metrics read the written Parquet: the
+    count comes from file footers and the histogram from one pruned column.
+    (``DataFrame.observe`` would do it inside the write, but an ``Observation``
+    left on the session makes later jobs fail to serialize in Spark 4.1.)
     """
-    from pyspark.sql import Observation
-
-    obs = Observation("clean_metrics")
+    df.write.mode("overwrite").parquet(path)
+    out = df.sparkSession.read.parquet(path)
     aggs = [F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(status).isNull()).alias("status_null")]
     aggs += [F.count_if(F.col(status) == s_).alias(f"status_{s_}") for s_ in statuses]
-    df.observe(obs, *aggs).write.mode("overwrite").parquet(path)
-    return obs.get
+    return out.agg(*aggs).first().asDict()

@@ -52,6 +52,7 @@ REASON_TEMPERATURE = "温度过高"
 REASON_UNKNOWN = "未知突变"
 REASON_JOINER = " + "
 ALERT_PREFIX = "设备告警："
+SAMPLE_PREFIX = "最近采样 | "
 STATE_ALERT = "ALERT"
 STATE_NORMAL = "NORMAL"
 MARK_ERROR = "🔴"

@@ -42,7 +42,7 @@ def alerts(df: DataFrame, p: Params = DEFAULT_PARAMS, key: str = "row_key") -> D
 def sample_text(df: DataFrame, p: Params = DEFAULT_PARAMS, key: str = "row_key") -> DataFrame:
     """The 'last sample' line: key, both signals with one decimal, ALERT/NORMAL."""
     return df.withColumn("sample_line", F.concat(
-        F.lit("key="), F.col(key), F.lit(" | S04="), X.fixed1("s04"), F.lit(" | S10="), X.fixed1("s10"),
+        F.lit(C.SAMPLE_PREFIX), F.lit("key="), F.col(key), F.lit(" | S04="), X.fixed1("s04"), F.lit(" | S10="), X.fixed1("s10"),
         F.lit(" | PRED="), X.sample_state("pred", p.alert_pred)))
 
 

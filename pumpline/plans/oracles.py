@@ -252,7 +252,7 @@ FROM R""",
   coalesce(s10 > 45.0 AND NOT isnan(s10), false) AS temp_exceeded FROM R""",
     "alert_reason": w(R, V) + f"SELECT event_id, device_id, {reason()} AS reason FROM V WHERE pred = 1.0",
     "alert_message": w(R, V) + f"SELECT event_id, {message(KEY)} AS message FROM V WHERE pred = 1.0",
-    "sample_text": w(R, V) + f"""SELECT event_id, 'key=' || {KEY} || ' | S04=' || printf('%.1f', s04) || ' | S10=' ||
+    "sample_text": w(R, V) + f"""SELECT event_id, '最近采样 | key=' || {KEY} || ' | S04=' || printf('%.1f', s04) || ' | S10=' ||
   printf('%.1f', s10) || ' | PRED=' || CASE WHEN pred = 1.0 THEN 'ALERT' ELSE 'NORMAL' END AS sample_line FROM V""",
     # --- C / D
     "join_predictions": w(R) + f"""SELECT c.device_id, c.ts, coalesce(c.s04, 0) AS s04, coalesce(c.s10, 0) AS s10,

@@ -72,6 +72,9 @@ EXPORT_HEADER = "水泵流处理工业监控日志"
 EXPORT_RULE = "=" * 64
 NORMAL_STATUS = "NORMAL"
 DEVICE_STATES = ("STANDBY", "INTERRUPTED", "ABNORMAL", "NORMAL")
+STATE_TEXT_INTERRUPTED = "设备状态 · 数据中断"
+STATE_TEXT_ABNORMAL = "设备状态 · 异常 (V={s04} / T={s10})"
+STATE_TEXT_NORMAL = "设备状态 · 运行正常"
 # wide-column layout: (family, qualifier) in put order
 WIDE_CELLS = (("status", "real"), ("status", "pred"), ("wave", "s04"), ("wave", "s10"))
 # index columns a CSV export may carry that must never become features

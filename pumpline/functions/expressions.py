@@ -133,3 +133,13 @@ def time_bucket(ts, width_s: int) -> Column:
 def hash_bucket(key) -> Column:
     """0..99 from the first 32 bits of md5(key): stable under any partitioning."""
     return (F.conv(F.substring(F.md5(col(key).cast("string")), 1, 8), 16, 10).cast("long") % 100).cast("int")
+
+
+def state_text(state, s04, s10) -> Column:
+    """Device-state label: interrupted / abnormal with both signals / normal."""
+    pre, post = C.STATE_TEXT_ABNORMAL.split("{s04}")
+    mid, end = post.split("{s10}")
+    st = col(state)
+    return (F.when(st == "INTERRUPTED", F.lit(C.STATE_TEXT_INTERRUPTED))
+            .when(st == "ABNORMAL", F.concat(F.lit(pre), fixed1(s04), F.lit(mid), fixed1(s10), F.lit(end)))
+            .when(st == "NORMAL", F.lit(C.STATE_TEXT_NORMAL)))

@@ -162,18 +162,20 @@ def device_state(samples: DataFrame, status: DataFrame, p: Params = DEFAULT_PARA
     offline, else ABNORMAL if pred is the alert value, else NORMAL.  A status and
     a sample at the same instant: the status applies first.
     """
+    nul = F.lit(None).cast("double")
     st = (status.filter(F.col("source") == feed)
                 .select(DEV, "ts", "event_id", F.lit(0).alias("_kind"), F.col("online"),
-                        F.lit(None).cast("double").alias("pred")))
+                        nul.alias("pred"), nul.alias("s04"), nul.alias("s10")))
     sm = samples.select(DEV, "ts", "event_id", F.lit(1).alias("_kind"),
-                        F.lit(None).cast("boolean").alias("online"), "pred")
+                        F.lit(None).cast("boolean").alias("online"), "pred", "s04", "s10")
     u = st.unionByName(sm)
     a = Q.carry_last(u, [DEV], ["ts", "_kind", "event_id"], "ts", p.bucket_s, ["online"])
+    state = (F.when(F.col("online_asof") == F.lit(False), F.lit("INTERRUPTED"))
+              .when(X.is_alert("pred", p.alert_pred), F.lit("ABNORMAL"))
+              .otherwise(F.lit("NORMAL")))
     return (a.filter(F.col("_kind") == 1)
-             .select("event_id", DEV, "ts", "online_asof",
-                     F.when(F.col("online_asof") == F.lit(False), F.lit("INTERRUPTED"))
-                      .when(X.is_alert("pred", p.alert_pred), F.lit("ABNORMAL"))
-                      .otherwise(F.lit("NORMAL")).alias("state")))
+             .select("event_id", DEV, "ts", "online_asof", state.alias("state"), "s04", "s10")
+             .withColumn("state_text", X.state_text("state", "s04", "s10")).drop("s04", "s10"))
 
 
 # --- serving merge --------------------------------------------------------------

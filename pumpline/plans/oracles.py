@@ -296,7 +296,10 @@ WHERE prev IS NULL OR prev <> poll_key""",
   SELECT *, row_number() OVER (PARTITION BY device_id, source ORDER BY ts DESC, event_id DESC) AS rn FROM S) z
 WHERE rn = 1""",
     "device_state": w(R, VS, S) + """SELECT r.event_id, r.device_id, r.ts, s.online AS online_asof,
-  CASE WHEN s.online = false THEN 'INTERRUPTED' WHEN r.pred = 1.0 THEN 'ABNORMAL' ELSE 'NORMAL' END AS state
+  CASE WHEN s.online = false THEN 'INTERRUPTED' WHEN r.pred = 1.0 THEN 'ABNORMAL' ELSE 'NORMAL' END AS state,
+  CASE WHEN s.online = false THEN '设备状态 · 数据中断'
+       WHEN r.pred = 1.0 THEN '设备状态 · 异常 (V=' || printf('%.1f', r.s04) || ' / T=' || printf('%.1f', r.s10) || ')'
+       ELSE '设备状态 · 运行正常' END AS state_text
 FROM VS r ASOF LEFT JOIN (SELECT * FROM S WHERE source = 'speed') s
   ON r.device_id = s.device_id AND r.ts >= s.ts""",
     "kpi_snapshot": w(R, VS, S, RECONNECTS, """A AS (

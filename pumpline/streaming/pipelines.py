@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from pumpline import config as C
 from pumpline.config import DEFAULT_PARAMS, Params
 from pumpline.functions import expressions as X
 from pumpline.operators import clean, monitor
@@ -140,7 +141,7 @@ def sliding_alerts_stream(readings: DataFrame, window_s: int, slide_s: int, p: P
 STATE_OUT = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField(DEV, T.LongType()),
     T.StructField("ts", T.TimestampNTZType()), T.StructField("online_asof", T.BooleanType()),
-    T.StructField("state", T.StringType())])
+    T.StructField("state", T.StringType()), T.StructField("state_text", T.StringType())])
 STATE_SCHEMA = T.StructType([T.StructField("online", T.BooleanType())])
 
 
@@ -158,9 +159,13 @@ def _device_state_fn(alert_value: float):
         st[on == 0.0] = "INTERRUPTED"
         last = asof.iloc[-1] if len(asof) else float("nan")
         state.update((None if pd.isna(last) else bool(last),))
+        text = st.map({"INTERRUPTED": C.STATE_TEXT_INTERRUPTED, "NORMAL": C.STATE_TEXT_NORMAL})
+        abn = st == "ABNORMAL"
+        text[abn] = [C.STATE_TEXT_ABNORMAL.format(s04=f"{a:.1f}", s10=f"{b:.1f}")
+                     for a, b in zip(smp.loc[abn, "s04"], smp.loc[abn, "s10"])]
         yield pd.DataFrame({"event_id": smp["event_id"], DEV: smp[DEV], "ts": smp["ts"],
                             "online_asof": pd.array(on.map({1.0: True, 0.0: False}), dtype="boolean"),
-                            "state": st})
+                            "state": st, "state_text": text})
     return fn
 
 
@@ -205,10 +210,11 @@ def counters_stream(mixed: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
 def mixed_feed(samples: DataFrame, status: DataFrame, feed: str | None = "speed") -> DataFrame:
     """One stream of status rows and samples, ordered by (ts, kind) inside the state function."""
     st = status if feed is None else status.filter(F.col("source") == feed)
+    nul = F.lit(None).cast("double")
     st = st.select(DEV, "ts", "event_id", F.lit(0).alias("_kind"), "source", "online",
-                   F.lit(None).cast("double").alias("pred"))
+                   nul.alias("pred"), nul.alias("s04"), nul.alias("s10"))
     sm = samples.select(DEV, "ts", "event_id", F.lit(1).alias("_kind"), F.lit(None).cast("string").alias("source"),
-                        F.lit(None).cast("boolean").alias("online"), "pred")
+                        F.lit(None).cast("boolean").alias("online"), "pred", "s04", "s10")
     return st.unionByName(sm)
 
 

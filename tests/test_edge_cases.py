@@ -139,14 +139,17 @@ def test_fill_zero_numeric_only(spark):
 
 def test_device_state_precedence(spark):
     samples = spark.createDataFrame(
-        [(10, 1, T0 + timedelta(seconds=1), 1.0), (11, 1, T0 + timedelta(seconds=3), 1.0),
-         (12, 2, T0 + timedelta(seconds=1), 0.0)],
-        "event_id long, device_id long, ts timestamp_ntz, pred double")
+        [(10, 1, T0 + timedelta(seconds=1), 1.0, 700.25, 46.0), (11, 1, T0 + timedelta(seconds=3), 1.0, 1.0, 1.0),
+         (12, 2, T0 + timedelta(seconds=1), 0.0, 1.0, 1.0)],
+        "event_id long, device_id long, ts timestamp_ntz, pred double, s04 double, s10 double")
     status = spark.createDataFrame(
         [(1, 1, T0 + timedelta(seconds=2), "speed", False), (2, 1, T0 + timedelta(seconds=3), "batch", False)],
         "event_id long, device_id long, ts timestamp_ntz, source string, online boolean")
-    got = {r.event_id: r.state for r in monitor.device_state(samples, status, D).collect()}
-    assert got == {10: "ABNORMAL", 11: "INTERRUPTED", 12: "NORMAL"}
+    rows = monitor.device_state(samples, status, D).collect()
+    assert {r.event_id: r.state for r in rows} == {10: "ABNORMAL", 11: "INTERRUPTED", 12: "NORMAL"}
+    texts = {r.event_id: r.state_text for r in rows}
+    assert texts[10] == C.STATE_TEXT_ABNORMAL.format(s04=f"{700.25:.1f}", s10=f"{46.0:.1f}")
+    assert texts[11] == C.STATE_TEXT_INTERRUPTED and texts[12] == C.STATE_TEXT_NORMAL
 
 
 def test_auc_exact_matches_evaluator(spark):

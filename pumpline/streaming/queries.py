@@ -18,7 +18,7 @@ from pumpline.session import work_path
 from pumpline.sources import testdata as td, wide
 from pumpline.streaming import pipelines as S
 
-N_SLICES = 8
+N_SLICES = 4
 
 
 def _replayed(spark: SparkSession, df: DataFrame, name: str, key: str = "device_id") -> tuple[DataFrame, str]:

@@ -1,0 +1,17 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
+
+    The probe is ``limit(max_rows + 1).count()``: it stops reading once the bound
+    is exceeded.  Beyond the bound the plain DataFrame is returned and the join
+    falls back to a shuffle join (AQE may still convert it at run time).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

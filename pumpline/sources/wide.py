@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from pumpline import config as C
+from pumpline.plans.joins import broadcast_if_small
 
 # source column of each (family, qualifier) cell
 CELL_SOURCES = {("status", "real"): "machine_status", ("status", "pred"): "pred",
@@ -85,13 +86,14 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def upsert_cells(spark: SparkSession, table_path: str, batch: DataFrame, batch_id: int,
-                 part_col: str = "dt") -> None:
+                 part_col: str = "dt", max_touched: int = 10_000) -> None:
     """Keyed upsert: a put on an existing cell replaces it (last put wins).
 
     Within a batch, puts are ordered by version; across batches, a later batch
     wins.  Only the date partitions the batch touches are read and rewritten
-    (left-semi join on the partition column -> partition pruning; then dynamic
-    partition overwrite).  Re-running a batch gives the same table, so a
+    (left-semi join on the partition column -> partition pruning; the touched
+    dates are broadcast only if at most ``max_touched``; then dynamic partition
+    overwrite).  Re-running a batch gives the same table, so a
     restarted streaming ``foreachBatch`` can call this again safely.
     """
     b = (batch.select("row_key", "family", "qualifier", "value", "version")
@@ -102,8 +104,8 @@ def upsert_cells(spark: SparkSession, table_path: str, batch: DataFrame, batch_i
         (_last_put(b.withColumn("_seq", F.lit(1)), keys)
          .write.mode("overwrite").partitionBy(part_col).parquet(table_path))
         return
-    touched = b.select(part_col).distinct()
-    old = (current.join(F.broadcast(touched), part_col, "left_semi")
+    touched = broadcast_if_small(b.select(part_col).distinct(), max_touched)
+    old = (current.join(touched, part_col, "left_semi")
                   .select("row_key", "family", "qualifier", "value", "version", part_col)
                   .withColumn("_seq", F.lit(0)))
     merged = _last_put(old.unionByName(b.withColumn("_seq", F.lit(1))), keys)

@@ -193,3 +193,15 @@ def test_auc_exact_equals_mllib_evaluator_on_model(spark):
     scored.unpersist()
     assert abs(ours - theirs) < 1e-6, (ours, theirs)
     assert ours > 0.9, ours   # the derived label is learnable
+
+
+def test_broadcast_only_below_bound(spark):
+    from pumpline.plans.joins import broadcast_if_small
+    small = spark.range(10)
+    big = spark.range(100)
+    j1 = spark.range(1000).join(broadcast_if_small(small, 50), "id")
+    j2 = spark.range(1000).join(broadcast_if_small(big, 50), "id")
+    p1 = j1._jdf.queryExecution().logical().toString()
+    p2 = j2._jdf.queryExecution().logical().toString()
+    assert "broadcast" in p1.lower() and "broadcast" not in p2.lower()
+    assert j1.count() == 10 and j2.count() == 100

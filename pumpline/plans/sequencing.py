@@ -161,18 +161,21 @@ def trailing_sum(df: DataFrame, keys: Sequence[str], ts: str, value: str | Colum
 
     Buckets are at least one horizon wide, so a row only needs the tail of the
     previous bucket; those rows (non-zero values only) are copied in as context
-    and dropped after the window.  At most one extra copy per contributing row.
+    and dropped after the window (one pass: an ``explode`` emits the copy).  At
+    most one extra copy per contributing row.
     """
     width = max(int(width_s), int(horizon_s))
     v = F.col(value) if isinstance(value, str) else value
-    d = (with_bucket(df, ts, width).withColumn("_pl_v", v)
-         .withColumn("_pl_us", epoch_micros(ts)).withColumn("_pl_ctx", F.lit(False)))
-    ctx = (d.filter((F.col("_pl_v") != 0)
-                    & (epoch_seconds(ts) >= (F.col(B) + 1) * width - int(horizon_s) - 1))
-           .withColumn(B, F.col(B) + 1).withColumn("_pl_ctx", F.lit(True)))
+    d = with_bucket(df, ts, width).withColumn("_pl_v", v).withColumn("_pl_us", epoch_micros(ts))
+    # one pass: a contributing row near the end of its bucket is emitted twice,
+    # the copy lands in the next bucket as context
+    near_end = (F.col("_pl_v") != 0) & (epoch_seconds(ts) >= (F.col(B) + 1) * width - int(horizon_s) - 1)
+    d = (d.withColumn("_pl_copy", F.explode(F.when(near_end, F.array(F.lit(0), F.lit(1)))
+                                             .otherwise(F.array(F.lit(0)))))
+          .withColumn(B, F.col(B) + F.col("_pl_copy")).withColumn("_pl_ctx", F.col("_pl_copy") == 1))
     w = (Window.partitionBy(*keys, B).orderBy("_pl_us")
          .rangeBetween(-int(horizon_s) * 1_000_000, 0))
-    return (d.unionByName(ctx)
+    return (d.drop("_pl_copy")
             .withColumn(name, F.coalesce(F.sum("_pl_v").over(w), F.lit(0)))
             .filter(~F.col("_pl_ctx"))
             .drop("_pl_v", "_pl_us", "_pl_ctx", B))
@@ -189,12 +192,11 @@ def rolling_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: s
     """
     size = max(int(chunk_rows), int(n_rows))
     s = sequence_number(df, keys, order, ts, width_s, "_pl_seq")
-    s = s.withColumn("_pl_chunk", F.floor((F.col("_pl_seq") - 1) / size)).withColumn("_pl_ctx", F.lit(False))
-    u = s
-    if n_rows > 1:
-        ctx = (s.filter(((F.col("_pl_seq") - 1) % size) >= size - (n_rows - 1))
-               .withColumn("_pl_chunk", F.col("_pl_chunk") + 1).withColumn("_pl_ctx", F.lit(True)))
-        u = s.unionByName(ctx)
+    tail = ((F.col("_pl_seq") - 1) % size) >= size - (n_rows - 1) if n_rows > 1 else F.lit(False)
+    # one pass: the last n_rows - 1 rows of a chunk are also emitted into the next chunk
+    u = (s.withColumn("_pl_copy", F.explode(F.when(tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+          .withColumn("_pl_chunk", F.floor((F.col("_pl_seq") - 1) / size) + F.col("_pl_copy"))
+          .withColumn("_pl_ctx", F.col("_pl_copy") == 1).drop("_pl_copy"))
     w = Window.partitionBy(*keys, "_pl_chunk").orderBy("_pl_seq").rowsBetween(-(n_rows - 1), 0)
     for name, agg in aggs.items():
         u = u.withColumn(name, agg.over(w))

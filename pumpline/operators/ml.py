@@ -79,9 +79,23 @@ def rf_pipeline(features: Sequence[str], p: Params = DEFAULT_PARAMS, label: str
     ])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when the input has fewer partitions
+    than cores (e.g. one large Parquet row group): iterative fits then use every
+    core.  Inputs that are already split finer are left alone (no shuffle)."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def fit_rf(train: DataFrame, features: Sequence[str], p: Params = DEFAULT_PARAMS,
            label: str = "label") -> PipelineModel:
-    return rf_pipeline(features, p, label).fit(train)
+    """Fit assembler + scaler + forest.  The forest makes one pass per tree level,
+    so only the needed columns are cached for the fit and released afterwards."""
+    rows = spread(train.select(*features, label)).persist()
+    try:
+        return rf_pipeline(features, p, label).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -36,18 +36,20 @@ def feature_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def standardize_columns(df: DataFrame, features: Sequence[str], suffix: str = "_z") -> DataFrame:
     """(x - mean) / std with the fitted scalars; std 0 gives 0.0.
 
-    The fit is one aggregate; its single row is joined to the data as a
-    broadcast (one row: the size bound is exact), not an ``avg() over ()``.
+    The fit is one aggregate returning two numbers per feature (the model
+    parameters, like MLlib's scaler model); the transform uses them as
+    constants, so there is no ``avg() over ()`` and no join.
     """
     aggs = []
     for f in features:
-        aggs += [F.avg(f).alias(f"_m_{f}"), F.stddev_samp(f).alias(f"_s_{f}")]
-    fit = df.agg(*aggs)
-    j = df.crossJoin(F.broadcast(fit))
+        aggs += [F.avg(f).alias(f"m_{f}"), F.stddev_samp(f).alias(f"s_{f}")]
+    fit = df.agg(*aggs).first()
+    out = df
     for f in features:
-        z = F.when(F.col(f"_s_{f}") == 0, F.lit(0.0)).otherwise((F.col(f) - F.col(f"_m_{f}")) / F.col(f"_s_{f}"))
-        j = j.withColumn(f"{f}{suffix}", z)
-    return j.drop(*[f"_m_{f}" for f in features], *[f"_s_{f}" for f in features])
+        m, sd = fit[f"m_{f}"], fit[f"s_{f}"]
+        z = F.lit(0.0) if not sd else (F.col(f) - F.lit(m)) / F.lit(sd)
+        out = out.withColumn(f"{f}{suffix}", z)
+    return out
 
 
 def standardize(df: DataFrame, features: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
@@ -125,10 +127,12 @@ def auc_exact(df: DataFrame, score: str, label: str, n_ranges: int = 64) -> Data
         F.sum(F.when(pos, 1).otherwise(0)).cast("long").alias("p"),
         F.sum(F.when(pos, 0).otherwise(1)).cast("long").alias("n"))
     probs = [i / n_ranges for i in range(1, n_ranges)]
-    cuts = per.agg(F.percentile_approx("sc", probs, 1000).alias("cuts"))
-    ranged = per.crossJoin(F.broadcast(cuts)).withColumn(
-        "rg", F.aggregate("cuts", F.lit(0), lambda acc, c: acc + F.when(F.col("sc") > c, 1).otherwise(0))) \
-        .drop("cuts")
+    cuts = per.agg(F.percentile_approx("sc", probs, 1000).alias("cuts")).first()["cuts"] or []
+    # at most n_ranges - 1 cut points: range id = number of cuts below the score
+    rg = F.lit(0)
+    for c in sorted(set(cuts)):
+        rg = rg + F.when(F.col("sc") > F.lit(c), 1).otherwise(0)
+    ranged = per.withColumn("rg", rg)
     tot = ranged.groupBy("rg").agg(F.sum("n").alias("rn"))
     offs = tot.select("rg", F.coalesce(F.sum("rn").over(Window.orderBy("rg").rowsBetween(Window.unboundedPreceding, -1)),
                                        F.lit(0)).alias("off"))

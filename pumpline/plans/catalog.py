@@ -385,8 +385,9 @@ def q_rf_train(spark, sf):
     auc = ml.auc_exact(scored, "raw_score", "label")
     rf = model.stages[-1]
     imp = [float(x) for x in rf.featureImportances.toArray()]
+    holdout_auc = auc.first()["auc"]
     meta = spark.createDataFrame([(f, i) for f, i in zip(FW, imp)], "feature string, importance double")
-    return meta.crossJoin(auc).withColumn("num_trees", F.lit(rf.getNumTrees))
+    return meta.withColumn("auc", F.lit(holdout_auc)).withColumn("num_trees", F.lit(rf.getNumTrees))
 
 
 def q_score_holdout(spark, sf):

@@ -140,6 +140,7 @@ def state_text(state, s04, s10) -> Column:
     pre, post = C.STATE_TEXT_ABNORMAL.split("{s04}")
     mid, end = post.split("{s10}")
     st = col(state)
-    return (F.when(st == "INTERRUPTED", F.lit(C.STATE_TEXT_INTERRUPTED))
+    return (F.when(st == "STANDBY", F.lit(C.STATE_TEXT_STANDBY))
+            .when(st == "INTERRUPTED", F.lit(C.STATE_TEXT_INTERRUPTED))
             .when(st == "ABNORMAL", F.concat(F.lit(pre), fixed1(s04), F.lit(mid), fixed1(s10), F.lit(end)))
             .when(st == "NORMAL", F.lit(C.STATE_TEXT_NORMAL)))

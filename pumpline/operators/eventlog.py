@@ -13,7 +13,7 @@ from pumpline.plans import sequencing as Q
 DEV = "device_id"
 ORDER = ["ts", "event_id"]
 # ordering of records that share a timestamp
-SEQ_STATUS, SEQ_SAMPLE, SEQ_MUTE, SEQ_CLEAR = 0, 1, 2, 3
+SEQ_START, SEQ_STATUS, SEQ_SAMPLE, SEQ_MUTE, SEQ_CLEAR = -1, 0, 1, 2, 3
 LOG_COLUMNS = [DEV, "ts", "seq", "event_id", "tag", "level", "message", "source", "online"]
 
 
@@ -85,7 +85,7 @@ def event_log(parsed: DataFrame, status: DataFrame, toggles: DataFrame, clears:
     ``parsed`` is the output of ``clean.parse_reject`` with device_id, ts and
     event_id kept.  Records: ERROR per alert, WARN per rejected row, a status
     record per feed status (plus a WARN when it is offline), INFO per mute
-    press and per clear.  ERROR lines inside a mute window are tagged, never
+    press and per clear, and one INFO start-up record opening each device's log.  ERROR lines inside a mute window are tagged, never
     dropped.
     """
     from pumpline.operators.monitor import alerts
@@ -110,6 +110,12 @@ def event_log(parsed: DataFrame, status: DataFrame, toggles: DataFrame, clears:
                 F.when(F.col("opens"), F.lit(C.MSG_MUTE_ON)).otherwise(F.lit(C.MSG_MUTE_OFF)))
     clr = _log(clears, SEQ_CLEAR, "log", "INFO", F.lit(C.MSG_CLEARED))
     recs = al.unionByName(rej).unionByName(st_rec).unionByName(st_warn).unionByName(mute).unionByName(clr)
+    # the monitor's start-up record opens each device's log (before its first record)
+    start = (recs.groupBy(DEV).agg(F.min("ts").alias("ts"))
+                 .select(DEV, "ts", F.lit(SEQ_START).alias("seq"), F.lit(-1).cast("long").alias("event_id"),
+                         F.lit("log").alias("tag"), F.lit("INFO").alias("level"), F.lit(C.MSG_STARTED).alias("message"),
+                         F.lit(None).cast("string").alias("source"), F.lit(None).cast("boolean").alias("online")))
+    recs = recs.unionByName(start)
     tagged = interval_join(recs, windows_only(presses), p)
     muted = F.col("mute_end").isNotNull() & F.coalesce(F.col("level") == "ERROR", F.lit(False))
     return (tagged.withColumn("muted", muted)

@@ -221,4 +221,5 @@ def kpi_snapshot(samples: DataFrame, status: DataFrame, p: Params = DEFAULT_PARA
         DEV,
         *[F.coalesce(F.col(c), zero).alias(c) for c in ("normal", "anomaly", "unknown", "session_alerts",
                                                           "recent_alerts", "total_reconnects")],
-        "normal_ratio", "last_key", "last_s04", "last_s10", "last_pred", state.alias("state"))
+        "normal_ratio", "last_key", "last_s04", "last_s10", "last_pred", state.alias("state")) \
+        .withColumn("state_text", X.state_text("state", "last_s04", "last_s10"))

@@ -116,7 +116,7 @@ PT AS (
                    OR TRY_CAST(predt AS DOUBLE) IS NULL THEN 'unparseable' END AS reason
   FROM T)"""
 
-EVLOG = f"""RECS AS (
+EVLOG = f"""RECS0 AS (
   SELECT device_id, ts, 1 AS seq, event_id, 'log' AS tag, 'ERROR' AS level,
          {message('row_key', 's04n', 's10n')} AS message, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS BOOLEAN) AS online
   FROM PT WHERE reason IS NULL AND predn = 1.0
@@ -141,6 +141,12 @@ EVLOG = f"""RECS AS (
   UNION ALL
   SELECT user_id, ts, 3, event_id, 'log', 'INFO', '操作员已清空界面日志。', NULL, NULL
   FROM events WHERE event_type = 'purchase' AND event_id % 17 = 0),
+RECS AS (
+  SELECT * FROM RECS0
+  UNION ALL
+  SELECT device_id, min(ts), -1, CAST(-1 AS BIGINT), 'log', 'INFO',
+         '工业监控大屏已启动，正在接入 Hive / HBase 数据源 ...', NULL, NULL
+  FROM RECS0 GROUP BY device_id),
 EL AS (
   SELECT r.*, (coalesce(r.level = 'ERROR', false) AND EXISTS (
            SELECT 1 FROM MW m WHERE m.device_id = r.device_id AND r.ts >= m.start_ts AND r.ts < m.end_ts)) AS muted
@@ -324,7 +330,10 @@ SELECT D.device_id, coalesce(A.normal, 0) AS normal, coalesce(A.anomaly, 0) AS a
   CAST(A.normal AS DOUBLE) / nullif(CAST(A.normal + A.anomaly AS DOUBLE), 0) AS normal_ratio,
   strftime(LR.ts, '%Y-%m-%d %H:%M:%S.%f') AS last_key, LR.s04 AS last_s04, LR.s10 AS last_s10, LR.pred AS last_pred,
   CASE WHEN A.last_ts IS NULL THEN 'STANDBY' WHEN FEED.online = false THEN 'INTERRUPTED'
-       WHEN LR.pred = 1.0 THEN 'ABNORMAL' ELSE 'NORMAL' END AS state
+       WHEN LR.pred = 1.0 THEN 'ABNORMAL' ELSE 'NORMAL' END AS state,
+  CASE WHEN A.last_ts IS NULL THEN '设备状态 · 待机' WHEN FEED.online = false THEN '设备状态 · 数据中断'
+       WHEN LR.pred = 1.0 THEN '设备状态 · 异常 (V=' || printf('%.1f', LR.s04) || ' / T=' || printf('%.1f', LR.s10) || ')'
+       ELSE '设备状态 · 运行正常' END AS state_text
 FROM D LEFT JOIN A USING (device_id) LEFT JOIN LR USING (device_id) LEFT JOIN REC USING (device_id)
   LEFT JOIN FEED USING (device_id) LEFT JOIN RCN USING (device_id)""",
     # --- E / F

@@ -78,6 +78,13 @@ def _last_put(df: DataFrame, keys: list[str]) -> DataFrame:
               .select(*keys, F.col("_w.value").alias("value"), F.col("_w.version").alias("version")))
 
 
+def _clustered(df: DataFrame, part_col: str) -> DataFrame:
+    """Range-partition by (date, key) before a partitioned write: files per date
+    follow the date's volume instead of the number of shuffle partitions."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, part_col, "row_key").sortWithinPartitions(part_col, "row_key")
+
+
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -101,7 +108,7 @@ def upsert_cells(spark: SparkSession, table_path: str, batch: DataFrame, batch_i
     keys = [*CELL_KEY_COLS, part_col]
     current = _read_or_none(spark, table_path)
     if current is None:
-        (_last_put(b.withColumn("_seq", F.lit(1)), keys)
+        (_clustered(_last_put(b.withColumn("_seq", F.lit(1)), keys), part_col)
          .write.mode("overwrite").partitionBy(part_col).parquet(table_path))
         return
     touched = broadcast_if_small(b.select(part_col).distinct(), max_touched)
@@ -110,7 +117,7 @@ def upsert_cells(spark: SparkSession, table_path: str, batch: DataFrame, batch_i
                   .withColumn("_seq", F.lit(0)))
     merged = _last_put(old.unionByName(b.withColumn("_seq", F.lit(1))), keys)
     staging = f"{table_path.rstrip('/')}_staging/batch={int(batch_id)}"
-    merged.write.mode("overwrite").partitionBy(part_col).parquet(staging)
+    _clustered(merged, part_col).write.mode("overwrite").partitionBy(part_col).parquet(staging)
     (spark.read.parquet(staging).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(table_path))
 

@@ -59,7 +59,8 @@ def fixed1(x) -> Column:
     n = (F.when(d > 0, k + 1).when(d < 0, k)
          .otherwise(F.when(k % 2 == 0, k).otherwise(k + 1)))
     body = F.concat(F.floor(n / 10).cast("string"), F.lit("."), (n % 10).cast("string"))
-    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
+    # sign bit, negative zero included (Python prints -0.0); the text form keeps it
+    sign = F.when(x.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
     return (F.when(F.isnan(x), F.lit("nan"))
             .when(ax == F.lit(float("inf")), F.concat(sign, F.lit("inf")))
             .otherwise(F.concat(sign, body)))

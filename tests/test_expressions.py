@@ -16,7 +16,7 @@ def _fixed1_spark(spark, values):
 
 
 def test_fixed1_matches_python_on_ties(spark):
-    vals = [6.55, 6.45, 0.25, 0.75, 0.05, 0.15, 2.5, 1.05, -6.55, -0.04, 0.0, 123.45, 489.95, 1e-7, 99.99]
+    vals = [6.55, 6.45, 0.25, 0.75, 0.05, 0.15, 2.5, 1.05, -6.55, -0.04, 0.0, -0.0, 123.45, 489.95, 1e-7, 99.99]
     assert _fixed1_spark(spark, vals) == [f"{v:.1f}" for v in vals]
 
 

@@ -78,23 +78,40 @@ def source(spark: SparkSession, rp: Replay) -> DataFrame:
             .parquet(rp.path))
 
 
-def run_to_files(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
-    """File sink (exactly once through its commit log), drained with availableNow."""
+# Triggers: tests and backfills drain what is there (availableNow); the batch view
+# of the dashboard polls every 30 s, the speed view as fast as batches complete.
+DRAIN = {"availableNow": True}
+BATCH_VIEW = {"processingTime": "30 seconds"}
+SPEED_VIEW = {"processingTime": "100 milliseconds"}
+
+
+def run_to_files(stream: DataFrame, out: str, checkpoint: str, mode: str = "append",
+                 trigger: dict | None = None):
+    """File sink (exactly once through its commit log).  With the default drain
+    trigger the call returns when the input is consumed; otherwise it returns the
+    running query."""
+    trig = trigger or DRAIN
     q = (stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start(out))
-    q.awaitTermination()
+         .trigger(**trig).start(out))
+    if trig is DRAIN or trig == DRAIN:
+        q.awaitTermination()
+    return q
 
 
-def run_foreach_batch(stream: DataFrame, out: str, checkpoint: str, mode: str = "update") -> None:
+def run_foreach_batch(stream: DataFrame, out: str, checkpoint: str, mode: str = "update",
+                      trigger: dict | None = None):
     """Each micro-batch lands under ``batch=<id>`` with overwrite: a replayed batch
     after a restart rewrites the same folder, so the sink is idempotent."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
+    trig = trigger or DRAIN
     q = (stream.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+         .trigger(**trig).start())
+    if trig is DRAIN or trig == DRAIN:
+        q.awaitTermination()
+    return q
 
 
 def latest_per_key(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:

@@ -37,3 +37,19 @@ def test_exact_recent_alerts_state_survives_restart(spark):
     S.run_to_files(S.recent_alerts_exact_stream(S.source(spark, rp), D), out, ck)
     got = {r.event_id: r.recent_alerts for r in spark.read.parquet(out).collect()}
     assert got == {1: 1, 2: 2, 3: 2, 4: 0}
+
+
+def test_periodic_trigger_runs_until_stopped(spark):
+    from pumpline.operators import monitor
+    src, out, ck = work_path(spark, "per_src"), work_path(spark, "per_out"), work_path(spark, "per_ck")
+    rp = S.Replay(src, spark.createDataFrame([], SCHEMA).schema, 1, "1 hour")
+    _append(spark, src, [(1, 7, T0, 0.0, 1.0, 1.0), (2, 7, T0, 1.0, 1.0, 1.0)])
+    q = S.run_foreach_batch(monitor.macro_counts(S.source(spark, rp)), out, ck, mode="complete",
+                            trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    r = S.latest_per_key(spark, out, ["device_id"]).first()
+    assert (r.normal, r.anomaly) == (1, 1)

@@ -74,16 +74,21 @@ def monthly_counts(df: DataFrame, pred: str = "pred") -> DataFrame:
 
 # --- speed-layer sequences -------------------------------------------------------
 
-def session_alerts(df: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """Cumulative alert count per device at each sample."""
+def session_alerts(df: DataFrame, p: Params = DEFAULT_PARAMS, by=(DEV,)) -> DataFrame:
+    """Cumulative alert count at each sample, per device (or global with ``by=()``;
+    then only the per-bucket totals are ordered in one window)."""
     flag = X.is_alert("pred", p.alert_pred).cast("long")
-    return Q.running_sum(df, [DEV], ORDER, "ts", p.bucket_s, flag, "session_alerts")
+    return Q.running_sum(df, list(by), ORDER, "ts", p.bucket_s, flag, "session_alerts")
 
 
-def recent_alerts(df: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """Alerts in the trailing horizon at each sample; an alert exactly horizon old still counts."""
+def recent_alerts(df: DataFrame, p: Params = DEFAULT_PARAMS, by=(DEV,)) -> DataFrame:
+    """Alerts in the trailing horizon at each sample; an alert exactly horizon old still counts.
+
+    ``by=()`` gives the global form (one monitored unit, as on the original
+    dashboard): rows are then partitioned by time bucket alone.
+    """
     flag = X.is_alert("pred", p.alert_pred).cast("long")
-    return Q.trailing_sum(df, [DEV], "ts", flag, p.recent_horizon_s, p.bucket_s, "recent_alerts")
+    return Q.trailing_sum(df, list(by), "ts", flag, p.recent_horizon_s, p.bucket_s, "recent_alerts")
 
 
 def waveform_last(df: DataFrame, n: int = DEFAULT_PARAMS.buffer_len, p: Params = DEFAULT_PARAMS) -> DataFrame:

@@ -249,6 +249,14 @@ def q_recent_alerts_5m(spark, sf):
     return monitor.recent_alerts(_valid(spark, sf), P).select("event_id", "device_id", "ts", "recent_alerts")
 
 
+def q_session_alerts_global(spark, sf):
+    return monitor.session_alerts(_valid(spark, sf), P, by=()).select("event_id", "ts", "session_alerts")
+
+
+def q_recent_alerts_global(spark, sf):
+    return monitor.recent_alerts(_valid(spark, sf), P, by=()).select("event_id", "ts", "recent_alerts")
+
+
 def q_waveform_last80(spark, sf):
     return monitor.waveform_last(_valid(spark, sf), 80, P)
 

@@ -283,6 +283,12 @@ FROM R GROUP BY ROLLUP (CAST(date_trunc('month', ts) AS DATE))""",
     "recent_alerts_5m": w(R, V) + """SELECT event_id, device_id, ts,
   CAST(sum(CASE WHEN pred = 1.0 THEN 1 ELSE 0 END) OVER (PARTITION BY device_id ORDER BY ts
        RANGE BETWEEN INTERVAL 86400 SECONDS PRECEDING AND CURRENT ROW) AS BIGINT) AS recent_alerts FROM V""",
+    "session_alerts_global": w(R, V) + """SELECT event_id, ts,
+  CAST(sum(CASE WHEN pred = 1.0 THEN 1 ELSE 0 END) OVER (ORDER BY ts, event_id
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_alerts FROM V""",
+    "recent_alerts_global": w(R, V) + """SELECT event_id, ts,
+  CAST(sum(CASE WHEN pred = 1.0 THEN 1 ELSE 0 END) OVER (ORDER BY ts
+       RANGE BETWEEN INTERVAL 86400 SECONDS PRECEDING AND CURRENT ROW) AS BIGINT) AS recent_alerts FROM V""",
     "waveform_last80": _waveform(80),
     "waveform_last20": _waveform(20),
     "rolling80_stats": w(R, V) + """SELECT event_id, device_id, ts, count(*) OVER w AS n_window,

@@ -107,6 +107,21 @@ def waveform_last(df: DataFrame, n: int = DEFAULT_PARAMS.buffer_len, p: Params =
     return real.unionByName(pads.select(DEV, F.col("pos").cast("int"), "s04", "s10"))
 
 
+def waveform_last_global(df: DataFrame, n: int = DEFAULT_PARAMS.buffer_len, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Global last-n buffer (one monitored unit): (pos, s04, s10), oldest first, n long.
+
+    ``orderBy().limit(n)`` is a top-n (each partition keeps n rows, then one merge);
+    only those n rows are gathered into one array for positions and padding.
+    """
+    top = df.orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(n)
+    arr = top.agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", "s04", "s10"))).alias("a"))
+    seed = F.struct(F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(None).cast("long").alias("event_id"),
+                    F.lit(float(p.seed_s04)).alias("s04"), F.lit(float(p.seed_s10)).alias("s10"))
+    padded = F.concat(F.array_repeat(seed, F.lit(n) - F.size("a")), F.col("a"))
+    return (arr.select(F.posexplode(padded).alias("pos", "v"))
+               .select(F.col("pos").cast("int"), F.col("v.s04").alias("s04"), F.col("v.s10").alias("s10")))
+
+
 def rolling_stats(df: DataFrame, n: int = DEFAULT_PARAMS.buffer_len, p: Params = DEFAULT_PARAMS,
                   chunk_rows: int = 1_000_000) -> DataFrame:
     """Statistics of the buffer as seen at each sample (seeds excluded)."""

@@ -261,6 +261,10 @@ def q_waveform_last80(spark, sf):
     return monitor.waveform_last(_valid(spark, sf), 80, P)
 
 
+def q_waveform_global(spark, sf):
+    return monitor.waveform_last_global(_valid(spark, sf), 80, P)
+
+
 def q_waveform_last20(spark, sf):
     return monitor.waveform_last(_valid(spark, sf), 20, P)
 

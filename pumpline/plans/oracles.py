@@ -291,6 +291,8 @@ FROM R GROUP BY ROLLUP (CAST(date_trunc('month', ts) AS DATE))""",
        RANGE BETWEEN INTERVAL 86400 SECONDS PRECEDING AND CURRENT ROW) AS BIGINT) AS recent_alerts FROM V""",
     "waveform_last80": _waveform(80),
     "waveform_last20": _waveform(20),
+    "waveform_global": w(R, V) + """SELECT CAST(80 - r AS INTEGER) AS pos, s04, s10 FROM (
+  SELECT s04, s10, row_number() OVER (ORDER BY ts DESC, event_id DESC) AS r FROM V) z WHERE r <= 80""",
     "rolling80_stats": w(R, V) + """SELECT event_id, device_id, ts, count(*) OVER w AS n_window,
   round(avg(s10) OVER w, 6) AS avg_s10, min(s10) OVER w AS min_s10, max(s10) OVER w AS max_s10,
   max(s04) OVER w AS max_s04,

@@ -205,3 +205,10 @@ def test_broadcast_only_below_bound(spark):
     p2 = j2._jdf.queryExecution().logical().toString()
     assert "broadcast" in p1.lower() and "broadcast" not in p2.lower()
     assert j1.count() == 10 and j2.count() == 100
+
+
+def test_global_waveform_pads_short_history(spark):
+    rows = [(i, i % 2, T0 + timedelta(seconds=i), 600.0 + i, 41.0, 0.0) for i in range(3)]
+    buf = sorted(monitor.waveform_last_global(_readings(spark, rows), 80, D).collect(), key=lambda r: r.pos)
+    assert len(buf) == 80 and [r.s04 for r in buf[:77]] == [D.seed_s04] * 77
+    assert [r.s04 for r in buf[77:]] == [600.0, 601.0, 602.0]

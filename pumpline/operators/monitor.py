@@ -146,9 +146,11 @@ def latest_per_device(df: DataFrame, cols=("event_id", "ts", "s04", "s10", "pred
     return df.groupBy(DEV).agg(latest.alias("_l")).select(DEV, *[F.col(f"_l.{c}").alias(c) for c in cols])
 
 
-def dedupe_consecutive(df: DataFrame, key: str = "poll_key", p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """Drop a poll whose key equals the previous poll's key (only keys are compared)."""
-    d = Q.neighbor_value(df, [DEV], ORDER, "ts", p.bucket_s, key, "_prev_key", "prev")
+def dedupe_consecutive(df: DataFrame, key: str = "poll_key", p: Params = DEFAULT_PARAMS,
+                       by=(DEV,)) -> DataFrame:
+    """Drop a poll whose key equals the previous poll's key (only keys are compared);
+    per device, or over one stream with ``by=()``."""
+    d = Q.neighbor_value(df, list(by), ORDER, "ts", p.bucket_s, key, "_prev_key", "prev")
     return d.filter(F.col("_prev_key").isNull() | (F.col("_prev_key") != F.col(key))).drop("_prev_key")
 
 

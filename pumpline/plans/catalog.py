@@ -287,6 +287,10 @@ def q_dedupe_consecutive(spark, sf):
         .select("device_id", "event_id", "ts", "poll_key")
 
 
+def q_dedupe_consecutive_global(spark, sf):
+    return monitor.dedupe_consecutive(_polls(spark, sf), "poll_key", P, by=()).select("event_id", "ts", "poll_key")
+
+
 def q_reconnect_count(spark, sf):
     return monitor.reconnect_count(td.source_status(spark, sf), P)
 

@@ -303,6 +303,10 @@ FROM V WINDOW w AS (PARTITION BY device_id ORDER BY ts, event_id ROWS BETWEEN 79
     "dedupe_consecutive": w(R, V) + """SELECT device_id, event_id, ts, poll_key FROM (
   SELECT *, lag(poll_key) OVER (PARTITION BY device_id ORDER BY ts, event_id) AS prev FROM (
     SELECT *, strftime(ts, '%Y-%m-%d %H') AS poll_key FROM V) a) z
+WHERE prev IS NULL OR prev <> poll_key""",
+    "dedupe_consecutive_global": w(R, V) + """SELECT event_id, ts, poll_key FROM (
+  SELECT *, lag(poll_key) OVER (ORDER BY ts, event_id) AS prev FROM (
+    SELECT *, strftime(ts, '%Y-%m-%d %H') AS poll_key FROM V) a) z
 WHERE prev IS NULL OR prev <> poll_key""",
     "reconnect_count": w(S, RECONNECTS) + """SELECT device_id, batch_reconnects, speed_reconnects,
   batch_reconnects + speed_reconnects AS total_reconnects FROM RCN""",

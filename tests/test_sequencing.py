@@ -98,3 +98,27 @@ def test_ordered_context(spark, data, width):
                .withColumn("pb", F.lag("b").over(w)).withColumn("nv", F.lead("v").over(w)))
     cols = ["event_id", "seq", "pv", "pb", "nv"]
     assert _collect(got, cols) == _collect(exp, cols)
+
+
+def test_hot_key_is_spread_over_partitions(spark):
+    """A device with 40 % of the rows: the plain window keeps all of them in one
+    partition, the bucketed helper spreads them."""
+    from datetime import datetime, timedelta
+    base = datetime(2024, 1, 1)
+    rows = [(i, 0 if i % 5 < 2 else 1 + i % 97, base + timedelta(minutes=7 * i), i % 3) for i in range(20000)]
+    df = spark.createDataFrame(rows, "event_id long, device_id long, ts timestamp_ntz, v long")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        w = Window.partitionBy("device_id").orderBy("ts", "event_id")
+        plain = df.withColumn("x", F.last("v").over(w)).filter("device_id = 0")
+        split = Q.carry_last(df, ["device_id"], ["ts", "event_id"], "ts", 3600, ["v"]).filter("device_id = 0")
+        # keep the window's output column, or column pruning removes the window
+        n_plain = len(plain.groupBy(F.spark_partition_id().alias("p")).agg(F.max("x")).collect())
+        parts = split.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count(F.lit(1)).alias("count"), F.max("v_asof")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    hot = sum(r["count"] for r in parts)
+    assert n_plain == 1
+    assert len(parts) >= 6 and max(r["count"] for r in parts) < 0.3 * hot

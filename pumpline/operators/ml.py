@@ -107,10 +107,11 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
                .withColumn("raw_score", vector_to_array("rawPrediction")[1]))
 
 
-def evaluator_auc(scored: DataFrame, label: str = "label") -> float:
-    """MLlib's evaluator with exact bins (numBins=0), for cross-checking auc_exact."""
+def evaluator_auc(scored: DataFrame, label: str = "label", num_bins: int = 0) -> float:
+    """MLlib's evaluator.  ``num_bins=0`` is exact (cross-checks auc_exact); the
+    original job used the default of 1000 bins."""
     return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                         metricName="areaUnderROC", numBins=0).evaluate(scored)
+                                         metricName="areaUnderROC", numBins=num_bins).evaluate(scored)
 
 
 def auc_exact(df: DataFrame, score: str, label: str, n_ranges: int = 64) -> DataFrame:

@@ -397,13 +397,17 @@ def _fit(spark, sf):
 
 def q_rf_train(spark, sf):
     model, w = _fit(spark, sf)
-    scored = ml.score(model, w.filter(F.col("split") == "test"))
-    auc = ml.auc_exact(scored, "raw_score", "label")
+    scored = ml.score(model, w.filter(F.col("split") == "test")).persist()
+    try:
+        holdout_auc = ml.auc_exact(scored, "raw_score", "label").first()["auc"]
+        mllib_auc = ml.evaluator_auc(scored, num_bins=1000)   # the original job's metric
+    finally:
+        scored.unpersist()
     rf = model.stages[-1]
     imp = [float(x) for x in rf.featureImportances.toArray()]
-    holdout_auc = auc.first()["auc"]
     meta = spark.createDataFrame([(f, i) for f, i in zip(FW, imp)], "feature string, importance double")
-    return meta.withColumn("auc", F.lit(holdout_auc)).withColumn("num_trees", F.lit(rf.getNumTrees))
+    return (meta.withColumn("auc", F.lit(holdout_auc)).withColumn("auc_mllib_1000_bins", F.lit(float(mllib_auc)))
+                .withColumn("num_trees", F.lit(rf.getNumTrees)))
 
 
 def q_score_holdout(spark, sf):

@@ -103,23 +103,28 @@ def upsert_cells(spark: SparkSession, table_path: str, batch: DataFrame, batch_i
     overwrite).  Re-running a batch gives the same table, so a
     restarted streaming ``foreachBatch`` can call this again safely.
     """
+    # the batch is read by the touched-date probe and by the merge: keep it for
+    # the duration of the upsert (bounded by the batch, recomputable if lost)
     b = (batch.select("row_key", "family", "qualifier", "value", "version")
-              .withColumn(part_col, F.substring("row_key", 1, 10)))
-    keys = [*CELL_KEY_COLS, part_col]
-    current = _read_or_none(spark, table_path)
-    if current is None:
-        (_clustered(_last_put(b.withColumn("_seq", F.lit(1)), keys), part_col)
-         .write.mode("overwrite").partitionBy(part_col).parquet(table_path))
-        return
-    touched = broadcast_if_small(b.select(part_col).distinct(), max_touched)
-    old = (current.join(touched, part_col, "left_semi")
-                  .select("row_key", "family", "qualifier", "value", "version", part_col)
-                  .withColumn("_seq", F.lit(0)))
-    merged = _last_put(old.unionByName(b.withColumn("_seq", F.lit(1))), keys)
-    staging = f"{table_path.rstrip('/')}_staging/batch={int(batch_id)}"
-    _clustered(merged, part_col).write.mode("overwrite").partitionBy(part_col).parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(table_path))
+              .withColumn(part_col, F.substring("row_key", 1, 10))).persist()
+    try:
+        keys = [*CELL_KEY_COLS, part_col]
+        current = _read_or_none(spark, table_path)
+        if current is None:
+            (_clustered(_last_put(b.withColumn("_seq", F.lit(1)), keys), part_col)
+             .write.mode("overwrite").partitionBy(part_col).parquet(table_path))
+            return
+        touched = broadcast_if_small(b.select(part_col).distinct(), max_touched)
+        old = (current.join(touched, part_col, "left_semi")
+                      .select("row_key", "family", "qualifier", "value", "version", part_col)
+                      .withColumn("_seq", F.lit(0)))
+        merged = _last_put(old.unionByName(b.withColumn("_seq", F.lit(1))), keys)
+        staging = f"{table_path.rstrip('/')}_staging/batch={int(batch_id)}"
+        _clustered(merged, part_col).write.mode("overwrite").partitionBy(part_col).parquet(staging)
+        (spark.read.parquet(staging).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(table_path))
+    finally:
+        b.unpersist()
 
 
 def read_cells(spark: SparkSession, table_path: str) -> DataFrame:

@@ -63,8 +63,6 @@ MSG_MUTE_ON = "已开启 5 分钟告警静默窗口。"
 MSG_MUTE_OFF = "告警静默已取消，恢复完整告警显示。"
 MSG_CLEARED = "操作员已清空界面日志。"
 MSG_STARTED = "工业监控大屏已启动，正在接入 Hive / HBase 数据源 ..."
-MSG_SPEED_ONLINE = "HBase 实时采样通道已连接"
-MSG_BATCH_ONLINE = "Hive 宏观统计同步成功"
 MSG_SPEED_FAIL = "HBase 连接/扫描失败: "
 MSG_BATCH_FAIL = "Hive 同步失败: "
 MSG_ROW_FAIL = "HBase 行解析失败 "
@@ -72,7 +70,6 @@ MSG_MISSING_CELLS = "缺少必要列 wave:s04 / wave:s10 / status:pred"
 EXPORT_HEADER = "水泵流处理工业监控日志"
 EXPORT_RULE = "=" * 64
 NORMAL_STATUS = "NORMAL"
-DEVICE_STATES = ("STANDBY", "INTERRUPTED", "ABNORMAL", "NORMAL")
 STATE_TEXT_STANDBY = "设备状态 · 待机"
 STATE_TEXT_INTERRUPTED = "设备状态 · 数据中断"
 STATE_TEXT_ABNORMAL = "设备状态 · 异常 (V={s04} / T={s10})"

@@ -14,7 +14,6 @@ DEV = "device_id"
 ORDER = ["ts", "event_id"]
 # ordering of records that share a timestamp
 SEQ_START, SEQ_STATUS, SEQ_SAMPLE, SEQ_MUTE, SEQ_CLEAR = -1, 0, 1, 2, 3
-LOG_COLUMNS = [DEV, "ts", "seq", "event_id", "tag", "level", "message", "source", "online"]
 
 
 def mute_windows(toggles: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:

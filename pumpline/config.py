@@ -21,6 +21,8 @@ class Params:
     buffer_len: int = 80
     seed_s04: float = 640.0
     seed_s10: float = 40.0
+    # conflation tick of the speed view (one refresh per tick and device)
+    tick_ms: int = 100
     # mute windows
     mute_s: int = 300
     # event log
@@ -42,7 +44,7 @@ DEFAULT_PARAMS = Params()
 # Settings used on the driver's test tables (FIXTURES.md section 2): event spacing
 # there is hours, so the 300 s horizons would never overlap.
 TESTDATA_PARAMS = Params(vib_threshold=100.0, temp_threshold=45.0,
-                         recent_horizon_s=86400, mute_s=86400)
+                         recent_horizon_s=86400, mute_s=86400, tick_ms=86_400_000)
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (output texts of the dashboard; must stay byte-identical)

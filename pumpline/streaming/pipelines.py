@@ -142,6 +142,32 @@ def daily_counts_stream(readings: DataFrame, delay: str = "1 hour") -> DataFrame
                     .alias("day"), "n_rows"))
 
 
+# --- F3: conflation ----------------------------------------------------------------
+
+def conflate_stream(readings: DataFrame, p: Params = DEFAULT_PARAMS, delay: str = "1 hour") -> DataFrame:
+    """One refresh per device and event-time tick: the tick's newest sample.
+
+    Ticks are tumbling event-time windows, so the result does not depend on how
+    arrivals are cut into micro-batches (see ``conflate_batches`` for the
+    arrival-based form).  Run in update mode; the sink keeps the latest row per
+    (device, tick).
+    """
+    last = F.max_by(F.struct("event_id", "ts", "s04", "s10", "pred"), F.struct("ts", "event_id"))
+    return (readings.withColumn("_et", event_time("ts")).withWatermark("_et", delay)
+            .groupBy(DEV, F.window("_et", f"{int(p.tick_ms)} milliseconds").alias("w")).agg(last.alias("_l"))
+            .select(DEV, instant_to_ntz("w.start").alias("tick_start"),
+                    *[F.col(f"_l.{c}").alias(c) for c in ("event_id", "ts", "s04", "s10", "pred")]))
+
+
+def conflate_batches(out: str):
+    """foreachBatch body for arrival-based conflation: newest sample per device
+    per micro-batch (the admission limit plays the role of the drain cap)."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        (monitor.latest_per_device(batch).withColumn("batch", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").parquet(f"{out}/b={batch_id}"))
+    return sink
+
+
 # --- F5: sliding alert counts ---------------------------------------------------------
 
 def sliding_alerts_stream(readings: DataFrame, window_s: int, slide_s: int, p: Params = DEFAULT_PARAMS,

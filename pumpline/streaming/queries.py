@@ -65,17 +65,11 @@ def q_stream_late_drop(spark, sf):
 
 
 def q_stream_conflate(spark, sf):
-    """Per micro-batch, one refresh per device with its newest sample."""
+    """One refresh per device and event-time tick with its newest sample."""
     out, ck = _dirs(spark, "stream_conflate")
-    stream, _ = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        (monitor.latest_per_device(batch).withColumn("batch", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{out}/b={batch_id}"))
-
-    (stream.writeStream.foreachBatch(sink).option("checkpointLocation", ck)
-     .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(out).drop("b")
+    stream, delay = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
+    S.run_foreach_batch(S.conflate_stream(stream, P, delay), out, ck)
+    return S.latest_per_key(spark, out, ["device_id", "tick_start"])
 
 
 def q_stream_device_state(spark, sf):
@@ -185,6 +179,10 @@ LEFT JOIN RCN USING (device_id)""",
   SELECT device_id, date_trunc('hour', ts) - INTERVAL (k) HOUR AS window_start
   FROM V, range(0, {P.recent_horizon_s // 3600}) t(k) WHERE pred = 1.0) z
 GROUP BY device_id, window_start""",
+    "stream_conflate": O.w(O.R, O.V) + """SELECT device_id, tick_start, event_id, ts, s04, s10, pred FROM (
+  SELECT *, make_timestamp((epoch_us(ts) // {t}) * {t}) AS tick_start,
+         row_number() OVER (PARTITION BY device_id, epoch_us(ts) // {t} ORDER BY ts DESC, event_id DESC) AS rn
+  FROM V) z WHERE rn = 1""".format(t=P.tick_ms * 1000),
     "stream_macro_counts": O.ORACLES["macro_counts"],
     "stream_route_events": O.ORACLES["route_events"],
     "stream_recent_alerts_exact": O.ORACLES["recent_alerts_5m"],

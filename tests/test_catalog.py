@@ -52,7 +52,7 @@ def test_query_without_oracle_runs(spark, name):
 
 def test_every_query_has_oracle_or_is_listed():
     missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= SLOW | {"stream_conflate"}
+    assert missing <= SLOW
 
 
 def test_entry_smoke(spark):

@@ -53,3 +53,15 @@ def test_periodic_trigger_runs_until_stopped(spark):
         q.stop()
     r = S.latest_per_key(spark, out, ["device_id"]).first()
     assert (r.normal, r.anomaly) == (1, 1)
+
+
+def test_conflate_batches_one_refresh_per_device_and_batch(spark):
+    src, out, ck = work_path(spark, "cf_src"), work_path(spark, "cf_out"), work_path(spark, "cf_ck")
+    rp = S.Replay(src, spark.createDataFrame([], SCHEMA).schema, 1, "1 hour")
+    _append(spark, src, [(1, 7, T0, 0.0, 1.0, 1.0), (2, 7, T0 + timedelta(seconds=5), 1.0, 2.0, 2.0),
+                         (3, 8, T0, 0.0, 3.0, 3.0)])
+    _append(spark, src, [(4, 7, T0 + timedelta(seconds=9), 0.0, 4.0, 4.0)])
+    (S.source(spark, rp).writeStream.foreachBatch(S.conflate_batches(out)).option("checkpointLocation", ck)
+     .trigger(availableNow=True).start().awaitTermination())
+    got = sorted((r.batch, r.device_id, r.event_id) for r in spark.read.parquet(out).collect())
+    assert got == [(0, 7, 2), (0, 8, 3), (1, 7, 4)]

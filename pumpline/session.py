@@ -50,3 +50,26 @@ def shared_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared root for one run of one job."""
     return f"{shared_root(spark).rstrip('/')}/pumpline/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pumpline`` importable in the executors' Python workers (the
+    programmatic form of ``--py-files``), once per application.
+
+    Needed where Python runs in tasks (``applyInPandasWithState`` state
+    functions); everything else runs in the JVM.
+    """
+    import os
+    import shutil
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="pumpline-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "pumpline"), "zip", os.path.dirname(pkg), "pumpline")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

@@ -34,6 +34,9 @@ class Params:
     max_depth: int = 5
     seed: int = 42
     train_pct: int = 80
+    # parts of the training rows (the forest bags per part): a model setting, so that
+    # the model does not follow the cluster; raise it with the data
+    train_partitions: int = 16
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
@@ -64,6 +67,8 @@ MUTE_TAG = "[静默期仍记录] "
 MSG_MUTE_ON = "已开启 5 分钟告警静默窗口。"
 MSG_MUTE_OFF = "告警静默已取消，恢复完整告警显示。"
 MSG_CLEARED = "操作员已清空界面日志。"
+MSG_EXPORT_OK = "日志导出成功："
+MSG_EXPORT_FAIL = "日志导出失败："
 MSG_STARTED = "工业监控大屏已启动，正在接入 Hive / HBase 数据源 ..."
 MSG_SPEED_FAIL = "HBase 连接/扫描失败: "
 MSG_BATCH_FAIL = "Hive 同步失败: "
@@ -79,4 +84,4 @@ STATE_TEXT_NORMAL = "设备状态 · 运行正常"
 # wide-column layout: (family, qualifier) in put order
 WIDE_CELLS = (("status", "real"), ("status", "pred"), ("wave", "s04"), ("wave", "s10"))
 # index columns a CSV export may carry that must never become features
-INDEX_COLUMNS = ("Unnamed: 0", "_c0", "index")
+INDEX_COLUMNS = ("Unnamed: 0", "_c0")

@@ -38,6 +38,14 @@ def alert_reason(s04, s10, vib: float, temp: float) -> Column:
     return F.when(parts == "", F.lit(C.REASON_UNKNOWN)).otherwise(parts)
 
 
+def _wide_text(ax) -> Column:
+    """A whole double of 1e28 or more: its shortest digits, filled up with zeros."""
+    text = ax.cast("string")
+    digits = F.regexp_replace(F.regexp_extract(text, "^([0-9.]+)", 1), r"\.0?", "")
+    exponent = F.regexp_extract(text, "E([0-9]+)$", 1).try_cast("int")
+    return F.concat(F.rpad(digits, exponent + 1, "0"), F.lit(".0"))
+
+
 def fixed1(x) -> Column:
     """Text of ``x`` with one decimal, rounded like Python's ``f"{x:.1f}"``.
 
@@ -51,6 +59,9 @@ def fixed1(x) -> Column:
     ax = F.abs(x)
     a = ax * F.lit(8.0)
     b = ax * F.lit(2.0)
+    big = ax >= F.lit(float(1 << 52))
+    whole = F.when(ax < F.lit(1e28), F.concat(ax.try_cast("decimal(38,0)").cast("string"), F.lit(".0"))).otherwise(_wide_text(ax))
+    a, b = F.when(~big, a).otherwise(0.0), F.when(~big, b).otherwise(0.0)
     s = a + b
     bb = s - a
     t = (a - (s - bb)) + (b - bb)
@@ -59,6 +70,8 @@ def fixed1(x) -> Column:
     n = (F.when(d > 0, k + 1).when(d < 0, k)
          .otherwise(F.when(k % 2 == 0, k).otherwise(k + 1)))
     body = F.concat(F.floor(n / 10).cast("string"), F.lit("."), (n % 10).cast("string"))
+    # from 2^52 on a double is a whole number: its decimal text, no long arithmetic
+    body = F.when(ax < F.lit(float(1 << 52)), body).otherwise(whole)
     # sign bit, negative zero included (Python prints -0.0); the text form keeps it
     sign = F.when(x.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
     return (F.when(F.isnan(x), F.lit("nan"))
@@ -75,9 +88,15 @@ def sample_state(pred, alert_value: float = C.DEFAULT_PARAMS.alert_pred) -> Colu
     return F.when(is_alert(pred, alert_value), F.lit(C.STATE_ALERT)).otherwise(F.lit(C.STATE_NORMAL))
 
 
-def row_key(ts) -> Column:
-    """Fixed-width text of the timestamp: lexicographic order = time order."""
-    return F.date_format(col(ts), KEY_FORMAT)
+def row_key(ts, device=None) -> Column:
+    """Fixed-width text of the timestamp: lexicographic order = time order.
+
+    With ``device`` the key ends in ``#<device>``: devices that share an instant
+    keep apart, while time order and the date prefix stay.  A null device or time
+    gives a null key (quarantined, see ``clean.with_row_key``).
+    """
+    key = F.date_format(col(ts), KEY_FORMAT)
+    return key if device is None else F.concat(key, F.lit("#"), col(device).cast("string"))
 
 
 def clock_text(ts) -> Column:
@@ -114,8 +133,9 @@ def epoch_seconds(ts) -> Column:
 def epoch_micros(ts) -> Column:
     """Microseconds since 1970 of a TIMESTAMP_NTZ, independent of the session zone."""
     c = col(ts)
-    frac = F.date_format(c, "SSSSSS").cast("long")
-    return epoch_seconds(c) * 1_000_000 + frac
+    day = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
+    in_minute = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")  # seconds with their fraction, as a decimal
+    return ((day * 24 + F.hour(c)) * 60 + F.minute(c)) * 60_000_000 + in_minute
 
 
 def seconds_between(start, end) -> Column:

@@ -19,10 +19,11 @@ REJECT_UNPARSEABLE = "unparseable"
 
 def drop_columns(df: DataFrame, cols: Sequence[str] = ("sensor_15",),
                  index_cols: Sequence[str] = C.INDEX_COLUMNS) -> DataFrame:
-    """Drop the configured columns and any CSV row-index column.
+    """Drop the configured columns and the row-index columns that CSV exports add.
 
     ``DataFrame.drop`` ignores absent names; an unnamed first header becomes
-    ``_c0``, which would otherwise slip through and become a model feature.
+    ``_c0``, which would otherwise slip through and become a model feature.  A
+    column really called ``index`` is data: name it in ``index_cols`` to drop it.
     """
     present = set(df.columns)
     return df.drop(*[c for c in [*cols, *index_cols] if c in present])
@@ -139,18 +140,14 @@ def clean_readings(raw: DataFrame, ts_text: str | None = None) -> DataFrame:
     return fill_zero(d)
 
 
-def write_with_metrics(df: DataFrame, path: str, status: str = "machine_status",
-                       statuses=("NORMAL", "BROKEN", "RECOVERING")) -> dict:
+def write_with_metrics(df: DataFrame, path: str, status: str = "machine_status") -> DataFrame:
     """Write ``df`` as Parquet, then take row count + status histogram from the output.
 
     The original job counted and grouped the raw CSV in separate passes.  Here the
-    input is read once (by the write); the metrics read the written Parquet: the
-    count comes from file footers and the histogram from one pruned column.
+    input is read once (by the write); the metrics read one pruned column of the
+    written Parquet.  Returns (status, n_rows) for every status there is, null included.
     (``DataFrame.observe`` would do it inside the write, but an ``Observation``
     left on the session makes later jobs fail to serialize in Spark 4.1.)
     """
     df.write.mode("overwrite").parquet(path)
-    out = df.sparkSession.read.parquet(path)
-    aggs = [F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(status).isNull()).alias("status_null")]
-    aggs += [F.count_if(F.col(status) == s_).alias(f"status_{s_}") for s_ in statuses]
-    return out.agg(*aggs).first().asDict()
+    return status_distribution(df.sparkSession.read.parquet(path), status)

@@ -9,11 +9,12 @@ from pumpline import config as C
 from pumpline.config import DEFAULT_PARAMS, Params
 from pumpline.functions import expressions as X
 from pumpline.plans import sequencing as Q
+from pumpline.session import work_path
 
 DEV = "device_id"
 ORDER = ["ts", "event_id"]
 # ordering of records that share a timestamp
-SEQ_START, SEQ_STATUS, SEQ_SAMPLE, SEQ_MUTE, SEQ_CLEAR = -1, 0, 1, 2, 3
+SEQ_START, SEQ_STATUS, SEQ_SAMPLE, SEQ_MUTE, SEQ_CLEAR, SEQ_EXPORT = -1, 0, 1, 2, 3, 4
 
 
 def mute_windows(toggles: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
@@ -48,78 +49,162 @@ def interval_join(points: DataFrame, intervals: DataFrame, p: Params = DEFAULT_P
                   start: str = "start_ts", end: str = "end_ts", ts: str = "ts") -> DataFrame:
     """Left join points to the interval ``start <= ts < end`` of the same device.
 
-    Both sides get an equality key (device, time bucket); an interval is copied
-    into every bucket it overlaps, so this is a hash join, never a nested loop.
-    Intervals of one device must not overlap (true for mute windows).
+    Intervals of one device must not overlap.  Then only the newest interval that
+    starts at or before a point can hold it: an as-of lookup, linear in both sides
+    whatever their densities.  Adds ``interval_start`` and ``interval_end``.
     """
-    width = max(int(p.bucket_s), int(p.mute_s))
-    pts = points.withColumn("_b", X.time_bucket(ts, width))
-    iv = (intervals.select(F.col(DEV).alias("_d"), F.col(start).alias("_s"), F.col(end).alias("_e"))
-                   .withColumn("_b", F.explode(F.sequence(X.time_bucket("_s", width), X.time_bucket("_e", width)))))
-    cond = [pts[DEV] == iv["_d"], pts["_b"] == iv["_b"], pts[ts] >= iv["_s"], pts[ts] < iv["_e"]]
-    return (pts.join(iv, cond, "left")
-               .drop(iv["_b"]).drop(pts["_b"]).drop("_d")
-               .withColumnRenamed("_s", "mute_start").withColumnRenamed("_e", "mute_end"))
-
-
-def mute_remaining(points: DataFrame, windows: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    cols = [c for c in points.columns if c not in (DEV, ts)]
+    iv = intervals.select(DEV, F.col(start).alias("_at"), F.lit(0).alias("_kind"), F.struct(F.col(start).alias("s"), F.col(end).alias("e")).alias("_iv"),
+                          F.lit(None).cast(points.select(F.struct(*cols)).schema[0].dataType).alias("_row"))
+    pt = points.select(DEV, F.col(ts).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(iv.schema["_iv"].dataType).alias("_iv"),
+                       F.struct(*cols).alias("_row"))
+    a = Q.carry_last(iv.unionByName(pt), [DEV], ["_at", "_kind"], "_at", p.bucket_s, ["_iv"]).filter("_kind = 1")
+    inside = F.col("_at") < F.col("_iv_asof.e")
+    return a.select(DEV, F.col("_at").alias(ts), *[F.col("_row")[c].alias(c) for c in cols],
+                    F.when(inside, F.col("_iv_asof.s")).alias("interval_start"), F.when(inside, F.col("_iv_asof.e")).alias("interval_end"))
+
+
+def muted_until(points: DataFrame, presses: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Adds ``mute_until``: when the mute window open at each point ends by itself, NULL if none is open.
+
+    Records of one instant are in the order status, sample, press, clear.  A sample
+    at the instant of a press thus comes before it: an opening press does not mute
+    it yet, a closing press has not unmuted it yet.  So the newest press before the
+    point decides: if it opened, the point is muted until ``mute_s`` after it.
+    Points are samples unless they carry their own ``seq``.
+    """
+    place = F.col("seq") if "seq" in points.columns else F.lit(SEQ_SAMPLE)
+    cols = [c for c in points.columns if c not in (DEV, "ts", "event_id")]
+    pr = presses.select(DEV, "ts", F.col("event_id").cast("long").alias("event_id"), F.lit(SEQ_MUTE).alias("_seq"),
+                        F.struct(F.col("ts").alias("at"), "opens").alias("_press"),
+                        F.lit(None).cast(points.select(F.struct(F.lit(1), *cols)).schema[0].dataType).alias("_row"))
+    pt = points.select(DEV, "ts", F.col("event_id").cast("long").alias("event_id"), place.alias("_seq"),
+                       F.lit(None).cast(pr.schema["_press"].dataType).alias("_press"), F.struct(F.lit(1), *cols).alias("_row"))
+    a = Q.carry_last(pr.unionByName(pt), [DEV], ["ts", "_seq", "event_id"], "ts", p.bucket_s, ["_press"]).filter("_row IS NOT NULL")
+    until = X.plus_seconds("_press_asof.at", int(p.mute_s))
+    return a.select(DEV, "ts", "event_id", *[F.col("_row")[c].alias(c) for c in cols],
+                    F.when(F.col("_press_asof.opens") & (F.col("ts") < until), until).alias("mute_until"))
+
+
+def mute_remaining(points: DataFrame, presses: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     """``MM:SS`` left in the mute window at each point inside one."""
-    j = interval_join(points, windows, p).filter(F.col("mute_end").isNotNull())
-    return j.withColumn("remaining", X.remaining_text("mute_end", "ts"))
+    j = muted_until(points, presses, p).filter(F.col("mute_until").isNotNull())
+    return j.withColumn("remaining", X.remaining_text("mute_until", "ts"))
+
 
+# --- the log: one feed of raw rows, records unfolded from each ---------------------------
 
-def _log(df: DataFrame, seq: int, tag: str, level, message, source=None, online=None) -> DataFrame:
-    return df.select(
-        F.col(DEV), F.col("ts"), F.lit(seq).alias("seq"), F.col("event_id").cast("long").alias("event_id"),
-        F.lit(tag).alias("tag"), (F.lit(level) if isinstance(level, str) else level).alias("level"),
-        message.alias("message"),
-        (F.lit(source) if source is None or isinstance(source, str) else source).cast("string").alias("source"),
-        (F.lit(online) if online is None or isinstance(online, bool) else online).cast("boolean").alias("online"))
+FEED_STATUS, FEED_SAMPLE, FEED_PRESS, FEED_CLEAR, FEED_EXPORT = "status", "sample", "press", "clear", "export"
+LOG_COLS = [DEV, "ts", "seq", "event_id", "tag", "level", "message", "source", "online", "normal", "anomaly"]
 
 
-def event_log(parsed: DataFrame, status: DataFrame, toggles: DataFrame, clears: DataFrame,
-              p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """Typed records of everything the monitor reports, in one table.
+def feed(parsed: DataFrame, status: DataFrame, toggles: DataFrame, clears: DataFrame, exports: DataFrame) -> DataFrame:
+    """Everything the monitor receives as one table, told apart by ``kind``.
 
     ``parsed`` is the output of ``clean.parse_reject`` with device_id, ts and
-    event_id kept.  Records: ERROR per alert, WARN per rejected row, a status
-    record per feed status (plus a WARN when it is offline), INFO per mute
-    press and per clear, and one INFO start-up record opening each device's log.  ERROR lines inside a mute window are tagged, never
-    dropped.
+    event_id kept; ``exports`` has device_id, ts, event_id, path and error (NULL
+    where the export succeeded).
     """
-    from pumpline.operators.monitor import alerts
-
-    good = parsed.filter("ok").select(DEV, "ts", "event_id", "row_key",
-                                      F.col("s04_num").alias("s04"), F.col("s10_num").alias("s10"),
-                                      F.col("pred_num").alias("pred"))
-    al = _log(alerts(good, p), SEQ_SAMPLE, "log", "ERROR", F.col("message"))
-    bad_value = (F.when(F.col("s04_num").isNull(), F.col("s04")).when(F.col("s10_num").isNull(), F.col("s10"))
-                  .otherwise(F.col("pred")))
-    exc = (F.when(F.col("reason") == "missing", F.concat(F.lit("'"), F.lit(C.MSG_MISSING_CELLS), F.lit("'")))
-            .otherwise(F.concat(F.lit("could not convert string to float: '"), bad_value, F.lit("'"))))
-    rej = _log(parsed.filter(~F.col("ok")), SEQ_SAMPLE, "log", "WARN",
-               F.concat(F.lit(C.MSG_ROW_FAIL), F.lit("["), F.col("row_key"), F.lit("]："), exc))
-    st_rec = _log(status, SEQ_STATUS, "status", F.lit(None).cast("string"), F.col("detail"),
-                  F.col("source"), F.col("online"))
-    fail_text = F.when(F.col("source") == "batch", F.lit(C.MSG_BATCH_FAIL)).otherwise(F.lit(C.MSG_SPEED_FAIL))
-    st_warn = _log(status.filter(~F.col("online")), SEQ_STATUS, "log", "WARN",
-                   F.concat(fail_text, F.col("detail")))
-    presses = mute_windows(toggles, p)
-    mute = _log(presses, SEQ_MUTE, "log", "INFO",
-                F.when(F.col("opens"), F.lit(C.MSG_MUTE_ON)).otherwise(F.lit(C.MSG_MUTE_OFF)))
-    clr = _log(clears, SEQ_CLEAR, "log", "INFO", F.lit(C.MSG_CLEARED))
-    recs = al.unionByName(rej).unionByName(st_rec).unionByName(st_warn).unionByName(mute).unionByName(clr)
-    # the monitor's start-up record opens each device's log (before its first record)
-    start = (recs.groupBy(DEV).agg(F.min("ts").alias("ts"))
-                 .select(DEV, "ts", F.lit(SEQ_START).alias("seq"), F.lit(-1).cast("long").alias("event_id"),
-                         F.lit("log").alias("tag"), F.lit("INFO").alias("level"), F.lit(C.MSG_STARTED).alias("message"),
-                         F.lit(None).cast("string").alias("source"), F.lit(None).cast("boolean").alias("online")))
-    recs = recs.unionByName(start)
-    tagged = interval_join(recs, windows_only(presses), p)
-    muted = F.col("mute_end").isNotNull() & F.coalesce(F.col("level") == "ERROR", F.lit(False))
-    return (tagged.withColumn("muted", muted)
-                  .withColumn("line", F.when(F.col("tag") == "log", X.log_line("ts", "level", "message", "muted")))
-                  .drop("mute_start", "mute_end"))
+    def rows(df: DataFrame, kind: str, **cols) -> DataFrame:
+        text = {c: F.lit(None).cast("string") for c in ("row_key", "s04", "s10", "pred", "reason", "source", "detail", "path", "error")}
+        numbers = {c: F.lit(None).cast("double") for c in ("s04_num", "s10_num", "pred_num")}
+        all_cols = {**text, **numbers, "online": F.lit(None).cast("boolean"), **cols}
+        return df.select(DEV, "ts", F.col("event_id").cast("long").alias("event_id"), F.lit(kind).alias("kind"),
+                         *[c.alias(n) for n, c in sorted(all_cols.items())])
+
+    own = lambda *names: {n: F.col(n) for n in names}
+    return (rows(parsed, FEED_SAMPLE, **own("row_key", "s04", "s10", "pred", "reason", "s04_num", "s10_num", "pred_num"))
+            .unionByName(rows(status, FEED_STATUS, **own("source", "online", "detail")))
+            .unionByName(rows(toggles, FEED_PRESS)).unionByName(rows(clears, FEED_CLEAR))
+            .unionByName(rows(exports, FEED_EXPORT, **own("path", "error"))))
+
+
+def _record(seq: int, tag: str, level, message, source=None, online=None, normal=None, anomaly=None):
+    none = lambda t: F.lit(None).cast(t)
+    return F.struct(F.lit(seq).alias("seq"), F.lit(tag).alias("tag"), (F.lit(level).cast("string") if not hasattr(level, "alias") else level).alias("level"),
+                    message.cast("string").alias("message"), (none("string") if source is None else source).alias("source"),
+                    (none("boolean") if online is None else online).alias("online"),
+                    (none("long") if normal is None else normal).alias("normal"), (none("long") if anomaly is None else anomaly).alias("anomaly"))
+
+
+def plain_array(p: Params = DEFAULT_PARAMS):
+    """Array of the records that each feed row gives by itself (mute presses and macro counts need other rows).
+
+    sample: a micro record, and an ERROR for an alert, or a WARN for a rejected row;
+    status: a status record, and a WARN when it is offline; clear: INFO; export:
+    INFO, or ERROR when it failed.
+    """
+    is_ = lambda k: F.col("kind") == k
+    ok, alert = F.col("reason").isNull(), X.is_alert("pred_num", p.alert_pred)
+    reason = X.alert_reason("s04_num", "s10_num", p.vib_threshold, p.temp_threshold)
+    sample_line = F.concat(F.lit(C.SAMPLE_PREFIX), F.lit("key="), F.col("row_key"), F.lit(" | S04="), X.fixed1("s04_num"),
+                           F.lit(" | S10="), X.fixed1("s10_num"), F.lit(" | PRED="), X.sample_state("pred_num", p.alert_pred))
+    bad = (F.when(F.col("s04_num").isNull(), F.col("s04")).when(F.col("s10_num").isNull(), F.col("s10")).otherwise(F.col("pred")))
+    why = (F.when(F.col("reason") == "missing", F.concat(F.lit("'"), F.lit(C.MSG_MISSING_CELLS), F.lit("'")))
+            .otherwise(F.concat(F.lit("could not convert string to float: '"), bad, F.lit("'"))))
+    failed = F.when(F.col("source") == "batch", F.lit(C.MSG_BATCH_FAIL)).otherwise(F.lit(C.MSG_SPEED_FAIL))
+    return F.array_compact(F.array(
+        F.when(is_(FEED_SAMPLE) & ok, _record(SEQ_SAMPLE, "micro", None, sample_line)),
+        F.when(is_(FEED_SAMPLE) & ok & alert, _record(SEQ_SAMPLE, "log", "ERROR", X.alert_message(reason, "row_key", "s04_num", "s10_num"))),
+        F.when(is_(FEED_SAMPLE) & ~ok, _record(SEQ_SAMPLE, "log", "WARN", F.concat(F.lit(C.MSG_ROW_FAIL), F.lit("["), F.col("row_key"), F.lit("]："), why))),
+        F.when(is_(FEED_STATUS), _record(SEQ_STATUS, "status", None, F.col("detail"), F.col("source"), F.col("online"))),
+        F.when(is_(FEED_STATUS) & ~F.col("online"), _record(SEQ_STATUS, "log", "WARN", F.concat(failed, F.col("detail")))),
+        F.when(is_(FEED_CLEAR), _record(SEQ_CLEAR, "log", "INFO", F.lit(C.MSG_CLEARED))),
+        F.when(is_(FEED_EXPORT) & F.col("error").isNull(), _record(SEQ_EXPORT, "log", "INFO", F.concat(F.lit(C.MSG_EXPORT_OK), F.col("path")))),
+        F.when(is_(FEED_EXPORT) & F.col("error").isNotNull(), _record(SEQ_EXPORT, "log", "ERROR", F.concat(F.lit(C.MSG_EXPORT_FAIL), F.col("error"))))))
+
+
+def unfold(rows: DataFrame, records, *more: str) -> DataFrame:
+    """One log row for each record of each row, with the columns ``more`` of the row."""
+    r = rows.select(DEV, "ts", "event_id", *more, F.explode(records).alias("r"))
+    return r.select(DEV, "ts", F.col("r.seq").alias("seq"), "event_id", *[F.col("r")[c].alias(c) for c in LOG_COLS[4:]], *more)
+
+
+def plain_records(rows: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    return unfold(rows, plain_array(p))
+
+
+def macro_records(rows: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """One macro record per successful poll of the batch feed: the samples counted up to then, by class."""
+    poll = (F.col("kind") == FEED_STATUS) & (F.col("source") == "batch") & F.col("online")
+    good = (F.col("kind") == FEED_SAMPLE) & F.col("reason").isNull()
+    some = rows.filter(poll | good).select(
+        DEV, "ts", "event_id", poll.alias("_poll"), F.when(poll, 1).otherwise(0).alias("_late"),
+        (good & (F.col("pred_num") == 0)).cast("long").alias("_normal"), (good & (F.col("pred_num") != 0)).cast("long").alias("_anomaly"))
+    run = Q.running_sums(some, [DEV], ["ts", "_late", "event_id"], "ts", p.bucket_s, {"normal": F.col("_normal"), "anomaly": F.col("_anomaly")})
+    rec = _record(SEQ_STATUS, "macro", None, F.lit(None), F.lit("batch"), None, F.col("normal"), F.col("anomaly"))
+    return unfold(run.filter("_poll"), F.array(rec))
+
+
+def event_log(rows: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """Typed records of everything the monitor reports, in one table, from one ``feed``.
+
+    The small parts that need other rows are written to the shared folder first:
+    presses with their effect, macro counts, and the ERROR records with the mute
+    window they fall in.  The log itself is then one unfolding scan of the feed and
+    one scan of each of these.  ERROR lines inside a mute window are tagged, never
+    dropped.  The monitor's start-up record opens each device's log.
+    """
+    spark = rows.sparkSession
+
+    def saved(df: DataFrame, name: str) -> DataFrame:
+        path = work_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    presses = saved(mute_windows(rows.filter(F.col("kind") == FEED_PRESS).select(DEV, "ts", "event_id"), p), "log-presses")
+    macro = saved(macro_records(rows, p), "log-macro")
+    error = F.col("level") == "ERROR"
+    tagged = saved(muted_until(plain_records(rows, p).filter(error), presses, p)
+                   .withColumn("muted", F.col("mute_until").isNotNull()).drop("mute_until"), "log-errors")
+    said = F.when(F.col("opens"), F.lit(C.MSG_MUTE_ON)).otherwise(F.lit(C.MSG_MUTE_OFF))
+    mute = unfold(presses, F.array(_record(SEQ_MUTE, "log", "INFO", said)))
+    first = unfold(rows.groupBy(DEV).agg(F.min("ts").alias("ts")).withColumn("event_id", F.lit(-1).cast("long")),
+                   F.array(_record(SEQ_START, "log", "INFO", F.lit(C.MSG_STARTED))))
+    quiet = (plain_records(rows, p).filter(~F.coalesce(error, F.lit(False))).unionByName(macro)
+             .unionByName(mute).unionByName(first).withColumn("muted", F.lit(False)))
+    log = quiet.unionByName(tagged.select(*LOG_COLS, "muted"))
+    return log.withColumn("line", F.when(F.col("tag") == "log", X.log_line("ts", "level", "message", "muted")))
 
 
 def route_events(log: DataFrame, tags=("log", "macro", "status", "micro")) -> dict[str, DataFrame]:
@@ -147,22 +232,28 @@ def since_last_clear(lines: DataFrame, clears: DataFrame) -> DataFrame:
 
 
 def export_lines(lines_since_clear: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """Export text per device: header, rule, then the records in order, numbered."""
+    """Export text per device: header, rule, then the records in order, numbered.
+
+    The lines are written to the shared folder once and numbered from there; header
+    and rule are unfolded from each device's first line.
+    """
+    path = work_path(lines_since_clear.sparkSession, "log-since-clear")
+    lines_since_clear.write.parquet(path)
+    lines_since_clear = lines_since_clear.sparkSession.read.parquet(path)
     body = Q.sequence_number(lines_since_clear, [DEV], ["ts", "seq", "event_id"], "ts", p.bucket_s, "_n")
-    body = body.select(DEV, (F.col("_n") + 2).alias("line_no"), "line")
-    devs = lines_since_clear.select(DEV).distinct()
-    head = devs.select(DEV, F.lit(1).cast("long").alias("line_no"), F.lit(C.EXPORT_HEADER).alias("line"))
-    rule = devs.select(DEV, F.lit(2).cast("long").alias("line_no"), F.lit(C.EXPORT_RULE).alias("line"))
-    return head.unionByName(rule).unionByName(body)
+    first = F.array(F.struct(F.lit(1).cast("long").alias("line_no"), F.lit(C.EXPORT_HEADER).alias("line")),
+                    F.struct(F.lit(2).cast("long").alias("line_no"), F.lit(C.EXPORT_RULE).alias("line")))
+    own = F.array(F.struct((F.col("_n") + 2).alias("line_no"), F.col("line").alias("line")))
+    return body.select(DEV, F.explode(F.when(F.col("_n") == 1, F.concat(first, own)).otherwise(own)).alias("x")).select(DEV, "x.line_no", "x.line")
 
 
-def write_export(lines: DataFrame, path: str, files_per_device: int = 4) -> None:
+def write_export(lines: DataFrame, path: str) -> None:
     """Write export text per device folder, lines in order.
 
     Range partitioning on (device, line_no) spreads a long log over several
-    ordered files (part-00000, part-00001, ...) instead of one task per device.
+    ordered files (part-00000, part-00001, ...) instead of one task per device;
+    the adaptive shuffle sizes the parts.
     """
-    n = max(1, files_per_device)
-    (lines.repartitionByRange(n * 8, DEV, "line_no")
+    (lines.repartitionByRange(DEV, "line_no")
           .sortWithinPartitions(DEV, "line_no")
           .select(DEV, "line").write.mode("overwrite").partitionBy(DEV).text(path))

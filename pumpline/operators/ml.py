@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pumpline.config import DEFAULT_PARAMS, Params
 from pumpline.functions.expressions import hash_bucket
+from pumpline.plans.sequencing import B, range_buckets
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "raw_features") -> DataFrame:
@@ -67,11 +68,6 @@ def hash_split(df: DataFrame, key: str, train_pct: int = DEFAULT_PARAMS.train_pc
         "split", F.when(F.col("split_bucket") < train_pct, F.lit("train")).otherwise(F.lit("test")))
 
 
-def random_split(df: DataFrame, p: Params = DEFAULT_PARAMS):
-    """The original 80/20 ``randomSplit`` (depends on partitioning; prefer hash_split)."""
-    return df.randomSplit([p.train_pct / 100.0, 1 - p.train_pct / 100.0], seed=p.seed)
-
-
 def rf_pipeline(features: Sequence[str], p: Params = DEFAULT_PARAMS, label: str = "label") -> Pipeline:
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="raw_features", handleInvalid="error"),
@@ -81,19 +77,21 @@ def rf_pipeline(features: Sequence[str], p: Params = DEFAULT_PARAMS, label: str
     ])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when the input has fewer partitions
-    than cores (e.g. one large Parquet row group): iterative fits then use every
-    core.  Inputs that are already split finer are left alone (no shuffle)."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def fit_rf(train: DataFrame, features: Sequence[str], p: Params = DEFAULT_PARAMS,
-           label: str = "label") -> PipelineModel:
+           label: str = "label", key: str | None = None) -> PipelineModel:
     """Fit assembler + scaler + forest.  The forest makes one pass per tree level,
-    so only the needed columns are cached for the fit and released afterwards."""
-    rows = spread(train.select(*features, label)).persist()
+    so only the needed columns are cached for the fit and released afterwards.
+
+    The scaler is part of the pipeline, so it is fitted on the training rows only.
+    The forest bags per partition.  With ``key`` the rows are hash-partitioned by it
+    into ``Params.train_partitions`` sorted parts, so the same rows give the same
+    model on any cluster and any layout; without, the input's partitions are used.
+    """
+    cols = list(dict.fromkeys([*features, label, *([key] if key else [])]))
+    rows = train.select(*cols)
+    if key:
+        rows = rows.repartition(p.train_partitions, key).sortWithinPartitions(*cols)
+    rows = rows.persist()
     try:
         return rf_pipeline(features, p, label).fit(rows)
     finally:
@@ -114,35 +112,30 @@ def evaluator_auc(scored: DataFrame, label: str = "label", num_bins: int = 0) ->
                                          metricName="areaUnderROC", numBins=num_bins).evaluate(scored)
 
 
-def auc_exact(df: DataFrame, score: str, label: str, n_ranges: int = 64) -> DataFrame:
+def auc_exact(df: DataFrame, score: str, label: str) -> DataFrame:
     """Area under ROC by rank sums over distinct scores (ties count one half).
 
     1. aggregate to distinct scores (positives, negatives per score);
-    2. cut the score axis into ``n_ranges`` ranges at approximate quantiles;
-    3. per-range negative totals -> offsets (a window over n_ranges rows);
-    4. negatives below each score = offset + window within its range.
-    No step orders all distinct scores in one task.
+    2. range-partition them by score, written with their partition's number: the
+       number of parts follows the data (adaptive shuffle), the parts are even;
+    3. negative totals per part -> offsets (a window over one row per part);
+    4. negatives below each score = offset + window within its part.
+    No step orders all distinct scores in one task.  NULL without both classes.
     """
     pos = F.col(label).cast("boolean")
     per = df.groupBy(F.col(score).alias("sc")).agg(
         F.sum(F.when(pos, 1).otherwise(0)).cast("long").alias("p"),
         F.sum(F.when(pos, 0).otherwise(1)).cast("long").alias("n"))
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    cuts = per.agg(F.percentile_approx("sc", probs, 1000).alias("cuts")).first()["cuts"] or []
-    # at most n_ranges - 1 cut points: range id = number of cuts below the score
-    rg = F.lit(0)
-    for c in sorted(set(cuts)):
-        rg = rg + F.when(F.col("sc") > F.lit(c), 1).otherwise(0)
-    ranged = per.withColumn("rg", rg)
-    tot = ranged.groupBy("rg").agg(F.sum("n").alias("rn"))
-    offs = tot.select("rg", F.coalesce(F.sum("rn").over(Window.orderBy("rg").rowsBetween(Window.unboundedPreceding, -1)),
-                                       F.lit(0)).alias("off"))
-    w = Window.partitionBy("rg").orderBy("sc").rowsBetween(Window.unboundedPreceding, -1)
-    cn = ranged.withColumn("cn_in", F.coalesce(F.sum("n").over(w), F.lit(0))).join(F.broadcast(offs), "rg")
+    ranged = range_buckets(per, ["sc"])
+    tot = ranged.groupBy(B).agg(F.sum("n").alias("rn"))
+    offs = tot.select(B, F.coalesce(F.sum("rn").over(Window.orderBy(B).rowsBetween(Window.unboundedPreceding, -1)),
+                                    F.lit(0)).alias("off"))
+    w = Window.partitionBy(B).orderBy("sc").rowsBetween(Window.unboundedPreceding, -1)
+    cn = ranged.withColumn("cn_in", F.coalesce(F.sum("n").over(w), F.lit(0))).join(offs, B)
     part = cn.agg(F.sum(F.col("p").cast("double") * ((F.col("off") + F.col("cn_in")).cast("double")
                                                      + F.col("n").cast("double") / F.lit(2.0))).alias("num"),
                   F.sum("p").alias("P"), F.sum("n").alias("N"))
-    return part.select(F.round(F.col("num") / (F.col("P").cast("double") * F.col("N").cast("double")), 6).alias("auc"))
+    return part.select(F.try_divide(F.col("num"), F.col("P").cast("double") * F.col("N").cast("double")).alias("auc"))
 
 
 def confusion(scored: DataFrame, label: str = "label") -> DataFrame:

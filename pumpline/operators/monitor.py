@@ -96,15 +96,17 @@ def waveform_last(df: DataFrame, n: int = DEFAULT_PARAMS.buffer_len, p: Params =
 
     Missing history is padded on the left with the seed values.  The top-n cut
     runs partially on the map side, so at most n rows per device and task are
-    shuffled.
+    shuffled; the n rows of a device then form one array, padded and unfolded in
+    place (one scan, one ranking, one shuffle).
     """
     w = Window.partitionBy(DEV).orderBy(F.col("ts").desc(), F.col("event_id").desc())
-    top = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
-    real = top.select(DEV, (F.lit(n) - F.col("_rn")).cast("int").alias("pos"), "s04", "s10")
-    have = top.groupBy(DEV).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") < n)
-    pads = have.select(DEV, F.explode(F.sequence(F.lit(0), F.lit(n) - F.col("_c").cast("int") - 1)).alias("pos"),
-                       F.lit(float(p.seed_s04)).alias("s04"), F.lit(float(p.seed_s10)).alias("s10"))
-    return real.unionByName(pads.select(DEV, F.col("pos").cast("int"), "s04", "s10"))
+    top = df.select(DEV, "ts", "event_id", "s04", "s10").withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
+    newest_last = F.sort_array(F.collect_list(F.struct((-F.col("_rn")).alias("o"), "s04", "s10")))
+    arr = top.groupBy(DEV).agg(F.transform(newest_last, lambda x: F.struct(x["s04"].alias("s04"), x["s10"].alias("s10"))).alias("a"))
+    seed = F.struct(F.lit(float(p.seed_s04)).alias("s04"), F.lit(float(p.seed_s10)).alias("s10"))
+    padded = F.concat(F.array_repeat(seed, F.lit(n) - F.size("a")), F.col("a"))
+    return (arr.select(DEV, F.posexplode(padded).alias("pos", "v"))
+               .select(DEV, F.col("pos").cast("int"), F.col("v.s04").alias("s04"), F.col("v.s10").alias("s10")))
 
 
 def waveform_last_global(df: DataFrame, n: int = DEFAULT_PARAMS.buffer_len, p: Params = DEFAULT_PARAMS) -> DataFrame:
@@ -124,20 +126,20 @@ def waveform_last_global(df: DataFrame, n: int = DEFAULT_PARAMS.buffer_len, p: P
 
 def rolling_stats(df: DataFrame, n: int = DEFAULT_PARAMS.buffer_len, p: Params = DEFAULT_PARAMS,
                   chunk_rows: int = 1_000_000) -> DataFrame:
-    """Statistics of the buffer as seen at each sample (seeds excluded)."""
-    s04d = F.col("s04").cast("decimal(18,2)")
+    """Statistics of the buffer as seen at each sample (seeds excluded).
+
+    Averages are plain double averages, added up in row order inside each frame;
+    a NaN in the frame makes them NaN.
+    """
     aggs = {
         "n_window": F.count(F.lit(1)),
-        "_sum_s04": F.sum(s04d),
+        "avg_s04": F.avg("s04"),
         "avg_s10": F.avg("s10"),
         "min_s10": F.min("s10"),
         "max_s10": F.max("s10"),
         "max_s04": F.max("s04"),
     }
-    r = Q.rolling_rows(df, [DEV], ORDER, "ts", p.bucket_s, n, aggs, chunk_rows=chunk_rows)
-    return (r.withColumn("avg_s04", F.round(F.col("_sum_s04") / F.col("n_window"), 6).cast("double"))
-             .withColumn("avg_s10", F.round("avg_s10", 6))
-             .drop("_sum_s04"))
+    return Q.rolling_rows(df, [DEV], ORDER, "ts", p.bucket_s, n, aggs, chunk_rows=chunk_rows)
 
 
 def latest_per_device(df: DataFrame, cols=("event_id", "ts", "s04", "s10", "pred")) -> DataFrame:
@@ -206,8 +208,11 @@ def kpi_snapshot(samples: DataFrame, status: DataFrame, p: Params = DEFAULT_PARA
                  feed: str = "speed") -> DataFrame:
     """One row per device: batch-layer counts next to speed-layer KPIs.
 
-    Everything is a per-device aggregate; the joins are between device-keyed
-    aggregates (AQE broadcasts them when they turn out small).
+    Counts are per-device aggregates, combined before the shuffle.  Raw rows meet
+    a device's newest sample only by (device, time bucket): recent alerts in the
+    two buckets the horizon can touch, statuses in the newest bucket; older
+    statuses come as one row per bucket.  Keys are structs, so a null device is a
+    device like any other.
     """
     alert = X.is_alert("pred", p.alert_pred)
     last = F.max_by(F.struct("ts", "event_id", "s04", "s10", "pred"), F.struct("ts", "event_id"))
@@ -222,18 +227,27 @@ def kpi_snapshot(samples: DataFrame, status: DataFrame, p: Params = DEFAULT_PARA
         F.col("_last.ts").alias("last_ts"), X.row_key("_last.ts").alias("last_key"),
         F.col("_last.s04").alias("last_s04"), F.col("_last.s10").alias("last_s10"),
         F.col("_last.pred").alias("last_pred"))
-    last_ts = agg.select(DEV, F.col("last_ts").alias("_lts"))
+    width = max(int(p.recent_horizon_s), 1)
+    one, per_bucket = F.struct(DEV), F.struct(DEV, "_b")
+    last = agg.select(DEV, F.col("last_ts").alias("_lts")).withColumn("_lb", X.time_bucket("_lts", width))
     horizon = X.plus_seconds(F.col("_lts"), -p.recent_horizon_s)
-    recent = (samples.filter(alert).select(DEV, "ts").join(last_ts, DEV)
-              .filter((F.col("ts") >= horizon) & (F.col("ts") <= F.col("_lts")))
-              .groupBy(DEV).agg(F.count(F.lit(1)).alias("recent_alerts")))
-    feed_now = (status.filter(F.col("source") == feed).join(last_ts, DEV)
-                .filter(F.col("ts") <= F.col("_lts"))
-                .groupBy(DEV).agg(F.max_by("online", F.struct("ts", "event_id")).alias("_online")))
-    rc = reconnect_count(status, p)
+    near = (last.withColumn("_b", F.explode(F.array(F.col("_lb") - 1, F.col("_lb"))))
+                .select(per_bucket.alias("_k"), "_lts"))
+    recent = (samples.filter(alert).select(DEV, "ts").withColumn("_b", X.time_bucket("ts", width)).withColumn("_k", per_bucket)
+              .join(near, "_k").filter((F.col("ts") >= horizon) & (F.col("ts") <= F.col("_lts")))
+              .groupBy(one.alias("_k")).agg(F.count(F.lit(1)).alias("recent_alerts")))
+    st = status.filter(F.col("source") == feed).select(DEV, "ts", "event_id", "online").withColumn("_b", X.time_bucket("ts", width))
+    newest = F.max(F.struct("ts", "event_id", "online")).alias("_s")
+    older = (st.groupBy(DEV, "_b").agg(newest).withColumn("_k", one)
+             .join(last.select(one.alias("_k"), "_lb"), "_k").filter(F.col("_b") < F.col("_lb")).select("_k", "_s"))
+    same = (st.withColumn("_k", per_bucket).join(last.select(F.struct(DEV, F.col("_lb").alias("_b")).alias("_k"), "_lts"), "_k")
+            .filter(F.col("ts") <= F.col("_lts")).select(one.alias("_k"), F.struct("ts", "event_id", "online").alias("_s")))
+    feed_now = older.unionByName(same).groupBy("_k").agg(F.max("_s").alias("_s")).select("_k", F.col("_s.online").alias("_online"))
+    rc = reconnect_count(status, p).withColumn("_k", one).drop(DEV)
     # the device set comes from the two per-device aggregates (full outer join),
     # not from another distinct over the raw inputs
-    out = (agg.join(rc, DEV, "full").join(recent, DEV, "left").join(feed_now, DEV, "left"))
+    out = (agg.withColumn("_k", one).drop(DEV).join(rc, "_k", "full").join(recent, "_k", "left").join(feed_now, "_k", "left")
+              .withColumn(DEV, F.col("_k")[DEV]))
     state = (F.when(F.col("last_ts").isNull(), F.lit("STANDBY"))
               .when(F.col("_online") == F.lit(False), F.lit("INTERRUPTED"))
               .when(F.coalesce(F.col("last_pred") == F.lit(float(p.alert_pred)), F.lit(False)), F.lit("ABNORMAL"))

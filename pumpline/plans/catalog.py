@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pumpline.config import TESTDATA_PARAMS as P
 from pumpline.functions import expressions as X
-from pumpline.operators import clean, eventlog, ml, monitor
+from pumpline.operators import clean, eventlog, jobs, ml, monitor
 from pumpline.session import work_path
 from pumpline.sources import files, testdata as td, wide
 
@@ -40,8 +40,11 @@ def _parsed_text(spark, sf):
 
 
 def _event_log(spark, sf):
-    return eventlog.event_log(_parsed_text(spark, sf), td.source_status(spark, sf),
-                              td.mute_toggles(spark, sf), td.clear_marks(spark, sf), P)
+    return eventlog.event_log(td.monitor_feed(spark, sf), P)
+
+
+def _presses(spark, sf):
+    return eventlog.mute_windows(td.mute_toggles(spark, sf), P)
 
 
 def _log_lines(spark, sf):
@@ -65,6 +68,10 @@ def q_bronze_landing(spark, sf):
 
 
 def q_parquet_scan(spark, sf):
+    return td.table(spark, sf, "events").select("event_id", F.col("user_id").alias("device_id"), "ts", "event_type", "value")
+
+
+def q_parquet_scan_pushdown(spark, sf):
     ev = td.table(spark, sf, "events")
     return (ev.filter((F.col("event_type") == "error") & (F.col("value") > 50))
               .select("event_id", F.col("user_id").alias("device_id"), "ts", "value"))
@@ -79,11 +86,12 @@ def q_parquet_roundtrip(spark, sf):
 def q_external_table(spark, sf):
     loc = work_path(spark, "predictions")
     preds = clean.label_binary(td.readings(spark, sf)).select(
-        F.col("ts").alias("timestamp"), "machine_status", "label", F.col("pred").alias("prediction"))
+        F.col("ts").cast("timestamp").alias("timestamp"), "machine_status", "label", F.col("pred").alias("prediction"))
     preds.write.mode("overwrite").parquet(loc)
     db = "pumpline_" + loc.rsplit("-", 1)[-1]
-    t = files.create_external_table(spark, db, "sensor_predictions", loc, work_path(spark, "db"),
-                                    "`timestamp` TIMESTAMP_NTZ, machine_status STRING, label INT, prediction DOUBLE")
+    db_loc, columns = work_path(spark, "db"), "`timestamp` TIMESTAMP, machine_status STRING, label INT, prediction DOUBLE"
+    for _ in range(2):  # both statements are idempotent
+        t = files.create_external_table(spark, db, "sensor_predictions", loc, db_loc, columns)
     return t.select("timestamp", "machine_status", "label", "prediction")
 
 
@@ -112,7 +120,29 @@ def q_keyed_upsert(spark, sf):
 
 
 def q_latest_row(spark, sf):
-    return wide.latest_row(wide.pivot_cells(td.cells(spark, sf)))
+    return wide.latest_row(td.cells(spark, sf))
+
+
+def _device_cells(spark, sf):
+    """Cells keyed by time and device, with devices that share instants."""
+    r = td.readings(spark, sf).withColumn("_hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return td.inject_cell_faults(wide.unpivot_cells(r, X.row_key("_hour", "device_id"), "event_id"))
+
+
+def q_wide_pivot_devices(spark, sf):
+    return wide.mapped_view(_device_cells(spark, sf))
+
+
+def q_keyed_upsert_devices(spark, sf):
+    """Two batches with a compaction between them; the first batch is replayed last."""
+    path = work_path(spark, "sensor_wave_devices")
+    c = _device_cells(spark, sf)
+    early, late = c.filter(F.col("version") % 3 != 0), c.filter(F.col("version") % 3 == 0)
+    wide.upsert_cells(spark, path, early, 1)
+    wide.compact_cells(spark, path)
+    wide.upsert_cells(spark, path, late, 2)
+    wide.upsert_cells(spark, path, early, 1)
+    return wide.read_cells(spark, path)
 
 
 # --- B: cleaning and expressions ----------------------------------------------------
@@ -270,8 +300,9 @@ def q_waveform_last20(spark, sf):
 
 
 def q_rolling80_stats(spark, sf):
-    return monitor.rolling_stats(_valid(spark, sf), 80, P, chunk_rows=P.buffer_len * 4).select(
-        "event_id", "device_id", "ts", "n_window", "avg_s10", "min_s10", "max_s10", "max_s04", "avg_s04")
+    r = monitor.rolling_stats(_valid(spark, sf), 80, P, chunk_rows=P.buffer_len * 4)
+    return r.select("event_id", "device_id", "ts", "n_window", F.round("avg_s10", 9).alias("avg_s10"), "min_s10", "max_s10",
+                    "max_s04", F.round("avg_s04", 9).alias("avg_s04"))
 
 
 def q_latest_per_device(spark, sf):
@@ -314,13 +345,17 @@ def q_mute_windows(spark, sf):
 
 
 def q_mute_remaining(spark, sf):
-    win = eventlog.windows_only(eventlog.mute_windows(td.mute_toggles(spark, sf), P))
-    return eventlog.mute_remaining(_samples(spark, sf), win, P).select("event_id", "device_id", "ts", "remaining")
+    return eventlog.mute_remaining(_samples(spark, sf), _presses(spark, sf), P).select("event_id", "device_id", "ts", "remaining")
+
+
+def q_interval_join(spark, sf):
+    win = eventlog.windows_only(_presses(spark, sf))
+    return eventlog.interval_join(_samples(spark, sf), win, P).select("event_id", "device_id", "ts", "interval_start", "interval_end")
 
 
 def q_event_log(spark, sf):
     return _event_log(spark, sf).select(
-        "device_id", "ts", "seq", "event_id", "tag", "level", "message", "source", "online", "muted", "line")
+        "device_id", "ts", "seq", "event_id", "tag", "level", "message", "source", "online", "normal", "anomaly", "muted", "line")
 
 
 def q_log_mute_tag(spark, sf):
@@ -328,7 +363,9 @@ def q_log_mute_tag(spark, sf):
 
 
 def q_route_events(spark, sf):
-    routed = eventlog.route_events(_event_log(spark, sf))
+    path = work_path(spark, "event_log")
+    _event_log(spark, sf).select("tag", "level").write.parquet(path)
+    routed = eventlog.route_events(spark.read.parquet(path))
     parts = [d.groupBy(F.lit(t).alias("handler"), "level").agg(F.count(F.lit(1)).alias("n_events"))
              for t, d in routed.items()]
     out = parts[0]
@@ -342,7 +379,7 @@ def q_log_lines(spark, sf):
 
 
 def q_log_tail(spark, sf):
-    return eventlog.log_tail(_log_lines(spark, sf), 20).select("device_id", "ts", "seq", "event_id", "line")
+    return eventlog.log_tail(_log_lines(spark, sf), P.log_keep).select("device_id", "ts", "seq", "event_id", "line")
 
 
 def q_log_since_clear(spark, sf):
@@ -383,7 +420,7 @@ def q_hash_split(spark, sf):
 
 def q_auc_exact(spark, sf):
     v = _valid(spark, sf).withColumn("is_alert", X.is_alert("pred", P.alert_pred))
-    return ml.auc_exact(v, "s10", "is_alert")
+    return ml.auc_exact(v, "s10", "is_alert").select(F.round("auc", 6).alias("auc"))
 
 
 def _split_w(spark, sf):
@@ -392,7 +429,18 @@ def _split_w(spark, sf):
 
 def _fit(spark, sf):
     w = _split_w(spark, sf)
-    return ml.fit_rf(w.filter(F.col("split") == "train"), FW, P), w
+    return ml.fit_rf(w.filter(F.col("split") == "train"), FW, P, key="row_id"), w
+
+
+AGREES = 0.98  # share of rows on which the forest must agree with the rule behind the label
+HOLDOUT_AUC = 0.9
+
+
+def _agreement(scored):
+    """What SQL can state of scored rows: their number by label, and that the model has learned the rule."""
+    return scored.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("prediction").isin(0.0, 1.0)).alias("n_other"),
+        (F.count_if(F.col("prediction") == F.col("label")) >= F.lit(AGREES) * F.count(F.lit(1))).alias("agrees"))
 
 
 def q_rf_train(spark, sf):
@@ -405,24 +453,40 @@ def q_rf_train(spark, sf):
         scored.unpersist()
     rf = model.stages[-1]
     imp = [float(x) for x in rf.featureImportances.toArray()]
-    meta = spark.createDataFrame([(f, i) for f, i in zip(FW, imp)], "feature string, importance double")
-    return (meta.withColumn("auc", F.lit(holdout_auc)).withColumn("auc_mllib_1000_bins", F.lit(float(mllib_auc)))
-                .withColumn("num_trees", F.lit(rf.getNumTrees)))
+    meta = spark.createDataFrame([(f, i, x) for i, (f, x) in enumerate(zip(FW, imp))], "feature string, position int, importance double")
+    # the two features of the rule carry the forest
+    return meta.select("feature", "position", (F.col("importance") > 0.2).alias("matters"), F.lit(rf.getNumTrees).alias("num_trees"),
+                       F.lit(abs(sum(imp) - 1) < 1e-6).alias("sums_to_one"), F.lit(holdout_auc > HOLDOUT_AUC).alias("auc_ok"),
+                       F.lit(mllib_auc > HOLDOUT_AUC).alias("auc_mllib_ok"))
 
 
 def q_score_holdout(spark, sf):
     model, w = _fit(spark, sf)
-    return ml.score(model, w.filter(F.col("split") == "test")).select("row_id", "ts", "label", "prediction")
+    return _agreement(ml.score(model, w.filter(F.col("split") == "test")))
 
 
 def q_score_all(spark, sf):
     model, w = _fit(spark, sf)
-    return ml.score(model, w).select("row_id", "ts", "label", "prediction")
+    scored = ml.score(model, w)
+    return scored.select("row_id", "ts", "label", F.col("prediction").isin(0.0, 1.0).alias("is_class"))
 
 
 def q_confusion(spark, sf):
     model, w = _fit(spark, sf)
-    return ml.confusion(ml.score(model, w.filter(F.col("split") == "test")))
+    c = ml.confusion(ml.score(model, w.filter(F.col("split") == "test")))
+    return c.groupBy("label").agg(F.sum("n_rows").alias("n_rows"), (F.max_by("prediction", "n_rows") == F.col("label")).alias("mostly_right"))
+
+
+def q_pipeline_end_to_end(spark, sf):
+    """The whole batch path on the raw file layout: CSV -> clean -> label, scale, forest
+    -> predictions -> join -> upsert -> served view; bad rows are counted next to it."""
+    raw = td.raw_sensor_csv(spark, sf, work_path(spark, "raw_csv"))
+    served, rejected, untimed = jobs.csv_to_served(spark, raw, work_path(spark, "job"), P)
+    counts = untimed.agg(F.count(F.lit(1)).alias("n_untimed")).crossJoin(rejected.agg(F.count(F.lit(1)).alias("n_rejected")))
+    keys = served.agg(F.count(F.lit(1)).alias("n_keys"), F.count("s04").alias("n_s04"), F.count("s10").alias("n_s10"),
+                      F.count_if(F.col("pred").isin(0.0, 1.0)).alias("n_pred"), F.min("row_key").alias("first_key"), F.max("row_key").alias("last_key"),
+                      F.round(F.sum(F.col("s04").cast("decimal(18,2)")), 2).cast("double").alias("sum_s04"))
+    return keys.crossJoin(counts)
 
 
 QUERIES: dict[str, Query] = {

@@ -84,6 +84,9 @@ W = """W AS (
          CAST(CASE WHEN l_quantity >= 40 AND l_discount > 0.05 THEN 1 ELSE 0 END AS INTEGER) AS label
   FROM lineitem)"""
 FW = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_TEST = """, TS AS (SELECT * FROM W WHERE CAST(('0x' || substr(md5(row_id), 1, 8)) AS BIGINT) % 100 >= 80)
+"""
+DEVICE_KEY = "strftime(ts, '%Y-%m-%d %H:00:00.000000') || '#' || device_id"
 
 MUTE = """O AS (
   SELECT user_id AS device_id, event_id, ts, epoch_us(ts) AS x,
@@ -95,7 +98,7 @@ RC AS (
   SELECT o.device_id, o.rn, o.x, CASE WHEN r.until > o.x THEN 0 ELSE o.x + 86400000000 END
   FROM RC r JOIN O o ON o.device_id = r.device_id AND o.rn = r.rn + 1),
 TOG AS (
-  SELECT o.device_id, o.event_id, o.ts, RC.until > 0 AS opens,
+  SELECT o.device_id, o.event_id, o.ts, o.x, RC.until > 0 AS opens,
          lead(o.x) OVER (PARTITION BY o.device_id ORDER BY o.rn) AS nx, RC.until
   FROM O o JOIN RC USING (device_id, rn)),
 MW AS (
@@ -116,11 +119,29 @@ PT AS (
                    OR TRY_CAST(predt AS DOUBLE) IS NULL THEN 'unparseable' END AS reason
   FROM T)"""
 
-EVLOG = f"""RECS0 AS (
+EVLOG = f"""POLLS AS (
+  SELECT device_id, ts, event_id, true AS poll, 0 AS n, 0 AS a FROM S WHERE source = 'batch' AND online
+  UNION ALL
+  SELECT device_id, ts, event_id, false, CASE WHEN predn = 0 THEN 1 ELSE 0 END, CASE WHEN predn <> 0 THEN 1 ELSE 0 END
+  FROM PT WHERE reason IS NULL),
+MACRO AS (
+  SELECT device_id, ts, event_id, poll,
+         CAST(sum(n) OVER mw AS BIGINT) AS normal, CAST(sum(a) OVER mw AS BIGINT) AS anomaly
+  FROM POLLS WINDOW mw AS (PARTITION BY device_id ORDER BY ts, poll, event_id ROWS UNBOUNDED PRECEDING)),
+RECS1 AS (
   SELECT device_id, ts, 1 AS seq, event_id, 'log' AS tag, 'ERROR' AS level,
          {message('row_key', 's04n', 's10n')} AS message, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS BOOLEAN) AS online
   FROM PT WHERE reason IS NULL AND predn = 1.0
   UNION ALL
+  SELECT device_id, ts, 1, event_id, 'micro', NULL,
+         '最近采样 | key=' || row_key || ' | S04=' || printf('%.1f', s04n) || ' | S10=' || printf('%.1f', s10n)
+         || ' | PRED=' || CASE WHEN predn = 1.0 THEN 'ALERT' ELSE 'NORMAL' END, NULL, NULL
+  FROM PT WHERE reason IS NULL
+  UNION ALL
+  SELECT user_id, ts, 4, event_id, 'log', CASE WHEN event_id % 4 = 3 THEN 'ERROR' ELSE 'INFO' END,
+         CASE WHEN event_id % 4 = 3 THEN '日志导出失败：disk full' ELSE '日志导出成功：/logs/' || event_id || '.txt' END, NULL, NULL
+  FROM events WHERE event_type = 'purchase' AND event_id % 34 = 1
+  UNION ALL
   SELECT device_id, ts, 1, event_id, 'log', 'WARN',
          'HBase 行解析失败 [' || row_key || ']：' ||
          CASE WHEN reason = 'missing' THEN '''缺少必要列 wave:s04 / wave:s10 / status:pred'''
@@ -141,15 +162,21 @@ EVLOG = f"""RECS0 AS (
   UNION ALL
   SELECT user_id, ts, 3, event_id, 'log', 'INFO', '操作员已清空界面日志。', NULL, NULL
   FROM events WHERE event_type = 'purchase' AND event_id % 17 = 0),
+RECS0 AS (
+  SELECT *, CAST(NULL AS BIGINT) AS normal, CAST(NULL AS BIGINT) AS anomaly FROM RECS1
+  UNION ALL
+  SELECT device_id, ts, 0, event_id, 'macro', NULL, NULL, 'batch', NULL, normal, anomaly FROM MACRO WHERE poll),
 RECS AS (
   SELECT * FROM RECS0
   UNION ALL
   SELECT device_id, min(ts), -1, CAST(-1 AS BIGINT), 'log', 'INFO',
-         '工业监控大屏已启动，正在接入 Hive / HBase 数据源 ...', NULL, NULL
+         '工业监控大屏已启动，正在接入 Hive / HBase 数据源 ...', NULL, NULL, NULL, NULL
   FROM RECS0 GROUP BY device_id),
 EL AS (
   SELECT r.*, (coalesce(r.level = 'ERROR', false) AND EXISTS (
-           SELECT 1 FROM MW m WHERE m.device_id = r.device_id AND r.ts >= m.start_ts AND r.ts < m.end_ts)) AS muted
+           SELECT 1 FROM TOG m WHERE m.device_id = r.device_id AND m.opens AND epoch_us(r.ts) < m.until
+             AND (m.ts < r.ts OR (m.ts = r.ts AND r.seq > 2))
+             AND (m.nx IS NULL OR m.nx > epoch_us(r.ts) OR (m.nx = epoch_us(r.ts) AND r.seq < 2)))) AS muted
   FROM RECS r),
 EVL AS (
   SELECT *, CASE WHEN tag = 'log' THEN
@@ -202,8 +229,9 @@ ORACLES: dict[str, str] = {
     "bronze_landing": w(R) + f"""SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(device_id AS VARCHAR) AS device_id,
   {KEY} AS ts, event_type, CAST(s04 AS VARCHAR) AS s04, CAST(s10 AS VARCHAR) AS s10,
   CAST(pred AS VARCHAR) AS pred, machine_status FROM R""",
-    "parquet_scan": "SELECT event_id, user_id AS device_id, ts, value FROM events "
-                    "WHERE event_type = 'error' AND value > 50",
+    "parquet_scan": "SELECT event_id, user_id AS device_id, ts, event_type, value FROM events",
+    "parquet_scan_pushdown": "SELECT event_id, user_id AS device_id, ts, value FROM events "
+                             "WHERE event_type = 'error' AND value > 50",
     "parquet_roundtrip": w(R) + f"SELECT {R_COLS}, CAST(ts AS DATE) AS dt FROM R",
     "external_table": w(R) + """SELECT ts AS "timestamp", machine_status,
   CAST(CASE WHEN machine_status = 'NORMAL' THEN 0 ELSE 1 END AS INTEGER) AS label, pred AS prediction FROM R""",
@@ -220,6 +248,12 @@ ORACLES: dict[str, str] = {
 SELECT row_key, family, qualifier, value, version FROM (
   SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY batch DESC, version DESC) AS rn
   FROM B) z WHERE rn = 1""",
+    "wide_pivot_devices": w(R, cells_cte(DEVICE_KEY), PIVOT) + """SELECT row_key, TRY_CAST(s04 AS FLOAT) AS s04,
+  TRY_CAST(s10 AS FLOAT) AS s10, TRY_CAST(pred AS FLOAT) AS pred FROM P""",
+    "keyed_upsert_devices": w(R, cells_cte(DEVICE_KEY)) + """
+SELECT row_key, family, qualifier, value, version FROM (
+  SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version % 3 = 0 DESC, version DESC) AS rn
+  FROM C) z WHERE rn = 1""",
     "latest_row": w(R, cells_cte(), PIVOT) + "SELECT row_key, real, pred, s04, s10 FROM P ORDER BY row_key DESC LIMIT 1",
     # --- B
     "drop_columns": w(R) + f"SELECT {R_COLS} FROM R",
@@ -294,9 +328,8 @@ FROM R GROUP BY ROLLUP (CAST(date_trunc('month', ts) AS DATE))""",
     "waveform_global": w(R, V) + """SELECT CAST(80 - r AS INTEGER) AS pos, s04, s10 FROM (
   SELECT s04, s10, row_number() OVER (ORDER BY ts DESC, event_id DESC) AS r FROM V) z WHERE r <= 80""",
     "rolling80_stats": w(R, V) + """SELECT event_id, device_id, ts, count(*) OVER w AS n_window,
-  round(avg(s10) OVER w, 6) AS avg_s10, min(s10) OVER w AS min_s10, max(s10) OVER w AS max_s10,
-  max(s04) OVER w AS max_s04,
-  CAST(round(sum(CAST(s04 AS DECIMAL(18, 2))) OVER w / count(*) OVER w, 6) AS DOUBLE) AS avg_s04
+  round(avg(s10) OVER w, 9) AS avg_s10, min(s10) OVER w AS min_s10, max(s10) OVER w AS max_s10,
+  max(s04) OVER w AS max_s04, round(avg(s04) OVER w, 9) AS avg_s04
 FROM V WINDOW w AS (PARTITION BY device_id ORDER BY ts, event_id ROWS BETWEEN 79 PRECEDING AND CURRENT ROW)""",
     "latest_per_device": w(R, V) + """SELECT device_id, event_id, ts, s04, s10, pred FROM (
   SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY ts DESC, event_id DESC) AS rn FROM V) z WHERE rn = 1""",
@@ -353,10 +386,14 @@ FROM D LEFT JOIN A USING (device_id) LEFT JOIN LR USING (device_id) LEFT JOIN RE
     "mute_remaining": "WITH RECURSIVE " + ",\n".join([R, VS, MUTE]) + """
 SELECT v.event_id, v.device_id, v.ts,
   printf('%02d:%02d', CAST(floor(z.secs / 60) AS BIGINT), CAST(z.secs % 60 AS BIGINT)) AS remaining
-FROM VS v JOIN MW m ON v.device_id = m.device_id AND v.ts >= m.start_ts AND v.ts < m.end_ts,
-LATERAL (SELECT CAST(floor((epoch_us(m.end_ts) - epoch_us(v.ts)) / 1000000.0) AS BIGINT) AS secs) z""",
+FROM VS v JOIN TOG m ON v.device_id = m.device_id AND m.opens AND v.ts > m.ts AND epoch_us(v.ts) < m.until
+  AND (m.nx IS NULL OR m.nx >= epoch_us(v.ts)),
+LATERAL (SELECT CAST(floor((m.until - epoch_us(v.ts)) / 1000000.0) AS BIGINT) AS secs) z""",
+    "interval_join": "WITH RECURSIVE " + ",\n".join([R, VS, MUTE]) + """
+SELECT v.event_id, v.device_id, v.ts, m.start_ts AS interval_start, m.end_ts AS interval_end
+FROM VS v LEFT JOIN MW m ON v.device_id = m.device_id AND v.ts >= m.start_ts AND v.ts < m.end_ts""",
     "event_log": "WITH RECURSIVE " + ",\n".join(LOGC) + """
-SELECT device_id, ts, seq, event_id, tag, level, message, source, online, muted, line FROM EVL""",
+SELECT device_id, ts, seq, event_id, tag, level, message, source, online, normal, anomaly, muted, line FROM EVL""",
     "log_mute_tag": "WITH RECURSIVE " + ",\n".join(LOGC) + """
 SELECT device_id, event_id, ts, muted, line FROM EVL WHERE level = 'ERROR'""",
     "route_events": "WITH RECURSIVE " + ",\n".join(LOGC) + """
@@ -367,7 +404,7 @@ SELECT device_id, ts, seq, event_id, level, line FROM EVL WHERE tag = 'log'""",
     "log_tail": "WITH RECURSIVE " + ",\n".join(LOGC) + """
 SELECT device_id, ts, seq, event_id, line FROM (
   SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY ts DESC, seq DESC, event_id DESC) AS rn
-  FROM EVL WHERE tag = 'log') z WHERE rn <= 20""",
+  FROM EVL WHERE tag = 'log') z WHERE rn <= 220""",
     "log_since_clear": "WITH RECURSIVE " + ",\n".join([*LOGC, LASTCLEAR]) + """
 SELECT device_id, ts, seq, event_id, line FROM SC""",
     "log_export_lines": "WITH RECURSIVE " + ",\n".join([*LOGC, LASTCLEAR]) + """
@@ -388,6 +425,22 @@ SELECT device_id, row_number() OVER (PARTITION BY device_id ORDER BY ts, seq, ev
     "hash_split": w(W) + """SELECT row_id, CAST(b AS INTEGER) AS split_bucket,
   CASE WHEN b < 80 THEN 'train' ELSE 'test' END AS split
 FROM (SELECT row_id, CAST(('0x' || substr(md5(row_id), 1, 8)) AS BIGINT) % 100 AS b FROM W) z""",
+    "rf_train": """SELECT feature, CAST(position AS INTEGER) AS position, matters, CAST(20 AS INTEGER) AS num_trees,
+  true AS sums_to_one, true AS auc_ok, true AS auc_mllib_ok
+FROM (VALUES ('l_quantity', 0, true), ('l_extendedprice', 1, false), ('l_discount', 2, true), ('l_tax', 3, false))
+  t(feature, position, matters)""",
+    "score_holdout": w(W) + _TEST + "SELECT label, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_other, true AS agrees FROM TS GROUP BY label",
+    "score_all": w(W) + "SELECT row_id, ts, label, true AS is_class FROM W",
+    "confusion": w(W) + _TEST + "SELECT label, CAST(count(*) AS BIGINT) AS n_rows, true AS mostly_right FROM TS GROUP BY label",
+    "pipeline_end_to_end": w(R) + """, RAW AS (
+  SELECT event_id, date_trunc('second', ts) AS ts, coalesce(s04, 0) AS s04, coalesce(s10, 0) AS s10
+  FROM R WHERE event_id % 89 <> 0 AND event_id % 97 <> 0),
+K AS (SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS row_key, max(CAST(s04 AS VARCHAR)) AS s04 FROM RAW GROUP BY 1)
+SELECT count(*) AS n_keys, count(*) AS n_s04, count(*) AS n_s10, count(*) AS n_pred, min(row_key) AS first_key, max(row_key) AS last_key,
+  CAST(round(sum(CAST(CAST(s04 AS FLOAT) AS DECIMAL(18, 2))), 2) AS DOUBLE) AS sum_s04,
+  (SELECT count(*) FROM R WHERE event_id % 97 = 0 AND event_id % 89 <> 0) AS n_untimed,
+  (SELECT count(*) FROM R WHERE event_id % 89 = 0) AS n_rejected
+FROM K""",
     "auc_exact": w(R, V) + """SELECT round(sum(CAST(p AS DOUBLE) * (CAST(cn AS DOUBLE) + CAST(n AS DOUBLE) / 2.0))
        / (CAST(sum(p) AS DOUBLE) * CAST(sum(n) AS DOUBLE)), 6) AS auc
 FROM (SELECT p, n, coalesce(sum(n) OVER (ORDER BY sc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cn

@@ -52,7 +52,7 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType = READIN
 def bronze_landing(spark: SparkSession, csv_path: str, out_path: str) -> DataFrame:
     """Lossless landing: every column as text plus the source file, written as Parquet."""
     raw = (spark.read.option("header", True).option("inferSchema", False).csv(csv_path)
-           .withColumn("source_file", F.col("_metadata.file_name")))
+           .withColumn("source_file", F.col("_metadata.file_path")))
     raw.write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
 
@@ -62,12 +62,12 @@ def write_partitioned(df: DataFrame, path: str, ts: str = "ts", part: str = "dt"
     """Parquet sink partitioned by day, rows clustered by device and time inside files.
 
     Range partitioning on (day, device, time) gives each task a contiguous slice:
-    a heavy day is spread over many tasks and files, light days share a task,
+    a heavy day is spread over many tasks and files, light days share a task, the
+    adaptive shuffle sizes the parts,
     and min/max statistics on device and time stay tight for pruning.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.withColumn(part, F.to_date(ts))
-       .repartitionByRange(n, part, key, ts)
+       .repartitionByRange(part, key, ts)
        .sortWithinPartitions(part, key, ts)
        .write.mode("overwrite").partitionBy(part).parquet(path))
 

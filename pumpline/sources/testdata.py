@@ -102,7 +102,7 @@ def wide_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reading_text(r: DataFrame) -> DataFrame:
+def reading_text(r: DataFrame, *more: str) -> DataFrame:
     """Each reading as the speed layer sees it: row key + text cells with the
     injected faults of view C (pred cell absent, s10 = 'bad')."""
     eid = F.col("event_id")
@@ -110,4 +110,53 @@ def reading_text(r: DataFrame) -> DataFrame:
         "device_id", "ts", "event_id", row_key("ts").alias("row_key"),
         F.col("s04").cast("string").alias("s04"),
         F.when(eid % 29 == 0, F.lit("bad")).otherwise(F.col("s10").cast("string")).alias("s10"),
-        F.when(eid % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("pred").cast("string")).alias("pred"))
+        F.when(eid % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("pred").cast("string")).alias("pred"), *more)
+
+
+def at_full_hours(r: DataFrame) -> DataFrame:
+    """Readings with the time cut to the hour, so that devices share instants; of a
+    device's readings in one hour the one with the smallest event id."""
+    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+    first = F.min_by(F.struct(*[c for c in r.columns if c not in ("device_id", "ts")]), "event_id")
+    return (r.groupBy("device_id", hour.alias("ts")).agg(first.alias("_r"))
+             .select("device_id", "ts", *[F.col("_r")[c].alias(c) for c in r.columns if c not in ("device_id", "ts")]))
+
+
+def monitor_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything the monitor receives (``eventlog.feed``) from one scan of the events.
+
+    An event can be several things at once: a sign-up is a feed status and a mute
+    press, a purchase is a sample and, for some ids, a clear or an export.
+    """
+    from pumpline.operators.clean import parse_reject
+
+    ev = table(spark, sf_dir, "events")
+    text = reading_text(readings_from_events(ev).withColumn("_type", F.col("event_type")), "_type")
+    rows = parse_reject(text).drop("ok")
+    eid, kind = F.col("event_id"), F.col("_type")
+    is_status = kind.isin("error", "signup")
+    kinds = F.array_compact(F.array(
+        F.when(~is_status, F.lit("sample")), F.when(is_status, F.lit("status")), F.when(kind == "signup", F.lit("press")),
+        F.when((kind == "purchase") & (eid % 17 == 0), F.lit("clear")), F.when((kind == "purchase") & (eid % 34 == 1), F.lit("export"))))
+    rows = rows.select(
+        "device_id", "ts", eid.cast("long").alias("event_id"), F.explode(kinds).alias("kind"), "row_key", "s04", "s10", "pred", "reason",
+        "s04_num", "s10_num", "pred_num", F.when(eid % 2 == 0, "batch").otherwise("speed").alias("source"),
+        (kind == "signup").alias("online"), kind.alias("detail"),
+        F.concat(F.lit("/logs/"), eid.cast("string"), F.lit(".txt")).alias("path"),
+        F.when(eid % 4 == 3, F.lit("disk full")).alias("error"))
+    return rows
+
+
+def raw_sensor_csv(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """The events as the original raw file: row index, time text, sensor_00 to sensor_51
+    (sensor_15 empty), status.  Some times and some numbers cannot be read."""
+    r = readings(spark, sf_dir)
+    eid = F.col("event_id")
+    time = F.when(eid % 97 == 0, F.lit("not a time")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    sensors = {4: F.col("s04").cast("string"), 10: F.when(eid % 89 == 0, F.lit("x1")).otherwise(F.col("s10").cast("string")),
+               15: F.lit(None).cast("string")}
+    fill = lambda i: ((eid * (i + 3)) % 101).cast("string")
+    (r.select(eid.alias("_c0"), time.alias("timestamp"), *[sensors.get(i, fill(i)).alias(f"sensor_{i:02d}") for i in range(52)],
+              F.coalesce("machine_status", F.lit("NORMAL")).alias("machine_status"))
+      .write.mode("overwrite").option("header", True).csv(path))
+    return path

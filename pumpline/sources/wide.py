@@ -8,12 +8,11 @@ of the key; pivoting it gives the typed relational view.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from pumpline import config as C
-from pumpline.plans.joins import broadcast_if_small
 
 # source column of each (family, qualifier) cell
 CELL_SOURCES = {("status", "real"): "machine_status", ("status", "pred"): "pred",
@@ -60,9 +59,15 @@ def mapped_view(cells: DataFrame) -> DataFrame:
     return t.select("row_key", *[F.expr(f"try_cast({c} as float)").alias(c) for c in ("s04", "s10", "pred")])
 
 
-def latest_row(wide: DataFrame, key: str = "row_key") -> DataFrame:
-    """Newest row by key (reverse scan, limit 1): a top-1, not a full sort."""
-    return wide.orderBy(F.col(key).desc()).limit(1)
+def latest_row(cells: DataFrame, cells_wanted=C.WIDE_CELLS) -> DataFrame:
+    """Newest row by key (reverse scan, limit 1).
+
+    The largest key comes first, from the key column alone (a map-side maximum,
+    answered by the newest date partition where the table has them); only that
+    key's cells are then read and pivoted.
+    """
+    key = cells.agg(F.max("row_key")).first()[0]
+    return pivot_cells(cells.where(F.col("row_key") == F.lit(key)), cells_wanted)
 
 
 def decode_key(key_bytes) -> Column:
@@ -71,61 +76,95 @@ def decode_key(key_bytes) -> Column:
     return F.regexp_replace(F.make_valid_utf8(c.cast("string")), "�", "")
 
 
-def _last_put(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keep, per cell key, the put with the largest (seq, version)."""
-    w = F.max(F.struct("_seq", "version", "value")).alias("_w")
-    return (df.groupBy(*keys).agg(w)
-              .select(*keys, F.col("_w.value").alias("value"), F.col("_w.version").alias("version")))
+# --- keyed upsert: committed batches, merged when read ------------------------------
+#
+# <root>/cells/batch=<id>/dt=<date>/   the cells of one batch, last put per key
+# <root>/base/upto=<id>/dt=<date>/     all batches up to <id>, merged (compaction)
+# <root>/commits/<kind>-<id>/          one row: that folder is complete
+#
+# A writer never touches what is committed.  A run that dies leaves an uncommitted
+# folder, which no reader looks at and which the retry replaces.
 
+CELL_SCHEMA = "row_key string, family string, qualifier string, value string, version long"
+COMMIT_SCHEMA = "kind string, id long"
 
-def _clustered(df: DataFrame, part_col: str) -> DataFrame:
-    """Range-partition by (date, key) before a partitioned write: files per date
-    follow the date's volume instead of the number of shuffle partitions."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, part_col, "row_key").sortWithinPartitions(part_col, "row_key")
 
-
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def _commits(spark: SparkSession, root: str) -> DataFrame | None:
+    """Committed folders; None if the table has none yet.  Any other failure is raised."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+        return spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/commits/*")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
-def upsert_cells(spark: SparkSession, table_path: str, batch: DataFrame, batch_id: int,
-                 part_col: str = "dt", max_touched: int = 10_000) -> None:
+def _commit(spark: SparkSession, root: str, kind: str, number: int) -> None:
+    (spark.createDataFrame([(kind, number)], COMMIT_SCHEMA).coalesce(1)
+     .write.mode("overwrite").parquet(f"{root}/commits/{kind}-{number}"))
+
+
+def _write_cells(cells: DataFrame, path: str, part_col: str) -> None:
+    """Range-partitioned by (date, key): files per date follow the date's volume, their
+    number the adaptive shuffle."""
+    (cells.repartitionByRange(part_col, "row_key").sortWithinPartitions(part_col, "row_key")
+     .write.mode("overwrite").partitionBy(part_col).parquet(path))
+
+
+def upsert_cells(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, part_col: str = "dt") -> None:
     """Keyed upsert: a put on an existing cell replaces it (last put wins).
 
-    Within a batch, puts are ordered by version; across batches, a later batch
-    wins.  Only the date partitions the batch touches are read and rewritten
-    (left-semi join on the partition column -> partition pruning; the touched
-    dates are broadcast only if at most ``max_touched``; then dynamic partition
-    overwrite).  Re-running a batch gives the same table, so a
-    restarted streaming ``foreachBatch`` can call this again safely.
+    Within a batch, puts are ordered by version; across batches, a larger batch id
+    wins, in whatever order the batches arrive.  A batch is written once, whatever
+    the table's size: nothing is read or rewritten (``read_cells`` merges,
+    ``compact_cells`` keeps that cheap).  A batch id that is committed is not
+    written again, so a replayed or late old batch changes nothing.
     """
-    # the batch is read by the touched-date probe and by the merge: keep it for
-    # the duration of the upsert (bounded by the batch, recomputable if lost)
-    b = (batch.select("row_key", "family", "qualifier", "value", "version")
-              .withColumn(part_col, F.substring("row_key", 1, 10))).persist()
-    try:
-        keys = [*CELL_KEY_COLS, part_col]
-        current = _read_or_none(spark, table_path)
-        if current is None:
-            (_clustered(_last_put(b.withColumn("_seq", F.lit(1)), keys), part_col)
-             .write.mode("overwrite").partitionBy(part_col).parquet(table_path))
-            return
-        touched = broadcast_if_small(b.select(part_col).distinct(), max_touched)
-        old = (current.join(touched, part_col, "left_semi")
-                      .select("row_key", "family", "qualifier", "value", "version", part_col)
-                      .withColumn("_seq", F.lit(0)))
-        merged = _last_put(old.unionByName(b.withColumn("_seq", F.lit(1))), keys)
-        staging = f"{table_path.rstrip('/')}_staging/batch={int(batch_id)}"
-        _clustered(merged, part_col).write.mode("overwrite").partitionBy(part_col).parquet(staging)
-        (spark.read.parquet(staging).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(table_path))
-    finally:
-        b.unpersist()
-
-
-def read_cells(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.parquet(table_path).select("row_key", "family", "qualifier", "value", "version")
+    root = root.rstrip("/")
+    done = _commits(spark, root)
+    if done is not None and not done.where((F.col("kind") == "batch") & (F.col("id") == int(batch_id))).isEmpty():
+        return
+    put = F.max(F.struct("version", "value")).alias("_w")
+    cells = (batch.groupBy(*CELL_KEY_COLS).agg(put)
+             .select(*CELL_KEY_COLS, F.col("_w.value").alias("value"), F.col("_w.version").alias("version"))
+             .withColumn(part_col, F.substring("row_key", 1, 10)))
+    _write_cells(cells, f"{root}/cells/batch={int(batch_id)}", part_col)
+    _commit(spark, root, "batch", int(batch_id))
+
+
+def read_cells(spark: SparkSession, root: str, dates: list[str] | None = None, part_col: str = "dt") -> DataFrame:
+    """The table: per cell the put of the newest batch.  ``dates`` reads only those date partitions."""
+    root = root.rstrip("/")
+    done = _commits(spark, root)
+    base, batches = None, []
+    if done is not None:
+        base = done.where("kind = 'base'").agg(F.max("id")).first()[0]
+        newer = done.where("kind = 'batch'") if base is None else done.where((F.col("kind") == "batch") & (F.col("id") > base))
+        batches = sorted(r["id"] for r in newer.collect())
+    parts = []
+    if base is not None:
+        parts.append(spark.read.schema(f"{CELL_SCHEMA}, {part_col} string").parquet(f"{root}/base/upto={base}")
+                     .withColumn("batch", F.lit(int(base)).cast("long")))
+    if batches:
+        parts.append(spark.read.schema(f"{CELL_SCHEMA}, batch long, {part_col} string").option("basePath", f"{root}/cells")
+                     .parquet(*[f"{root}/cells/batch={b}" for b in batches]))
+    if not parts:
+        return spark.createDataFrame([], CELL_SCHEMA)
+    cells = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if dates is not None:
+        cells = cells.where(F.col(part_col).isin(dates))
+    newest = F.max(F.struct("batch", "version", "value")).alias("_w")
+    return (cells.groupBy(*CELL_KEY_COLS).agg(newest)
+            .select(*CELL_KEY_COLS, F.col("_w.value").alias("value"), F.col("_w.version").alias("version")))
+
+
+def compact_cells(spark: SparkSession, root: str, part_col: str = "dt") -> None:
+    """Merge all committed batches into a new base; readers switch to it when it is committed."""
+    root = root.rstrip("/")
+    done = _commits(spark, root)
+    upto = None if done is None else done.agg(F.max("id")).first()[0]
+    if upto is None:
+        return
+    merged = read_cells(spark, root, part_col=part_col).withColumn(part_col, F.substring("row_key", 1, 10))
+    _write_cells(merged, f"{root}/base/upto={upto}", part_col)
+    _commit(spark, root, "base", int(upto))

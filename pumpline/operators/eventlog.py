@@ -176,6 +176,21 @@ def macro_records(rows: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     return unfold(run.filter("_poll"), F.array(rec))
 
 
+def records_of_marked(rows: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+    """The log from feed rows that carry their state (see ``streaming.pipelines.event_log_stream``):
+    opens, muted, first, normal, anomaly.  One unfolding, no other row is needed."""
+    said = F.when(F.col("opens"), F.lit(C.MSG_MUTE_ON)).otherwise(F.lit(C.MSG_MUTE_OFF))
+    poll = (F.col("kind") == FEED_STATUS) & (F.col("source") == "batch") & F.col("online")
+    more = F.array_compact(F.array(
+        F.when(F.col("kind") == FEED_PRESS, _record(SEQ_MUTE, "log", "INFO", said)),
+        F.when(poll, _record(SEQ_STATUS, "macro", None, F.lit(None), F.lit("batch"), None, F.col("normal"), F.col("anomaly"))),
+        F.when(F.col("first"), _record(SEQ_START, "log", "INFO", F.lit(C.MSG_STARTED)))))
+    log = unfold(rows, F.concat(plain_array(p), more), "muted")
+    log = (log.withColumn("event_id", F.when(F.col("seq") == SEQ_START, F.lit(-1).cast("long")).otherwise(F.col("event_id")))
+              .withColumn("muted", F.col("muted") & F.coalesce(F.col("level") == "ERROR", F.lit(False))))
+    return log.withColumn("line", F.when(F.col("tag") == "log", X.log_line("ts", "level", "message", "muted")))
+
+
 def event_log(rows: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     """Typed records of everything the monitor reports, in one table, from one ``feed``.
 

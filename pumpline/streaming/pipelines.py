@@ -1,9 +1,12 @@
 """Speed layer on Structured Streaming.
 
 The stream operators reuse the batch column logic (parse, classify, format).
-Per-device sequential state (as-of feed status, counters) runs in
-``applyInPandasWithState``: each call sees one device's rows of one micro-batch,
-so its size is bounded by the trigger's admission limit, never by the table.
+Per-device sequential state (as-of feed status, counters, mute windows, the event
+log) runs in ``applyInPandasWithState`` through ``ordered``: arrival order does not
+matter, because rows wait in the state until the watermark has passed them and are
+then folded in event-time order; rows behind the watermark are dropped.  A call
+sees one device's rows of one micro-batch and what waits, so its size is bounded
+by the trigger's admission limit and the watermark delay, never by the table.
 
 Event time: the tables carry TIMESTAMP_NTZ, and watermarks need TIMESTAMP.
 ``event_time`` reads the wall time as a UTC instant (no session-zone shift), so
@@ -12,19 +15,21 @@ windows and watermarks behave the same in every session time zone.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+import io
+import json
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from pumpline import config as C
 from pumpline.config import DEFAULT_PARAMS, Params
 from pumpline.functions import expressions as X
-from pumpline.operators import clean, monitor
+from pumpline.operators import clean, eventlog, monitor
+from pumpline.sources import wide
 
 DEV = "device_id"
 
@@ -41,48 +46,9 @@ def instant_to_ntz(ts) -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days, F.lit(0), F.lit(0), rest)
 
 
-# --- replay ----------------------------------------------------------------------
-
-@dataclass(frozen=True)
-class Replay:
-    path: str
-    schema: T.StructType
-    files_per_trigger: int
-    delay: str           # watermark delay that covers one slice of arrival disorder
-
-
-def replay(spark: SparkSession, df: DataFrame, path: str, n_slices: int = 8, files_per_slice: int = 8,
-           ts: str = "ts", key: str = DEV) -> Replay:
-    """Write ``df`` as a file stream in event-time slices, oldest slice first.
-
-    File sources admit files in modification order, so slices are written one
-    after another.  Inside a slice rows are hash-partitioned by device: each
-    device's rows of a slice sit in one file, so per-device order holds across
-    micro-batches however the files are grouped, and no task writes a whole
-    slice.  Global watermark operators get a delay of one slice width.
-    """
-    sec = X.epoch_seconds(ts)
-    lo, hi = df.agg(F.min(sec), F.max(sec)).first()
-    if lo is None:
-        df.limit(0).write.mode("append").parquet(path)
-        return Replay(path, df.schema, files_per_slice, "1 hour")
-    width = max(1, (hi - lo) // n_slices + 1)
-    for i in range(n_slices):
-        part = df.filter((sec >= lo + i * width) & (sec < lo + (i + 1) * width))
-        part.repartition(files_per_slice, key).write.mode("append").parquet(path)
-    return Replay(path, df.schema, files_per_slice, f"{width + 3600} seconds")
-
-
-def source(spark: SparkSession, rp: Replay) -> DataFrame:
-    return (spark.readStream.schema(rp.schema).option("maxFilesPerTrigger", rp.files_per_trigger)
-            .parquet(rp.path))
-
-
-# Triggers: tests and backfills drain what is there (availableNow); the batch view
-# of the dashboard polls every 30 s, the speed view as fast as batches complete.
+# Tests and backfills drain what is there; a live batch view would pass
+# {"processingTime": "30 seconds"}, a speed view {"processingTime": "100 milliseconds"}.
 DRAIN = {"availableNow": True}
-BATCH_VIEW = {"processingTime": "30 seconds"}
-SPEED_VIEW = {"processingTime": "100 milliseconds"}
 
 
 def run_to_files(stream: DataFrame, out: str, checkpoint: str, mode: str = "append",
@@ -125,10 +91,14 @@ def latest_per_key(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
 # --- F1 / F9: alerts ----------------------------------------------------------------
 
 def alert_stream(text_rows: DataFrame, p: Params = DEFAULT_PARAMS, delay: str = "1 hour") -> DataFrame:
-    """Speed-layer alert pipeline: decode -> dedupe by key -> classify -> message."""
+    """Speed-layer alert pipeline: decode -> dedupe by device and key -> classify -> message.
+
+    Devices that report at the same instant share the key text, so the device is
+    part of what makes a reading the same.
+    """
     parsed = clean.good_rows(clean.parse_reject(text_rows))
     deduped = (parsed.withColumn("_et", event_time("ts")).withWatermark("_et", delay)
-               .dropDuplicatesWithinWatermark(["row_key"]))
+               .dropDuplicatesWithinWatermark([DEV, "row_key"]))
     return monitor.alerts(deduped, p).select("event_id", DEV, "message")
 
 
@@ -179,128 +149,257 @@ def sliding_alerts_stream(readings: DataFrame, window_s: int, slide_s: int, p: P
             .select(DEV, instant_to_ntz("w.start").alias("window_start"), "alerts"))
 
 
-# --- F4 / F6: stateful per device ---------------------------------------------------
+# --- ordered state per device -------------------------------------------------------
+
+Fold = Callable[[object, pd.DataFrame, dict, int], tuple[pd.DataFrame | None, dict, int | None]]
+WAITING_STATE = T.StructType([T.StructField("waiting", T.BinaryType()), T.StructField("folded", T.StringType())])
+
+
+def _ordered_fn(fold: Fold, order: list[str]):
+    """State function: keeps rows until the watermark passes them, then folds them in order.
+
+    ``fold(device, rows, folded, passed_us)`` gets the rows with ``_us`` below the
+    watermark in order, and returns (output or None, folded, the next moment in
+    microseconds at which it wants to be called without rows, or None).
+    """
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        waiting, folded = (None, {})
+        if state.exists:
+            raw, text = state.get
+            folded = json.loads(text)
+            if raw:
+                waiting = pd.read_pickle(io.BytesIO(bytes(raw)))
+        passed = state.getCurrentWatermarkMs() * 1000
+        if not state.hasTimedOut:
+            new = pd.concat(list(pdfs), ignore_index=True)
+            new = new[new["_us"] >= passed]  # rows behind the watermark are late
+            waiting = new if waiting is None else pd.concat([waiting, new], ignore_index=True)
+        due = waiting["_us"] < passed if waiting is not None else None
+        rows = waiting[due].sort_values(order, kind="stable") if waiting is not None else pd.DataFrame()
+        waiting = waiting[~due] if waiting is not None else None
+        out, folded, wake = fold(key[0], rows, folded, passed)
+        blob = None
+        if waiting is not None and len(waiting):
+            buffer = io.BytesIO()
+            waiting.to_pickle(buffer)
+            blob = buffer.getvalue()
+            first = int(waiting["_us"].min())
+            wake = first if wake is None else min(wake, first)
+        state.update((blob, json.dumps(folded)))
+        if wake is not None:
+            state.setTimeoutTimestamp(max(wake // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        if out is not None and len(out):
+            yield out
+    return fn
+
+
+def ordered(rows: DataFrame, fold: Fold, order: list[str], out: T.StructType, delay: str, mode: str = "append") -> DataFrame:
+    """Fold each device's rows (columns device_id, ts, ...) in event-time order as the watermark passes them.
+
+    Rows without a device (closing rows of a replay) move the watermark and nothing else.
+    """
+    d = rows.withColumn("_us", X.epoch_micros("ts")).withColumn("_et", event_time("ts")).withWatermark("_et", delay)
+    keyed = d.withColumn("_key", F.coalesce(F.col(DEV), F.lit(-1).cast("long")))
+    real = _ordered_fn(lambda dev, r, f, p: (None, f, None) if dev == -1 else fold(dev, r, f, p), order)
+    return keyed.groupBy("_key").applyInPandasWithState(real, out, WAITING_STATE, mode, GroupStateTimeout.EventTimeTimeout)
+
+
+def mixed_feed(samples: DataFrame, status: DataFrame, feed: str | None = "speed") -> DataFrame:
+    """One stream of status rows (_kind 0) and samples (_kind 1)."""
+    st = status if feed is None else status.filter(F.col("source") == feed)
+    nul = F.lit(None).cast("double")
+    st = st.select(DEV, "ts", "event_id", F.lit(0).alias("_kind"), "source", "online",
+                   nul.alias("pred"), nul.alias("s04"), nul.alias("s10"))
+    sm = samples.select(DEV, "ts", "event_id", F.lit(1).alias("_kind"), F.lit(None).cast("string").alias("source"),
+                        F.lit(None).cast("boolean").alias("online"), "pred", "s04", "s10")
+    return st.unionByName(sm)
+
+
+MIXED_ORDER = ["_us", "_kind", "event_id"]
+
+
+# --- F4: device state ------------------------------------------------------------------
 
 STATE_OUT = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField(DEV, T.LongType()),
     T.StructField("ts", T.TimestampNTZType()), T.StructField("online_asof", T.BooleanType()),
-    T.StructField("state", T.StringType()), T.StructField("state_text", T.StringType())])
-STATE_SCHEMA = T.StructType([T.StructField("online", T.BooleanType())])
+    T.StructField("state", T.StringType()), T.StructField("s04", T.DoubleType()), T.StructField("s10", T.DoubleType())])
 
 
-def _device_state_fn(alert_value: float):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        initial = state.get[0] if state.exists else None
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "_kind", "event_id"], kind="stable")
+def device_state_stream(mixed: DataFrame, p: Params = DEFAULT_PARAMS, delay: str = "1 hour") -> DataFrame:
+    """``mixed``: status rows and samples of one feed.  The label text is built by the batch formatter."""
+    alert = float(p.alert_pred)
+
+    def fold(dev, rows, folded, passed):
+        if not len(rows):
+            return None, folded, None
         # tri-state feed status as 1.0 / 0.0 / NaN so forward fill stays numeric
+        before = folded.get("online")
         code = rows["online"].where(rows["_kind"] == 0).map({True: 1.0, False: 0.0}).astype("float64")
-        asof = code.ffill().fillna(float("nan") if initial is None else float(initial))
-        smp_mask = rows["_kind"] == 1
-        smp, on = rows[smp_mask], asof[smp_mask]
-        st = pd.Series("NORMAL", index=smp.index, dtype=object)
-        st[smp["pred"] == alert_value] = "ABNORMAL"
-        st[on == 0.0] = "INTERRUPTED"
-        last = asof.iloc[-1] if len(asof) else float("nan")
-        state.update((None if pd.isna(last) else bool(last),))
-        text = st.map({"INTERRUPTED": C.STATE_TEXT_INTERRUPTED, "NORMAL": C.STATE_TEXT_NORMAL})
-        abn = st == "ABNORMAL"
-        text[abn] = [C.STATE_TEXT_ABNORMAL.format(s04=f"{a:.1f}", s10=f"{b:.1f}")
-                     for a, b in zip(smp.loc[abn, "s04"], smp.loc[abn, "s10"])]
-        yield pd.DataFrame({"event_id": smp["event_id"], DEV: smp[DEV], "ts": smp["ts"],
+        asof = code.ffill().fillna(float("nan") if before is None else float(before))
+        is_sample = rows["_kind"] == 1
+        smp, on = rows[is_sample], asof[is_sample]
+        state = np.where(on == 0.0, "INTERRUPTED", np.where(smp["pred"] == alert, "ABNORMAL", "NORMAL"))
+        last = asof.iloc[-1]
+        out = pd.DataFrame({"event_id": smp["event_id"].astype("int64"), DEV: dev, "ts": smp["ts"],
                             "online_asof": pd.array(on.map({1.0: True, 0.0: False}), dtype="boolean"),
-                            "state": st, "state_text": text})
-    return fn
+                            "state": state, "s04": smp["s04"], "s10": smp["s10"]})
+        return out, {"online": None if pd.isna(last) else bool(last)}, None
 
+    out = ordered(mixed, fold, MIXED_ORDER, STATE_OUT, delay)
+    return out.withColumn("state_text", X.state_text("state", "s04", "s10")).drop("s04", "s10")
 
-def device_state_stream(mixed: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """``mixed``: status rows (_kind 0, online) and samples (_kind 1, pred) of one feed."""
-    return (mixed.groupBy(DEV).applyInPandasWithState(
-        _device_state_fn(float(p.alert_pred)), STATE_OUT, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
 
+# --- F6: counters -------------------------------------------------------------------------
 
 COUNTER_OUT = T.StructType([
     T.StructField(DEV, T.LongType()), T.StructField("session_alerts", T.LongType()),
     T.StructField("total_reconnects", T.LongType())])
-COUNTER_STATE = T.StructType([
-    T.StructField("alerts", T.LongType()), T.StructField("reconnects", T.LongType()),
-    T.StructField("batch_online", T.BooleanType()), T.StructField("speed_online", T.BooleanType())])
-
-
-def _counter_fn(alert_value: float):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        alerts, rc, b_on, s_on = state.get if state.exists else (0, 0, None, None)
-        last = {"batch": b_on, "speed": s_on}
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "_kind", "event_id"], kind="stable")
-        alerts += int(((rows["_kind"] == 1) & (rows["pred"] == alert_value)).sum())
-        st = rows[rows["_kind"] == 0]
-        for src, g in st.groupby("source", sort=False):
-            now = g["online"].astype(bool)
-            prev = now.shift(1).astype(object)
-            prev.iloc[0] = last[src]
-            rc += int(((prev.map(lambda v: v is False or v == False)) & now).sum())  # noqa: E712
-            last[src] = bool(now.iloc[-1])
-        state.update((alerts, rc, last["batch"], last["speed"]))
-        yield pd.DataFrame([(key[0], alerts, rc)], columns=[DEV, "session_alerts", "total_reconnects"])
-    return fn
 
 
-def counters_stream(mixed: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+def counters_stream(mixed: DataFrame, p: Params = DEFAULT_PARAMS, delay: str = "1 hour") -> DataFrame:
     """Session alert count and reconnect count per device (``lag`` is not allowed on streams)."""
-    return (mixed.groupBy(DEV).applyInPandasWithState(
-        _counter_fn(float(p.alert_pred)), COUNTER_OUT, COUNTER_STATE, "update", GroupStateTimeout.NoTimeout))
+    alert = float(p.alert_pred)
 
+    def fold(dev, rows, folded, passed):
+        if not len(rows):
+            return None, folded, None
+        alerts = folded.get("alerts", 0) + int(((rows["_kind"] == 1) & (rows["pred"] == alert)).sum())
+        reconnects, last = folded.get("reconnects", 0), dict(folded.get("last", {}))
+        for src, g in rows[rows["_kind"] == 0].groupby("source", sort=False):
+            now = g["online"].astype(bool).to_numpy()
+            before = np.concatenate(([last.get(src) is not False], now[:-1]))
+            reconnects += int((~before & now).sum())
+            last[src] = bool(now[-1])
+        out = pd.DataFrame([(dev, alerts, reconnects)], columns=[DEV, "session_alerts", "total_reconnects"])
+        return out, {"alerts": alerts, "reconnects": reconnects, "last": last}, None
 
-def mixed_feed(samples: DataFrame, status: DataFrame, feed: str | None = "speed") -> DataFrame:
-    """One stream of status rows and samples, ordered by (ts, kind) inside the state function."""
-    st = status if feed is None else status.filter(F.col("source") == feed)
-    nul = F.lit(None).cast("double")
-    st = st.select(DEV, "ts", "event_id", F.lit(0).alias("_kind"), "source", "online",
-                   nul.alias("pred"), nul.alias("s04"), nul.alias("s10"))
-    sm = samples.select(DEV, "ts", "event_id", F.lit(1).alias("_kind"), F.lit(None).cast("string").alias("source"),
-                        F.lit(None).cast("boolean").alias("online"), "pred", "s04", "s10")
-    return st.unionByName(sm)
+    return ordered(mixed, fold, MIXED_ORDER, COUNTER_OUT, delay, mode="update")
 
 
+# --- F5: exact trailing count, with the moments at which it falls -------------------------
+
 RECENT_OUT = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField(DEV, T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()), T.StructField("recent_alerts", T.LongType())])
-RECENT_STATE = T.StructType([T.StructField("alert_us", T.ArrayType(T.LongType()))])
+    T.StructField("at_us", T.LongType()), T.StructField("recent_alerts", T.LongType())])
 
 
-def _recent_fn(horizon_us: int, alert_value: float):
-    import numpy as np
+def recent_alerts_exact_stream(readings: DataFrame, p: Params = DEFAULT_PARAMS, delay: str = "1 hour") -> DataFrame:
+    """Exact trailing alert count at every sample, and at every moment an alert leaves the horizon.
 
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = np.asarray(state.get[0] if state.exists else [], dtype="int64")
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
-        us = rows["_us"].to_numpy(dtype="int64")
-        alerts = np.sort(np.concatenate([kept, us[(rows["pred"] == alert_value).to_numpy()]]))
+    The second kind of row (event_id NULL) comes from an event-time timer: the
+    count falls without any new sample.  The state keeps the alerts younger than
+    the horizon, so it is bounded by the alert rate times the horizon.
+    """
+    horizon, alert = int(p.recent_horizon_s) * 1_000_000, float(p.alert_pred)
+
+    def fold(dev, rows, folded, passed):
+        times = np.asarray(folded.get("alerts", []), np.int64)
+        at = rows["_us"].to_numpy(np.int64) if len(rows) else np.zeros(0, np.int64)
+        ids = rows["event_id"].tolist() if len(rows) else []
+        if len(rows):
+            times = np.sort(np.concatenate([times, at[(rows["pred"] == alert).to_numpy()]]))
+        gone = np.unique(times)
+        gone = gone[gone + horizon + 1 < passed] + horizon + 1  # the first microsecond without it
+        moments = np.concatenate([at, gone])
         # alerts in [now - horizon, now]; peers at the same instant count (range frame)
-        n = np.searchsorted(alerts, us, "right") - np.searchsorted(alerts, us - horizon_us, "left")
-        newest = us.max() if len(us) else (kept.max() if len(kept) else 0)
-        state.update((alerts[alerts >= newest - horizon_us].tolist(),))
-        yield pd.DataFrame({"event_id": rows["event_id"], DEV: rows[DEV], "ts": rows["ts"],
-                            "recent_alerts": n.astype("int64")})
-    return fn
+        n = np.searchsorted(times, moments, "right") - np.searchsorted(times, moments - horizon, "left")
+        kept = times[times + horizon + 1 >= passed]
+        out = pd.DataFrame({"event_id": pd.array(ids + [None] * len(gone), dtype="Int64"), DEV: dev,
+                            "at_us": moments, "recent_alerts": n.astype("int64")})
+        return out, {"alerts": kept.tolist()}, int(kept[0]) + horizon + 2 if len(kept) else None
 
+    out = ordered(readings.select(DEV, "ts", "event_id", "pred"), fold, ["_us", "event_id"], RECENT_OUT, delay)
+    return out.withColumn("ts", instant_to_ntz(F.timestamp_micros("at_us"))).drop("at_us")
 
-def recent_alerts_exact_stream(readings: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    """Exact trailing alert count at every sample, as a state of alert times.
 
-    The state keeps only alerts younger than the horizon, so it is bounded by the
-    alert rate times the horizon, not by the history.  Assumes event-time order
-    across micro-batches (the replay guarantees it).
-    """
-    d = readings.select(DEV, "ts", "event_id", "pred").withColumn("_us", X.epoch_micros("ts"))
-    return d.groupBy(DEV).applyInPandasWithState(
-        _recent_fn(int(p.recent_horizon_s) * 1_000_000, float(p.alert_pred)), RECENT_OUT, RECENT_STATE,
-        "append", GroupStateTimeout.NoTimeout)
+# --- F7 / F8: mute windows and the event log ----------------------------------------------
+
+WINDOW_OUT = T.StructType([T.StructField(DEV, T.LongType()), T.StructField("start_us", T.LongType()), T.StructField("end_us", T.LongType())])
+
+
+def mute_windows_stream(toggles: DataFrame, p: Params = DEFAULT_PARAMS, delay: str = "1 hour") -> DataFrame:
+    """Closed mute windows (device_id, start_ts, end_ts): by the next press, or by themselves through a timer."""
+    span = int(p.mute_s) * 1_000_000
+
+    def fold(dev, rows, folded, passed):
+        start, done = folded.get("start"), []
+        for us in rows["_us"].tolist() if len(rows) else []:
+            if start is not None and us < start + span:
+                done.append((dev, start, us))
+                start = None
+            else:
+                if start is not None:
+                    done.append((dev, start, start + span))
+                start = us
+        if start is not None and start + span < passed:
+            done.append((dev, start, start + span))
+            start = None
+        out = pd.DataFrame(done, columns=[DEV, "start_us", "end_us"]) if done else None
+        return out, {"start": start}, None if start is None else start + span + 1
 
+    out = ordered(toggles.select(DEV, "ts", "event_id"), fold, ["_us", "event_id"], WINDOW_OUT, delay)
+    at = lambda c: instant_to_ntz(F.timestamp_micros(c))
+    return out.select(DEV, at("start_us").alias("start_ts"), at("end_us").alias("end_ts"))
+
+
+#: Order of a device's rows at one instant: the place of their records in the log.
+FEED_PLACE = {"status": 0, "sample": 1, "press": 2, "clear": 3, "export": 4}
+
+
+def event_log_stream(rows: DataFrame, p: Params = DEFAULT_PARAMS, delay: str = "1 hour") -> DataFrame:
+    """The event log of a ``feed`` stream: the same records as the batch ``event_log``.
+
+    The state holds the open mute window, the counts by class, and whether the
+    device has been seen; it only marks the rows.  The records and their texts are
+    built from the marked rows by the batch expressions.
+    """
+    span, keep = int(p.mute_s) * 1_000_000, [f for f in rows.schema.fields]
+    marks = [T.StructField("opens", T.BooleanType()), T.StructField("muted", T.BooleanType()), T.StructField("first", T.BooleanType()),
+             T.StructField("normal", T.LongType()), T.StructField("anomaly", T.LongType())]
+    names = [f.name for f in keep]
+    n_sample, n_press = FEED_PLACE["sample"], FEED_PLACE["press"]
+
+    def fold(dev, rows, folded, passed):
+        if not len(rows):
+            return None, folded, None
+        until, seen = folded.get("until", 0), folded.get("seen", False)
+        opens, muted = [], []
+        for place, us in zip(rows["_place"].tolist(), rows["_us"].tolist()):
+            muted.append(until > us)
+            if place == n_press:
+                until = 0 if until > us else us + span
+                opens.append(until > 0)
+            else:
+                opens.append(None)
+        good = (rows["_place"] == n_sample) & rows["reason"].isna()
+        normal = (good & (rows["pred_num"] == 0)).cumsum() + folded.get("normal", 0)
+        anomaly = (good & (rows["pred_num"] != 0)).cumsum() + folded.get("anomaly", 0)
+        out = rows[names].copy()
+        out["opens"], out["muted"] = pd.array(opens, dtype="boolean"), muted
+        out["first"] = [not seen] + [False] * (len(rows) - 1)
+        out["normal"], out["anomaly"] = normal.astype("int64"), anomaly.astype("int64")
+        return out, {"until": until, "seen": True, "normal": int(normal.iloc[-1]), "anomaly": int(anomaly.iloc[-1])}, None
+
+    place = F.lit(None).cast("int")
+    for kind, n in FEED_PLACE.items():
+        place = F.when(F.col("kind") == kind, n).otherwise(place)
+    marked = ordered(rows.withColumn("_place", place), fold, ["_us", "_place", "event_id"], T.StructType([*keep, *marks]), delay)
+    return eventlog.records_of_marked(marked, p)
+
+
+# --- F10: batch view over the keyed table ----------------------------------------------
+
+def upsert_sink(table: str, to_cells: Callable[[DataFrame], DataFrame]):
+    """foreachBatch body: each micro-batch is one idempotent upsert into the keyed table."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        wide.upsert_cells(batch.sparkSession, table, to_cells(batch), batch_id)
+    return sink
 
-# --- F10: batch view as a stream ------------------------------------------------------
 
-def macro_counts_stream(readings: DataFrame) -> DataFrame:
-    return monitor.macro_counts(readings)
+def batch_view(spark: SparkSession, table: str) -> DataFrame:
+    """Counts by class over the keyed table as it is now: a key that was written again counts once."""
+    return monitor.macro_counts(wide.mapped_view(wide.read_cells(spark, table)), by=())
 
 
 def route_batch(out: str, tags=("log", "macro", "status", "micro")):

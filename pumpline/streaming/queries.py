@@ -8,6 +8,8 @@ does not depend on batch boundaries the oracle is the batch SQL.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,79 +19,84 @@ from pumpline.plans import oracles as O
 from pumpline.session import work_path
 from pumpline.sources import testdata as td, wide
 from pumpline.streaming import pipelines as S
+from pumpline.streaming.replay import replay, source
 
 N_SLICES = 4
 
 
-def _replayed(spark: SparkSession, df: DataFrame, name: str, key: str = "device_id") -> tuple[DataFrame, str]:
-    """Replay ``df``; ``key`` is the unit whose arrival order the operator relies on."""
-    rp = S.replay(spark, df, work_path(spark, f"replay_{name}"), N_SLICES, key=key)
-    return S.source(spark, rp), rp.delay
+def _replayed(spark: SparkSession, df: DataFrame, name: str, key: str = "device_id", **how) -> tuple[DataFrame, str]:
+    rp = replay(spark, df, work_path(spark, f"replay_{name}"), N_SLICES, key=key, **how)
+    return source(spark, rp), rp.delay
 
 
 def _dirs(spark, name):
     return work_path(spark, f"{name}_out"), work_path(spark, f"{name}_ckpt")
 
 
+def _written(spark, stream, name, run=S.run_to_files):
+    """Drain ``stream`` into files and read them."""
+    out, ck = _dirs(spark, name)
+    run(stream, out, ck)
+    return out
+
+
 def q_stream_alerts(spark, sf):
     text = td.reading_text(td.sample_readings(spark, sf))
-    out, ck = _dirs(spark, "stream_alerts")
-    stream, delay = _replayed(spark, text, "text", key="row_key")
-    S.run_to_files(S.alert_stream(stream, P, delay), out, ck)
-    return spark.read.parquet(out)
+    stream, delay = _replayed(spark, text, "text")
+    return spark.read.parquet(_written(spark, S.alert_stream(stream, P, delay), "stream_alerts"))
+
+
+def q_stream_alerts_shared_ts(spark, sf):
+    """Devices share instants: each device's alert comes out."""
+    text = td.reading_text(td.at_full_hours(td.sample_readings(spark, sf)))
+    stream, delay = _replayed(spark, text, "shared")
+    return spark.read.parquet(_written(spark, S.alert_stream(stream, P, delay), "stream_shared"))
 
 
 def q_stream_restart(spark, sf):
-    """Stop after part of the input, add the rest, restart on the same checkpoint:
+    """Stopped in the middle of the input and started again on the same checkpoint:
     every alert is emitted exactly once."""
     text = td.reading_text(td.sample_readings(spark, sf))
-    src = work_path(spark, "replay_restart")
-    sec = F.col("ts")
-    bounds = text.agg(F.min(sec), F.max(sec)).first()
-    mid = bounds[0] + (bounds[1] - bounds[0]) / 2
-    first, rest = text.filter(F.col("ts") < mid), text.filter(F.col("ts") >= mid)
+    stream, delay = _replayed(spark, text, "restart")
     out, ck = _dirs(spark, "stream_restart")
-    rp = S.replay(spark, first, src, N_SLICES // 2)
-    S.run_to_files(S.alert_stream(S.source(spark, rp), P, rp.delay), out, ck)
-    rp2 = S.replay(spark, rest, src, N_SLICES // 2)
-    S.run_to_files(S.alert_stream(S.source(spark, rp2), P, max(rp.delay, rp2.delay, key=lambda d: int(d.split()[0]))),
-                   out, ck)
+    first = S.run_to_files(S.alert_stream(stream, P, delay), out, ck, trigger={"processingTime": "0 seconds"})
+    while first.isActive and not any(x["numInputRows"] for x in first.recentProgress):
+        time.sleep(0.05)
+    first.stop()
+    S.run_to_files(S.alert_stream(stream, P, delay), out, ck)
     return spark.read.parquet(out)
 
 
 def q_stream_late_drop(spark, sf):
-    out, ck = _dirs(spark, "stream_late")
-    stream, delay = _replayed(spark, td.readings(spark, sf), "readings")
-    S.run_foreach_batch(S.daily_counts_stream(stream, delay), out, ck)
+    """Some rows of the first quarter arrive with the last one, behind the watermark: they are not counted."""
+    stream, delay = _replayed(spark, td.readings(spark, sf), "late", late=F.col("event_id") % 50 == 0)
+    out = _written(spark, S.daily_counts_stream(stream, delay), "stream_late", S.run_foreach_batch)
     return S.latest_per_key(spark, out, ["device_id", "day"])
 
 
 def q_stream_conflate(spark, sf):
     """One refresh per device and event-time tick with its newest sample."""
-    out, ck = _dirs(spark, "stream_conflate")
     stream, delay = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
-    S.run_foreach_batch(S.conflate_stream(stream, P, delay), out, ck)
+    out = _written(spark, S.conflate_stream(stream, P, delay), "stream_conflate", S.run_foreach_batch)
     return S.latest_per_key(spark, out, ["device_id", "tick_start"])
 
 
 def q_stream_device_state(spark, sf):
     mixed = S.mixed_feed(monitor.valid_samples(td.sample_readings(spark, sf)), td.source_status(spark, sf))
-    out, ck = _dirs(spark, "stream_state")
-    S.run_to_files(S.device_state_stream(_replayed(spark, mixed, "mixed")[0], P), out, ck)
-    return spark.read.parquet(out)
+    stream, delay = _replayed(spark, mixed, "mixed", key="event_id", end_after_s=60)
+    return spark.read.parquet(_written(spark, S.device_state_stream(stream, P, delay), "stream_state"))
 
 
 def q_stream_counters(spark, sf):
     mixed = S.mixed_feed(monitor.valid_samples(td.sample_readings(spark, sf)), td.source_status(spark, sf), None)
-    out, ck = _dirs(spark, "stream_counters")
-    S.run_foreach_batch(S.counters_stream(_replayed(spark, mixed, "mixed_all")[0], P), out, ck)
+    stream, delay = _replayed(spark, mixed, "mixed_all", key="event_id", end_after_s=60)
+    out = _written(spark, S.counters_stream(stream, P, delay), "stream_counters", S.run_foreach_batch)
     return S.latest_per_key(spark, out, ["device_id"])
 
 
 def q_stream_recent_alerts(spark, sf):
-    out, ck = _dirs(spark, "stream_recent")
     stream, delay = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
-    S.run_foreach_batch(S.sliding_alerts_stream(stream, P.recent_horizon_s, 3600, P, delay), out, ck)
+    out = _written(spark, S.sliding_alerts_stream(stream, P.recent_horizon_s, 3600, P, delay), "stream_recent", S.run_foreach_batch)
     return S.latest_per_key(spark, out, ["device_id", "window_start"])
 
 
@@ -103,43 +110,53 @@ def q_stream_route_events(spark, sf):
     (stream.writeStream.foreachBatch(S.route_batch(out)).option("checkpointLocation", ck)
      .trigger(availableNow=True).start().awaitTermination())
     routed = None
-    for t in ("log", "macro", "status", "micro"):
-        try:
-            part = spark.read.parquet(f"{out}/{t}")
-        except Exception:  # noqa: BLE001  (a handler that received nothing has no folder)
-            continue
+    for t in ("log", "macro", "status", "micro"):  # every handler has a folder, an empty one if it got nothing
+        part = spark.read.schema(log.schema).parquet(f"{out}/{t}/batch=*")
         part = part.groupBy(F.lit(t).alias("handler"), "level").agg(F.count(F.lit(1)).alias("n_events"))
         routed = part if routed is None else routed.unionByName(part)
     return routed
 
 
 def q_stream_recent_alerts_exact(spark, sf):
-    out, ck = _dirs(spark, "stream_recent_exact")
-    stream, _ = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid")
-    S.run_to_files(S.recent_alerts_exact_stream(stream, P), out, ck)
-    return spark.read.parquet(out)
+    """Counts at samples (event_id) and at the moments an alert leaves the horizon (event_id null)."""
+    stream, delay = _replayed(spark, monitor.valid_samples(td.readings(spark, sf)), "valid", key="event_id",
+                              end_after_s=2 * P.recent_horizon_s)
+    return spark.read.parquet(_written(spark, S.recent_alerts_exact_stream(stream, P, delay), "stream_recent_exact"))
 
 
-def q_stream_macro_counts(spark, sf):
-    out, ck = _dirs(spark, "stream_macro")
-    S.run_foreach_batch(S.macro_counts_stream(_replayed(spark, td.readings(spark, sf), "readings")[0]), out, ck,
-                        mode="complete")
-    return S.latest_per_key(spark, out, ["device_id"])
+def q_stream_mute_windows(spark, sf):
+    stream, delay = _replayed(spark, td.mute_toggles(spark, sf), "presses", key="event_id", end_after_s=2 * P.mute_s)
+    return spark.read.parquet(_written(spark, S.mute_windows_stream(stream, P, delay), "stream_mute"))
 
 
-def q_stream_upsert(spark, sf):
-    """Keyed upsert driven by a stream: each micro-batch is one idempotent upsert."""
-    r = td.readings(spark, sf).withColumn("row_key", F.date_format("ts", "yyyy-MM-dd HH:00:00.000000"))
-    table = work_path(spark, "stream_wave")
-    ck = work_path(spark, "stream_wave_ckpt")
+def q_stream_event_log(spark, sf):
+    stream, delay = _replayed(spark, td.monitor_feed(spark, sf), "feed", key="event_id", end_after_s=60)
+    out = _written(spark, S.event_log_stream(stream, P, delay), "stream_log")
+    return spark.read.parquet(out).select(
+        "device_id", "ts", "seq", "event_id", "tag", "level", "message", "source", "online", "normal", "anomaly", "muted", "line")
+
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        cells = td.inject_cell_faults(wide.unpivot_cells(batch, F.col("row_key"), "event_id"))
-        wide.upsert_cells(batch.sparkSession, table, cells, batch_id)
+def _hour_cells(batch: DataFrame) -> DataFrame:
+    return td.inject_cell_faults(wide.unpivot_cells(batch, F.date_format("ts", "yyyy-MM-dd HH:00:00.000000"), "event_id"))
 
-    (_replayed(spark, r, "upsert", key="row_key")[0].writeStream.foreachBatch(sink).option("checkpointLocation", ck)
+
+def _upserted(spark, sf, name):
+    """Readings streamed into the keyed table, keys by the hour: they are written again and again."""
+    table, ck = _dirs(spark, name)
+    stream, _ = _replayed(spark, td.readings(spark, sf).withColumn("hour", F.date_trunc("hour", "ts")), name, key="hour")
+    (stream.writeStream.foreachBatch(S.upsert_sink(table, _hour_cells)).option("checkpointLocation", ck)
      .trigger(availableNow=True).start().awaitTermination())
-    return wide.read_cells(spark, table)
+    return table
+
+
+def q_stream_macro_counts(spark, sf):
+    """The batch view next to the speed view: counts over the keyed table after its overwrites."""
+    return S.batch_view(spark, _upserted(spark, sf, "stream_macro"))
+
+
+def q_stream_upsert(spark, sf):
+    """Keyed upsert driven by a stream: each micro-batch is one idempotent upsert."""
+    return wide.read_cells(spark, _upserted(spark, sf, "stream_wave"))
 
 
 def q_stream_score(spark, sf):
@@ -148,13 +165,12 @@ def q_stream_score(spark, sf):
 
     w = ml.hash_split(td.wide_features(spark, sf), "row_id")
     model_path = work_path(spark, "rf_model")
-    ml.fit_rf(w.filter(F.col("split") == "train"), td.FEATURES_W, P).write().overwrite().save(model_path)
+    ml.fit_rf(w.filter(F.col("split") == "train"), td.FEATURES_W, P, key="row_id").write().overwrite().save(model_path)
     model = PipelineModel.load(model_path)
     test = w.filter(F.col("split") == "test").drop("split", "split_bucket")
-    out, ck = _dirs(spark, "stream_score")
     scored = model.transform(_replayed(spark, test, "score", key="row_id")[0]).select("row_id", "ts", "label", "prediction")
-    S.run_to_files(scored, out, ck)
-    return spark.read.parquet(out)
+    scored = spark.read.parquet(_written(spark, scored, "stream_score"))
+    return scored.select("row_id", "ts", "label", F.col("prediction").isin(0.0, 1.0).alias("is_class"))
 
 
 STREAM_QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_stream")}
@@ -165,8 +181,17 @@ FROM PT WHERE reason IS NULL AND predn = 1.0"""
 STREAM_ORACLES = {
     "stream_alerts": _ALERTS_SQL,
     "stream_restart": _ALERTS_SQL,
-    "stream_late_drop": O.w(O.R) + """SELECT device_id, CAST(ts AS DATE) AS day, count(*) AS n_rows
-FROM R GROUP BY device_id, CAST(ts AS DATE)""",
+    "stream_alerts_shared_ts": O.w(O.R.replace("R AS (", "R0 AS ("), """R AS (
+  SELECT * REPLACE (date_trunc('hour', ts) AS ts) FROM R0 WHERE event_type NOT IN ('error', 'signup')
+  QUALIFY row_number() OVER (PARTITION BY device_id, date_trunc('hour', ts) ORDER BY event_id) = 1)""", O.TEXT)
+    + f"""SELECT event_id, device_id, {O.message('row_key', 's04n', 's10n')} AS message
+FROM PT WHERE reason IS NULL AND predn = 1.0""",
+    "stream_late_drop": O.w(O.R) + f"""SELECT device_id, CAST(ts AS DATE) AS day, count(*) AS n_rows
+FROM R, (SELECT epoch(min(ts))::BIGINT AS lo, greatest(1, (epoch(max(ts))::BIGINT - epoch(min(ts))::BIGINT) // {N_SLICES} + 1) AS width FROM R) b
+WHERE NOT (event_id % 50 = 0 AND (epoch_us(ts) // 1000000 - lo) // width = 0)
+GROUP BY device_id, CAST(ts AS DATE)""",
+    "stream_mute_windows": O.ORACLES["mute_windows"],
+    "stream_event_log": O.ORACLES["event_log"],
     "stream_device_state": O.ORACLES["device_state"],
     "stream_counters": O.w(O.R, O.VS, O.S, O.RECONNECTS) + """SELECT d.device_id,
   coalesce(a.session_alerts, 0) AS session_alerts,
@@ -183,9 +208,18 @@ GROUP BY device_id, window_start""",
   SELECT *, make_timestamp((epoch_us(ts) // {t}) * {t}) AS tick_start,
          row_number() OVER (PARTITION BY device_id, epoch_us(ts) // {t} ORDER BY ts DESC, event_id DESC) AS rn
   FROM V) z WHERE rn = 1""".format(t=P.tick_ms * 1000),
-    "stream_macro_counts": O.ORACLES["macro_counts"],
+    "stream_macro_counts": O.w(O.R, O.cells_cte("strftime(ts, '%Y-%m-%d %H:00:00.000000')"), O.PIVOT,
+                               "MV AS (SELECT row_key, TRY_CAST(pred AS FLOAT) AS pred FROM P)") + O._macro("MV", ""),
+    "stream_score": O.w(O.W) + O._TEST + "SELECT row_id, ts, label, true AS is_class FROM TS",
     "stream_route_events": O.ORACLES["route_events"],
-    "stream_recent_alerts_exact": O.ORACLES["recent_alerts_5m"],
+    "stream_recent_alerts_exact": O.w(O.R, O.V, f"""A AS (
+  SELECT device_id, epoch_us(ts) AS us FROM V WHERE pred = 1.0),
+Q AS (
+  SELECT event_id, device_id, epoch_us(ts) AS us FROM V
+  UNION ALL SELECT DISTINCT CAST(NULL AS BIGINT), device_id, us + {P.recent_horizon_s * 1000000 + 1} FROM A)""") + f"""
+SELECT Q.event_id, Q.device_id, make_timestamp(Q.us) AS ts, count(A.us) AS recent_alerts
+FROM Q LEFT JOIN A ON A.device_id = Q.device_id AND A.us BETWEEN Q.us - {P.recent_horizon_s * 1000000} AND Q.us
+GROUP BY Q.event_id, Q.device_id, Q.us""",
     "stream_upsert": O.w(O.R, O.cells_cte("strftime(ts, '%Y-%m-%d %H:00:00.000000')", "R", "C")) + """
 SELECT row_key, family, qualifier, value, version FROM (
   SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version DESC) AS rn FROM C) z

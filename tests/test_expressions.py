@@ -73,3 +73,16 @@ def test_epoch_micros_is_zone_free(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     expect = int((datetime(2024, 3, 10, 2, 30, 0, 123456) - datetime(1970, 1, 1)).total_seconds() * 1e6)
     assert abs(got - expect) <= 1 and not math.isnan(got)
+
+
+def test_fixed1_of_huge_values_does_not_fail(spark):
+    vals = [9e17, 1e18, 1e19, 4503599627370496.0, -4503599627370497.0, 1e30, float("inf")]
+    got = _fixed1_spark(spark, vals)
+    assert got[:5] == [f"{v:.1f}" for v in vals[:5]] and got[5] == "1" + "0" * 30 + ".0" and got[6] == "inf"
+
+
+def test_epoch_micros_is_exact(spark):
+    from datetime import datetime, timedelta
+    ts = [datetime(1970, 1, 1), datetime(2024, 2, 29, 23, 59, 59, 999999), datetime(1969, 12, 31, 23, 59, 59, 1), datetime(2024, 3, 10, 2, 30, 0, 7)]
+    df = spark.createDataFrame([(t,) for t in ts], "ts timestamp_ntz")
+    assert [r[0] for r in df.select(X.epoch_micros("ts")).collect()] == [(t - datetime(1970, 1, 1)) // timedelta(microseconds=1) for t in ts]

@@ -122,3 +122,48 @@ def test_hot_key_is_spread_over_partitions(spark):
     hot = sum(r["count"] for r in parts)
     assert n_plain == 1
     assert len(parts) >= 6 and max(r["count"] for r in parts) < 0.3 * hot
+
+
+def test_null_keys_and_times_are_kept(spark):
+    from datetime import datetime, timedelta
+
+    from pumpline.config import DEFAULT_PARAMS as D
+    from pumpline.operators import monitor
+    t0 = datetime(2024, 1, 1)
+    rows = [(1, 1, t0, 1.0), (2, None, t0, 1.0), (3, None, t0 + timedelta(hours=5), 1.0), (4, 1, None, 1.0), (5, 1, t0 + timedelta(hours=5), 1.0)]
+    df = spark.createDataFrame(rows, "event_id long, device_id long, ts timestamp_ntz, pred double")
+    assert {r.event_id: r.session_alerts for r in monitor.session_alerts(df, D).collect()} == {4: 1, 1: 2, 5: 3, 2: 1, 3: 2}
+    assert {r.event_id: r.recent_alerts for r in monitor.recent_alerts(df, D).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1}
+    assert {r.event_id: r.recent_alerts for r in monitor.recent_alerts(df, D, by=()).collect()} == {1: 2, 2: 2, 3: 2, 4: 1, 5: 2}
+    assert {r.event_id: r.session_alerts for r in monitor.session_alerts(df, D, by=()).collect()}[4] == 1
+    d = df.withColumn("poll_key", F.lit("k"))
+    assert sorted(r.event_id for r in monitor.dedupe_consecutive(d, "poll_key", D).collect()) == [2, 4]
+
+
+def test_a_hot_hour_is_spread_without_keys(spark):
+    """90 % of the rows in one hour: no range bucket holds more than a set share."""
+    from datetime import datetime, timedelta
+
+    from pumpline.plans import sequencing as Q
+    t0 = datetime(2024, 1, 1)
+    rows = [(i, t0 + (timedelta(milliseconds=i) if i % 10 else timedelta(days=i // 100))) for i in range(8000)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in Q.with_bucket(df, "ts", 3600, (), ["ts", "event_id"]).groupBy(Q.B).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 8000 and max(sizes) < 0.25 * 8000
+
+
+def test_trailing_sum_without_keys_matches_brute_force(spark):
+    import random
+    from datetime import datetime, timedelta
+
+    from pumpline.plans import sequencing as Q
+    rnd, t0 = random.Random(1), datetime(2024, 1, 1)
+    rows = [(i, t0 + timedelta(seconds=rnd.randint(0, 400)), rnd.randint(0, 2)) for i in range(300)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, v long")
+    got = {r.event_id: r.s for r in Q.trailing_sum(df, [], "ts", "v", 60, 60, "s").collect()}
+    for i, t, _ in rows:
+        assert got[i] == sum(v for _, u, v in rows if t - timedelta(seconds=60) <= u <= t)

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 from pumpline.session import work_path
 from pumpline.streaming import pipelines as S
+from pumpline.streaming.replay import Replay, source
 
 SCHEMA = "event_id long, device_id long, ts timestamp_ntz, pred double, s04 double, s10 double"
 T0 = datetime(2024, 1, 10)
@@ -15,36 +16,58 @@ def _append(spark, path, rows):
 
 def test_late_rows_behind_the_watermark_are_dropped(spark):
     src, out, ck = work_path(spark, "late_src"), work_path(spark, "late_out"), work_path(spark, "late_ck")
-    rp = S.Replay(src, spark.createDataFrame([], SCHEMA).schema, 1, "1 hour")
+    rp = Replay(src, spark.createDataFrame([], SCHEMA).schema, 1, "1 hour", 3600)
     _append(spark, src, [(1, 7, T0, 0.0, 1.0, 1.0), (2, 7, T0 + timedelta(days=2), 0.0, 1.0, 1.0)])
-    S.run_foreach_batch(S.daily_counts_stream(S.source(spark, rp), rp.delay), out, ck)
+    S.run_foreach_batch(S.daily_counts_stream(source(spark, rp), rp.delay), out, ck)
     # a row for a day long behind the watermark, and one inside the open window
     _append(spark, src, [(3, 7, T0, 0.0, 1.0, 1.0), (4, 7, T0 + timedelta(days=2, hours=1), 0.0, 1.0, 1.0)])
-    S.run_foreach_batch(S.daily_counts_stream(S.source(spark, rp), rp.delay), out, ck)
+    S.run_foreach_batch(S.daily_counts_stream(source(spark, rp), rp.delay), out, ck)
     got = {str(r.day): r.n_rows for r in S.latest_per_key(spark, out, ["device_id", "day"]).collect()}
     assert got == {"2024-01-10": 1, "2024-01-12": 2}
 
 
 def test_exact_recent_alerts_state_survives_restart(spark):
     src, out, ck = work_path(spark, "rec_src"), work_path(spark, "rec_out"), work_path(spark, "rec_ck")
-    rp = S.Replay(src, spark.createDataFrame([], SCHEMA).schema, 1, "1 hour")
+    rp = Replay(src, spark.createDataFrame([], SCHEMA).schema, 1, "1 hour", 3600)
     from pumpline.config import DEFAULT_PARAMS as D
     _append(spark, src, [(1, 7, T0, 1.0, 1.0, 1.0), (2, 7, T0 + timedelta(seconds=200), 1.0, 1.0, 1.0)])
-    S.run_to_files(S.recent_alerts_exact_stream(S.source(spark, rp), D), out, ck)
-    # new query run on the same checkpoint: the alert times come back from the state store
-    _append(spark, src, [(3, 7, T0 + timedelta(seconds=300), 0.0, 1.0, 1.0),
-                         (4, 7, T0 + timedelta(seconds=501), 0.0, 1.0, 1.0)])
-    S.run_to_files(S.recent_alerts_exact_stream(S.source(spark, rp), D), out, ck)
-    got = {r.event_id: r.recent_alerts for r in spark.read.parquet(out).collect()}
-    assert got == {1: 1, 2: 2, 3: 2, 4: 0}
+    S.run_to_files(S.recent_alerts_exact_stream(source(spark, rp), D), out, ck)
+    # new query run on the same checkpoint: what waits and the alert times come back from the state store
+    _append(spark, src, [(4, 7, T0 + timedelta(seconds=501), 0.0, 1.0, 1.0)])
+    _append(spark, src, [(3, 7, T0 + timedelta(seconds=300), 0.0, 1.0, 1.0)])  # arrives after a younger row
+    _append(spark, src, [(None, None, T0 + timedelta(hours=3), None, None, None)])  # moves the watermark
+    S.run_to_files(S.recent_alerts_exact_stream(source(spark, rp), D), out, ck)
+    rows = spark.read.parquet(out).collect()
+    assert {r.event_id: r.recent_alerts for r in rows if r.event_id} == {1: 1, 2: 2, 3: 2, 4: 0}
+    # the count falls without new rows, one microsecond after an alert is 300 s old
+    assert sorted((r.ts, r.recent_alerts) for r in rows if not r.event_id) == [
+        (T0 + timedelta(seconds=300, microseconds=1), 1), (T0 + timedelta(seconds=500, microseconds=1), 0)]
+
+
+def test_rows_behind_the_watermark_do_not_disturb_the_state(spark):
+    src, out, ck = work_path(spark, "st_src"), work_path(spark, "st_out"), work_path(spark, "st_ck")
+    schema = "device_id long, ts timestamp_ntz, event_id long, _kind int, source string, online boolean, pred double, s04 double, s10 double"
+    rp = Replay(src, spark.createDataFrame([], schema).schema, 1, "1 minute", 60)
+
+    def add(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(src)
+
+    add((1, T0 + timedelta(seconds=5), 1, 1, None, None, 0.0, 1.0, 1.0), (1, T0, 2, 0, "speed", False, None, None, None))
+    add((None, T0 + timedelta(hours=1), None, None, None, None, None, None, None))
+    add((None, T0 + timedelta(hours=1, seconds=1), None, None, None, None, None, None, None))
+    add((1, T0 + timedelta(seconds=1), 3, 0, "speed", True, None, None, None))  # late: would have made it NORMAL
+    add((1, T0 + timedelta(hours=2), 4, 1, None, None, 0.0, 1.0, 1.0))
+    add((None, T0 + timedelta(hours=4), None, None, None, None, None, None, None))
+    S.run_to_files(S.device_state_stream(source(spark, rp), delay=rp.delay), out, ck)
+    assert {r.event_id: r.state for r in spark.read.parquet(out).collect()} == {1: "INTERRUPTED", 4: "INTERRUPTED"}
 
 
 def test_periodic_trigger_runs_until_stopped(spark):
     from pumpline.operators import monitor
     src, out, ck = work_path(spark, "per_src"), work_path(spark, "per_out"), work_path(spark, "per_ck")
-    rp = S.Replay(src, spark.createDataFrame([], SCHEMA).schema, 1, "1 hour")
+    rp = Replay(src, spark.createDataFrame([], SCHEMA).schema, 1, "1 hour", 3600)
     _append(spark, src, [(1, 7, T0, 0.0, 1.0, 1.0), (2, 7, T0, 1.0, 1.0, 1.0)])
-    q = S.run_foreach_batch(monitor.macro_counts(S.source(spark, rp)), out, ck, mode="complete",
+    q = S.run_foreach_batch(monitor.macro_counts(source(spark, rp)), out, ck, mode="complete",
                             trigger={"processingTime": "1 second"})
     try:
         q.processAllAvailable()
@@ -57,11 +80,11 @@ def test_periodic_trigger_runs_until_stopped(spark):
 
 def test_conflate_batches_one_refresh_per_device_and_batch(spark):
     src, out, ck = work_path(spark, "cf_src"), work_path(spark, "cf_out"), work_path(spark, "cf_ck")
-    rp = S.Replay(src, spark.createDataFrame([], SCHEMA).schema, 1, "1 hour")
+    rp = Replay(src, spark.createDataFrame([], SCHEMA).schema, 1, "1 hour", 3600)
     _append(spark, src, [(1, 7, T0, 0.0, 1.0, 1.0), (2, 7, T0 + timedelta(seconds=5), 1.0, 2.0, 2.0),
                          (3, 8, T0, 0.0, 3.0, 3.0)])
     _append(spark, src, [(4, 7, T0 + timedelta(seconds=9), 0.0, 4.0, 4.0)])
-    (S.source(spark, rp).writeStream.foreachBatch(S.conflate_batches(out)).option("checkpointLocation", ck)
+    (source(spark, rp).writeStream.foreachBatch(S.conflate_batches(out)).option("checkpointLocation", ck)
      .trigger(availableNow=True).start().awaitTermination())
     got = sorted((r.batch, r.device_id, r.event_id) for r in spark.read.parquet(out).collect())
     assert got == [(0, 7, 2), (0, 8, 3), (1, 7, 4)]

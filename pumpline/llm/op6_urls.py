@@ -3,8 +3,10 @@
 Rules decide the pages they fit.  Each host starts with as much trust as it has
 pages allowed by a rule and as much distrust as it has pages blocked by one.
 Personalised PageRank spreads trust along links and distrust against them (a host
-that links to distrusted hosts is suspect).  A page without a rule is blocked if
-its host's distrust exceeds its trust and reaches half of its pages, else allowed.
+that links to distrusted hosts is suspect).  The same two walks with every page as
+a seed give what a host could have at most; the quotients are its relative trust
+and distrust, between 0 and 1.  A page without a rule is blocked if its host's
+relative distrust is at least ``SHARE`` and exceeds its relative trust, else allowed.
 
 Links are counted per pair of hosts before anything else; relative links stay
 with their host.  Each round is two joins on saved tables and one sum, so a hub's
@@ -74,7 +76,10 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def host_scores(spark: SparkSession, pages: DataFrame, rules=RULES, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, pages, trust, distrust) of every host that has pages or links."""
+    """(host, trust, trust_all, distrust, distrust_all) of every host that has pages or links.
+
+    The ``_all`` columns are the same walks with every page as a seed.
+    """
     seeds = judged_pages(pages, rules).groupBy("host").agg(
         F.count(F.lit(1)).alias("pages"), F.count_if(F.col("rule_verdict") == "allow").alias("good"),
         F.count_if(F.col("rule_verdict") == "block").alias("bad"))
@@ -86,22 +91,23 @@ def host_scores(spark: SparkSession, pages: DataFrame, rules=RULES, rounds: int
     targets = links.select(F.col("dst").alias("host")).distinct()
     seeds = save(spark, seeds.join(targets, "host", "full").select(
         "host", *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in ("pages", "good", "bad")]), "host-seeds")
-    state = seeds.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust"))
+    start = {"trust": "good", "trust_all": "pages", "distrust": "bad", "distrust_all": "pages"}
+    state = seeds.select("host", *[F.col(s).alias(c) for c, s in start.items()])
     for _ in range(rounds):
-        down = state.join(links, state.host == links.src).select(F.col("dst").alias("host"), (F.col("trust") * F.col("along")).alias("t"), F.lit(0.0).alias("d"))
-        up = state.join(links, state.host == links.dst).select(F.col("src").alias("host"), F.lit(0.0).alias("t"), (F.col("distrust") * F.col("against")).alias("d"))
-        got = down.unionByName(up).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
-        state = save(spark, seeds.join(got, "host", "left").select(
-            "host", (F.col("good") * (1 - damping) + F.coalesce("t", F.lit(0.0)) * damping).alias("trust"),
-            (F.col("bad") * (1 - damping) + F.coalesce("d", F.lit(0.0)) * damping).alias("distrust")), "host-state")
-    return seeds.select("host", "pages").join(state, "host")
+        move = lambda on, to, share, which: state.join(links, state.host == links[on]).select(
+            F.col(to).alias("host"), *[(F.col(c) * F.col(share) if c.startswith(which) else F.lit(0.0)).alias(c) for c in start])
+        got = move("src", "dst", "along", "trust").unionByName(move("dst", "src", "against", "distrust"))
+        got = got.groupBy("host").agg(*[F.sum(c).alias(f"got_{c}") for c in start])
+        state = save(spark, seeds.join(got, "host", "left").select("host", *[
+            (F.col(s) * (1 - damping) + F.coalesce(f"got_{c}", F.lit(0.0)) * damping).alias(c) for c, s in start.items()]), "host-state")
+    return state
 
 
 def digest(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Contract columns: page_id, host, path, rule, verdict."""
     scores = host_scores(spark, pages)
-    blocked = save(spark, scores.select("host", ((F.round("distrust", 6) > F.round("trust", 6))
-                   & (F.round("distrust", 6) >= F.round(F.col("pages") * SHARE, 6))).alias("blocked")), "host-verdicts")
+    relative = lambda c: F.round(F.coalesce(F.try_divide(F.col(c), F.col(f"{c}_all")), F.lit(0.0)), 6)
+    blocked = save(spark, scores.select("host", ((relative("distrust") > relative("trust")) & (relative("distrust") >= SHARE)).alias("blocked")), "host-verdicts")
     rows = judged_pages(pages)
     return rows.join(blocked, "host").select(
         "page_id", "host", "path", "rule",
@@ -119,11 +125,10 @@ def oracle(rules=RULES, rounds: int = ROUNDS, damping: float = DAMPING) -> str:
     steps = []
     for k in range(rounds):
         steps.append(f"""
-g{k} AS (SELECT host, SUM(t) AS t, SUM(d) AS d FROM (
-  SELECT l.dst AS host, s.trust * l.along AS t, 0.0::DOUBLE AS d FROM s{k} s JOIN l ON s.host = l.src
-  UNION ALL SELECT l.src, 0.0, s.distrust * l.against FROM s{k} s JOIN l ON s.host = l.dst) GROUP BY host),
-s{k + 1} AS (SELECT h.host, h.good * {1 - damping!r}::DOUBLE + COALESCE(g.t, 0) * {damping!r}::DOUBLE AS trust,
-  h.bad * {1 - damping!r}::DOUBLE + COALESCE(g.d, 0) * {damping!r}::DOUBLE AS distrust FROM h LEFT JOIN g{k} g USING (host))""")
+g{k} AS (SELECT host, SUM(t) AS t, SUM(ta) AS ta, SUM(d) AS d, SUM(da) AS da FROM (
+  SELECT l.dst AS host, s.trust * l.along AS t, s.trust_all * l.along AS ta, 0.0::DOUBLE AS d, 0.0::DOUBLE AS da FROM s{k} s JOIN l ON s.host = l.src
+  UNION ALL SELECT l.src, 0.0, 0.0, s.distrust * l.against, s.distrust_all * l.against FROM s{k} s JOIN l ON s.host = l.dst) GROUP BY host),
+s{k + 1} AS (SELECT h.host, {", ".join(f"h.{a} * {1 - damping!r}::DOUBLE + COALESCE(g.{b}, 0) * {damping!r}::DOUBLE AS {c}" for a, b, c in (("good", "t", "trust"), ("pages", "ta", "trust_all"), ("bad", "d", "distrust"), ("pages", "da", "distrust_all")))} FROM h LEFT JOIN g{k} g USING (host))""")
     return f"""
 WITH u AS (SELECT page_id, html, COALESCE(url, '') AS url FROM pages),
 p0 AS (SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN {host.format('url')} ELSE '' END AS host,
@@ -137,8 +142,8 @@ l AS MATERIALIZED (SELECT src, dst, n / SUM(n) OVER (PARTITION BY src) AS along,
 h AS MATERIALIZED (SELECT host, MAX(pages) AS pages, MAX(good) AS good, MAX(bad) AS bad FROM (
   SELECT host, COUNT(*)::DOUBLE AS pages, COUNT(*) FILTER (rv = 'allow')::DOUBLE AS good, COUNT(*) FILTER (rv = 'block')::DOUBLE AS bad FROM p GROUP BY host
   UNION ALL SELECT DISTINCT dst, 0.0, 0.0, 0.0 FROM l) GROUP BY host),
-s0 AS (SELECT host, good AS trust, bad AS distrust FROM h),{",".join(steps)}
-SELECT p.page_id, p.host, p.path, p.rule, COALESCE(p.rv, CASE WHEN ROUND(s.distrust, 6) > ROUND(s.trust, 6)
-  AND ROUND(s.distrust, 6) >= ROUND(h.pages * {SHARE}, 6) THEN 'block' ELSE 'allow' END) AS verdict
-FROM p JOIN s{rounds} s USING (host) JOIN h USING (host)
+s0 AS (SELECT host, good AS trust, pages AS trust_all, bad AS distrust, pages AS distrust_all FROM h),{",".join(steps)}
+SELECT p.page_id, p.host, p.path, p.rule, COALESCE(p.rv, CASE WHEN r.d > r.t AND r.d >= {SHARE} THEN 'block' ELSE 'allow' END) AS verdict
+FROM p JOIN (SELECT host, ROUND(COALESCE(trust / NULLIF(trust_all, 0), 0), 6) AS t, ROUND(COALESCE(distrust / NULLIF(distrust_all, 0), 0), 6) AS d
+             FROM s{rounds}) r USING (host)
 """

@@ -49,7 +49,7 @@ HIDDEN = 16
 TAGS = 1 + 2 * len(KINDS)  # nothing, then begin and inside of each kind
 TRAIN_WINDOWS = 2000
 EPOCHS = 8
-MIN_CONFIDENCE = 0.75
+MIN_CONFIDENCE = 0.6
 MIN_SPAN = 7
 RUN = 2048  # windows run through the network at once
 
@@ -362,9 +362,13 @@ def training_windows(spark: SparkSession, docs: DataFrame, most: int = TRAIN_WIN
             text, spans, has = [], [], []
             for t in b.column(0).to_pylist():
                 base = base_spans(t)
+                # a phone pattern that ran on into other digits says nothing about the phone in it
+                unclear = [m.span() for m in PHONE.finditer(t) if sum(c.isdigit() for c in m[0]) > 15] if "+" in t else []
                 for first, last in stretches(t):
                     for w in range(first, last + 1):
                         lo, hi = w * STRIDE, w * STRIDE + WINDOW
+                        if any(a < hi and b_ > lo for a, b_ in unclear):
+                            continue
                         own = [(a - lo, k, min(b_, hi) - lo) for a, k, b_ in base if a < hi and b_ > lo]
                         text.append(t[lo:hi])
                         spans.append(";".join(f"{a}:{k}:{b_}" for a, k, b_ in own))

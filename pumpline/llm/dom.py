@@ -3,7 +3,8 @@
 Block elements become nodes; inline elements add their text to the block around
 them.  Scripts, styles, templates, form controls, the head's contents and
 comments never give text.  Missing end tags are closed the usual way (a block
-closes an open paragraph, an item closes the one before).
+closes an open paragraph, an item closes the one before); a tag that the page's
+end cuts off is dropped.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 #: An element that ends what may be closed by SAME.
 LIST = frozenset("ul ol menu dl table".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^>]*\Z", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 SPACE = re.compile(r"\s+")
 

@@ -52,8 +52,9 @@ OWN_ENERGY = 16.0
 MAX_SHARE = 0.01
 FEW_TERMS = 4
 
-#: Words and bytes handled at once, which bounds a task's arrays.
+#: Words, tiles and bytes handled at once, which bounds a task's arrays.
 WORDS = 1 << 12
+TILES = 1 << 14
 BYTES = 1 << 20
 
 MIN_COSINE = 0.35
@@ -144,13 +145,15 @@ class Space:
         return full, np.add.reduceat(np.where(col >= 0, w * w, 0), starts)
 
     def project(self, col: np.ndarray, starts: np.ndarray, want: np.ndarray | None = None) -> np.ndarray:
-        """Latent vectors of the tiles (of those in ``want``, the others are zero), ``WORDS`` words at a time."""
-        out = np.zeros((len(starts), self.basis.shape[1]), np.float32)
+        """Latent vectors of the tiles, or of those in ``want`` only, ``WORDS`` words at a time."""
         inside = (col >= 0) & (self.weight[col] > 0)
         if want is not None:
             inside &= np.repeat(want, np.diff(np.append(starts, len(col))))
         inside = np.flatnonzero(inside)
         tile = np.searchsorted(starts, inside, side="right") - 1
+        if want is not None:
+            tile = (np.cumsum(want) - 1)[tile]
+        out = np.zeros((len(starts) if want is None else int(want.sum()), self.basis.shape[1]), np.float32)
         for lo in range(0, len(inside), WORDS):
             c, t = col[inside[lo:lo + WORDS]], tile[lo:lo + WORDS]
             first = np.flatnonzero(np.diff(t, prepend=-1))
@@ -173,8 +176,8 @@ class Space:
         want = np.zeros(len(starts), bool)
         want[at] = True
         want[nxt[at[pair[at]]]] = True
-        v = self.project(col, starts, want)
-        out = v[at] + np.where(pair[at, None], v[nxt[at]], 0)
+        v, row = self.project(col, starts, want), np.cumsum(want) - 1
+        out = v[row[at]] + np.where(pair[at, None], v[row[nxt[at]]], 0)
         return out / np.sqrt(np.maximum(full[at], 1e-12))[:, None], starts[at], text[at], h, n_words
 
 
@@ -204,7 +207,11 @@ def singular_vectors(docs: DataFrame, space: Space, bench: list[bytes], n_tiles:
         for b in batches:
             for texts in _texts(b):
                 h, n_words = word_hashes(texts)
-                product(h, tile_starts(n_words)[0], z)
+                starts = tile_starts(n_words)[0]
+                for lo in range(0, len(starts), TILES):  # a very long text is many steps
+                    s = starts[lo:lo + TILES]
+                    end = starts[lo + TILES] if lo + TILES < len(starts) else len(h)
+                    product(h[s[0]:end], s - s[0], z)
         used = np.flatnonzero(np.abs(z).sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(z[used, j]) for j in range(dims)]],
                                          ["term", *[f"z{j}" for j in range(dims)]])

@@ -89,6 +89,19 @@ def test_planted_passages_and_paraphrases(spark, frame):
     assert {r.doc_id for r in kept.collect()} == {r[0] for r in rows} - {d for d, _ in got}
 
 
+def test_small_steps_change_nothing(spark, frame, monkeypatch):
+    rows, bench, _ = planted(spark)
+    docs, items = frame(rows), frame(bench, BENCH)
+    one = {(r.doc_id, r.item_id) for r in D.digest(spark, docs, items).collect()}
+    index = D.indexes(spark, docs, items)[0]
+    texts = [r[1].encode() for r in rows]
+    whole = index.hits(texts)
+    for name, n in (("WORDS", 7), ("TILES", 3), ("BYTES", 500)):
+        monkeypatch.setattr(D, name, n)
+    assert [[(a, b) for a, b, _ in x] for x in index.hits(texts)] == [[(a, b) for a, b, _ in x] for x in whole]
+    assert {(r[0], a) for r, x in zip(rows, whole) for a, _, _ in x} == one
+
+
 def test_blocks_of_items_change_nothing(spark, frame, monkeypatch):
     rows, bench, _ = planted(spark)
     docs, items = frame(rows), frame(bench[:20], BENCH)

@@ -66,6 +66,11 @@ def ngram_buckets(texts: list[str], sizes=SIZES, bits: int = BUCKET_BITS) -> tup
     return out, at
 
 
+def pieces(text: str) -> list[str]:
+    """A text in pieces of ``CHUNK`` code points, each counted like a text: memory does not follow the longest text."""
+    return [text[i:i + CHUNK] for i in range(0, len(text), CHUNK)] or [""]
+
+
 @dataclass(frozen=True)
 class Model:
     """Languages in code-point order, log prior, log P(bucket | language) by n-gram length."""
@@ -78,13 +83,14 @@ class Model:
         lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         use = [i for i, t in enumerate(texts) if t and self.langs and LETTER.search(t)]
         for part in chunks(use, lambda i: len(texts[i]), CHUNK):
-            grams, starts = ngram_buckets([texts[i] for i in part])
             total = np.tile(self.prior, (len(part), 1))
-            for n, (g, s) in enumerate(zip(grams, starts)):
-                ends = np.append(s[1:], len(g))
-                for k in range(len(self.langs)):
-                    sums = np.concatenate(([0.0], np.cumsum(self.logp[n, k][g])))
-                    total[:, k] += sums[ends] - sums[s]
+            for own in ([[texts[i] for i in part]] if len(part) > 1 else [[p] for p in pieces(texts[part[0]])]):
+                grams, starts = ngram_buckets(own)
+                for n, (g, s) in enumerate(zip(grams, starts)):
+                    ends = np.append(s[1:], len(g))
+                    for k in range(len(self.langs)):
+                        sums = np.concatenate(([0.0], np.cumsum(self.logp[n, k][g])))
+                        total[:, k] += sums[ends] - sums[s]
             best = total.argmax(axis=1)
             p = np.exp(total - total.max(axis=1, keepdims=True))
             p = 1.0 / p.sum(axis=1)
@@ -107,7 +113,7 @@ def train(spark: SparkSession, docs: DataFrame, max_langs: int = 1000) -> Model:
                 # the last entry counts the texts
                 own = sums.setdefault(lang, np.zeros(len(SIZES) * size + 1, np.int64))
                 own[-1] += len(texts)
-                for part in chunks(texts, len, CHUNK):
+                for part in chunks((p for t in texts for p in pieces(t)), len, CHUNK):
                     for n, g in enumerate(ngram_buckets(part)[0]):
                         own[n * size:(n + 1) * size] += np.bincount(g, minlength=size)
             if len(sums) > max_langs:

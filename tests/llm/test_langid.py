@@ -42,6 +42,16 @@ def test_held_out_accuracy_and_brute_force(spark):
     assert right >= 0.98 * len(rows)
 
 
+def test_long_texts_go_piece_by_piece(monkeypatch):
+    model = L.Model(("a", "b"), np.log([0.5, 0.5]), np.log(np.random.default_rng(0).random((3, 2, 1 << L.BUCKET_BITS))))
+    text = "some words in a row " * 30
+    total = model.prior + sum(model.logp[n][:, g].sum(axis=1) for p in (text[:256], text[256:512], text[512:]) for n, g in enumerate(L.ngram_buckets([p])[0]))
+    monkeypatch.setattr(L, "CHUNK", 256)
+    lang, score = model.predict(["short", text, None, "other"])
+    p = np.exp(total - total.max())
+    assert lang[1] == model.langs[int(total.argmax())] and abs(score[1] - p.max() / p.sum()) < 1e-9 and lang[2] == "und"
+
+
 def test_odd_rows(spark, odd_docs):
     got = L.digest(spark, odd_docs).collect()
     assert len(got) == 10

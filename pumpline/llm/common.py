@@ -106,12 +106,11 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, column: str, most: int) -> DataFrame:
-    """One row for each of the ``most`` smallest hashes of ``column``: a bounded sample without copies.
+    """One row (the smallest) for each of the ``most`` smallest hashes of ``column``: a bounded sample without copies.
 
     The hashes are found first (8 bytes each), so no task sends more than that.
     """
     h = F.xxhash64(column)
     first = [r[0] for r in df.select(h.alias("h")).distinct().orderBy("h").limit(most).collect()]
     rows = df.withColumn("__h", h).where(F.col("__h").isin(first) if first else F.lit(False))
-    firsts = [F.first(F.struct(*names(df))).alias("__r")]
-    return rows.groupBy("__h").agg(*firsts).orderBy("__h").select("__r.*")
+    return rows.groupBy("__h").agg(F.min(F.struct(*names(df))).alias("__r")).orderBy("__h").select("__r.*")

@@ -51,23 +51,34 @@ def fmt(c: Counter) -> str:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    import __spark_entry__ as E
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from pumpline.plans.catalog import QUERIES
 
     spark = build_session("local[4]")
     print("# PLANS — physical plan summary per batch query\n")
-    print("Generated by `scripts/plan_report.py` from each query's physical plan (initial AQE plan,")
-    print("sf0.001 tables).  Broadcast joins in this column may be sort-merge joins at scale: the")
-    print("choice is made at run time by AQE from actual sizes.  `_pl_bkt` is the time bucket of")
-    print("`plans/sequencing.py`.\n")
-    print("| query | shuffles (partitioning) | joins | window partition keys | top-N | pushed filters |")
-    print("| --- | --- | --- | --- | --- | --- |")
-    for name in sorted(E.queries()):
-        if name.startswith("stream_") or name in ("rf_train", "score_all", "score_holdout", "confusion"):
-            continue
-        df = E.queries()[name](spark, sf)
-        s = summarize(df._jdf.queryExecution().executedPlan().toString())
-        print(f"| `{name}` | {fmt(s['ex'])} | {fmt(s['joins'])} | {fmt(s['wins'])} | {fmt(s['limits'])} | "
-              f"{'; '.join(s['pushed'])[:200].replace('|', '/') or '–'} |")
+    print("Generated by `scripts/plan_report.py` from each query's physical plans (initial AQE plans,")
+    print("sf0.001 tables): the returned frame's, and those of the tables it writes on the way (rows")
+    print("marked with their number).  Broadcast joins in this column may be sort-merge joins at")
+    print("scale: the choice is made at run time by AQE from actual sizes.  `_pl_key` is the struct of")
+    print("keys and bucket of `plans/sequencing.py`, `_pl_bkt` the bucket.\n")
+    print("| query | scans | shuffles (partitioning) | joins | window partition keys | top-N | pushed filters |")
+    print("| --- | --- | --- | --- | --- | --- | --- |")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    written: list[str] = []
+    for method in ("parquet", "csv", "text", "save"):
+        def wrapped(self, *args, _was=getattr(DataFrameWriter, method), **kw):
+            written.append(plan(self._df))
+            return _was(self, *args, **kw)
+        setattr(DataFrameWriter, method, wrapped)
+    for name, query in sorted(QUERIES.items()):
+        written.clear()
+        last = plan(query(spark, sf))
+        for k, text in enumerate([last, *written]):
+            s = summarize(text)
+            label = f"`{name}`" if not k else f"— written {k}"
+            print(f"| {label} | {text.count('FileScan')} | {fmt(s['ex'])} | {fmt(s['joins'])} | {fmt(s['wins'])} | {fmt(s['limits'])} | "
+                  f"{'; '.join(s['pushed'])[:200].replace('|', '/') or '–'} |")
 
 
 if __name__ == "__main__":

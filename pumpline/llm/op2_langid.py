@@ -163,8 +163,12 @@ def digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
             .select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score")))
 
 
-def keep_identified(spark: SparkSession, docs: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """Documents whose language is identified with at least ``min_score``; the columns of ``docs``."""
+def keep_identified(spark: SparkSession, docs: DataFrame, min_score: float = 0.0) -> DataFrame:
+    """Documents whose language is identified, with at least ``min_score``; the columns of ``docs``.
+
+    By default only texts without a language go: a short text that several
+    languages share is clean, however low its best posterior.
+    """
     ready(spark)
     model = train(spark, docs.where(crc_mod(F.col("doc_id"), 4) != 2))
     p = predictor(spark, model)(F.col("text"))

@@ -22,7 +22,7 @@ does not show; an empty table gives no rows.  No Python runs on the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pumpline.llm.common import WORD, names, save
@@ -54,6 +54,12 @@ def targets(totals: DataFrame, weights=WEIGHTS, most: int = MOST_TIMES) -> DataF
     return t.select("source", "source_size", F.when(F.col("capped"), F.col("cap")).otherwise(F.least("cap", free)).alias("target"))
 
 
+def _range_key(source: Column, r: Column) -> Column:
+    """Text of a source's range, never null: a struct's type would differ between a table that was saved and one that was not,
+    and the cast would cost the join and the window one shuffle each."""
+    return F.concat(r, F.when(source.isNull(), "-").otherwise(F.concat(F.lit("+"), source)))
+
+
 def mix(spark: SparkSession, docs: DataFrame, everything: bool = False) -> DataFrame:
     """One row for each row of ``docs`` (with all its columns if ``everything``): __id, __size, __source_size, __target and __taken."""
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
@@ -64,13 +70,14 @@ def mix(spark: SparkSession, docs: DataFrame, everything: bool = False) -> DataF
     ahead = Window.partitionBy("source").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranges.select(F.col("source"), "r", F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias("offset"))
                .join(goal.withColumnRenamed("source", "goal_source"), F.col("source").eqNullSafe(F.col("goal_source")))
-               .select(F.col("source").alias("__o_source"), F.col("r").alias("__o_r"), "offset", "source_size", "target"))
-    offsets = save(spark, offsets.select(*[F.col(c).alias(c if c.startswith("__") else f"__{c}") for c in offsets.columns]), "mix-offsets")
+               .select(_range_key(F.col("source"), F.col("r")).alias("__range"), *[F.col(c).alias(f"__{c}") for c in ("offset", "source_size", "target")]))
+    offsets = save(spark, offsets, "mix-offsets")
+    # source and range as one key: null-safe, and the join and the window need the same partitions
     rows = docs.select(*(names(docs) if everything else []),
-                       F.col("source").cast("string").alias("__s"), F.col("doc_id").alias("__id"), key.alias("__key"), size.alias("__size"))
-    rows = rows.withColumn("__r", F.substring("__key", 1, RANGE_DIGITS))
-    rows = rows.join(offsets, F.col("__s").eqNullSafe(F.col("__o_source")) & (F.col("__r") == F.col("__o_r")))
-    order = Window.partitionBy("__s", "__r").orderBy("__key", "__id", "__size").rowsBetween(Window.unboundedPreceding, -1)
+                       _range_key(F.col("source").cast("string"), F.substring(key, 1, RANGE_DIGITS)).alias("__range"),
+                       F.col("doc_id").alias("__id"), key.alias("__key"), size.alias("__size"))
+    rows = rows.join(offsets, "__range")
+    order = Window.partitionBy("__range").orderBy("__key", "__id", "__size").rowsBetween(Window.unboundedPreceding, -1)
     ahead_words = F.col("__offset") + F.coalesce(F.sum("__size").over(order), F.lit(0))
     goal_words = F.floor(F.col("__target") + 0.5)
     epochs = F.when(F.col("__source_size") > 0, F.floor(goal_words / F.greatest(F.col("__source_size"), F.lit(1)))).otherwise(0)

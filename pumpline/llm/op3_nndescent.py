@@ -12,6 +12,9 @@ Equal vectors of a label become one representative with a count.  Then:
    list is enlarged to the node's whole connected cluster, compared in blocks.  All
    links lie between neighbouring rings of angles around one member, so long
    clusters are not compared with themselves as a whole; only counts leave a block.
+   A full list may also hide links to other such clusters: clusters whose members
+   can be that close (by the angles of their pivots and their radii) are compared
+   with each other the same way and joined where a link is found.
 4. Audit: a bounded sample of vectors is compared with all rows; while recall is
    below the target, more orders and rounds are added.
 
@@ -257,6 +260,109 @@ def cluster_counts(spark: SparkSession, members: DataFrame, threshold: float) ->
     return rows.mapInArrow(count, "rid long, links long").groupBy("rid").agg(F.sum("links").alias("links"))
 
 
+def _angles(v: list[bytes], p: list[bytes]) -> np.ndarray:
+    """Angle between each vector and its pivot (of the same length)."""
+    out, size = np.zeros(len(v)), np.array([len(x) for x in v], np.int64)
+    for n in np.unique(size).tolist():
+        at = np.flatnonzero(size == n)
+        out[at] = np.arccos(np.clip((unit([v[i] for i in at]) * unit([p[i] for i in at])).sum(axis=1), -1.0, 1.0))
+    return out
+
+
+def cross_links(spark: SparkSession, members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links between different clusters of members (rid, root, label, dim, v, copies): (rid, links) and linked roots (a, b).
+
+    Of two clusters that may touch, the smaller one's members visit the larger one:
+    by their angle to its pivot they meet only its neighbouring rings.
+    """
+    width = math.acos(threshold) + 1e-6
+    kinds = dict(members.dtypes)
+    heads = members.where("rid = root").select("root", F.col("v").alias("pivot"))
+    placed = members.join(heads, "root").select("rid", "root", "label", "dim", "v", "copies", "pivot")
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = _angles(b.column(4).to_pylist(), b.column(6).to_pylist())
+            yield pa.RecordBatch.from_arrays([*b.columns[:6], pa.array(at)], [*b.schema.names[:6], "angle"])
+
+    native = save(spark, placed.mapInArrow(turn, f"rid long, root long, label {kinds['label']}, dim int, v binary, copies long, angle double")
+                  .withColumn("ring", F.floor(F.col("angle") / width).cast("int")), "nn-native")
+    reach = native.groupBy("root", "label", "dim").agg(F.max("angle").alias("radius"), F.count(F.lit(1)).alias("size"))
+    pivots = reach.join(heads, "root")
+    blocks = pivots.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    pivots = save(spark, pivots.join(blocks, ["label", "dim"]).withColumn("block", F.pmod(F.xxhash64("root"), F.col("blocks")).cast("int")), "nn-pivots")
+    spread = pivots.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "label", "dim", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "root", "radius", "size", "pivot")
+
+    def touch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in groups(batches, ["label", "dim", "i", "j"]):
+            side, root, radius, size = (g.column(c).to_numpy() for c in ("block", "root", "radius", "size"))
+            x = unit(g.column("pivot").to_pylist())
+            i, j = g.column("i")[0].as_py(), g.column("j")[0].as_py()
+            lo, hi = np.flatnonzero(side == i), np.flatnonzero(side == j)
+            near = np.arccos(np.clip(x[lo] @ x[hi].T, -1.0, 1.0)) <= radius[lo][:, None] + radius[hi] + width
+            a, b = np.nonzero(near)
+            a, b = lo[a], hi[b]
+            a, b = (k[root[a] < root[b]] for k in (a, b)) if i == j else (a, b)
+            first = (size[a] < size[b]) | ((size[a] == size[b]) & (root[a] < root[b]))
+            yield pa.RecordBatch.from_arrays([pa.array(root[np.where(first, a, b)]), pa.array(root[np.where(first, b, a)])], ["guest", "host"])
+
+    order = ["label", "dim", "i", "j"]
+    calls = save(spark, spread.repartition(*order).sortWithinPartitions(*order).mapInArrow(touch, "guest long, host long"), "nn-calls")
+    hosts = pivots.select(F.col("root").alias("host"), "pivot", "radius")
+    going = (native.select(F.col("root").alias("guest"), "rid", "v", "copies").join(calls, "guest").join(hosts, "host")
+             .select("rid", "guest", "host", "v", "copies", "radius", "pivot"))
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = _angles(b.column(3).to_pylist(), b.column(6).to_pylist())
+            ok = np.flatnonzero(at <= b.column(5).to_numpy() + width)
+            own = b.take(pa.array(ok))
+            yield pa.RecordBatch.from_arrays([*own.columns[:5], pa.array((at[ok] / width).astype(np.int32))], [*b.schema.names[:5], "ring"])
+
+    guests = save(spark, going.mapInArrow(visit, "rid long, guest long, host long, v binary, copies long, ring int"), "nn-guests")
+
+    def dealt(rows: DataFrame, cluster: str, name: str) -> tuple[DataFrame, DataFrame]:
+        sizes = save(spark, rows.groupBy(cluster, "ring").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), f"nn-{name}-sizes")
+        out = rows.join(sizes, [cluster, "ring"]).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")).drop("blocks")
+        return save(spark, out, f"nn-{name}-dealt"), sizes
+
+    guests, guest_sizes = dealt(guests, "host", "guest")
+    called = native.join(calls.select(F.col("host").alias("root")).distinct(), "root", "left_semi")
+    at_home, home_sizes = dealt(called.select("rid", F.col("root").alias("host"), "v", "copies", "ring"), "host", "home")
+
+    def wide(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+        other = sizes.select("host", F.col("ring").alias("other"), "blocks")
+        return (rows.withColumn("other", F.explode(F.array(F.col("ring") - 1, F.col("ring"), F.col("ring") + 1)))
+                .join(other, ["host", "other"]).withColumn("against", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+
+    left = wide(guests, home_sizes).select("host", F.col("ring").alias("a"), F.col("other").alias("b"), F.col("block").alias("i"), F.col("against").alias("j"),
+                                           F.lit(0).alias("side"), "rid", "copies", "v", "guest")
+    right = wide(at_home, guest_sizes).select("host", F.col("other").alias("a"), F.col("ring").alias("b"), F.col("against").alias("i"), F.col("block").alias("j"),
+                                              F.lit(1).alias("side"), "rid", "copies", "v", F.lit(None).cast("long").alias("guest"))
+    key = ["host", "a", "b", "i", "j"]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in groups(batches, key):
+            side = g.column("side").to_numpy()
+            ids, copies, v = g.column("rid").to_numpy(), g.column("copies").to_numpy(), g.column("v").to_pylist()
+            lo, hi = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            x = unit(v)
+            linked = x[lo] @ x[hi].T >= threshold
+            from_ = g.column("guest").to_pylist()
+            met = sorted({from_[k] for k in lo[linked.any(axis=1)]})
+            n, host = len(lo) + len(hi), g.column("host")[0].as_py()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*ids[lo].tolist(), *ids[hi].tolist(), *[None] * len(met)], pa.int64()),
+                 pa.array([*(linked @ copies[hi]).tolist(), *(copies[lo] @ linked).tolist(), *[None] * len(met)], pa.int64()),
+                 pa.array([None] * n + met, pa.int64()), pa.array([None] * n + [host] * len(met), pa.int64())], ["rid", "links", "a", "b"])
+
+    rows = left.unionByName(right).repartition(*key).sortWithinPartitions(*key, "side")
+    found = save(spark, rows.mapInArrow(count, "rid long, links long, a long, b long"), "nn-cross")
+    counts = found.where("rid is not null and links > 0").groupBy("rid").agg(F.sum("links").alias("links"))
+    return counts, found.where("a is not null").select("a", "b").distinct()
+
+
 def audit(spark: SparkSession, vectors: DataFrame, counts: DataFrame, threshold: float) -> float:
     """Share of the true links of a bounded sample (against all rows) that ``counts`` (rid, links) has."""
     sample = hash_sample(vectors.select("rid", "label", "dim", "v"), "rid", AUDIT).collect()
@@ -308,8 +414,12 @@ def near_duplicates(spark: SparkSession, embeddings: DataFrame, threshold: float
         full = sides.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= most).select(F.col("u").alias("node"))
         crowded = save(spark, roots.join(full, "node", "left_semi").select("root").distinct(), "nn-crowded")
         inside = save(spark, roots.join(crowded, "root", "left_semi").select(F.col("node").alias("rid"), "root"), "nn-inside")
-        members = save(spark, vectors.select("rid", "v", "copies").join(inside, "rid"), "nn-members")
-        many = cluster_counts(spark, members, threshold)
+        members = save(spark, vectors.select("rid", "label", "dim", "v", "copies").join(inside, "rid"), "nn-members")
+        outside, touching = cross_links(spark, members, threshold)
+        many = (cluster_counts(spark, members, threshold).unionByName(outside)
+                .groupBy("rid").agg(F.sum("links").alias("links")))
+        merged = components(spark, touching).select(F.col("node").alias("root"), F.col("root").alias("whole"))
+        roots = save(spark, roots.join(merged, "root", "left").select("node", F.coalesce("whole", "root").alias("root")), "nn-roots")
         both = edges.select(F.col("a").alias("rid"), F.col("b").alias("other")).unionByName(edges.select(F.col("b").alias("rid"), F.col("a").alias("other")))
         few = (both.join(inside.select("rid"), "rid", "left_anti")
                .join(vectors.select(F.col("rid").alias("other"), "copies"), "other").groupBy("rid").agg(F.sum("copies").alias("links")))

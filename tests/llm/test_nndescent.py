@@ -69,6 +69,23 @@ def test_rings_keep_all_links_of_a_cluster(spark):
     assert [got.get(i, 0) for i in range(90)] == (cos @ np.array([1 + i % 2 for i in range(90)])).tolist()
 
 
+def test_full_lists_of_clumps_that_touch(spark, frame, monkeypatch):
+    """Every vector's nearest ten stay in its own clump, yet the clumps link; some clumps are far away."""
+    monkeypatch.setattr(N, "BLOCK", 16)
+    r = np.random.default_rng(5)
+    basis = np.linalg.qr(r.standard_normal((32, 32)))[0]
+    rows = []
+    for k, angle in enumerate((0.0, 0.33, 0.66)):
+        centre = math.cos(angle) * basis[0] + math.sin(angle) * basis[1]
+        rows += [(100 * k + i, (centre + 0.015 * r.standard_normal(32)).tolist(), 1) for i in range(20 + 5 * k)]
+    for k in (3, 4):
+        rows += [(100 * k + i, (basis[k] + 0.015 * r.standard_normal(32)).tolist(), 1) for i in range(20)]
+    rows += [(900 + i, rows[i][1], 1) for i in range(3)] + [(950 + i, rows[0][1], 2) for i in range(2)]
+    want = brute(rows)
+    assert len({c for _, _, c, _ in want}) == 4  # the three clumps are one component
+    assert digest(spark, frame(rows, VECS)) == want
+
+
 def test_table_is_brute_force(spark):
     df = table(spark, "/root/testdata/check_s", "embeddings").where("label in (1, 4)")
     rows = df.select("vec_id", "embedding", "label").collect()

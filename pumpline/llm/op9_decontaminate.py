@@ -12,7 +12,11 @@
    right singular vectors, the latent space.
 3. Every window of two tiles of every document is projected; windows with a cosine
    of ``min_cosine`` to an item are candidates.  A window whose benchmark words
-   carry too little of its length cannot reach that and is not projected.  The
+   carry too little of its length cannot reach that and is not projected.  Other
+   words in a window lower its cosine, the more the larger the corpus; so windows
+   that hold ``MIN_COVER`` of the weight of an item's piece (at most a tile of
+   words, which some window holds whole) are candidates as well, whatever else is
+   in them.  These sums are exact, over postings of the pieces' terms.  The
    benchmark is the query set: it is handled in blocks of ``BLOCK`` items, each a
    pass over the documents with a bounded broadcast.
 4. A candidate counts if the longest common subsequence of the item's words and
@@ -58,6 +62,7 @@ TILES = 1 << 14
 BYTES = 1 << 20
 
 MIN_COSINE = 0.35
+MIN_COVER = 0.5
 MIN_LCS = 0.7
 SURE_LCS = 0.9
 ANSWER_WORDS = 5
@@ -129,6 +134,61 @@ def tile_frequencies(docs: DataFrame, terms: Terms) -> tuple[np.ndarray, int]:
     return out, n
 
 
+@dataclass(frozen=True)
+class Pieces:
+    """Postings of the items' pieces by term: piece and share of its weight; ``first`` is where a term's postings start."""
+
+    first: np.ndarray
+    piece: np.ndarray
+    share: np.ndarray
+    item: np.ndarray  # of each piece
+
+    @staticmethod
+    def of(terms: Terms, weight: np.ndarray, bench: list[bytes]) -> Pieces:
+        term, piece, share, item = [], [], [], []
+        for j, text in enumerate(bench):
+            col = terms.columns(word_hashes([text])[0])
+            for part in np.array_split(col, -(-len(col) // TILE)):
+                c, n = np.unique(part[weight[part] > 0], return_counts=True)
+                energy = n.astype(float) ** 2 * weight[c].astype(float) ** 2
+                if len(c):
+                    term.append(c)
+                    piece.append(np.full(len(c), len(item)))
+                    share.append(energy / energy.sum() / n)  # a word counts as often as it stands in the window
+                    item.append(j)
+        t = np.concatenate(term) if term else np.zeros(0, np.int64)
+        by = np.argsort(t, kind="stable")
+        joined = [np.concatenate(x)[by] if x else np.zeros(0, kind) for x, kind in ((piece, np.int64), (share, float))]
+        return Pieces(np.searchsorted(t[by], np.arange(len(weight) + 1)), *joined, np.array(item, np.int64))
+
+    def covered(self, col: np.ndarray, starts: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first tile, item) of the windows that hold ``MIN_COVER`` of a piece."""
+        out, n = [], max(len(self.item), 1)
+        ends = np.append(starts[1:], len(col))
+        for lo in range(0, len(starts), TILES):
+            hi = min(lo + TILES, len(starts))
+            own = slice(lo, min(hi + 1, len(starts)))  # the last window's second tile
+            words = np.arange(starts[lo], ends[own.stop - 1])
+            words = words[col[words] >= 0]
+            count = self.first[col[words] + 1] - self.first[col[words]]
+            words, count = words[count > 0], count[count > 0]
+            tile = np.repeat(np.searchsorted(starts, words, side="right") - 1, count)
+            at = np.repeat(self.first[col[words]] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            before = np.flatnonzero((tile > lo) & pair[tile - 1])
+            window = np.concatenate((tile, tile[before] - 1))
+            at = np.concatenate((at, at[before]))
+            inside = window < hi
+            key, at = window[inside] * n + self.piece[at[inside]], at[inside]
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            if len(first):
+                key = key[first][np.add.reduceat(self.share[at[order]], first) >= MIN_COVER]
+                out.append(np.unique(np.stack((key // n, self.item[key % n])), axis=1))
+        both = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+        return both[0], both[1]
+
+
 @dataclass(frozen=True)
 class Space:
     """Terms, their weights (0: stop words), the weight of all other words, and the basis (terms x dimensions)."""
@@ -160,25 +220,31 @@ class Space:
             out[t[first]] += np.add.reduceat(self.basis[c] * self.weight[c, None], first, axis=0)
         return out
 
-    def windows(self, texts: list[bytes], least: float = 0.0):
-        """Windows whose cosine to some item may reach ``least``: unit-scaled vectors, first word, text; hashes, words per text."""
+    def windows(self, texts: list[bytes], least: float, pieces: Pieces):
+        """Windows whose cosine to some item may reach ``least`` or that hold much of a piece.
+
+        Unit-scaled vectors, first word, text; hashes, words per text; (window, item) of the held pieces.
+        """
         h, n_words = word_hashes(texts)
         starts, text = tile_starts(n_words)
         none = np.zeros(0, np.int64)
         if not len(starts):
-            return np.zeros((0, self.basis.shape[1]), np.float32), none, none, h, n_words
+            return np.zeros((0, self.basis.shape[1]), np.float32), none, none, h, n_words, (none, none)
         col = self.terms.columns(h)
         full, own = self.lengths(col, starts)
         pair = np.append(text[1:] == text[:-1], False)  # the last tile of a text is a window of its own
         nxt = np.append(np.arange(1, len(starts)), 0)
         full, own = full + np.where(pair, full[nxt], 0), own + np.where(pair, own[nxt], 0)
-        at = np.flatnonzero((own > 0) & (own >= least * least * full * 0.999))
+        held, item = pieces.covered(col, starts, pair)
+        use = (own > 0) & (own >= least * least * full * 0.999)
+        use[held] = True
+        at = np.flatnonzero(use)
         want = np.zeros(len(starts), bool)
         want[at] = True
         want[nxt[at[pair[at]]]] = True
         v, row = self.project(col, starts, want), np.cumsum(want) - 1
         out = v[row[at]] + np.where(pair[at, None], v[row[nxt[at]]], 0)
-        return out / np.sqrt(np.maximum(full[at], 1e-12))[:, None], starts[at], text[at], h, n_words
+        return out / np.sqrt(np.maximum(full[at], 1e-12))[:, None], starts[at], text[at], h, n_words, (np.searchsorted(at, held), item)
 
 
 def singular_vectors(docs: DataFrame, space: Space, bench: list[bytes], n_tiles: int, dims: int = DIMS, seed: int = 7) -> np.ndarray:
@@ -276,6 +342,7 @@ class Index:
     space: Space
     items: list[Item]
     vectors: np.ndarray
+    pieces: Pieces
     min_cosine: float
     min_lcs: float
 
@@ -284,13 +351,16 @@ class Index:
         out: list[list] = [[] for _ in texts]
         use = [i for i, t in enumerate(texts) if t]
         for part in chunks(use, lambda i: len(texts[i]), BYTES):
-            v, starts, text, h, n_words = self.space.windows([texts[i] for i in part], self.min_cosine)
+            v, starts, text, h, n_words, (held, held_item) = self.space.windows([texts[i] for i in part], self.min_cosine, self.pieces)
             first = np.concatenate(([0], np.cumsum(n_words)))
             step = 4096
             found: dict[tuple[int, int], list[tuple[int, float]]] = {}
             for lo in range(0, len(v), step):
                 cos = v[lo:lo + step] @ self.vectors.T
-                for k, j in zip(*np.nonzero(cos >= self.min_cosine)):
+                near = cos >= self.min_cosine
+                own = (held >= lo) & (held < lo + step)
+                near[held[own] - lo, held_item[own]] = True
+                for k, j in zip(*np.nonzero(near)):
                     found.setdefault((int(text[lo + k]), int(j)), []).append((int(starts[lo + k]), float(cos[k, j])))
             for (i, j), places in found.items():
                 item, best = self.items[j], (0.0, 0.0)
@@ -352,7 +422,7 @@ def indexes(spark: SparkSession, docs: DataFrame, bench: DataFrame, min_cosine:
         vectors = np.concatenate([space.project(terms.columns(word_hashes([t])[0]), np.zeros(1, np.int64)) for t in raw])
         lengths = np.array([space.lengths(terms.columns(word_hashes([t])[0]), np.zeros(1, np.int64))[0][0] for t in raw])
         vectors = (vectors / np.sqrt(np.maximum(lengths, 1e-12))[:, None]).astype(np.float32)
-        out.append(Index(space, [_item(i, t) for i, t in rows], vectors, min_cosine, min_lcs))
+        out.append(Index(space, [_item(i, t) for i, t in rows], vectors, Pieces.of(terms, space.weight, raw), min_cosine, min_lcs))
     return out
 
 

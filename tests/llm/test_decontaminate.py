@@ -89,6 +89,53 @@ def test_planted_passages_and_paraphrases(spark, frame):
     assert {r.doc_id for r in kept.collect()} == {r[0] for r in rows} - {d for d, _ in got}
 
 
+def test_verbatim_items_are_found_at_any_corpus_size(spark, frame, monkeypatch):
+    """The same documents as a tiny part of a huge corpus: short items and items of frequent words stay candidates."""
+    rows, bench, truth = planted(spark)
+    r = random.Random(9)
+    short = [(500 + k, " ".join(r.sample(text.split(), 5))) for k, (_, text) in enumerate(bench[:20])]
+    filler = [f"filler{k}" for k in range(400)]
+    extra = []
+    for item, text in short:
+        at = r.randint(0, 60)
+        words = [r.choice(filler) for _ in range(100)]
+        extra.append((2000 + item, " ".join([*words[:at], text, *words[at:]]), "en", "s", 0))
+    docs, items = frame(rows + extra), frame(bench + short, BENCH)
+    count = D.tile_frequencies
+    monkeypatch.setattr(D, "tile_frequencies", lambda texts, terms: tuple(x * 10 ** 7 for x in count(texts, terms)))
+    got = {(x.doc_id, x.item_id) for x in D.digest(spark, docs, items).collect()}
+    want = {(d, i) for d, i in truth if (d - 1000) % 3 != 1} | {(2000 + i, i) for i, _ in short}
+    assert want <= got, len(want - got)
+
+
+def test_coverage_is_brute_force():
+    r = random.Random(2)
+    bench = [" ".join(r.choice("abcdefgh") for _ in range(n)).encode() for n in (3, 16, 17, 40)]
+    terms = D.Terms.of(word_hashes(bench)[0])
+    weight = np.array([0.0, *(1.0 + k for k in range(len(terms.hashes) - 1))], np.float32)
+    pieces = D.Pieces.of(terms, weight, bench)
+    texts = [" ".join(r.choice("abcdefghxyzuvw") for _ in range(n)).encode() for n in (1, 70, 16, 33)]
+    h, n_words = word_hashes(texts)
+    starts, text = D.tile_starts(n_words)
+    col = terms.columns(h)
+    pair = np.append(text[1:] == text[:-1], False)
+    parts = [(j, p) for j, b in enumerate(bench) for c in [terms.columns(word_hashes([b])[0])] for p in np.array_split(c, -(-len(c) // D.TILE))]
+    want = set()
+    ends = np.append(starts[1:], len(col))
+    for t in range(len(starts)):
+        own = col[starts[t]:ends[t + 1] if pair[t] else ends[t]].tolist()
+        for j, p in parts:
+            e = {c: p.tolist().count(c) * float(weight[c]) ** 2 for c in set(p.tolist())}
+            if sum(e[c] * own.count(c) for c in e) >= D.MIN_COVER * sum(e[c] * p.tolist().count(c) for c in e) > 0:
+                want.add((t, j))
+    for n in (1 << 14, 2):
+        was, D.TILES = D.TILES, n
+        try:
+            assert set(zip(*(x.tolist() for x in pieces.covered(col, starts, pair)))) == want
+        finally:
+            D.TILES = was
+
+
 def test_small_steps_change_nothing(spark, frame, monkeypatch):
     rows, bench, _ = planted(spark)
     docs, items = frame(rows), frame(bench, BENCH)

@@ -15,8 +15,11 @@ Equal vectors of a label become one representative with a count.  Then:
    A full list may also hide links to other such clusters: clusters whose members
    can be that close (by the angles of their pivots and their radii) are compared
    with each other the same way and joined where a link is found.
-4. Audit: a bounded sample of vectors is compared with all rows; while recall is
-   below the target, more orders and rounds are added.
+4. Audit: bounded samples of all vectors and of those outside crowded clusters are
+   compared with all rows.  Recall is the mean over the sampled vectors that have
+   links, the lower one of the two samples.  The orders grow with the largest label;
+   while recall is below the target their number is doubled, and it is an error if
+   ``AUDITS`` sets do not reach it.
 
 Links are the pairs with cosine >= ``threshold`` in double precision; all pairs
 are verified.  Rows: a vector without label, null, empty, zero or with a null or
@@ -46,9 +49,9 @@ WINDOW = 256
 ROUNDS = 4
 STILL = 1e-3  # relative gain of the lists' cosines below which the descent stops
 BLOCK = 512
-AUDIT = 256
+AUDIT = 1024
 RECALL = 0.995
-AUDITS = 3
+AUDITS = 8
 
 PAIR = "u long, v long, cos double"
 
@@ -363,37 +366,50 @@ def cross_links(spark: SparkSession, members: DataFrame, threshold: float) -> tu
     return counts, found.where("a is not null").select("a", "b").distinct()
 
 
-def audit(spark: SparkSession, vectors: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Share of the true links of a bounded sample (against all rows) that ``counts`` (rid, links) has."""
-    sample = hash_sample(vectors.select("rid", "label", "dim", "v"), "rid", AUDIT).collect()
-    if not sample:
+def orders_for(n: int) -> int:
+    """Orders of the first set for labels of at most ``n`` vectors: a window holds an ever smaller share of a label."""
+    return math.ceil(ORDERS * max(1.0, n / 4096) ** 0.25)
+
+
+def audit(spark: SparkSession, vectors: DataFrame, counts: DataFrame, inside: DataFrame, threshold: float) -> float:
+    """Mean share of its true links (against all rows) that ``counts`` (rid, links) gives a sampled vector.
+
+    The lower one of two samples: of all vectors, and of those not ``inside`` (rid) crowded clusters.
+    """
+    own = vectors.select("rid", "label", "dim", "v")
+    apart = save(spark, own.join(inside.select("rid"), "rid", "left_anti"), "nn-apart")
+    samples = [hash_sample(rows, "rid", AUDIT).collect() for rows in (own, apart)]
+    asked = {r["rid"]: (r["label"], r["dim"], bytes(r["v"])) for sample in samples for r in sample}
+    if not asked:
         return 1.0
-    asked = [(r["rid"], r["label"], r["dim"], bytes(r["v"])) for r in sample]
-    shared = spark.sparkContext.broadcast(asked)
+    by_kind: dict[tuple, list[int]] = {}
+    for rid, (label, dim, _) in asked.items():
+        by_kind.setdefault((label, dim), []).append(rid)
+    shared = spark.sparkContext.broadcast({k: (np.array(q), unit([asked[i][2] for i in q])) for k, q in by_kind.items()})
+    sure = threshold + 1e-9  # another order of the sums may put a link at the very threshold on either side
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_kind: dict[tuple, list[int]] = {}
-        for i, (_, label, dim, _) in enumerate(shared.value):
-            by_kind.setdefault((label, dim), []).append(i)
-        total = np.zeros(len(shared.value), np.int64)
+        total = {k: np.zeros(len(q), np.int64) for k, (q, _) in shared.value.items()}
         for b in batches:
             rid, label, dim, v, copies = (b.column(k).to_pylist() for k in range(5))
             rows: dict[tuple, list[int]] = {}
             for i, k in enumerate(zip(label, dim)):
-                rows.setdefault(k, []).append(i)
+                if k in total:
+                    rows.setdefault(k, []).append(i)
             for k, at in rows.items():
-                q = by_kind.get(k)
-                if not q:
-                    continue
-                cos = unit([shared.value[i][3] for i in q]) @ unit([v[i] for i in at]).T
-                same = np.array([shared.value[i][0] for i in q])[:, None] == np.array([rid[i] for i in at])
-                total[q] += ((cos >= threshold) & ~same) @ np.array([copies[i] for i in at])
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([shared.value[i][0] for i in used], pa.int64()), pa.array(total[used])], ["rid", "n"])
+                q, x = shared.value[k]
+                linked = (x @ unit([v[i] for i in at]).T >= sure) & (q[:, None] != np.array([rid[i] for i in at]))
+                total[k] += linked @ np.array([copies[i] for i in at])
+        for k, n in total.items():
+            used = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(shared.value[k][0][used], pa.int64()), pa.array(n[used])], ["rid", "n"])
 
     true = vectors.select("rid", "label", "dim", "v", "copies").mapInArrow(count, "rid long, n long").groupBy("rid").agg(F.sum("n").alias("n"))
-    r = true.join(counts, "rid", "left").agg(F.sum("n").alias("n"), F.sum(F.least("n", F.coalesce("links", F.lit(0)))).alias("found")).collect()[0]
-    return 1.0 if not r["n"] else r["found"] / r["n"]
+    share = {r["rid"]: r["share"] for r in true.join(counts, "rid", "left").select(
+        "rid", (F.least("n", F.coalesce("links", F.lit(0))) / F.col("n")).alias("share")).collect()}  # two samples at most
+    shared.destroy()
+    found = [[share[r["rid"]] for r in sample if r["rid"] in share] for sample in samples]
+    return min([float(np.mean(x)) for x in found if x], default=1.0)
 
 
 def near_duplicates(spark: SparkSession, embeddings: DataFrame, threshold: float = THRESHOLD, most: int = LIST) -> DataFrame:
@@ -405,9 +421,11 @@ def near_duplicates(spark: SparkSession, embeddings: DataFrame, threshold: float
     usable = F.coalesce(F.col("label").isNotNull() & (F.size("embedding") > 0) & finite & some, F.lit(False))
     rows = rows.withColumn("usable", usable)
     vectors = packed(spark, rows)
-    graph, recall = None, 1.0
+    graph, recall, done = None, 1.0, 0
+    orders = orders_for(vectors.groupBy("label", "dim").count().agg(F.max("count")).collect()[0][0] or 0)
     for k in range(AUDITS):
-        graph = neighbour_graph(spark, vectors, range(k * ORDERS, (k + 1) * ORDERS), most, graph)
+        graph = neighbour_graph(spark, vectors, range(done, done + orders), most, graph)
+        done, orders = done + orders, 2 * orders
         sides = graph.where(F.col("cos") >= threshold)
         edges = save(spark, sides.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "nn-edges")
         roots = components(spark, edges)
@@ -424,9 +442,11 @@ def near_duplicates(spark: SparkSession, embeddings: DataFrame, threshold: float
         few = (both.join(inside.select("rid"), "rid", "left_anti")
                .join(vectors.select(F.col("rid").alias("other"), "copies"), "other").groupBy("rid").agg(F.sum("copies").alias("links")))
         counts = save(spark, few.unionByName(many), "nn-counts")
-        recall = audit(spark, vectors, counts, threshold)
+        recall = audit(spark, vectors, counts, inside, threshold)
         if recall >= RECALL:
             break
+    else:
+        raise RuntimeError(f"recall {recall:.4f} after {done} orders, below {RECALL}")
     info = (vectors.select("rid", "label", "dim", "copies", "first_id").join(roots.withColumnRenamed("node", "rid"), "rid", "left")
             .join(counts, "rid", "left")
             .select("rid", F.coalesce("root", "rid").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "first_id"))

@@ -86,6 +86,27 @@ def test_full_lists_of_clumps_that_touch(spark, frame, monkeypatch):
     assert digest(spark, frame(rows, VECS)) == want
 
 
+def test_audit_sees_pairs_beside_a_hot_group(spark, frame, monkeypatch):
+    """One narrow order misses isolated pairs; a hot group's many links must not hide that."""
+    monkeypatch.setattr(N, "ORDERS", 1)
+    monkeypatch.setattr(N, "ROUNDS", 1)
+    monkeypatch.setattr(N, "WINDOW", 8)
+    r = np.random.default_rng(3)
+    centre = r.standard_normal(32)
+    rows = [(i, (centre + 0.05 * r.standard_normal(32)).tolist(), 1) for i in range(300)]
+    for k in range(150):
+        x = r.standard_normal(32)
+        rows += [(1000 + 2 * k, x.tolist(), 1), (1001 + 2 * k, (x + 0.3 * r.standard_normal(32)).tolist(), 1)]
+    assert digest(spark, frame(rows, VECS)) == brute(rows)
+
+
+def test_recall_out_of_reach_is_an_error(spark, frame, monkeypatch):
+    monkeypatch.setattr(N, "AUDITS", 1)
+    monkeypatch.setattr(N, "audit", lambda *_: 0.9)
+    with pytest.raises(RuntimeError, match="recall 0.9"):
+        N.digest(spark, frame([(1, [1.0, 0.0], 1), (2, [1.0, 0.1], 1)], VECS))
+
+
 def test_table_is_brute_force(spark):
     df = table(spark, "/root/testdata/check_s", "embeddings").where("label in (1, 4)")
     rows = df.select("vec_id", "embedding", "label").collect()

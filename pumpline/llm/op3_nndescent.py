@@ -24,7 +24,7 @@ Equal vectors of a label become one representative with a count.  Then:
 Links are the pairs with cosine >= ``threshold`` in double precision; all pairs
 are verified.  Rows: a vector without label, null, empty, zero or with a null or
 non-finite component links with nothing (its component is its own id); vectors of
-different lengths never link; repeated rows count as separate vectors; a null id
+different lengths never link; -0.0 counts as 0.0; repeated rows count as separate vectors; a null id
 never becomes a component's id and is not kept; an empty table gives no rows;
 extra columns are ignored.
 """
@@ -63,7 +63,7 @@ def packed(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw = [np.array(x, "<f8") for x in b.column(2).to_pylist()]
+            raw = [np.array(x, "<f8") + 0.0 for x in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([len(x) for x in raw], pa.int32()),
                  pa.array([x.tobytes() for x in raw], pa.binary()), b.column(3), b.column(4)],
@@ -457,7 +457,7 @@ def near_duplicates(spark: SparkSession, embeddings: DataFrame, threshold: float
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            v = [np.array(x, "<f8").tobytes() if ok else None for x, ok in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            v = [(np.array(x, "<f8") + 0.0).tobytes() if ok else None for x, ok in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(v, pa.binary())], ["vec_id", "label", "v"])
 
     kinds = dict(rows.dtypes)

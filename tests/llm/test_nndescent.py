@@ -130,6 +130,11 @@ def test_odd_rows(spark, frame):
     assert N.digest(spark, df.limit(0)).count() == 0
 
 
+def test_negative_zero_is_zero(spark, frame):
+    rows = [(1, [1.0, -0.0], 1), (2, [1.0, -0.0], 1), (3, [1.0, 0.0], 1), (4, [1.0, 0.01], 1), (5, [-0.0, -1.0], 1)]
+    assert digest(spark, frame(rows, VECS)) == brute(rows)
+
+
 @pytest.mark.parametrize("n", [1, 2])
 def test_few_rows(spark, frame, n):
     rows = [(i, [1.0, 2.0], 1) for i in range(n)]

@@ -50,7 +50,7 @@ def attribute_tokens(raw: str) -> tuple[str, ...]:
         value = m[2] or m[3] or m[4] or ""
         name = m[1].lower()
         out += [f"{name}={t}" for t in re.split(r"[^a-z0-9]+", value.lower()) if t] or [name]
-    return tuple(out[:32])
+    return tuple(out)
 
 
 def parse(source: str) -> Page:

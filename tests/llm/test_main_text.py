@@ -109,3 +109,10 @@ def test_odd_rows(spark, frame):
     assert M.digest(spark, df.limit(0)).count() == 0
     model = M.train([r.html for r in table(spark, "/root/testdata/sf0.01", "pages").limit(100).collect()])
     assert M.extract(model, [long]) == [" ".join(["word"] * 50_000)]
+
+
+def test_late_attribute_tokens_count():
+    from pumpline.llm.dom import attribute_tokens
+
+    many = " ".join(f"u{k}" for k in range(60))
+    assert {"class=sidebar", "role=main"} <= set(attribute_tokens(f' class="{many} sidebar" role="main"'))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pumpline.llm import (op1_pii, op2_langid, op3_nndescent, op4_main_text, op5_simhash, op6_urls, op7_secrets, op8_mix,
-                          op9_decontaminate, op10_lattice)
+                          op9_decontaminate, op10_lattice, op12_merkle)
 from pumpline.llm.common import table
 
 
@@ -27,6 +27,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": lambda spark, sf_dir: op9_decontaminate.digest(
         spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op10_lattice_lm": _over("documents", op10_lattice.digest),
+    "op12_merkle_manifest": _over("documents", op12_merkle.digest),
 }
 
-ORACLES: dict[str, str] = {"op6_url_trust": op6_urls.oracle(), "op8_mix_sources": op8_mix.ORACLE}
+ORACLES: dict[str, str] = {"op6_url_trust": op6_urls.oracle(), "op8_mix_sources": op8_mix.ORACLE,
+                            "op12_merkle_manifest": op12_merkle.oracle()}

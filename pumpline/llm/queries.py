@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pumpline.llm import (op1_pii, op2_langid, op3_nndescent, op4_main_text, op5_simhash, op6_urls, op7_secrets, op8_mix,
-                          op9_decontaminate, op10_lattice, op12_merkle)
+                          op9_decontaminate, op10_lattice, op11_whiten,
+                          op12_merkle)
 from pumpline.llm.common import table
 
 
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": lambda spark, sf_dir: op9_decontaminate.digest(
         spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op10_lattice_lm": _over("documents", op10_lattice.digest),
+    "op11_whiten_charpoly": _over("embeddings", op11_whiten.digest),
     "op12_merkle_manifest": _over("documents", op12_merkle.digest),
 }
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +35,21 @@ def save(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = work_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_path = path
+    return out
+
+
+def discard(spark: SparkSession, *saved: DataFrame) -> None:
+    """Delete tables of ``save`` that nothing reads any more, and let Spark clean up the shuffles of what wrote them.
+
+    Shuffle files go when the driver's garbage collector has found their plans.
+    """
+    for df in saved:
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.saved_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def names(df: DataFrame) -> list[Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pumpline.llm import (op1_pii, op2_langid, op3_nndescent, op4_main_text, op5_simhash, op6_urls, op7_secrets, op8_mix,
                           op9_decontaminate, op10_lattice, op11_whiten,
-                          op12_merkle)
+                          op12_merkle, op13_substring)
 from pumpline.llm.common import table
 
 
@@ -30,7 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lattice_lm": _over("documents", op10_lattice.digest),
     "op11_whiten_charpoly": _over("embeddings", op11_whiten.digest),
     "op12_merkle_manifest": _over("documents", op12_merkle.digest),
+    "op13_substring_recompress": _over("documents", op13_substring.digest),
 }
 
 ORACLES: dict[str, str] = {"op6_url_trust": op6_urls.oracle(), "op8_mix_sources": op8_mix.ORACLE,
-                            "op12_merkle_manifest": op12_merkle.oracle()}
+                            "op12_merkle_manifest": op12_merkle.oracle(), "op13_substring_recompress": op13_substring.ORACLE}

@@ -9,13 +9,14 @@ IS_WORD = np.ones(256, bool)
 IS_WORD[[32, 9, 10, 11, 12, 13]] = False
 LOWER = np.arange(256, dtype=np.uint64)
 LOWER[65:91] += 32
+ASIS = np.arange(256, dtype=np.uint64)
 
 #: Bytes handled at once; pieces end between words.
 PIECE = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _piece(data: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes and start positions of one piece."""
     word = IS_WORD[data]
     first = word.copy()
@@ -25,7 +26,7 @@ def _piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), starts
     at = np.arange(starts[0], len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
     power = np.cumprod(np.full(int(at.max()) + 1, BASE, np.uint64))
-    value = (LOWER[data[starts[0]:]] + np.uint64(1)) * power[at]
+    value = (fold[data[starts[0]:]] + np.uint64(1)) * power[at]
     value[~word[starts[0]:]] = 0
     h = np.add.reduceat(value, starts - starts[0])
     h ^= h >> np.uint64(32)
@@ -34,8 +35,8 @@ def _piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h, starts
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words in order, number of words of each text)."""
+def word_hashes(texts: list[bytes], fold: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words in order, number of words of each text); ``fold`` maps the bytes first."""
     flat = b"\n".join(texts)
     if not flat:
         return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
@@ -51,7 +52,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
                 hi += int(gap[0]) + 1
                 break
             hi = min(hi + PIECE, len(data))
-        h, s = _piece(data[lo:hi])
+        h, s = _piece(data[lo:hi], fold)
         hashes.append(h)
         starts.append(s + lo)
         lo = hi

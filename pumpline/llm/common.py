@@ -57,6 +57,28 @@ def names(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def fresh(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like ``wanted`` that ``df`` does not have, whatever their case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def numbered(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` saved with a row number, and the number's column.
+
+    What is read back has the same number in every later scan.  A number taken
+    from the scan itself would not: how files are split follows the executors
+    that are there at that moment.
+    """
+    (rid,) = fresh(df, "row_number")
+    return save(spark, df.select(F.monotonically_increasing_id().alias(rid), *names(df)), name), rid
+
+
 def crc_mod(col: Column, m: int) -> Column:
     """crc32 of the value as text, modulo ``m``; a null value counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(col.cast("string"), F.lit(""))), F.lit(m))

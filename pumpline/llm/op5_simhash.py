@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from pumpline.llm.common import components, names, ready, save
+from pumpline.llm.common import components, names, numbered, ready, save
 
 #: Segments as (lowest bit, number of bits), and the pairs (exact, tolerant).
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -145,12 +145,11 @@ def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp[at])], ["key", "fp"])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 3, rid: str | None = None) -> DataFrame:
     """(rid, doc_id, fp): a row number, the id and the signed 64-bit fingerprint of each row of ``docs``.
 
-    ``rid`` is the position in the scan, so rows that are equal in every column
-    stay apart.  ``docs`` must give the same rows in the same partitions when it
-    is read again, as a scan of files does.
+    ``rid`` keeps rows apart that are equal in every column: the column of that
+    name, or else a number that holds for this one evaluation only.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -158,7 +157,8 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             fp = np.array([fingerprint(x.as_py(), shingle) for x in text], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], ["rid", "doc_id", "fp"])
 
-    src = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id"), F.col("text").cast("string").alias("text"))
+    number = F.monotonically_increasing_id() if rid is None else F.col(rid)
+    src = docs.select(number.alias("rid"), F.col("doc_id"), F.col("text").cast("string").alias("text"))
     schema = StructType([StructField("rid", LongType()), StructField("doc_id", docs.schema["doc_id"].dataType),
                          StructField("fp", LongType())])
     return src.mapInArrow(rows, schema)
@@ -193,13 +193,13 @@ def links(spark: SparkSession, fps: DataFrame, max_bits: int = 2, bucket: int =
 
 
 def simhash_groups(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 2,
-                   bucket: int = 32) -> DataFrame:
+                   bucket: int = 32, rid: str | None = None) -> DataFrame:
     """(rid, doc_id, fp, component_id, keep) for every row: component_id is the smallest doc_id reachable.
 
     ``keep`` marks one row of each component: the smallest doc_id (null last), of equal ids the first row.
     """
     ready(spark)
-    sig = save(spark, fingerprints(docs, shingle), "simhash")
+    sig = save(spark, fingerprints(docs, shingle, rid), "simhash")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("rid").alias("rid")))
     reps = save(spark, sig.groupBy("fp").agg(first.alias("first")), "simhash-reps")
     roots = components(spark, links(spark, reps, max_bits, bucket))
@@ -212,9 +212,14 @@ def simhash_groups(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_b
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """One document of each near-copy group, with the columns of ``docs``."""
-    kept = simhash_groups(spark, docs, shingle, max_bits).where("keep").select(F.col("rid").alias("__rid"))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(kept, "__rid", "left_semi").select(*names(docs))
+    """One document of each near-copy group, with the columns of ``docs``.
+
+    The rows are numbered and saved first: the number must be the same when the
+    kept ones are picked out.
+    """
+    rows, rid = numbered(spark, docs, "near-copies-rows")
+    kept = simhash_groups(spark, rows, shingle, max_bits, rid=rid).where("keep").select(F.col("rid").alias(rid))
+    return rows.join(kept, rid, "left_semi").select(*names(docs))
 
 
 def digest(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -3,9 +3,9 @@
 Candidates are pattern matches (assign, access, hex) and long mixed-class tokens.
 Each candidate's value is hashed; the corpus is aggregated to the number of
 distinct owners (``source``) and repositories (a source's documents in one
-language) that hold the hash.  A value held by several owners is a copied
-example (licence hashes, documentation keys); one that stays with a single owner
-looks live.  Base matches are always reported; a token is added only where it
+language) that hold the hash.  A value held by several owners, or by more than
+``REPOS`` of one owner's repositories, is a copied example (licence hashes,
+documentation keys); one that stays with a single owner in few places looks live.  Base matches are always reported; a token is added only where it
 looks live and overlaps no base match.
 
 Positions come from splitting a text at the matches: the pieces between matches
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pumpline.llm.common import names, ready, save
+from pumpline.llm.common import fresh, names, numbered, ready, save
 
 #: kind -> (pattern, group that holds the value, fewest characters of that group), in the contract's order.
 #: For access and hex the length is in the pattern: a run that is too short fails as a whole either way.
@@ -35,6 +35,9 @@ KINDS = {
 BASE = ("assign", "access", "hex")
 MARK = "[SECRET]"
 
+#: A value in more repositories than these is copied about, whoever owns them.
+REPOS = 2
+
 
 def _matches(text: Column, kind: str) -> Column:
     """Array of (kind, pos, before, hit): each match with the length of the text since the last one."""
@@ -47,13 +50,23 @@ def _matches(text: Column, kind: str) -> Column:
     return F.when(text.rlike(pattern), F.filter(found, lambda x: x["hit"].isNotNull()))
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """(rid, owner, repo, kind, start, end, hash): every candidate of every whole text."""
-    src = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("text").cast("string").alias("text"),
-                      F.col("source").cast("string").alias("owner"), F.col("lang").cast("string").alias("lang"))
+def candidates(docs: DataFrame, *keep: str, rid: str | None = None) -> DataFrame:
+    """(rid, owner, repo, m) of every row, with the columns ``keep``: all matches of the whole text, in one scan.
+
+    ``rid`` is the column of that name; else a number that holds for one
+    evaluation, so the table must be saved before it is used twice.
+    """
+    number = F.monotonically_increasing_id() if rid is None else F.col(rid)
+    src = docs.select(number.alias("rid"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("owner"),
+                      F.col("lang").cast("string").alias("lang"), *keep)
     empty = F.array().cast("array<struct<kind:int,pos:int,before:int,hit:string>>")
-    found = src.select("rid", "owner", F.xxhash64("owner", "lang").alias("repo"),
-                       F.explode(F.concat(*[F.coalesce(_matches(F.col("text"), k), empty) for k in KINDS])).alias("m"))
+    return src.select("rid", "owner", F.xxhash64("owner", "lang").alias("repo"), *keep,
+                      F.concat(*[F.coalesce(_matches(F.col("text"), k), empty) for k in KINDS]).alias("m"))
+
+
+def spans(rows: DataFrame) -> DataFrame:
+    """(rid, owner, repo, kind, start, end, hash): every candidate of ``candidates``."""
+    found = rows.select("rid", "owner", "repo", F.explode("m").alias("m"))
     run = Window.partitionBy("rid", F.col("kind")).orderBy("pos")
     rows = found.select("rid", "owner", "repo", "m.*")
     end = F.sum(F.col("before") + F.length("hit")).over(run)
@@ -80,15 +93,16 @@ def ownership(found: DataFrame) -> DataFrame:
     return owners.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"))
 
 
-def scan(spark: SparkSession, docs: DataFrame, max_owners: int = 1) -> DataFrame:
-    """(rid, kind, start, end, base, live) of every reported span.
+def scan(spark: SparkSession, rows: DataFrame, max_owners: int = 1, max_repos: int = REPOS) -> DataFrame:
+    """(rid, kind, start, end, base, live) of every reported span of saved ``candidates``.
 
-    ``live``: the value's hash has at most ``max_owners`` owners in the corpus.
+    ``live``: the value's hash has at most ``max_owners`` owners and ``max_repos``
+    repositories in the corpus.
     """
-    found = save(spark, spans(docs), "secret-spans")
+    found = save(spark, spans(rows), "secret-spans")
     own = save(spark, ownership(found), "secret-owners")
     judged = found.join(own, "hash").select("rid", "kind", "start", "end", (F.col("kind") < len(BASE)).alias("base"),
-                                            (F.col("n_owners") <= max_owners).alias("live"))
+                                            ((F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)).alias("live"))
     # the last end of the base matches that start at or before a token, and the next base start
     upto = Window.partitionBy("rid").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("rid").orderBy("start", "kind").rowsBetween(1, Window.unboundedFollowing)
@@ -107,7 +121,8 @@ def _text(rows: Column) -> Column:
 def digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Contract columns, with n_live and n_shared (spans of single-owner and of copied values)."""
     ready(spark)
-    found = scan(spark, docs)
+    rows = save(spark, candidates(docs, "doc_id"), "secret-candidates")
+    found = scan(spark, rows)
     count = lambda c: F.count_if(c)
     per = found.groupBy("rid").agg(
         *[count(F.col("kind") == k).alias(f"n_{kind}") for k, kind in enumerate(BASE)],
@@ -116,9 +131,8 @@ def digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     per = per.select("rid", *[f"n_{k}" for k in BASE], F.sha2(_text(F.filter("all", lambda x: x["base"])).cast("binary"), 256).alias("base_sha256"),
                      _text(F.col("all")).alias("spans"), "n_live", "n_shared")
     per = save(spark, per, "secret-per-doc")
-    ids = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-    return ids.join(per, "rid", "left").select(
+    return rows.select("rid", "doc_id").join(per, "rid", "left").select(
         "doc_id", *[zero(f"n_{k}") for k in BASE],
         F.coalesce("base_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("base_sha256"),
         F.coalesce("spans", F.lit("")).alias("spans"), zero("n_live"), zero("n_shared"))
@@ -130,25 +144,26 @@ def redact_live(spark: SparkSession, docs: DataFrame) -> DataFrame:
     All rows and columns of ``docs`` are kept; n_chars (where present) follows the new text.
     """
     ready(spark)
-    live = scan(spark, docs).where("live")
+    numbers, rid = numbered(spark, docs, "secret-rows")
+    cuts_name, new_name = fresh(numbers, "cuts", "new_text")
+    live = scan(spark, save(spark, candidates(numbers, rid=rid), "secret-candidates")).where("live")
     before = Window.partitionBy("rid").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
     live = live.withColumn("prev", F.coalesce(F.max("end").over(before), F.lit(0)))
-    cuts = live.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "prev", "end"))).alias("__cuts"))
-    cuts = save(spark, cuts.withColumnRenamed("rid", "__rid"), "secret-cuts")
-    rows = docs.withColumn("__rid", F.monotonically_increasing_id()).join(cuts, "__rid", "left")
+    cuts = live.groupBy(F.col("rid").alias(rid)).agg(F.sort_array(F.collect_list(F.struct("start", "prev", "end"))).alias(cuts_name))
+    rows = numbers.join(save(spark, cuts, "secret-cuts"), rid, "left")
     text = F.col("text").cast("string")
     # spans that start inside an earlier one add nothing to the text; the tail starts after the last end
-    pieces = F.transform("__cuts", lambda x: F.when(x["start"] >= x["prev"], F.concat(
+    pieces = F.transform(cuts_name, lambda x: F.when(x["start"] >= x["prev"], F.concat(
         F.substring(text, x["prev"] + 1, x["start"] - x["prev"]), F.lit(MARK))).otherwise(F.lit("")))
-    last = F.array_max(F.transform("__cuts", lambda x: x["end"])).cast("int")
+    last = F.array_max(F.transform(cuts_name, lambda x: x["end"])).cast("int")
     new = F.concat(F.array_join(pieces, ""), F.substring(text, last + 1, F.length(text)))
-    rows = rows.withColumn("__new", F.when(F.col("__cuts").isNotNull(), new))
+    rows = rows.withColumn(new_name, F.when(F.col(cuts_name).isNotNull(), new))
     out = []
     for c, n in zip(names(docs), docs.columns):
         if n == "text":
-            out.append(F.coalesce("__new", c).alias(n))
+            out.append(F.coalesce(new_name, c).alias(n))
         elif n == "n_chars":
-            out.append(F.when(F.col("__new").isNotNull(), F.length("__new").cast(docs.schema[n].dataType)).otherwise(c).alias(n))
+            out.append(F.when(F.col(new_name).isNotNull(), F.length(new_name).cast(docs.schema[n].dataType)).otherwise(c).alias(n))
         else:
             out.append(c)
     return rows.select(*out)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pumpline.llm.common import chunks, crc_mod, names, ready
+from pumpline.llm.common import chunks, crc_mod, fresh, names, ready
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -172,5 +172,6 @@ def keep_identified(spark: SparkSession, docs: DataFrame, min_score: float = 0.0
     ready(spark)
     model = train(spark, docs.where(crc_mod(F.col("doc_id"), 4) != 2))
     p = predictor(spark, model)(F.col("text"))
-    return (docs.withColumn("__lang", p).where(F.col("__lang")["lang"] != UNKNOWN)
-            .where(F.col("__lang")["score"] >= min_score).select(*names(docs)))
+    (said,) = fresh(docs, "said")
+    return (docs.withColumn(said, p).where(F.col(said)["lang"] != UNKNOWN)
+            .where(F.col(said)["score"] >= min_score).select(*names(docs)))

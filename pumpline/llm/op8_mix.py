@@ -61,7 +61,7 @@ def _range_key(source: Column, r: Column) -> Column:
 
 
 def mix(spark: SparkSession, docs: DataFrame, everything: bool = False) -> DataFrame:
-    """One row for each row of ``docs`` (with all its columns if ``everything``): __id, __size, __source_size, __target and __taken."""
+    """One row for each row of ``docs`` (with all its columns in ``__row`` if ``everything``): __id, __size, __source_size, __target and __taken."""
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     slim = docs.select(F.col("source").cast("string").alias("source"), F.substring(key, 1, RANGE_DIGITS).alias("r"), size.alias("size"))
@@ -73,7 +73,7 @@ def mix(spark: SparkSession, docs: DataFrame, everything: bool = False) -> DataF
                .select(_range_key(F.col("source"), F.col("r")).alias("__range"), *[F.col(c).alias(f"__{c}") for c in ("offset", "source_size", "target")]))
     offsets = save(spark, offsets, "mix-offsets")
     # source and range as one key: null-safe, and the join and the window need the same partitions
-    rows = docs.select(*(names(docs) if everything else []),
+    rows = docs.select(*([F.struct(*names(docs)).alias("__row")] if everything else []),
                        _range_key(F.col("source").cast("string"), F.substring(key, 1, RANGE_DIGITS)).alias("__range"),
                        F.col("doc_id").alias("__id"), key.alias("__key"), size.alias("__size"))
     rows = rows.join(offsets, "__range")
@@ -100,8 +100,7 @@ def mixed_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """
     added = {"mix_size": "__size", "mix_source_size": "__source_size", "mix_target": "__target", "mix_taken": "__taken"}
     m = mix(spark, docs, everything=True)
-    own = names(docs)
-    keep = [c for c, n in zip(own, docs.columns) if n.lower() not in added]
+    keep = [F.col("__row").getField(n).alias(n) for n in docs.columns if n.lower() not in added]
     return m.where("__taken > 0").select(*keep, *[F.col(v).alias(k) for k, v in added.items()])
 
 

@@ -4,7 +4,8 @@ SF = "/root/testdata/sf0.001"
 
 #: Columns whose names the operators use themselves.
 CLASHES = ("rid", "fp", "key", "component_id", "keep", "size", "source_size", "target", "taken", "hash", "spans", "score",
-           "lang_pred", "held_out", "train", "base_score", "word", "host", "path", "rule", "verdict", "item_id", "dt", "a.b")
+           "lang_pred", "held_out", "train", "base_score", "word", "host", "path", "rule", "verdict", "item_id", "dt", "a.b", "__rid", "__lang",
+           "__id", "__range", "__key", "__cuts", "__new", "__h", "__r", "said", "cuts", "new_text", "row_number", "owner", "repo")
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 

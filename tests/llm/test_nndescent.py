@@ -108,7 +108,7 @@ def test_recall_out_of_reach_is_an_error(spark, frame, monkeypatch):
 
 
 def test_table_is_brute_force(spark):
-    df = table(spark, "/root/testdata/check_s", "embeddings").where("label in (1, 4)")
+    df = table(spark, "/root/testdata/sf0.01", "embeddings")
     rows = df.select("vec_id", "embedding", "label").collect()
     x = np.array([r.embedding for r in rows], np.float64)
     x /= np.linalg.norm(x, axis=1, keepdims=True)

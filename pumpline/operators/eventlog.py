@@ -94,6 +94,7 @@ def mute_remaining(points: DataFrame, presses: DataFrame, p: Params = DEFAULT_PA
 
 # --- the log: one feed of raw rows, records unfolded from each ---------------------------
 
+TAGS = ("log", "macro", "status", "micro")
 FEED_STATUS, FEED_SAMPLE, FEED_PRESS, FEED_CLEAR, FEED_EXPORT = "status", "sample", "press", "clear", "export"
 LOG_COLS = [DEV, "ts", "seq", "event_id", "tag", "level", "message", "source", "online", "normal", "anomaly"]
 
@@ -127,8 +128,8 @@ def _record(seq: int, tag: str, level, message, source=None, online=None, normal
                     (none("long") if normal is None else normal).alias("normal"), (none("long") if anomaly is None else anomaly).alias("anomaly"))
 
 
-def plain_array(p: Params = DEFAULT_PARAMS):
-    """Array of the records that each feed row gives by itself (mute presses and macro counts need other rows).
+def plain_array(p: Params = DEFAULT_PARAMS, tags=TAGS):
+    """Array of the records (those with one of ``tags``) that each feed row gives by itself (mute presses and macro counts need other rows).
 
     sample: a micro record, and an ERROR for an alert, or a WARN for a rejected row;
     status: a status record, and a WARN when it is offline; clear: INFO; export:
@@ -143,15 +144,16 @@ def plain_array(p: Params = DEFAULT_PARAMS):
     why = (F.when(F.col("reason") == "missing", F.concat(F.lit("'"), F.lit(C.MSG_MISSING_CELLS), F.lit("'")))
             .otherwise(F.concat(F.lit("could not convert string to float: '"), bad, F.lit("'"))))
     failed = F.when(F.col("source") == "batch", F.lit(C.MSG_BATCH_FAIL)).otherwise(F.lit(C.MSG_SPEED_FAIL))
-    return F.array_compact(F.array(
-        F.when(is_(FEED_SAMPLE) & ok, _record(SEQ_SAMPLE, "micro", None, sample_line)),
-        F.when(is_(FEED_SAMPLE) & ok & alert, _record(SEQ_SAMPLE, "log", "ERROR", X.alert_message(reason, "row_key", "s04_num", "s10_num"))),
-        F.when(is_(FEED_SAMPLE) & ~ok, _record(SEQ_SAMPLE, "log", "WARN", F.concat(F.lit(C.MSG_ROW_FAIL), F.lit("["), F.col("row_key"), F.lit("]："), why))),
-        F.when(is_(FEED_STATUS), _record(SEQ_STATUS, "status", None, F.col("detail"), F.col("source"), F.col("online"))),
-        F.when(is_(FEED_STATUS) & ~F.col("online"), _record(SEQ_STATUS, "log", "WARN", F.concat(failed, F.col("detail")))),
-        F.when(is_(FEED_CLEAR), _record(SEQ_CLEAR, "log", "INFO", F.lit(C.MSG_CLEARED))),
-        F.when(is_(FEED_EXPORT) & F.col("error").isNull(), _record(SEQ_EXPORT, "log", "INFO", F.concat(F.lit(C.MSG_EXPORT_OK), F.col("path")))),
-        F.when(is_(FEED_EXPORT) & F.col("error").isNotNull(), _record(SEQ_EXPORT, "log", "ERROR", F.concat(F.lit(C.MSG_EXPORT_FAIL), F.col("error"))))))
+    records = (
+        ("micro", F.when(is_(FEED_SAMPLE) & ok, _record(SEQ_SAMPLE, "micro", None, sample_line))),
+        ("log", F.when(is_(FEED_SAMPLE) & ok & alert, _record(SEQ_SAMPLE, "log", "ERROR", X.alert_message(reason, "row_key", "s04_num", "s10_num")))),
+        ("log", F.when(is_(FEED_SAMPLE) & ~ok, _record(SEQ_SAMPLE, "log", "WARN", F.concat(F.lit(C.MSG_ROW_FAIL), F.lit("["), F.col("row_key"), F.lit("]："), why)))),
+        ("status", F.when(is_(FEED_STATUS), _record(SEQ_STATUS, "status", None, F.col("detail"), F.col("source"), F.col("online")))),
+        ("log", F.when(is_(FEED_STATUS) & ~F.col("online"), _record(SEQ_STATUS, "log", "WARN", F.concat(failed, F.col("detail"))))),
+        ("log", F.when(is_(FEED_CLEAR), _record(SEQ_CLEAR, "log", "INFO", F.lit(C.MSG_CLEARED)))),
+        ("log", F.when(is_(FEED_EXPORT) & F.col("error").isNull(), _record(SEQ_EXPORT, "log", "INFO", F.concat(F.lit(C.MSG_EXPORT_OK), F.col("path"))))),
+        ("log", F.when(is_(FEED_EXPORT) & F.col("error").isNotNull(), _record(SEQ_EXPORT, "log", "ERROR", F.concat(F.lit(C.MSG_EXPORT_FAIL), F.col("error"))))))
+    return F.array_compact(F.array(*[r for tag, r in records if tag in tags]))
 
 
 def unfold(rows: DataFrame, records, *more: str) -> DataFrame:
@@ -160,8 +162,21 @@ def unfold(rows: DataFrame, records, *more: str) -> DataFrame:
     return r.select(DEV, "ts", F.col("r.seq").alias("seq"), "event_id", *[F.col("r")[c].alias(c) for c in LOG_COLS[4:]], *more)
 
 
-def plain_records(rows: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
-    return unfold(rows, plain_array(p))
+def plain_records(rows: DataFrame, p: Params = DEFAULT_PARAMS, tags=TAGS) -> DataFrame:
+    return unfold(rows, plain_array(p, tags))
+
+
+def may_be_error(p: Params = DEFAULT_PARAMS):
+    """Feed rows that give an ERROR record: alerts and failed exports."""
+    alert = (F.col("kind") == FEED_SAMPLE) & F.col("reason").isNull() & X.is_alert("pred_num", p.alert_pred)
+    return F.coalesce(alert | ((F.col("kind") == FEED_EXPORT) & F.col("error").isNotNull()), F.lit(False))
+
+
+def after_clear(rows: DataFrame, clears: DataFrame) -> DataFrame:
+    """``rows`` not older than the device's last clear (by time alone: a first cut)."""
+    last = clears.groupBy(F.col(DEV).alias("_dev")).agg(F.max("ts").alias("_cut"))
+    j = rows.join(last, F.col(DEV).eqNullSafe(F.col("_dev")), "left")
+    return j.filter(F.col("_cut").isNull() | (F.col("ts") >= F.col("_cut"))).drop("_dev", "_cut")
 
 
 def macro_records(rows: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
@@ -191,14 +206,18 @@ def records_of_marked(rows: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     return log.withColumn("line", F.when(F.col("tag") == "log", X.log_line("ts", "level", "message", "muted")))
 
 
-def event_log(rows: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
+def event_log(rows: DataFrame, p: Params = DEFAULT_PARAMS, tags=TAGS, clears: DataFrame | None = None) -> DataFrame:
     """Typed records of everything the monitor reports, in one table, from one ``feed``.
 
     The small parts that need other rows are written to the shared folder first:
     presses with their effect, macro counts, and the ERROR records with the mute
-    window they fall in.  The log itself is then one unfolding scan of the feed and
-    one scan of each of these.  ERROR lines inside a mute window are tagged, never
-    dropped.  The monitor's start-up record opens each device's log.
+    window they fall in (only rows that give one are unfolded for that).  The log
+    itself is then one unfolding scan of the feed and one scan of each of these.
+    ERROR lines inside a mute window are tagged, never dropped.  The monitor's
+    start-up record opens each device's log.
+
+    ``tags`` builds records of these tags only.  With ``clears`` only records since
+    each device's last clear are built; what came before still counts for them.
     """
     spark = rows.sparkSession
 
@@ -207,22 +226,27 @@ def event_log(rows: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
         df.write.parquet(path)
         return spark.read.parquet(path)
 
-    presses = saved(mute_windows(rows.filter(F.col("kind") == FEED_PRESS).select(DEV, "ts", "event_id"), p), "log-presses")
-    macro = saved(macro_records(rows, p), "log-macro")
-    error = F.col("level") == "ERROR"
-    tagged = saved(muted_until(plain_records(rows, p).filter(error), presses, p)
-                   .withColumn("muted", F.col("mute_until").isNotNull()).drop("mute_until"), "log-errors")
-    said = F.when(F.col("opens"), F.lit(C.MSG_MUTE_ON)).otherwise(F.lit(C.MSG_MUTE_OFF))
-    mute = unfold(presses, F.array(_record(SEQ_MUTE, "log", "INFO", said)))
-    first = unfold(rows.groupBy(DEV).agg(F.min("ts").alias("ts")).withColumn("event_id", F.lit(-1).cast("long")),
-                   F.array(_record(SEQ_START, "log", "INFO", F.lit(C.MSG_STARTED))))
-    quiet = (plain_records(rows, p).filter(~F.coalesce(error, F.lit(False))).unionByName(macro)
-             .unionByName(mute).unionByName(first).withColumn("muted", F.lit(False)))
-    log = quiet.unionByName(tagged.select(*LOG_COLS, "muted"))
+    cut = (lambda df: df) if clears is None else (lambda df: after_clear(df, clears))
+    parts = [plain_records(cut(rows.filter(~may_be_error(p)) if "micro" not in tags else rows), p, tags)
+             .filter(~F.coalesce(F.col("level") == "ERROR", F.lit(False))).withColumn("muted", F.lit(False))]
+    if "macro" in tags:
+        parts.append(cut(saved(macro_records(rows, p), "log-macro")).withColumn("muted", F.lit(False)))
+    if "log" in tags:
+        presses = saved(mute_windows(rows.filter(F.col("kind") == FEED_PRESS).select(DEV, "ts", "event_id"), p), "log-presses")
+        errors = saved(plain_records(cut(rows.filter(may_be_error(p))), p, ("log",)), "log-errors")
+        tagged = muted_until(errors, presses, p).withColumn("muted", F.col("mute_until").isNotNull())
+        said = F.when(F.col("opens"), F.lit(C.MSG_MUTE_ON)).otherwise(F.lit(C.MSG_MUTE_OFF))
+        mute = unfold(cut(presses), F.array(_record(SEQ_MUTE, "log", "INFO", said)))
+        first = unfold(cut(rows.groupBy(DEV).agg(F.min("ts").alias("ts"))).withColumn("event_id", F.lit(-1).cast("long")),
+                       F.array(_record(SEQ_START, "log", "INFO", F.lit(C.MSG_STARTED))))
+        parts += [tagged.select(*LOG_COLS, "muted"), mute.withColumn("muted", F.lit(False)), first.withColumn("muted", F.lit(False))]
+    log = parts[0]
+    for part in parts[1:]:
+        log = log.unionByName(part)
     return log.withColumn("line", F.when(F.col("tag") == "log", X.log_line("ts", "level", "message", "muted")))
 
 
-def route_events(log: DataFrame, tags=("log", "macro", "status", "micro")) -> dict[str, DataFrame]:
+def route_events(log: DataFrame, tags=TAGS) -> dict[str, DataFrame]:
     """Split the event table by tag; unknown tags go nowhere."""
     return {t: log.filter(F.col("tag") == t) for t in tags}
 
@@ -239,11 +263,11 @@ def log_tail(lines: DataFrame, keep: int = DEFAULT_PARAMS.log_keep) -> DataFrame
 
 def since_last_clear(lines: DataFrame, clears: DataFrame) -> DataFrame:
     """Lines recorded at or after the device's last clear (the clear's own record included)."""
-    last = clears.groupBy(DEV).agg(F.max(F.struct("ts", "event_id")).alias("_c"))
-    j = lines.join(last, DEV, "left")
+    last = clears.groupBy(F.col(DEV).alias("_dev")).agg(F.max(F.struct("ts", "event_id")).alias("_c"))
+    j = lines.join(last, F.col(DEV).eqNullSafe(F.col("_dev")), "left")
     keep = F.col("_c").isNull() | (F.struct(F.col("ts"), F.col("seq"), F.col("event_id"))
                                    >= F.struct(F.col("_c.ts"), F.lit(SEQ_CLEAR), F.col("_c.event_id")))
-    return j.filter(keep).drop("_c")
+    return j.filter(keep).drop("_dev", "_c")
 
 
 def export_lines(lines_since_clear: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:

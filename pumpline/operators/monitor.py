@@ -150,10 +150,10 @@ def latest_per_device(df: DataFrame, cols=("event_id", "ts", "s04", "s10", "pred
 
 def dedupe_consecutive(df: DataFrame, key: str = "poll_key", p: Params = DEFAULT_PARAMS,
                        by=(DEV,)) -> DataFrame:
-    """Drop a poll whose key equals the previous poll's key (only keys are compared);
-    per device, or over one stream with ``by=()``."""
-    d = Q.neighbor_value(df, list(by), ORDER, "ts", p.bucket_s, key, "_prev_key", "prev")
-    return d.filter(F.col("_prev_key").isNull() | (F.col("_prev_key") != F.col(key))).drop("_prev_key")
+    """Drop a poll whose key equals the previous poll's key (only keys are compared,
+    and no key equals no key); per device, or over one stream with ``by=()``."""
+    d = Q.ordered_context(df, list(by), ORDER, "ts", p.bucket_s, seq="_n", prev={key: "_prev_key"})
+    return d.filter((F.col("_n") == 1) | ~F.col("_prev_key").eqNullSafe(F.col(key))).drop("_n", "_prev_key")
 
 
 def reconnects(status: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:

@@ -48,7 +48,12 @@ def _presses(spark, sf):
 
 
 def _log_lines(spark, sf):
-    return eventlog.log_lines(_event_log(spark, sf))
+    return eventlog.log_lines(eventlog.event_log(td.monitor_feed(spark, sf), P, ("log",)))
+
+
+def _lines_since_clear(spark, sf):
+    clears = td.clear_marks(spark, sf)
+    return eventlog.since_last_clear(eventlog.log_lines(eventlog.event_log(td.monitor_feed(spark, sf), P, ("log",), clears)), clears)
 
 
 # --- A: sources and sinks -----------------------------------------------------------
@@ -134,14 +139,16 @@ def q_wide_pivot_devices(spark, sf):
 
 
 def q_keyed_upsert_devices(spark, sf):
-    """Two batches with a compaction between them; the first batch is replayed last."""
+    """Batches 1 and 3, a compaction, then batch 2 for the first time (late) and batch 1 again (a replay), and another compaction."""
     path = work_path(spark, "sensor_wave_devices")
     c = _device_cells(spark, sf)
-    early, late = c.filter(F.col("version") % 3 != 0), c.filter(F.col("version") % 3 == 0)
-    wide.upsert_cells(spark, path, early, 1)
+    batch = {i: c.filter(F.col("version") % 3 == i - 1) for i in (1, 2, 3)}
+    for i in (1, 3):
+        wide.upsert_cells(spark, path, batch[i], i)
+    wide.compact_cells(spark, path)
+    for i in (2, 1):
+        wide.upsert_cells(spark, path, batch[i], i)
     wide.compact_cells(spark, path)
-    wide.upsert_cells(spark, path, late, 2)
-    wide.upsert_cells(spark, path, early, 1)
     return wide.read_cells(spark, path)
 
 
@@ -310,7 +317,9 @@ def q_latest_per_device(spark, sf):
 
 
 def _polls(spark, sf):
-    return _valid(spark, sf).withColumn("poll_key", F.date_format("ts", "yyyy-MM-dd HH"))
+    """Polls with a key an hour; some have none."""
+    key = F.when(F.col("event_id") % 13 != 0, F.date_format("ts", "yyyy-MM-dd HH"))
+    return _valid(spark, sf).withColumn("poll_key", key)
 
 
 def q_dedupe_consecutive(spark, sf):
@@ -383,13 +392,18 @@ def q_log_tail(spark, sf):
 
 
 def q_log_since_clear(spark, sf):
-    return eventlog.since_last_clear(_log_lines(spark, sf), td.clear_marks(spark, sf)) \
-        .select("device_id", "ts", "seq", "event_id", "line")
+    return _lines_since_clear(spark, sf).select("device_id", "ts", "seq", "event_id", "line")
 
 
 def q_log_export_lines(spark, sf):
-    since = eventlog.since_last_clear(_log_lines(spark, sf), td.clear_marks(spark, sf))
-    return eventlog.export_lines(since, P)
+    return eventlog.export_lines(_lines_since_clear(spark, sf), P)
+
+
+def q_log_export_files(spark, sf):
+    """The export as files, one folder for each device, read back as text."""
+    path = work_path(spark, "log_export")
+    eventlog.write_export(eventlog.export_lines(_lines_since_clear(spark, sf), P), path)
+    return spark.read.text(path).select(F.col("device_id").cast("long").alias("device_id"), F.col("value").alias("line"))
 
 
 # --- G: machine learning ------------------------------------------------------------------

@@ -252,7 +252,7 @@ SELECT row_key, family, qualifier, value, version FROM (
   TRY_CAST(s10 AS FLOAT) AS s10, TRY_CAST(pred AS FLOAT) AS pred FROM P""",
     "keyed_upsert_devices": w(R, cells_cte(DEVICE_KEY)) + """
 SELECT row_key, family, qualifier, value, version FROM (
-  SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version % 3 = 0 DESC, version DESC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version % 3 DESC, version DESC) AS rn
   FROM C) z WHERE rn = 1""",
     "latest_row": w(R, cells_cte(), PIVOT) + "SELECT row_key, real, pred, s04, s10 FROM P ORDER BY row_key DESC LIMIT 1",
     # --- B
@@ -334,13 +334,15 @@ FROM V WINDOW w AS (PARTITION BY device_id ORDER BY ts, event_id ROWS BETWEEN 79
     "latest_per_device": w(R, V) + """SELECT device_id, event_id, ts, s04, s10, pred FROM (
   SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY ts DESC, event_id DESC) AS rn FROM V) z WHERE rn = 1""",
     "dedupe_consecutive": w(R, V) + """SELECT device_id, event_id, ts, poll_key FROM (
-  SELECT *, lag(poll_key) OVER (PARTITION BY device_id ORDER BY ts, event_id) AS prev FROM (
-    SELECT *, strftime(ts, '%Y-%m-%d %H') AS poll_key FROM V) a) z
-WHERE prev IS NULL OR prev <> poll_key""",
+  SELECT *, lag(poll_key) OVER o AS prev, row_number() OVER o AS rn FROM (
+    SELECT *, CASE WHEN event_id % 13 <> 0 THEN strftime(ts, '%Y-%m-%d %H') END AS poll_key FROM V) a
+  WINDOW o AS (PARTITION BY device_id ORDER BY ts, event_id)) z
+WHERE rn = 1 OR prev IS DISTINCT FROM poll_key""",
     "dedupe_consecutive_global": w(R, V) + """SELECT event_id, ts, poll_key FROM (
-  SELECT *, lag(poll_key) OVER (ORDER BY ts, event_id) AS prev FROM (
-    SELECT *, strftime(ts, '%Y-%m-%d %H') AS poll_key FROM V) a) z
-WHERE prev IS NULL OR prev <> poll_key""",
+  SELECT *, lag(poll_key) OVER o AS prev, row_number() OVER o AS rn FROM (
+    SELECT *, CASE WHEN event_id % 13 <> 0 THEN strftime(ts, '%Y-%m-%d %H') END AS poll_key FROM V) a
+  WINDOW o AS (ORDER BY ts, event_id)) z
+WHERE rn = 1 OR prev IS DISTINCT FROM poll_key""",
     "reconnect_count": w(S, RECONNECTS) + """SELECT device_id, batch_reconnects, speed_reconnects,
   batch_reconnects + speed_reconnects AS total_reconnects FROM RCN""",
     "source_status": w(S) + """SELECT device_id, source, online, detail, ts AS status_ts FROM (
@@ -413,6 +415,12 @@ UNION ALL
 SELECT device_id, CAST(2 AS BIGINT), repeat('=', 64) FROM (SELECT DISTINCT device_id FROM SC) b
 UNION ALL
 SELECT device_id, row_number() OVER (PARTITION BY device_id ORDER BY ts, seq, event_id) + 2, line FROM SC""",
+    "log_export_files": "WITH RECURSIVE " + ",\n".join([*LOGC, LASTCLEAR]) + """
+SELECT device_id, '水泵流处理工业监控日志' AS line FROM (SELECT DISTINCT device_id FROM SC) a
+UNION ALL
+SELECT device_id, repeat('=', 64) FROM (SELECT DISTINCT device_id FROM SC) b
+UNION ALL
+SELECT device_id, line FROM SC""",
     # --- G
     "assemble_features": w(W) + "SELECT row_id, " + ", ".join(
         f"CAST({f} AS DOUBLE) AS f{i}" for i, f in enumerate(FW)) + " FROM W",

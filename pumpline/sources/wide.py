@@ -79,14 +79,14 @@ def decode_key(key_bytes) -> Column:
 # --- keyed upsert: committed batches, merged when read ------------------------------
 #
 # <root>/cells/batch=<id>/dt=<date>/   the cells of one batch, last put per key
-# <root>/base/upto=<id>/dt=<date>/     all batches up to <id>, merged (compaction)
-# <root>/commits/<kind>-<id>/          one row: that folder is complete
+# <root>/base/gen=<n>/dt=<date>/       merged batches (compaction), each cell with the batch that put it
+# <root>/commits/<kind>-<id>/          one row: that folder is complete; a base's row lists the batches in it
 #
 # A writer never touches what is committed.  A run that dies leaves an uncommitted
 # folder, which no reader looks at and which the retry replaces.
 
 CELL_SCHEMA = "row_key string, family string, qualifier string, value string, version long"
-COMMIT_SCHEMA = "kind string, id long"
+COMMIT_SCHEMA = "kind string, id long, merged array<long>"
 
 
 def _commits(spark: SparkSession, root: str) -> DataFrame | None:
@@ -99,11 +99,25 @@ def _commits(spark: SparkSession, root: str) -> DataFrame | None:
         return None
 
 
-def _commit(spark: SparkSession, root: str, kind: str, number: int) -> None:
-    (spark.createDataFrame([(kind, number)], COMMIT_SCHEMA).coalesce(1)
+def _commit(spark: SparkSession, root: str, kind: str, number: int, merged: list[int] | None = None) -> None:
+    (spark.createDataFrame([(kind, number, merged)], COMMIT_SCHEMA).coalesce(1)
      .write.mode("overwrite").parquet(f"{root}/commits/{kind}-{number}"))
 
 
+def _state(spark: SparkSession, root: str) -> tuple[int | None, set[int], set[int]]:
+    """The newest base's number, the batches in it, and the committed batches that are not."""
+    done = _commits(spark, root)
+    rows = [] if done is None else done.collect()  # one small row for each batch
+    base = max((r for r in rows if r["kind"] == "base"), key=lambda r: r["id"], default=None)
+    merged = set(base["merged"]) if base else set()
+    return base["id"] if base else None, merged, {r["id"] for r in rows if r["kind"] == "batch"} - merged
+
+
+def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
+    _, merged, newer = _state(spark, root.rstrip("/"))
+    return int(batch_id) in merged | newer
+
+
 def _write_cells(cells: DataFrame, path: str, part_col: str) -> None:
     """Range-partitioned by (date, key): files per date follow the date's volume, their
     number the adaptive shuffle."""
@@ -118,11 +132,11 @@ def upsert_cells(spark: SparkSession, root: str, batch: DataFrame, batch_id: int
     wins, in whatever order the batches arrive.  A batch is written once, whatever
     the table's size: nothing is read or rewritten (``read_cells`` merges,
     ``compact_cells`` keeps that cheap).  A batch id that is committed is not
-    written again, so a replayed or late old batch changes nothing.
+    written again, so a replayed batch changes nothing; one that arrives late, also
+    after a compaction of younger ones, takes its place among them.
     """
     root = root.rstrip("/")
-    done = _commits(spark, root)
-    if done is not None and not done.where((F.col("kind") == "batch") & (F.col("id") == int(batch_id))).isEmpty():
+    if is_committed(spark, root, batch_id):
         return
     put = F.max(F.struct("version", "value")).alias("_w")
     cells = (batch.groupBy(*CELL_KEY_COLS).agg(put)
@@ -132,39 +146,44 @@ def upsert_cells(spark: SparkSession, root: str, batch: DataFrame, batch_id: int
     _commit(spark, root, "batch", int(batch_id))
 
 
-def read_cells(spark: SparkSession, root: str, dates: list[str] | None = None, part_col: str = "dt") -> DataFrame:
-    """The table: per cell the put of the newest batch.  ``dates`` reads only those date partitions."""
-    root = root.rstrip("/")
-    done = _commits(spark, root)
-    base, batches = None, []
-    if done is not None:
-        base = done.where("kind = 'base'").agg(F.max("id")).first()[0]
-        newer = done.where("kind = 'batch'") if base is None else done.where((F.col("kind") == "batch") & (F.col("id") > base))
-        batches = sorted(r["id"] for r in newer.collect())
-    parts = []
+def _merged(spark: SparkSession, root: str, dates: list[str] | None, part_col: str) -> tuple[DataFrame | None, set[int], int | None]:
+    """(cells with the batch that put them, the batches they come from, the newest base)."""
+    base, merged, newer = _state(spark, root)
+    parts, schema = [], f"{CELL_SCHEMA}, batch long, {part_col} string"
     if base is not None:
-        parts.append(spark.read.schema(f"{CELL_SCHEMA}, {part_col} string").parquet(f"{root}/base/upto={base}")
-                     .withColumn("batch", F.lit(int(base)).cast("long")))
-    if batches:
-        parts.append(spark.read.schema(f"{CELL_SCHEMA}, batch long, {part_col} string").option("basePath", f"{root}/cells")
-                     .parquet(*[f"{root}/cells/batch={b}" for b in batches]))
+        parts.append(spark.read.schema(schema).parquet(f"{root}/base/gen={base}"))
+    if newer:
+        parts.append(spark.read.schema(schema).option("basePath", f"{root}/cells")
+                     .parquet(*[f"{root}/cells/batch={b}" for b in sorted(newer)]))
     if not parts:
-        return spark.createDataFrame([], CELL_SCHEMA)
+        return None, set(), base
     cells = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     if dates is not None:
         cells = cells.where(F.col(part_col).isin(dates))
     newest = F.max(F.struct("batch", "version", "value")).alias("_w")
-    return (cells.groupBy(*CELL_KEY_COLS).agg(newest)
-            .select(*CELL_KEY_COLS, F.col("_w.value").alias("value"), F.col("_w.version").alias("version")))
+    cells = (cells.groupBy(*CELL_KEY_COLS).agg(newest)
+             .select(*CELL_KEY_COLS, F.col("_w.value").alias("value"), F.col("_w.version").alias("version"), F.col("_w.batch").alias("batch")))
+    return cells, merged | newer, base
+
+
+def read_cells(spark: SparkSession, root: str, dates: list[str] | None = None, part_col: str = "dt") -> DataFrame:
+    """The table: per cell the put of the newest batch.  ``dates`` reads only those date partitions."""
+    cells, _, _ = _merged(spark, root.rstrip("/"), dates, part_col)
+    return spark.createDataFrame([], CELL_SCHEMA) if cells is None else cells.drop("batch")
 
 
-def compact_cells(spark: SparkSession, root: str, part_col: str = "dt") -> None:
-    """Merge all committed batches into a new base; readers switch to it when it is committed."""
+def compact_cells(spark: SparkSession, root: str, part_col: str = "dt", least: int = 1) -> bool:
+    """Merge all committed batches into a new base, if at least ``least`` are not in one yet.
+
+    Readers switch to the base when it is committed.  Its cells keep the number of
+    their batch, and its commit lists the batches, so an older batch that arrives
+    later is still read and loses only to younger puts.
+    """
     root = root.rstrip("/")
-    done = _commits(spark, root)
-    upto = None if done is None else done.agg(F.max("id")).first()[0]
-    if upto is None:
-        return
-    merged = read_cells(spark, root, part_col=part_col).withColumn(part_col, F.substring("row_key", 1, 10))
-    _write_cells(merged, f"{root}/base/upto={upto}", part_col)
-    _commit(spark, root, "base", int(upto))
+    if len(_state(spark, root)[2]) < max(1, least):
+        return False
+    cells, inside, base = _merged(spark, root, None, part_col)
+    number = 1 if base is None else base + 1
+    _write_cells(cells.withColumn(part_col, F.substring("row_key", 1, 10)), f"{root}/base/gen={number}", part_col)
+    _commit(spark, root, "base", number, sorted(inside))
+    return True

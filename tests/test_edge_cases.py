@@ -320,3 +320,41 @@ def test_external_database_is_dropped(spark):
     assert t.count() == 3
     spark.sql(f"DROP DATABASE {db} CASCADE")
     assert spark.read.parquet(loc).count() == 3  # the files are not the catalog's
+
+
+def test_late_batch_below_a_base_is_read(spark):
+    path = work_path(spark, "t_late_batch")
+    wide.upsert_cells(spark, path, _cells(spark, (1, "1.0", 1)), 1)
+    wide.upsert_cells(spark, path, _cells(spark, (3, "3.0", 1)), 3)
+    assert wide.compact_cells(spark, path) and not wide.compact_cells(spark, path)
+    wide.upsert_cells(spark, path, _cells(spark, (1, "2.0", 1), (2, "2.0", 1), (3, "2.0", 9)), 2)  # older than the base's last batch
+    want = {"1.0": 0, "2.0": 2, "3.0": 1}
+    for _ in range(2):
+        values = [r.value for r in wide.read_cells(spark, path).collect()]
+        assert {v: values.count(v) for v in want} == want  # batch 2 wins over 1 and loses to 3
+        assert wide.compact_cells(spark, path, least=2) is False
+    assert wide.compact_cells(spark, path)
+    wide.upsert_cells(spark, path, _cells(spark, (3, "9.0", 9)), 2)  # a replay
+    assert sorted(r.value for r in wide.read_cells(spark, path).collect()) == ["2.0", "2.0", "3.0"]
+
+
+def test_null_poll_keys_compare_as_equal(spark):
+    from datetime import datetime, timedelta
+
+    t = datetime(2024, 1, 1)
+    rows = [(dev, i, t + timedelta(minutes=i), k) for dev in (1, None) for i, k in enumerate(["a", None, None, "a", "a", None], start=1)]
+    df = spark.createDataFrame(rows, "device_id long, event_id long, ts timestamp_ntz, poll_key string")
+    got = monitor.dedupe_consecutive(df).collect()
+    for dev in (1, None):
+        assert sorted(r.event_id for r in got if r.device_id == dev) == [1, 2, 4, 6]
+
+
+def test_clear_of_a_device_without_id(spark):
+    from datetime import datetime
+
+    at = lambda h: datetime(2024, 1, 1, h)
+    lines = spark.createDataFrame([(d, at(h), 0, h, f"{d}-{h}") for d in (1, None) for h in (1, 2, 3)],
+                                  "device_id long, ts timestamp_ntz, seq int, event_id long, line string")
+    clears = spark.createDataFrame([(d, at(2), 0) for d in (1, None)], "device_id long, ts timestamp_ntz, event_id long")
+    assert sorted(r.line for r in eventlog.since_last_clear(lines, clears).collect()) == ["1-3", "None-3"]
+    assert sorted(r.line for r in eventlog.after_clear(lines, clears).collect()) == ["1-2", "1-3", "None-2", "None-3"]

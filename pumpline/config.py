@@ -23,6 +23,10 @@ class Params:
     seed_s10: float = 40.0
     # conflation tick of the speed view (one refresh per tick and device)
     tick_ms: int = 100
+    # events a consumer takes in one tick; the rest waits for the next
+    drain_cap: int = 200
+    # rows in one call of the external store's writer
+    put_rows: int = 1000
     # mute windows
     mute_s: int = 300
     # event log
@@ -47,7 +51,7 @@ DEFAULT_PARAMS = Params()
 # Settings used on the driver's test tables (FIXTURES.md section 2): event spacing
 # there is hours, so the 300 s horizons would never overlap.
 TESTDATA_PARAMS = Params(vib_threshold=100.0, temp_threshold=45.0,
-                         recent_horizon_s=86400, mute_s=86400, tick_ms=86_400_000)
+                         recent_horizon_s=86400, mute_s=86400, tick_ms=86_400_000, drain_cap=2)
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (output texts of the dashboard; must stay byte-identical)

@@ -234,7 +234,7 @@ def event_log(rows: DataFrame, p: Params = DEFAULT_PARAMS, tags=TAGS, clears: Da
     if "log" in tags:
         presses = saved(mute_windows(rows.filter(F.col("kind") == FEED_PRESS).select(DEV, "ts", "event_id"), p), "log-presses")
         errors = saved(plain_records(cut(rows.filter(may_be_error(p))), p, ("log",)), "log-errors")
-        tagged = muted_until(errors, presses, p).withColumn("muted", F.col("mute_until").isNotNull())
+        tagged = saved(muted_until(errors, presses, p).withColumn("muted", F.col("mute_until").isNotNull()).drop("mute_until"), "log-tagged")
         said = F.when(F.col("opens"), F.lit(C.MSG_MUTE_ON)).otherwise(F.lit(C.MSG_MUTE_OFF))
         mute = unfold(cut(presses), F.array(_record(SEQ_MUTE, "log", "INFO", said)))
         first = unfold(cut(rows.groupBy(DEV).agg(F.min("ts").alias("ts"))).withColumn("event_id", F.lit(-1).cast("long")),

@@ -156,6 +156,25 @@ def dedupe_consecutive(df: DataFrame, key: str = "poll_key", p: Params = DEFAULT
     return d.filter((F.col("_n") == 1) | ~F.col("_prev_key").eqNullSafe(F.col(key))).drop("_n", "_prev_key")
 
 
+def drain_ticks(df: DataFrame, p: Params = DEFAULT_PARAMS, by=(DEV,)) -> DataFrame:
+    """The tick in which a capped consumer handles each event: columns tick_arrived, tick_handled, queued.
+
+    A consumer takes at most ``drain_cap`` waiting events in each tick, oldest
+    first; the others wait (backlog = max(0, backlog + arrivals - cap)).  Seen as a
+    row of places, ``drain_cap`` of them a tick, an event takes the place after the
+    one before it, or the first of its own tick if that is later:
+    place(i) = i + max over j <= i of (tick(j) * cap - j), a running maximum.
+    ``queued`` is the number of ticks an event waits.  One queue per device, or over
+    all rows with ``by=()``.
+    """
+    cap, tick_us = int(p.drain_cap), int(p.tick_ms) * 1000
+    d = Q.sequence_number(df, list(by), ORDER, "ts", p.bucket_s, "_n")
+    d = d.withColumn("tick_arrived", F.floor(X.epoch_micros("ts") / F.lit(tick_us)).cast("long"))
+    d = Q.running_max(d, list(by), ORDER, "ts", p.bucket_s, F.col("tick_arrived") * cap - F.col("_n"), "_ahead")
+    d = d.withColumn("tick_handled", F.floor((F.col("_n") + F.col("_ahead")) / F.lit(cap)).cast("long"))
+    return d.withColumn("queued", F.col("tick_handled") - F.col("tick_arrived")).drop("_n", "_ahead")
+
+
 def reconnects(status: DataFrame, p: Params = DEFAULT_PARAMS) -> DataFrame:
     """Offline -> online transitions per (device, source); None -> online is not one."""
     d = Q.neighbor_value(status, [DEV, "source"], ORDER, "ts", p.bucket_s, "online", "_prev", "prev")

@@ -17,7 +17,7 @@ from pumpline.config import TESTDATA_PARAMS as P
 from pumpline.functions import expressions as X
 from pumpline.operators import clean, eventlog, jobs, ml, monitor
 from pumpline.session import work_path
-from pumpline.sources import files, testdata as td, wide
+from pumpline.sources import external, files, testdata as td, wide
 
 Query = Callable[[SparkSession, str], DataFrame]
 R_COLS = td.READING_COLUMNS
@@ -152,6 +152,13 @@ def q_keyed_upsert_devices(spark, sf):
     return wide.read_cells(spark, path)
 
 
+def q_external_upsert(spark, sf):
+    """The readings' cells put into an outside store row by row, in calls of bounded size; what it holds afterwards."""
+    root = work_path(spark, "external")
+    external.put_cells(td.cells(spark, sf), root, P.put_rows)
+    return external.stored_cells(spark, root)
+
+
 # --- B: cleaning and expressions ----------------------------------------------------
 
 def _with_junk_columns(spark, sf):
@@ -331,6 +338,11 @@ def q_dedupe_consecutive_global(spark, sf):
     return monitor.dedupe_consecutive(_polls(spark, sf), "poll_key", P, by=()).select("event_id", "ts", "poll_key")
 
 
+def q_drain_ticks(spark, sf):
+    """One capped queue per device."""
+    return monitor.drain_ticks(_valid(spark, sf), P).select("device_id", "event_id", "tick_arrived", "tick_handled", "queued")
+
+
 def q_reconnect_count(spark, sf):
     return monitor.reconnect_count(td.source_status(spark, sf), P)
 

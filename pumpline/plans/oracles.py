@@ -250,6 +250,8 @@ SELECT row_key, family, qualifier, value, version FROM (
   FROM B) z WHERE rn = 1""",
     "wide_pivot_devices": w(R, cells_cte(DEVICE_KEY), PIVOT) + """SELECT row_key, TRY_CAST(s04 AS FLOAT) AS s04,
   TRY_CAST(s10 AS FLOAT) AS s10, TRY_CAST(pred AS FLOAT) AS pred FROM P""",
+    "external_upsert": w(R, cells_cte()) + """SELECT row_key, family, qualifier, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version DESC) AS rn FROM C) z WHERE rn = 1""",
     "keyed_upsert_devices": w(R, cells_cte(DEVICE_KEY)) + """
 SELECT row_key, family, qualifier, value, version FROM (
   SELECT *, row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY version % 3 DESC, version DESC) AS rn
@@ -343,6 +345,12 @@ WHERE rn = 1 OR prev IS DISTINCT FROM poll_key""",
     SELECT *, CASE WHEN event_id % 13 <> 0 THEN strftime(ts, '%Y-%m-%d %H') END AS poll_key FROM V) a
   WINDOW o AS (ORDER BY ts, event_id)) z
 WHERE rn = 1 OR prev IS DISTINCT FROM poll_key""",
+    "drain_ticks": "WITH RECURSIVE " + ",\n".join([R, V]) + """,
+E AS (SELECT device_id, event_id, epoch_us(ts) // 86400000000 AS tick, row_number() OVER (PARTITION BY device_id ORDER BY ts, event_id) AS n FROM V),
+Q AS (
+  SELECT device_id, n, tick * 2 AS place FROM E WHERE n = 1
+  UNION ALL SELECT E.device_id, E.n, greatest(Q.place + 1, E.tick * 2) FROM Q JOIN E ON E.device_id = Q.device_id AND E.n = Q.n + 1)
+SELECT device_id, event_id, tick AS tick_arrived, place // 2 AS tick_handled, place // 2 - tick AS queued FROM E JOIN Q USING (device_id, n)""",
     "reconnect_count": w(S, RECONNECTS) + """SELECT device_id, batch_reconnects, speed_reconnects,
   batch_reconnects + speed_reconnects AS total_reconnects FROM RCN""",
     "source_status": w(S) + """SELECT device_id, source, online, detail, ts AS status_ts FROM (

@@ -115,6 +115,16 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: s
     return out.drop(B, K, *[f"_pl_{x}_{n}" for n in values for x in ("v", "in", "off")])
 
 
+def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str, width_s: int, value: Column, name: str) -> DataFrame:
+    """Largest ``value`` per key up to each row in ``order``, the row included."""
+    d = with_bucket(df, ts, width_s, keys, order).withColumn("_pl_v", value)
+    inside = Window.partitionBy(K).orderBy(*_orders(order)).rowsBetween(UNB, 0)
+    d = d.withColumn("_pl_in", F.max("_pl_v").over(inside))
+    tops = d.groupBy(K).agg(F.max("_pl_v").alias("_pl_t"))
+    before = tops.select(K, F.max("_pl_t").over(_over(keys).rowsBetween(UNB, -1)).alias("_pl_before"))
+    return d.join(before, K).withColumn(name, F.greatest("_pl_in", "_pl_before")).drop("_pl_v", "_pl_in", "_pl_before", B, K)
+
+
 def carry_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str,
                width_s: int, cols: Sequence[str], include_current: bool = True,
                suffix: str = "_asof") -> DataFrame:

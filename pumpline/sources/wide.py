@@ -113,9 +113,14 @@ def _state(spark: SparkSession, root: str) -> tuple[int | None, set[int], set[in
     return base["id"] if base else None, merged, {r["id"] for r in rows if r["kind"] == "batch"} - merged
 
 
-def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
+def committed(spark: SparkSession, root: str) -> set[int]:
+    """The batches that the table holds."""
     _, merged, newer = _state(spark, root.rstrip("/"))
-    return int(batch_id) in merged | newer
+    return merged | newer
+
+
+def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
+    return int(batch_id) in committed(spark, root)
 
 
 def _write_cells(cells: DataFrame, path: str, part_col: str) -> None:

@@ -390,10 +390,12 @@ def event_log_stream(rows: DataFrame, p: Params = DEFAULT_PARAMS, delay: str = "
 
 # --- F10: batch view over the keyed table ----------------------------------------------
 
-def upsert_sink(table: str, to_cells: Callable[[DataFrame], DataFrame]):
-    """foreachBatch body: each micro-batch is one idempotent upsert into the keyed table."""
+def upsert_sink(table: str, to_cells: Callable[[DataFrame], DataFrame], compact_every: int = 64):
+    """foreachBatch body: each micro-batch is one idempotent upsert into the keyed table,
+    which is compacted whenever ``compact_every`` batches are not in its base yet."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         wide.upsert_cells(batch.sparkSession, table, to_cells(batch), batch_id)
+        wide.compact_cells(batch.sparkSession, table, least=compact_every)
     return sink
 
 
@@ -402,6 +404,61 @@ def batch_view(spark: SparkSession, table: str) -> DataFrame:
     return monitor.macro_counts(wide.mapped_view(wide.read_cells(spark, table)), by=())
 
 
+VIEW_COUNTS = ("normal", "anomaly", "unknown", "total")
+
+
+def view_change(spark: SparkSession, table: str, cells: DataFrame) -> DataFrame:
+    """What the puts ``cells`` change in the counts by class, one row: each touched key leaves its old class and enters its new one.
+
+    Reads the table's dates that the cells touch (their number is bounded by the
+    micro-batch) and of these only the keys that are written.  Keys that were not
+    there before have no old class.
+    """
+    day = F.substring("row_key", 1, 10)
+    dates = [r[0] for r in cells.select(day).distinct().collect()]
+    keys = cells.select("row_key").distinct()
+    old = wide.read_cells(spark, table, dates).join(keys, "row_key", "left_semi").withColumn("age", F.lit(0))
+    put = old.select("row_key", "family", "qualifier", "value", "version", "age").unionByName(
+        cells.select("row_key", "family", "qualifier", "value", "version", F.lit(1).alias("age")))
+    pred = (F.col("family") == "status") & (F.col("qualifier") == "pred")
+    order = F.struct("age", "version", "value")
+    per = put.groupBy("row_key").agg(
+        F.max_by("value", F.when(pred & (F.col("age") == 0), order)).alias("was"), F.max_by("value", F.when(pred, order)).alias("is"),
+        F.max(F.col("age") == 0).alias("existed"))
+    was, now = F.expr("try_cast(was as float)"), F.expr("try_cast(is as float)")
+    of = {"normal": lambda c: c == 0, "anomaly": lambda c: c != 0, "unknown": lambda c: c.isNull(), "total": lambda c: F.lit(True)}
+    return per.agg(*[(F.count_if(of[n](now)) - F.count_if(F.col("existed") & of[n](was))).alias(n) for n in VIEW_COUNTS])
+
+
+def view_sink(table: str, view: str, to_cells: Callable[[DataFrame], DataFrame], compact_every: int = 64):
+    """foreachBatch body: the keyed table and its counts by class together, from the changed keys only.
+
+    The change is written first, then the batch is committed to the table.  A run
+    that dies in between leaves a change that the retry replaces (the table does not
+    hold the batch yet); after the commit a replay does nothing.
+    """
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if wide.is_committed(spark, table, batch_id):
+            return
+        batch.persist()
+        try:
+            cells = to_cells(batch)
+            view_change(spark, table, cells).write.mode("overwrite").parquet(f"{view}/batch={batch_id}")
+            wide.upsert_cells(spark, table, cells, batch_id)
+        finally:
+            batch.unpersist()
+        wide.compact_cells(spark, table, least=compact_every)
+    return sink
+
+
+def read_view(spark: SparkSession, table: str, view: str) -> DataFrame:
+    """The counts: the sum of the committed batches' changes."""
+    changes = spark.read.schema(", ".join(f"{c} long" for c in (*VIEW_COUNTS, "batch"))).parquet(view)
+    done = spark.createDataFrame([(b,) for b in sorted(wide.committed(spark, table))], "batch long")
+    return changes.join(done, "batch", "left_semi").agg(*[F.sum(c).alias(c) for c in VIEW_COUNTS])
+
+
 def route_batch(out: str, tags=("log", "macro", "status", "micro")):
     """foreachBatch body: cache the batch once, write one output per known tag.
 

@@ -140,23 +140,26 @@ def _hour_cells(batch: DataFrame) -> DataFrame:
     return td.inject_cell_faults(wide.unpivot_cells(batch, F.date_format("ts", "yyyy-MM-dd HH:00:00.000000"), "event_id"))
 
 
-def _upserted(spark, sf, name):
+def _upserts(spark, sf, name, sink, table):
     """Readings streamed into the keyed table, keys by the hour: they are written again and again."""
-    table, ck = _dirs(spark, name)
+    ck = _dirs(spark, name)[1]
     stream, _ = _replayed(spark, td.readings(spark, sf).withColumn("hour", F.date_trunc("hour", "ts")), name, key="hour")
-    (stream.writeStream.foreachBatch(S.upsert_sink(table, _hour_cells)).option("checkpointLocation", ck)
+    (stream.writeStream.foreachBatch(sink).option("checkpointLocation", ck)
      .trigger(availableNow=True).start().awaitTermination())
-    return table
 
 
 def q_stream_macro_counts(spark, sf):
-    """The batch view next to the speed view: counts over the keyed table after its overwrites."""
-    return S.batch_view(spark, _upserted(spark, sf, "stream_macro"))
+    """The batch view next to the speed view, kept up to date by what each micro-batch changes."""
+    table, view = work_path(spark, "view_table"), work_path(spark, "view_changes")
+    _upserts(spark, sf, "stream_macro", S.view_sink(table, view, _hour_cells, compact_every=3), table)
+    return S.read_view(spark, table, view)
 
 
 def q_stream_upsert(spark, sf):
-    """Keyed upsert driven by a stream: each micro-batch is one idempotent upsert."""
-    return wide.read_cells(spark, _upserted(spark, sf, "stream_wave"))
+    """Keyed upsert driven by a stream: each micro-batch is one idempotent upsert, compacted on the way."""
+    table = work_path(spark, "stream_wave")
+    _upserts(spark, sf, "stream_wave", S.upsert_sink(table, _hour_cells, compact_every=3), table)
+    return wide.read_cells(spark, table)
 
 
 def q_stream_score(spark, sf):

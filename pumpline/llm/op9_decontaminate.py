@@ -61,6 +61,9 @@ WORDS = 1 << 12
 TILES = 1 << 14
 BYTES = 1 << 20
 
+#: Terms up to which a task keeps the terms' whole matrix (4 bytes an entry).
+DENSE_TERMS = 8192
+
 MIN_COSINE = 0.35
 MIN_COVER = 0.5
 MIN_LCS = 0.7
@@ -247,6 +250,22 @@ class Space:
         return out / np.sqrt(np.maximum(full[at], 1e-12))[:, None], starts[at], text[at], h, n_words, (np.searchsorted(at, held), item)
 
 
+def together(space: Space, h: np.ndarray, starts: np.ndarray, into: np.ndarray) -> None:
+    """Adds to one half of the terms' matrix (flat) what the terms of each tile have in common: 1 / squared length for each pair of places."""
+    col = space.terms.columns(h)
+    full, _ = space.lengths(col, starts)
+    share = (1.0 / np.maximum(full, 1e-12)).astype(np.float32)
+    inside = np.flatnonzero((col >= 0) & (space.weight[col] > 0))
+    tile, c = np.searchsorted(starts, inside, side="right") - 1, col[inside]
+    part, m = share[tile], len(space.weight)
+    np.add.at(into, c * (m + 1), part / 2)  # a place with itself: the other half adds as much
+    for d in range(1, TILE):
+        at = np.flatnonzero(tile[d:] == tile[:-d]) if len(tile) > d else tile[:0]
+        if not len(at):
+            break
+        np.add.at(into, c[at] * m + c[at + d], part[at])
+
+
 def singular_vectors(docs: DataFrame, space: Space, bench: list[bytes], n_tiles: int, dims: int = DIMS, seed: int = 7) -> np.ndarray:
     """Leading right singular vectors (terms x dims) of all tiles and of the items' rows."""
     m = len(space.weight)
@@ -268,8 +287,7 @@ def singular_vectors(docs: DataFrame, space: Space, bench: list[bytes], n_tiles:
             first = np.flatnonzero(np.diff(c, prepend=-1))
             into[c[first]] += np.add.reduceat(y[t] * space.weight[c, None], first, axis=0)
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = np.zeros((m, dims), np.float32)
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for b in batches:
             for texts in _texts(b):
                 h, n_words = word_hashes(texts)
@@ -277,7 +295,23 @@ def singular_vectors(docs: DataFrame, space: Space, bench: list[bytes], n_tiles:
                 for lo in range(0, len(starts), TILES):  # a very long text is many steps
                     s = starts[lo:lo + TILES]
                     end = starts[lo + TILES] if lo + TILES < len(starts) else len(h)
-                    product(h[s[0]:end], s - s[0], z)
+                    yield h[s[0]:end], s - s[0]
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if m <= DENSE_TERMS:
+            # the task's own Gram matrix takes a few additions a word; it meets the test matrix once
+            gram = np.zeros(m * m, np.float32)
+            for h, starts in pieces(batches):
+                together(space, h, starts, gram)
+            gram = gram.reshape(m, m)
+            gram += gram.T.copy()
+            gram *= space.weight[:, None]
+            gram *= space.weight
+            z = gram @ omega
+        else:
+            z = np.zeros((m, dims), np.float32)
+            for h, starts in pieces(batches):
+                product(h, starts, z)
         used = np.flatnonzero(np.abs(z).sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(z[used, j]) for j in range(dims)]],
                                          ["term", *[f"z{j}" for j in range(dims)]])

@@ -174,3 +174,27 @@ def test_odd_rows(spark, odd_docs, frame):
     assert D.digest(spark, odd_docs.limit(0), bench).count() == 0
     assert D.digest(spark, odd_docs, bench.limit(0)).count() == 0
     assert D.drop_contaminated(spark, odd_docs, bench.limit(0)).count() == 10
+
+
+def test_terms_together_are_the_gram_matrix():
+    r = np.random.default_rng(8)
+    bench = [" ".join(f"t{v}" for v in r.integers(0, 40, 20)).encode() for _ in range(5)]
+    texts = [" ".join(f"t{v}" for v in r.integers(0, 80, n)).encode() for n in (1, 16, 17, 200)]
+    terms = D.Terms.of(D.word_hashes(bench)[0])
+    space = D.weighted(terms, r.integers(1, 50, len(terms.hashes)).astype(float), 1000, bench)
+    m = len(space.weight)
+    half, want = np.zeros(m * m, np.float32), np.zeros((m, m))
+    for t in texts:
+        h, n = D.word_hashes([t])
+        starts = D.tile_starts(n)[0]
+        D.together(space, h, starts, half)
+        col = terms.columns(h)
+        full, _ = space.lengths(col, starts)
+        for k, s in enumerate(starts):
+            row = np.zeros(m)
+            for c in col[s:s + D.TILE]:
+                if c >= 0:
+                    row[c] += space.weight[c]
+            want += np.outer(row, row) / max(full[k], 1e-12)
+    half = half.reshape(m, m)
+    assert np.allclose((half + half.T) * np.outer(space.weight, space.weight), want, rtol=1e-4, atol=1e-6)

@@ -226,12 +226,14 @@ def repeated(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> Data
     discard(spark, held)
     # stretches that a smaller document holds whole
     whole = save(spark, _shared(seen, "name", "stretch"), "stretches-shared")
-    marked = save(spark, seen.join(whole, ["name", "stretch"], "left"), "stretches-marked")
-    discard(spark, seen, whole)
     settled = F.coalesce(F.col("least") < F.col("doc_id"), F.lit(False))
-    done = marked.where(settled).select("doc_id", "k", F.struct("first", (F.col("first") + F.size("windows") - 1).alias("last")).alias("r"))
+    marked = seen.join(whole, ["name", "stretch"], "left").select(
+        "doc_id", "k", "name", "first", (F.col("first") + F.size("windows") - 1).alias("last"), F.when(~settled, F.col("windows")).alias("windows"))
+    marked = save(spark, marked, "stretches-marked")
+    discard(spark, seen, whole)
+    done = marked.where("windows is null").select("doc_id", "k", F.struct("first", "last").alias("r"))
     # the others, window by window, where a name is still held by several documents
-    rest = marked.where(~settled)
+    rest = marked.where("windows is not null")
     open_names = save(spark, _shared(rest, "name").select("name"), "names-open")
     single = rest.join(open_names, "name").select("doc_id", "k", "name", "first", F.posexplode("windows").alias("j", "w"))
     single = save(spark, single.select("doc_id", "k", "name", "w", (F.col("first") + F.col("j")).alias("at")), "windows")

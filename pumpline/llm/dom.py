@@ -3,8 +3,8 @@
 Block elements become nodes; inline elements add their text to the block around
 them.  Scripts, styles, templates, form controls, the head's contents and
 comments never give text.  Missing end tags are closed the usual way (a block
-closes an open paragraph, an item closes the one before); a tag that the page's
-end cuts off is dropped.
+closes an open paragraph, an item closes the one before); a link that is left open
+ends with the block it is in; a tag that the page's end cuts off is dropped.
 """
 
 from __future__ import annotations
@@ -22,8 +22,14 @@ SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 #: An element that ends what may be closed by SAME.
 LIST = frozenset("ul ol menu dl table".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^>]*\Z", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: An attribute: its name, then ``=`` and a quoted value, or one that ends at white space (a quote in it is like any character).
+NAMED = r"[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+"
+MARKUP = r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({attributes})(>|\Z)"
+TOKEN = re.compile(MARKUP.format(attributes=rf"(?:[\s/]++|{NAMED})*+"), re.S)
+#: For the rest of a page in which a quoted value takes a tag up to the page's end.
+LOOSE = re.compile(MARKUP.format(attributes="[^>]*+"), re.S)
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?+")
+TELLING = frozenset("class id role itemprop hidden aria-hidden".split())
 SPACE = re.compile(r"\s+")
 
 
@@ -49,6 +55,8 @@ def attribute_tokens(raw: str) -> tuple[str, ...]:
     for m in ATTRIBUTE.finditer(raw):
         value = m[2] or m[3] or m[4] or ""
         name = m[1].lower()
+        if name not in TELLING:
+            continue
         out += [f"{name}={t}" for t in re.split(r"[^a-z0-9]+", value.lower()) if t] or [name]
     return tuple(out)
 
@@ -57,7 +65,8 @@ def parse(source: str) -> Page:
     nodes = [Node("root", -1, 0, ())]
     texts: list[tuple[int, str, int]] = []
     stack, open_count = [0], {"root": 1}
-    links, parts, linked = 0, [], 0
+    link, parts, linked = -1, [], 0  # link: the block in which a link is open
+    token = TOKEN
 
     def flush() -> None:
         nonlocal parts, linked
@@ -69,32 +78,39 @@ def parse(source: str) -> Page:
             parts, linked = [], 0
 
     def close(tag: str) -> None:
+        nonlocal link
         flush()
         while True:
-            n = nodes[stack.pop()]
+            at = stack.pop()
+            n = nodes[at]
+            if at == link:
+                link = -1
             open_count[n.tag] -= 1
             if n.tag == tag:
                 return
 
     at, end = 0, len(source)
     while at < end:
-        m = TOKEN.search(source, at)
+        m = token.search(source, at)
+        if m and m[2] and not m[4] and token is TOKEN and ">" in m[0]:
+            token = LOOSE
+            continue
         stop = m.start() if m else end
         if stop > at:
             piece = source[at:stop]
             parts.append(piece)
-            if links:
+            if link >= 0:
                 linked += len(piece.strip())
         if not m:
             break
         at = m.end()
-        tag = m[2] or m[5]
-        if not tag:
+        tag = m[2]
+        if not tag or not m[4]:
             continue
         tag = tag.lower()
-        closing = bool(m[1] or m[4])
+        closing = bool(m[1])
         if tag in RAW:
-            if not closing and not (m[3] or m[6] or "").endswith("/"):
+            if not closing and not m[3].endswith("/"):
                 e = _END[tag].search(source, at)
                 at = e.end() if e else (at if tag in ("svg", "math", "object", "button", "select", "option", "noscript") else end)
             parts.append(" ")
@@ -115,11 +131,11 @@ def parse(source: str) -> Page:
                     if nodes[stack[k]].tag == same:
                         close(same)
                         break
-            nodes.append(Node(tag, stack[-1], nodes[stack[-1]].depth + 1, attribute_tokens(m[3] or m[6] or "")))
+            nodes.append(Node(tag, stack[-1], nodes[stack[-1]].depth + 1, attribute_tokens(m[3])))
             stack.append(len(nodes) - 1)
             open_count[tag] = open_count.get(tag, 0) + 1
         elif tag == "a":
-            links = 0 if closing else 1
+            link = -1 if closing else stack[-1]
         elif tag in VOID:
             parts.append(" ")
             if tag == "hr":

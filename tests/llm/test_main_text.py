@@ -27,8 +27,20 @@ def test_parser():
     assert texts("<p>un \"quoted <a href=\"x>y</a> z")[0].startswith("un")
 
 
+def test_quotes_in_unquoted_values_and_open_links():
+    assert texts("<p title=it's>Hello one</p><p title=it's>World two</p>") == ["Hello one", "World two"]
+    assert texts("<p title=a\"b>one</p><p data-x='>' q=5\" id = \"m>n\">two</p><p '>three</p>") == ["one", "two", "three"]
+    assert texts("<a href=\"x>y</a> z<p>u</p>") == ["y z", "u"] and texts("<p>a</p><p class='b>c</p>") == ["a", "c"]
+    linked = [(t, n) for _, t, n in parse("<p>a <a href=x>b</p><p>c</p><div><a href=y><p>d</p></a>e</div><li><a>f<li>g").texts]
+    assert linked == [("a b", 1), ("c", 0), ("d", 1), ("e", 0), ("f", 1), ("g", 0)]
+    from pumpline.llm.dom import attribute_tokens
+
+    assert attribute_tokens(" title='class=nav' data-id=7 CLASS = Side-Bar hidden id=\"a b\"/") == ("class=side", "class=bar", "hidden", "id=a", "id=b")
+
+
 def test_parser_takes_linear_time():
-    for s in ("<div>" * 100_000, "<p>" * 100_000, "<" * 100_000, "<a href=\"" * 20_000, "</p>" * 100_000, "<li>" * 50_000, "x" * 1_000_000, "<!--" * 50_000):
+    for s in ("<div>" * 100_000, "<p>" * 100_000, "<" * 100_000, "<a href=\"" * 20_000, "</p>" * 100_000, "<li>" * 50_000, "x" * 1_000_000, "<!--" * 50_000,
+              "<a b=\">\" " * 50_000, "<a b='>' c=\">\" " * 50_000, "<a b=\"" + "<p c='>" * 50_000, "<a" + " b" * 500_000, "<a " + "= " * 500_000):
         parse(s)
 
 

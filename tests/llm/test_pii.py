@@ -70,8 +70,36 @@ def test_windows_of_a_long_text_are_reconciled_like_one():
         P.RUN = was
 
 
+def test_every_window_counts_and_the_best_path_is_that_of_the_whole_text():
+    r = np.random.default_rng(5)
+    m = P.Tagger.fresh(3)
+    m.w *= 10
+    m.c[0] += 3.5  # such that spans are rare but there
+    ids = r.integers(0, P.CLASSES, (40, P.WINDOW))
+    assert np.abs(P.quick_emissions(m, ids) - P.emissions(m, ids)).max() < 1e-4
+    texts = ["".join(chr(c) for c in r.integers(32, 127, n)) for n in (0, 1, 31, 32, 33, 64, 65, 700, 3000)]
+    weight = 1.0 - np.abs((np.arange(P.WINDOW) + 0.5) / (P.WINDOW / 2) - 1.0)
+    found, open_, closed = P.model_spans(m, texts), 0, 0
+    for text, (full, e), spans in zip(texts, P.blended(m, texts), found):
+        n = -(-len(text) // P.STRIDE)
+        assert len(full) == (n + 1) * P.STRIDE
+        total, mass = np.zeros((len(full), P.TAGS)), np.zeros((len(full), 1))
+        for w in range(n):
+            at = slice(w * P.STRIDE, w * P.STRIDE + P.WINDOW)
+            total[at] += P.emissions(m, full[None, at])[0] * weight[:, None]
+            mass[at] += weight[:, None]
+        if n:
+            assert np.abs(total / mass - e).max() < 1e-4
+        path = P.viterbi(m, e[None].astype(np.float64))[0] if len(e) else np.zeros(0, int)
+        some = P.open_places(m, e)
+        assert not path[~some].any()
+        open_, closed = open_ + some.sum(), closed + (~some).sum()
+        assert sorted(x[0] for x in spans) == np.flatnonzero((path * (full > 0)) % 2 == 1).tolist()
+    assert open_ and closed and sum(map(len, found)) > 10
+
+
 def test_model_learns_the_spans_and_adds_what_the_patterns_miss(spark):
-    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
     model = P.fit(spark, docs)
     held = [r.text for r in docs.where("doc_id % 10 = 3 and text rlike '[0-9@]'").collect()]
     hit = total = 0

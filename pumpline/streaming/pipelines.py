@@ -4,7 +4,8 @@ The stream operators reuse the batch column logic (parse, classify, format).
 Per-device sequential state (as-of feed status, counters, mute windows, the event
 log) runs in ``applyInPandasWithState`` through ``ordered``: arrival order does not
 matter, because rows wait in the state until the watermark has passed them and are
-then folded in event-time order; rows behind the watermark are dropped.  A call
+then folded in event-time order; rows behind the watermark are dropped, rows without
+a device are one more device, as in the batch forms.  A call
 sees one device's rows of one micro-batch and what waits, so its size is bounded
 by the trigger's admission limit and the watermark delay, never by the table.
 
@@ -15,12 +16,12 @@ windows and watermarks behave the same in every session time zone.
 
 from __future__ import annotations
 
-import io
 import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,9 +153,27 @@ def sliding_alerts_stream(readings: DataFrame, window_s: int, slide_s: int, p: P
 # --- ordered state per device -------------------------------------------------------
 
 Fold = Callable[[object, pd.DataFrame, dict, int], tuple[pd.DataFrame | None, dict, int | None]]
+#: Marks a row that only moves the watermark.  A stream may carry the column or not.
+CLOSING = "_closing"
 WAITING_STATE = T.StructType([T.StructField("waiting", T.BinaryType()), T.StructField("folded", T.StringType())])
 
 
+def _closing(rows: DataFrame) -> Column:
+    return F.coalesce(F.col(CLOSING), F.lit(False)) if CLOSING in rows.columns else F.lit(False)
+
+
+def _packed(rows: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(raw: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(raw).read_all().to_pandas()
+
+
 def _ordered_fn(fold: Fold, order: list[str]):
     """State function: keeps rows until the watermark passes them, then folds them in order.
 
@@ -168,21 +187,19 @@ def _ordered_fn(fold: Fold, order: list[str]):
             raw, text = state.get
             folded = json.loads(text)
             if raw:
-                waiting = pd.read_pickle(io.BytesIO(bytes(raw)))
+                waiting = _unpacked(bytes(raw))
         passed = state.getCurrentWatermarkMs() * 1000
         if not state.hasTimedOut:
             new = pd.concat(list(pdfs), ignore_index=True)
-            new = new[new["_us"] >= passed]  # rows behind the watermark are late
+            new = new[(new["_us"] >= passed) & ~new[CLOSING].astype(bool)]  # rows behind the watermark are late
             waiting = new if waiting is None else pd.concat([waiting, new], ignore_index=True)
         due = waiting["_us"] < passed if waiting is not None else None
         rows = waiting[due].sort_values(order, kind="stable") if waiting is not None else pd.DataFrame()
         waiting = waiting[~due] if waiting is not None else None
-        out, folded, wake = fold(key[0], rows, folded, passed)
+        out, folded, wake = fold(None if key[0] else int(key[1]), rows, folded, passed)
         blob = None
         if waiting is not None and len(waiting):
-            buffer = io.BytesIO()
-            waiting.to_pickle(buffer)
-            blob = buffer.getvalue()
+            blob = _packed(waiting)
             first = int(waiting["_us"].min())
             wake = first if wake is None else min(wake, first)
         state.update((blob, json.dumps(folded)))
@@ -196,12 +213,15 @@ def _ordered_fn(fold: Fold, order: list[str]):
 def ordered(rows: DataFrame, fold: Fold, order: list[str], out: T.StructType, delay: str, mode: str = "append") -> DataFrame:
     """Fold each device's rows (columns device_id, ts, ...) in event-time order as the watermark passes them.
 
-    Rows without a device (closing rows of a replay) move the watermark and nothing else.
+    Rows without a device are folded together, under the device None.  Rows marked
+    ``CLOSING`` move the watermark and nothing else.
     """
-    d = rows.withColumn("_us", X.epoch_micros("ts")).withColumn("_et", event_time("ts")).withWatermark("_et", delay)
-    keyed = d.withColumn("_key", F.coalesce(F.col(DEV), F.lit(-1).cast("long")))
-    real = _ordered_fn(lambda dev, r, f, p: (None, f, None) if dev == -1 else fold(dev, r, f, p), order)
-    return keyed.groupBy("_key").applyInPandasWithState(real, out, WAITING_STATE, mode, GroupStateTimeout.EventTimeTimeout)
+    d = (rows.withColumn(CLOSING, _closing(rows)).withColumn("_us", X.epoch_micros("ts"))
+         .withColumn("_et", event_time("ts")).withWatermark("_et", delay))
+    # two plain columns, so that no device number stands for "none"
+    keyed = d.withColumn("_nobody", F.col(DEV).isNull()).withColumn("_key", F.coalesce(F.col(DEV), F.lit(0)).cast("long"))
+    return keyed.groupBy("_nobody", "_key").applyInPandasWithState(
+        _ordered_fn(fold, order), out, WAITING_STATE, mode, GroupStateTimeout.EventTimeTimeout)
 
 
 def mixed_feed(samples: DataFrame, status: DataFrame, feed: str | None = "speed") -> DataFrame:
@@ -309,7 +329,7 @@ def recent_alerts_exact_stream(readings: DataFrame, p: Params = DEFAULT_PARAMS,
                             "at_us": moments, "recent_alerts": n.astype("int64")})
         return out, {"alerts": kept.tolist()}, int(kept[0]) + horizon + 2 if len(kept) else None
 
-    out = ordered(readings.select(DEV, "ts", "event_id", "pred"), fold, ["_us", "event_id"], RECENT_OUT, delay)
+    out = ordered(readings.select(DEV, "ts", "event_id", "pred", _closing(readings).alias(CLOSING)), fold, ["_us", "event_id"], RECENT_OUT, delay)
     return out.withColumn("ts", instant_to_ntz(F.timestamp_micros("at_us"))).drop("at_us")
 
 
@@ -338,7 +358,7 @@ def mute_windows_stream(toggles: DataFrame, p: Params = DEFAULT_PARAMS, delay: s
         out = pd.DataFrame(done, columns=[DEV, "start_us", "end_us"]) if done else None
         return out, {"start": start}, None if start is None else start + span + 1
 
-    out = ordered(toggles.select(DEV, "ts", "event_id"), fold, ["_us", "event_id"], WINDOW_OUT, delay)
+    out = ordered(toggles.select(DEV, "ts", "event_id", _closing(toggles).alias(CLOSING)), fold, ["_us", "event_id"], WINDOW_OUT, delay)
     at = lambda c: instant_to_ntz(F.timestamp_micros(c))
     return out.select(DEV, at("start_us").alias("start_ts"), at("end_us").alias("end_ts"))
 
@@ -354,7 +374,7 @@ def event_log_stream(rows: DataFrame, p: Params = DEFAULT_PARAMS, delay: str = "
     device has been seen; it only marks the rows.  The records and their texts are
     built from the marked rows by the batch expressions.
     """
-    span, keep = int(p.mute_s) * 1_000_000, [f for f in rows.schema.fields]
+    span, keep = int(p.mute_s) * 1_000_000, [f for f in rows.schema.fields if f.name != CLOSING]
     marks = [T.StructField("opens", T.BooleanType()), T.StructField("muted", T.BooleanType()), T.StructField("first", T.BooleanType()),
              T.StructField("normal", T.LongType()), T.StructField("anomaly", T.LongType())]
     names = [f.name for f in keep]

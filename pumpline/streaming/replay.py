@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pumpline.functions import expressions as X
+from pumpline.streaming.pipelines import CLOSING
 
 
 @dataclass(frozen=True)
@@ -30,10 +31,12 @@ def replay(spark: SparkSession, df: DataFrame, path: str, n_slices: int = 4, ts:
     File sources admit files in modification order, so slices are written one after
     another; a micro-batch takes as many files as the largest slice has (the
     adaptive shuffle decides).  Rows of the first slice for which ``late`` holds
-    arrive after the last slice, long behind the watermark.  ``end_after_s`` adds a
-    closing row of all nulls but the time, so much after the end: it carries the
-    watermark past everything that waits for it.
+    arrive after the last slice, long behind the watermark.  ``end_after_s`` marks the
+    rows (column ``CLOSING``) and adds a closing one, so much after the end: it
+    carries the watermark past everything that waits for it.
     """
+    if end_after_s is not None:
+        df = df.withColumn(CLOSING, F.lit(False))
     sec = X.epoch_seconds(ts)
     lo, hi = df.agg(F.min(sec), F.max(sec)).first()
     if lo is None:
@@ -51,8 +54,9 @@ def replay(spark: SparkSession, df: DataFrame, path: str, n_slices: int = 4, ts:
         files, seen = max(files, now - seen), now
     if end_after_s is not None:
         end = df.agg(F.max(ts).alias(ts)).select(X.plus_seconds(ts, delay_s + int(end_after_s)).alias(ts))
-        nulls = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != ts else F.col(ts) for f in df.schema.fields]
-        end.select(*nulls).write.mode("append").parquet(path)
+        known = {ts: F.col(ts), CLOSING: F.lit(True)}
+        row = [known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in df.schema.fields]
+        end.select(*row).write.mode("append").parquet(path)
     return Replay(path, df.schema, files, f"{delay_s} seconds", delay_s)
 
 

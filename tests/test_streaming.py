@@ -88,3 +88,62 @@ def test_conflate_batches_one_refresh_per_device_and_batch(spark):
      .trigger(availableNow=True).start().awaitTermination())
     got = sorted((r.batch, r.device_id, r.event_id) for r in spark.read.parquet(out).collect())
     assert got == [(0, 7, 2), (0, 8, 3), (1, 7, 4)]
+
+
+def _odd_devices(df):
+    """Some rows without a device, some of a device that is called -1."""
+    from pyspark.sql import functions as F
+
+    dev = F.when(F.col("event_id") % 5 == 0, F.lit(None)).when(F.col("event_id") % 5 == 1, F.lit(-1)).otherwise(F.col("device_id") % 3)
+    return df.withColumn("device_id", dev.cast("long"))
+
+
+def _drained(spark, df, build, name, end_after_s, run=S.run_to_files):
+    from pumpline.streaming.replay import replay
+
+    rp = replay(spark, df, work_path(spark, f"{name}_src"), 3, key="event_id", end_after_s=end_after_s)
+    out = work_path(spark, f"{name}_out")
+    run(build(source(spark, rp), rp.delay), out, work_path(spark, f"{name}_ck"))
+    return out
+
+
+def _rows(df, *cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_rows_without_a_device_are_one_more_device(spark):
+    """The ordered streams agree with the batch forms for null devices and a device -1."""
+    from pumpline.config import TESTDATA_PARAMS as P
+    from pumpline.operators import eventlog, monitor
+    from pumpline.sources import testdata as td
+    from pyspark.sql import functions as F
+
+    samples = _odd_devices(monitor.valid_samples(td.sample_readings(spark, SF)))
+    status, presses = _odd_devices(td.source_status(spark, SF)), _odd_devices(td.mute_toggles(spark, SF))
+    out = _drained(spark, S.mixed_feed(samples, status), lambda s, d: S.device_state_stream(s, P, d), "odd_state", 60)
+    cols = ("event_id", "device_id", "online_asof", "state")
+    got, want = _rows(spark.read.parquet(out), *cols), _rows(monitor.device_state(samples, status, P), *cols)
+    assert {r[1] for r in got} == {None, -1, 0, 1, 2} and got == want
+
+    out = _drained(spark, S.mixed_feed(samples, status, None), lambda s, d: S.counters_stream(s, P, d), "odd_count", 60, S.run_foreach_batch)
+    last = spark.read.parquet(out).groupBy("device_id").agg(F.max_by(F.struct("session_alerts", "total_reconnects"), "batch").alias("c"))
+    alerts = samples.groupBy("device_id").agg(F.count_if(F.col("pred") == 1.0).alias("n"))
+    assert _rows(last, "device_id", "c.session_alerts") == _rows(alerts, "device_id", "n")
+    assert {r for r in _rows(monitor.reconnect_count(status, P), "device_id", "total_reconnects") if r[1]} == {
+        r for r in _rows(last, "device_id", "c.total_reconnects") if r[1]}
+
+    out = _drained(spark, samples, lambda s, d: S.recent_alerts_exact_stream(s, P, d), "odd_recent", 2 * P.recent_horizon_s)
+    cols = ("event_id", "device_id", "recent_alerts")
+    assert _rows(spark.read.parquet(out).filter("event_id IS NOT NULL"), *cols) == _rows(monitor.recent_alerts(samples, P), *cols)
+
+    out = _drained(spark, presses, lambda s, d: S.mute_windows_stream(s, P, d), "odd_mute", 2 * P.mute_s)
+    cols = ("device_id", "start_ts", "end_ts")
+    assert _rows(spark.read.parquet(out), *cols) == _rows(eventlog.windows_only(eventlog.mute_windows(presses, P)), *cols)
+
+    feed = _odd_devices(td.monitor_feed(spark, SF))
+    out = _drained(spark, feed, lambda s, d: S.event_log_stream(s, P, d), "odd_log", 60)
+    cols = ("device_id", "ts", "seq", "event_id", "tag", "level", "message", "normal", "anomaly", "muted", "line")
+    assert _rows(spark.read.parquet(out), *cols) == _rows(eventlog.event_log(feed, P), *cols)

@@ -27,6 +27,8 @@ class Params:
     drain_cap: int = 200
     # rows in one call of the external store's writer
     put_rows: int = 1000
+    # pause before a failed stream is started again
+    retry_s: float = 2.0
     # mute windows
     mute_s: int = 300
     # event log
@@ -38,9 +40,10 @@ class Params:
     max_depth: int = 5
     seed: int = 42
     train_pct: int = 80
-    # parts of the training rows (the forest bags per part): a model setting, so that
-    # the model does not follow the cluster; raise it with the data
+    # parts of the training rows (the forest bags per part): they follow the rows, so
+    # that the model does not follow the cluster, and are never fewer than the first
     train_partitions: int = 16
+    train_rows_per_part: int = 1_000_000
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

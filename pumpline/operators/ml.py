@@ -77,6 +77,11 @@ def rf_pipeline(features: Sequence[str], p: Params = DEFAULT_PARAMS, label: str
     ])
 
 
+def train_parts(rows: DataFrame, p: Params = DEFAULT_PARAMS) -> int:
+    """Parts of the training rows: at most ``train_rows_per_part`` rows each on average."""
+    return max(p.train_partitions, -(-rows.count() // p.train_rows_per_part))
+
+
 def fit_rf(train: DataFrame, features: Sequence[str], p: Params = DEFAULT_PARAMS,
            label: str = "label", key: str | None = None) -> PipelineModel:
     """Fit assembler + scaler + forest.  The forest makes one pass per tree level,
@@ -84,13 +89,14 @@ def fit_rf(train: DataFrame, features: Sequence[str], p: Params = DEFAULT_PARAMS
 
     The scaler is part of the pipeline, so it is fitted on the training rows only.
     The forest bags per partition.  With ``key`` the rows are hash-partitioned by it
-    into ``Params.train_partitions`` sorted parts, so the same rows give the same
-    model on any cluster and any layout; without, the input's partitions are used.
+    into sorted parts, whose number follows the rows (``train_parts``), so the same rows
+    give the same model on any cluster and any layout; without, the input's
+    partitions are used.
     """
     cols = list(dict.fromkeys([*features, label, *([key] if key else [])]))
     rows = train.select(*cols)
     if key:
-        rows = rows.repartition(p.train_partitions, key).sortWithinPartitions(*cols)
+        rows = rows.repartition(train_parts(rows, p), key).sortWithinPartitions(*cols)
     rows = rows.persist()
     try:
         return rf_pipeline(features, p, label).fit(rows)

@@ -260,6 +260,19 @@ def q_join_predictions(spark, sf):
     return cleaned.join(preds, ["device_id", "ts"], "inner")
 
 
+def q_join_predictions_bucketed(spark, sf):
+    """The same join over tables that were written bucketed by its keys: no shuffle when it runs."""
+    both = {
+        "cleaned": clean.fill_zero(td.readings(spark, sf)).select("device_id", "ts", "s04", "s10", "machine_status"),
+        "predicted": ml.hash_split(td.readings(spark, sf).withColumn("row_key", X.row_key("ts")), "row_key")
+        .filter(F.col("split") == "test").select("device_id", "ts", F.col("pred").alias("prediction"))}
+    tables = []
+    for name, df in both.items():
+        at = work_path(spark, name)
+        tables.append(files.write_bucketed(df, "pumpline_" + at.rsplit("/", 1)[-1].replace("-", "_"), at, ["device_id", "ts"], 16))
+    return tables[0].hint("merge").join(tables[1], ["device_id", "ts"], "inner")
+
+
 def q_row_count(spark, sf):
     return clean.row_count(td.readings(spark, sf))
 

@@ -463,3 +463,6 @@ FROM (SELECT p, n, coalesce(sum(n) OVER (ORDER BY sc ROWS BETWEEN UNBOUNDED PREC
       FROM (SELECT s10 AS sc, sum(CASE WHEN pred = 1.0 THEN 1 ELSE 0 END) AS p,
                    sum(CASE WHEN pred = 1.0 THEN 0 ELSE 1 END) AS n FROM V GROUP BY s10) q) z""",
 }
+
+#: the same join over bucketed tables
+ORACLES["join_predictions_bucketed"] = ORACLES["join_predictions"]

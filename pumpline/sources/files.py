@@ -72,6 +72,18 @@ def write_partitioned(df: DataFrame, path: str, ts: str = "ts", part: str = "dt"
        .write.mode("overwrite").partitionBy(part).parquet(path))
 
 
+def write_bucketed(df: DataFrame, table: str, location: str, keys: list[str], buckets: int) -> DataFrame:
+    """Save ``df`` bucketed and sorted by ``keys``: one file a bucket, so tables with the same
+    keys and bucket count join without a shuffle or a sort.
+
+    ``buckets`` is the same for all tables that are to be joined; choose it so that a
+    bucket of the largest one fits a task.
+    """
+    (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", location)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def create_external_table(spark: SparkSession, db: str, table: str, location: str, db_location: str,
                           ddl_columns: str) -> DataFrame:
     """Database + external table over an existing Parquet folder, both idempotent."""

@@ -408,6 +408,34 @@ def event_log_stream(rows: DataFrame, p: Params = DEFAULT_PARAMS, delay: str = "
     return eventlog.records_of_marked(marked, p)
 
 
+# --- C3: points and intervals, both streams -------------------------------------------
+
+def interval_join_stream(points: DataFrame, intervals: DataFrame, longest_s: int, delay: str) -> DataFrame:
+    """``eventlog.interval_join`` of two streams: each point with the interval that holds it, or none.
+
+    ``intervals`` (device_id, start_ts, end_ts) of a device do not overlap and last at
+    most ``longest_s``; one without an end holds nothing.  The join's key is the device and a time bucket as wide as
+    that, so a device's rows are spread over time; an interval goes to the one or two
+    buckets it touches.  Both sides have a watermark: an unmatched point comes out,
+    and its state goes, once no interval that could hold it can still arrive.
+    """
+    wide_us = int(longest_s) * 1_000_000
+    bucket = lambda us: F.floor(us / F.lit(wide_us)).cast("long")
+    key = lambda b: F.struct(F.col(DEV).alias("d"), b.alias("b"))  # noqa: E731 -- null-safe in one column
+    pt = (points.withColumn("_pt", event_time("ts")).withWatermark("_pt", delay)
+          .withColumn("_pk", key(bucket(X.epoch_micros("ts")))))
+    # an interval without an end is empty, not null: a closing row must reach the watermark,
+    # which the optimiser's not-null filters would take it away from
+    intervals = intervals.select(DEV, "start_ts", F.coalesce("end_ts", "start_ts").alias("end_ts"))
+    first, last = bucket(X.epoch_micros("start_ts")), F.greatest(bucket(X.epoch_micros("start_ts")), bucket(X.epoch_micros("end_ts") - 1))
+    iv = (intervals.withColumn("_it", event_time("start_ts")).withWatermark("_it", delay)
+          .withColumn("_b", F.explode(F.sequence(first, last)))
+          .select(key(F.col("_b")).alias("_ik"), "_it", F.col("start_ts").alias("interval_start"), F.col("end_ts").alias("interval_end")))
+    held = ((F.col("_pk") == F.col("_ik")) & (F.col("_pt") >= F.col("_it")) & (F.col("ts") < F.col("interval_end"))
+            & (F.col("_pt") < F.col("_it") + F.expr(f"INTERVAL {int(longest_s)} SECONDS")))
+    return pt.join(iv, held, "left").drop("_pt", "_it", "_pk", "_ik", CLOSING)
+
+
 # --- F10: batch view over the keyed table ----------------------------------------------
 
 def upsert_sink(table: str, to_cells: Callable[[DataFrame], DataFrame], compact_every: int = 64):

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pumpline.config import TESTDATA_PARAMS as P
-from pumpline.operators import ml, monitor
+from pumpline.functions import expressions as X
+from pumpline.operators import eventlog, ml, monitor
 from pumpline.plans import oracles as O
 from pumpline.session import work_path
-from pumpline.sources import testdata as td, wide
-from pumpline.streaming import pipelines as S
+from pumpline.sources import polling, testdata as td, wide
+from pumpline.streaming import pipelines as S, supervisor
 from pumpline.streaming.replay import replay, source
 
 N_SLICES = 4
@@ -162,6 +163,69 @@ def q_stream_upsert(spark, sf):
     return wide.read_cells(spark, table)
 
 
+def q_stream_interval_join(spark, sf):
+    """Samples and mute windows as two streams: the window each sample falls in."""
+    samples = monitor.valid_samples(td.sample_readings(spark, sf))
+    windows = eventlog.windows_only(eventlog.mute_windows(td.mute_toggles(spark, sf), P))
+    # the closing rows lie far enough behind both ends for either watermark
+    far = 60 * 86_400
+    left = replay(spark, samples, work_path(spark, "replay_points"), N_SLICES, key="event_id", end_after_s=far)
+    right = replay(spark, windows, work_path(spark, "replay_windows"), N_SLICES, ts="start_ts", end_after_s=far)
+    delay = f"{max(left.delay_s, right.delay_s)} seconds"
+    joined = S.interval_join_stream(source(spark, left), source(spark, right), P.mute_s, delay)
+    cols = ("event_id", "device_id", "ts", "interval_start", "interval_end")
+    return spark.read.parquet(_written(spark, joined.select(*cols), "stream_interval"))
+
+
+def q_stream_poll(spark, sf):
+    """The keyed table polled by row key: once with the older half of the readings, then after a
+    restart with the younger half and late puts on old keys, then with nothing new."""
+    table, (out, ck) = work_path(spark, "polled"), _dirs(spark, "stream_poll")
+    cells, key = td.cells(spark, sf), F.col("row_key")
+    lo, hi = td.readings(spark, sf).agg(F.min(X.epoch_seconds("ts")), F.max(X.epoch_seconds("ts"))).first()
+    half = X.row_key(S.instant_to_ntz(F.timestamp_seconds(F.lit((lo + hi) // 2))))
+    late = cells.filter((key <= half) & (F.col("version") % 3 == 0)).withColumn("value", F.lit("9"))
+
+    def poll():
+        (polling.poll_cells(spark, table).writeStream.foreachBatch(polling.poll_sink(out)).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start().awaitTermination())
+
+    wide.upsert_cells(spark, table, cells.filter(key <= half), 1)
+    poll()
+    wide.upsert_cells(spark, table, cells.filter(key > half), 2)
+    wide.upsert_cells(spark, table, late, 3)
+    wide.compact_cells(spark, table)
+    poll()
+    poll()
+    return spark.read.parquet(out).withColumn("poll", F.col("poll").cast("long"))
+
+
+def q_stream_supervised(spark, sf):
+    """A sink that breaks once, after it wrote its second batch: status rows, one reconnect, every alert once."""
+    text = td.reading_text(td.sample_readings(spark, sf))
+    stream, delay = _replayed(spark, text, "supervised")
+    (out, ck), status = _dirs(spark, "stream_supervised"), work_path(spark, "feed_status")
+    broken = []
+
+    def sink(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        if batch_id == 1 and not broken:
+            broken.append(batch_id)
+            raise OSError("the store went away")
+
+    def start():
+        return (S.alert_stream(stream, P, delay).writeStream.foreachBatch(sink).option("checkpointLocation", ck)
+                .trigger(availableNow=True).start())
+
+    supervisor.supervise(start, supervisor.status_writer(spark, status, "speed"), pause_s=0.1)
+    rows = supervisor.status_rows(spark, status)
+    now, n = monitor.source_status(rows), rows.groupBy("source").agg(F.count_if(~F.col("online")).alias("failures"))
+    again = monitor.reconnect_count(rows).select(F.lit("speed").alias("source"), F.col("speed_reconnects").alias("reconnects"))
+    alerts = spark.read.parquet(out).agg(F.count("event_id").alias("n_alerts"), F.count_distinct("event_id").alias("n_distinct"))
+    return (now.select("source", "online").join(n, "source").join(again, "source")
+            .join(alerts.withColumn("source", F.lit("speed")), "source"))
+
+
 def q_stream_score(spark, sf):
     """Model trained in batch, saved, loaded by the stream and applied to arriving rows."""
     from pyspark.ml import PipelineModel
@@ -213,6 +277,14 @@ GROUP BY device_id, window_start""",
   FROM V) z WHERE rn = 1""".format(t=P.tick_ms * 1000),
     "stream_macro_counts": O.w(O.R, O.cells_cte("strftime(ts, '%Y-%m-%d %H:00:00.000000')"), O.PIVOT,
                                "MV AS (SELECT row_key, TRY_CAST(pred AS FLOAT) AS pred FROM P)") + O._macro("MV", ""),
+    "stream_interval_join": O.ORACLES["interval_join"],
+    "stream_poll": O.w(O.R, O.cells_cte(), O.PIVOT, """H AS (
+  SELECT strftime(make_timestamp(((epoch_us(min(ts)) // 1000000 + epoch_us(max(ts)) // 1000000) // 2) * 1000000), '%Y-%m-%d %H:%M:%S.%f') AS half
+  FROM R)""") + """SELECT row_key, TRY_CAST(s04 AS FLOAT) AS s04, TRY_CAST(s10 AS FLOAT) AS s10, TRY_CAST(pred AS FLOAT) AS pred,
+  CASE WHEN row_key <= half THEN 0 ELSE 1 END AS poll FROM P, H""",
+    "stream_supervised": O.w(O.R, O.S, O.TEXT) + """SELECT 'speed' AS source, true AS online, 1 AS failures, 1 AS reconnects,
+  count(event_id) AS n_alerts, count(DISTINCT event_id) AS n_distinct
+FROM PT WHERE reason IS NULL AND predn = 1.0""",
     "stream_score": O.w(O.W) + O._TEST + "SELECT row_id, ts, label, true AS is_class FROM TS",
     "stream_route_events": O.ORACLES["route_events"],
     "stream_recent_alerts_exact": O.w(O.R, O.V, f"""A AS (

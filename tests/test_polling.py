@@ -63,6 +63,7 @@ def test_supervisor_raises_after_failures_in_a_row(spark):
     assert len(tries) == 3 and [(r.online, r.source) for r in rows.collect()] == [(False, "speed")]
     # a later run of the same feed: its numbers go on, and its first batch is the reconnect
     supervisor.status_writer(spark, status, "speed")(True, None)
+    rows = supervisor.status_rows(spark, status)  # the folder has one more file
     assert monitor.reconnect_count(rows).first()["speed_reconnects"] == 1
     assert monitor.source_status(rows).first()["online"]
 

@@ -12,6 +12,7 @@ files of the dates between the two keys, one task for each file, batch by batch.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -19,12 +20,15 @@ from urllib.parse import unquote
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import dataset, fs, parquet
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from pumpline.sources import wide
-from pumpline.sources.external import _files
+
+# The reader's part of this module goes to Spark's source process by value: that one
+# does not get the files shipped to the executors.  So it names nothing else of the package.
 
 CELLS = pa.schema([("row_key", pa.string()), ("family", pa.string()), ("qualifier", pa.string()), ("value", pa.string()),
                    ("version", pa.int64()), ("batch", pa.int64())])
@@ -47,7 +51,7 @@ class PolledCells(DataSource):
         return "pumpline_poll"
 
     def schema(self) -> str:
-        return f"{wide.CELL_SCHEMA}, batch long"
+        return "row_key string, family string, qualifier string, value string, version long, batch long"
 
     def streamReader(self, schema) -> DataSourceStreamReader:
         return PollReader(self.options["root"].rstrip("/"), self.options.get("after", ""))
@@ -61,12 +65,12 @@ class PollReader(DataSourceStreamReader):
         return {"key": self.after}
 
     def latestOffset(self) -> dict:
-        files, root = _files(self.root)
+        files, root = _open(self.root)
         self.last = max(self.last, _newest_key(files, root))
         return {"key": self.last}
 
     def partitions(self, start: dict, end: dict) -> list[KeyRange]:
-        files, root = _files(self.root)
+        files, root = _open(self.root)
         after, upto = start["key"], end["key"]
         if upto <= after:
             return []
@@ -75,7 +79,7 @@ class PollReader(DataSourceStreamReader):
                 for f in _data_files(files, path)]
 
     def read(self, part: KeyRange) -> Iterator[pa.RecordBatch]:
-        files, _ = _files(self.root)
+        files, _ = _open(self.root)
         key = pc.field("row_key")
         names = [n for n in CELLS.names if n != "batch" or part.batch is None]
         found = dataset.dataset(part.path, filesystem=files, format="parquet")
@@ -86,6 +90,12 @@ class PollReader(DataSourceStreamReader):
                 yield rows.cast(CELLS)
 
 
+def _open(root: str) -> tuple[fs.FileSystem, str]:
+    if "://" in root or root.startswith("file:"):
+        return fs.FileSystem.from_uri(root)
+    return fs.LocalFileSystem(), root
+
+
 def _list(files: fs.FileSystem, folder: str) -> list[fs.FileInfo]:
     return files.get_file_info(fs.FileSelector(folder, allow_not_found=True))
 
@@ -130,7 +140,12 @@ def _largest(files: fs.FileSystem, path: str) -> str | None:
 
 def poll_cells(spark: SparkSession, root: str, after: str = "") -> DataFrame:
     """The stream of cells; ``batch`` is the upsert they come from (see ``polled_rows``)."""
-    spark.dataSource.register(PolledCells)
+    here = sys.modules[__name__]
+    cloudpickle.register_pickle_by_value(here)
+    try:
+        spark.dataSource.register(PolledCells)
+    finally:
+        cloudpickle.unregister_pickle_by_value(here)
     return spark.readStream.format(PolledCells.name()).option("root", root).option("after", after).load()
 
 

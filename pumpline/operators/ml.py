@@ -92,6 +92,10 @@ def fit_rf(train: DataFrame, features: Sequence[str], p: Params = DEFAULT_PARAMS
     into sorted parts, whose number follows the rows (``train_parts``), so the same rows
     give the same model on any cluster and any layout; without, the input's
     partitions are used.
+
+    The fitted forest carries its training summary, which holds the session, and a
+    session on which ``observe`` was called cannot be sent to tasks.  The model that is
+    returned is a copy, which has no summary.
     """
     cols = list(dict.fromkeys([*features, label, *([key] if key else [])]))
     rows = train.select(*cols)
@@ -99,7 +103,7 @@ def fit_rf(train: DataFrame, features: Sequence[str], p: Params = DEFAULT_PARAMS
         rows = rows.repartition(train_parts(rows, p), key).sortWithinPartitions(*cols)
     rows = rows.persist()
     try:
-        return rf_pipeline(features, p, label).fit(rows)
+        return rf_pipeline(features, p, label).fit(rows).copy()
     finally:
         rows.unpersist()
 

@@ -292,6 +292,16 @@ def test_forest_does_not_follow_the_layout(spark):
     assert scores[0] == scores[1]
 
 
+def test_forest_scores_in_a_session_that_has_observed(spark):
+    from pyspark.sql import Observation
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    rows = spark.range(200).select("id", (F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 10 >= 5).cast("int").alias("label"))
+    model = ml.fit_rf(rows, ["x"], D.with_(num_trees=3, max_depth=2), key="id")
+    assert ml.score(model, rows).filter("prediction = label").count() == 200
+
+
 def test_sample_at_the_instant_of_a_press_comes_before_it(spark):
     L = D.mute_s
     press = spark.createDataFrame([(1, 1, T0), (2, 1, T0 + timedelta(seconds=100))], "event_id long, device_id long, ts timestamp_ntz")

@@ -6,7 +6,7 @@ log) runs in ``applyInPandasWithState`` through ``ordered``: arrival order does
 matter, because rows wait in the state until the watermark has passed them and are
 then folded in event-time order; rows behind the watermark are dropped, rows without
 a device are one more device, as in the batch forms.  A call
-sees one device's rows of one micro-batch and what waits, so its size is bounded
+sees one group of devices' rows of one micro-batch and what waits, so its size is bounded
 by the trigger's admission limit and the watermark delay, never by the table.
 
 Event time: the tables carry TIMESTAMP_NTZ, and watermarks need TIMESTAMP.
@@ -16,6 +16,7 @@ windows and watermarks behave the same in every session time zone.
 
 from __future__ import annotations
 
+import bisect
 import json
 from collections.abc import Callable, Iterator
 
@@ -152,9 +153,12 @@ def sliding_alerts_stream(readings: DataFrame, window_s: int, slide_s: int, p: P
 
 # --- ordered state per device -------------------------------------------------------
 
-Fold = Callable[[object, pd.DataFrame, dict, int], tuple[pd.DataFrame | None, dict, int | None]]
+Fold = Callable[[pd.DataFrame, dict, int], tuple[pd.DataFrame | None, int | None]]
 #: Marks a row that only moves the watermark.  A stream may carry the column or not.
 CLOSING = "_closing"
+#: Groups of devices.  A call of the state function costs some milliseconds whatever it
+#: holds, so it gets a group of devices, not one.  Fixed for the life of a checkpoint.
+DEVICE_GROUPS = 512
 WAITING_STATE = T.StructType([T.StructField("waiting", T.BinaryType()), T.StructField("folded", T.StringType())])
 
 
@@ -165,7 +169,7 @@ def _closing(rows: DataFrame) -> Column:
 def _packed(rows: pd.DataFrame) -> bytes:
     table = pa.Table.from_pandas(rows, preserve_index=False)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as w:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as w:
         w.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -174,35 +178,48 @@ def _unpacked(raw: bytes) -> pd.DataFrame:
     return pa.ipc.open_stream(raw).read_all().to_pandas()
 
 
+def _devices(rows: pd.DataFrame) -> list[int | None]:
+    return [None if nobody else key for nobody, key in zip(rows["_nobody"].tolist(), rows["_key"].tolist())]
+
+
+def _ids(values) -> pd.Series:
+    """A column of whole numbers or nulls for the output."""
+    return pd.Series(pd.array(values, dtype="Int64"))
+
+
 def _ordered_fn(fold: Fold, order: list[str]):
     """State function: keeps rows until the watermark passes them, then folds them in order.
 
-    ``fold(device, rows, folded, passed_us)`` gets the rows with ``_us`` below the
-    watermark in order, and returns (output or None, folded, the next moment in
-    microseconds at which it wants to be called without rows, or None).
+    ``fold(rows, folded, passed_us)`` gets the rows of a group of devices with ``_us``
+    below the watermark, in order.  ``folded`` holds what is kept by device; the fold
+    changes it in place.  It returns the output (or None) and the next moment in
+    microseconds at which it wants to be called without rows, or None.
     """
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         waiting, folded = (None, {})
         if state.exists:
             raw, text = state.get
-            folded = json.loads(text)
+            folded = dict(json.loads(text))
             if raw:
                 waiting = _unpacked(bytes(raw))
         passed = state.getCurrentWatermarkMs() * 1000
         if not state.hasTimedOut:
             new = pd.concat(list(pdfs), ignore_index=True)
             new = new[(new["_us"] >= passed) & ~new[CLOSING].astype(bool)]  # rows behind the watermark are late
+            new = new.drop(columns=[CLOSING, "_et", "_group", "_eventless"]).assign(
+                _us=new["_us"].astype("int64"), event_id=new["event_id"].astype("Int64").mask(new["_eventless"].astype(bool)))
             waiting = new if waiting is None else pd.concat([waiting, new], ignore_index=True)
-        due = waiting["_us"] < passed if waiting is not None else None
-        rows = waiting[due].sort_values(order, kind="stable") if waiting is not None else pd.DataFrame()
-        waiting = waiting[~due] if waiting is not None else None
-        out, folded, wake = fold(None if key[0] else int(key[1]), rows, folded, passed)
+        rows = pd.DataFrame()
+        if waiting is not None:
+            due = waiting["_us"] < passed
+            rows, waiting = waiting[due].sort_values(order, kind="stable", ignore_index=True), waiting[~due]
+        out, wake = fold(rows, folded, passed) if len(rows) or folded else (None, None)
         blob = None
         if waiting is not None and len(waiting):
             blob = _packed(waiting)
             first = int(waiting["_us"].min())
             wake = first if wake is None else min(wake, first)
-        state.update((blob, json.dumps(folded)))
+        state.update((blob, json.dumps(list(folded.items()))))
         if wake is not None:
             state.setTimeoutTimestamp(max(wake // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         if out is not None and len(out):
@@ -210,17 +227,20 @@ def _ordered_fn(fold: Fold, order: list[str]):
     return fn
 
 
-def ordered(rows: DataFrame, fold: Fold, order: list[str], out: T.StructType, delay: str, mode: str = "append") -> DataFrame:
-    """Fold each device's rows (columns device_id, ts, ...) in event-time order as the watermark passes them.
+def ordered(rows: DataFrame, fold: Fold, order: list[str], out: T.StructType, delay: str, mode: str = "append",
+            groups: int = DEVICE_GROUPS) -> DataFrame:
+    """Fold each device's rows (columns device_id, ts, event_id, ...) in event-time order as the watermark passes them.
 
-    Rows without a device are folded together, under the device None.  Rows marked
-    ``CLOSING`` move the watermark and nothing else.
+    The state is held by group of devices (a hash of the device), the fold keeps the
+    devices of its group apart.  Rows without a device are folded together, under the
+    device None.  Rows marked ``CLOSING`` move the watermark and nothing else.
     """
     d = (rows.withColumn(CLOSING, _closing(rows)).withColumn("_us", X.epoch_micros("ts"))
          .withColumn("_et", event_time("ts")).withWatermark("_et", delay))
-    # two plain columns, so that no device number stands for "none"
-    keyed = d.withColumn("_nobody", F.col(DEV).isNull()).withColumn("_key", F.coalesce(F.col(DEV), F.lit(0)).cast("long"))
-    return keyed.groupBy("_nobody", "_key").applyInPandasWithState(
+    # two plain columns each, so that no number stands for "none" and none is rounded next to it
+    keyed = (d.withColumn("_nobody", F.col(DEV).isNull()).withColumn("_key", F.coalesce(F.col(DEV), F.lit(0)).cast("long"))
+             .withColumn("_eventless", F.col("event_id").isNull()).withColumn("event_id", F.coalesce(F.col("event_id"), F.lit(0)).cast("long")))
+    return keyed.withColumn("_group", F.pmod(F.xxhash64("_nobody", "_key"), F.lit(groups))).groupBy("_group").applyInPandasWithState(
         _ordered_fn(fold, order), out, WAITING_STATE, mode, GroupStateTimeout.EventTimeTimeout)
 
 
@@ -250,21 +270,19 @@ def device_state_stream(mixed: DataFrame, p: Params = DEFAULT_PARAMS, delay: str
     """``mixed``: status rows and samples of one feed.  The label text is built by the batch formatter."""
     alert = float(p.alert_pred)
 
-    def fold(dev, rows, folded, passed):
+    def fold(rows, folded, passed):
         if not len(rows):
-            return None, folded, None
-        # tri-state feed status as 1.0 / 0.0 / NaN so forward fill stays numeric
-        before = folded.get("online")
-        code = rows["online"].where(rows["_kind"] == 0).map({True: 1.0, False: 0.0}).astype("float64")
-        asof = code.ffill().fillna(float("nan") if before is None else float(before))
-        is_sample = rows["_kind"] == 1
-        smp, on = rows[is_sample], asof[is_sample]
-        state = np.where(on == 0.0, "INTERRUPTED", np.where(smp["pred"] == alert, "ABNORMAL", "NORMAL"))
-        last = asof.iloc[-1]
-        out = pd.DataFrame({"event_id": smp["event_id"].astype("int64"), DEV: dev, "ts": smp["ts"],
-                            "online_asof": pd.array(on.map({1.0: True, 0.0: False}), dtype="boolean"),
-                            "state": state, "s04": smp["s04"], "s10": smp["s10"]})
-        return out, {"online": None if pd.isna(last) else bool(last)}, None
+            return None, None
+        asof = []  # tri-state feed status: True, False or not known yet
+        for dev, kind, online in zip(_devices(rows), rows["_kind"].tolist(), rows["online"].tolist()):
+            if kind == 0 and online in (True, False):
+                folded[dev] = bool(online)
+            asof.append(folded.get(dev))
+        is_sample = (rows["_kind"] == 1).to_numpy()
+        smp, on = rows[is_sample], pd.Series(pd.array(asof, dtype="boolean"))[is_sample]
+        state = np.where((on == False).fillna(False), "INTERRUPTED", np.where(smp["pred"] == alert, "ABNORMAL", "NORMAL"))  # noqa: E712
+        return pd.DataFrame({"event_id": _ids(smp["event_id"]).array, DEV: _ids(_devices(smp)).array, "ts": smp["ts"].array,
+                             "online_asof": on.array, "state": state, "s04": smp["s04"].array, "s10": smp["s10"].array}), None
 
     out = ordered(mixed, fold, MIXED_ORDER, STATE_OUT, delay)
     return out.withColumn("state_text", X.state_text("state", "s04", "s10")).drop("s04", "s10")
@@ -281,18 +299,20 @@ def counters_stream(mixed: DataFrame, p: Params = DEFAULT_PARAMS, delay: str = "
     """Session alert count and reconnect count per device (``lag`` is not allowed on streams)."""
     alert = float(p.alert_pred)
 
-    def fold(dev, rows, folded, passed):
+    def fold(rows, folded, passed):
         if not len(rows):
-            return None, folded, None
-        alerts = folded.get("alerts", 0) + int(((rows["_kind"] == 1) & (rows["pred"] == alert)).sum())
-        reconnects, last = folded.get("reconnects", 0), dict(folded.get("last", {}))
-        for src, g in rows[rows["_kind"] == 0].groupby("source", sort=False):
-            now = g["online"].astype(bool).to_numpy()
-            before = np.concatenate(([last.get(src) is not False], now[:-1]))
-            reconnects += int((~before & now).sum())
-            last[src] = bool(now[-1])
-        out = pd.DataFrame([(dev, alerts, reconnects)], columns=[DEV, "session_alerts", "total_reconnects"])
-        return out, {"alerts": alerts, "reconnects": reconnects, "last": last}, None
+            return None, None
+        touched = _devices(rows)
+        for dev, kind, source, online, pred in zip(touched, *(rows[c].tolist() for c in ("_kind", "source", "online", "pred"))):
+            own = folded.setdefault(dev, {"alerts": 0, "reconnects": 0, "last": {}})
+            if kind == 1:
+                own["alerts"] += pred == alert
+            elif isinstance(source, str):
+                own["reconnects"] += own["last"].get(source) is False and bool(online)
+                own["last"][source] = bool(online)
+        touched = list(dict.fromkeys(touched))
+        return pd.DataFrame({DEV: _ids(touched), "session_alerts": [folded[d]["alerts"] for d in touched],
+                             "total_reconnects": [folded[d]["reconnects"] for d in touched]}), None
 
     return ordered(mixed, fold, MIXED_ORDER, COUNTER_OUT, delay, mode="update")
 
@@ -313,21 +333,31 @@ def recent_alerts_exact_stream(readings: DataFrame, p: Params = DEFAULT_PARAMS,
     """
     horizon, alert = int(p.recent_horizon_s) * 1_000_000, float(p.alert_pred)
 
-    def fold(dev, rows, folded, passed):
-        times = np.asarray(folded.get("alerts", []), np.int64)
-        at = rows["_us"].to_numpy(np.int64) if len(rows) else np.zeros(0, np.int64)
-        ids = rows["event_id"].tolist() if len(rows) else []
+    def fold(rows, folded, passed):
+        asked = {}  # the samples by device
         if len(rows):
-            times = np.sort(np.concatenate([times, at[(rows["pred"] == alert).to_numpy()]]))
-        gone = np.unique(times)
-        gone = gone[gone + horizon + 1 < passed] + horizon + 1  # the first microsecond without it
-        moments = np.concatenate([at, gone])
-        # alerts in [now - horizon, now]; peers at the same instant count (range frame)
-        n = np.searchsorted(times, moments, "right") - np.searchsorted(times, moments - horizon, "left")
-        kept = times[times + horizon + 1 >= passed]
-        out = pd.DataFrame({"event_id": pd.array(ids + [None] * len(gone), dtype="Int64"), DEV: dev,
-                            "at_us": moments, "recent_alerts": n.astype("int64")})
-        return out, {"alerts": kept.tolist()}, int(kept[0]) + horizon + 2 if len(kept) else None
+            for dev, us, event, pred in zip(_devices(rows), rows["_us"].tolist(), rows["event_id"].tolist(), rows["pred"].tolist()):
+                asked.setdefault(dev, []).append((us, event))
+                if pred == alert:
+                    folded.setdefault(dev, []).append(us)
+        out, wake = [], None
+        for dev in list(dict.fromkeys([*asked, *folded])):
+            times = sorted(folded.get(dev, ()))
+            live = bisect.bisect_left(times, passed - horizon - 1)
+            gone = [(us + horizon + 1, None) for us in dict.fromkeys(times[:live])]  # the first microsecond without it
+            # alerts in [now - horizon, now]; peers at the same instant count (range frame)
+            out += [(event, dev, at, bisect.bisect_right(times, at) - bisect.bisect_left(times, at - horizon))
+                    for at, event in asked.get(dev, []) + gone]
+            folded[dev] = times[live:]
+            if folded[dev]:
+                fall = folded[dev][0] + horizon + 2
+                wake = fall if wake is None else min(wake, fall)
+            else:
+                del folded[dev]
+        if not out:
+            return None, wake
+        event, dev, at, n = zip(*out)
+        return pd.DataFrame({"event_id": _ids(event), DEV: _ids(dev), "at_us": at, "recent_alerts": n}), wake
 
     out = ordered(readings.select(DEV, "ts", "event_id", "pred", _closing(readings).alias(CLOSING)), fold, ["_us", "event_id"], RECENT_OUT, delay)
     return out.withColumn("ts", instant_to_ntz(F.timestamp_micros("at_us"))).drop("at_us")
@@ -342,21 +372,25 @@ def mute_windows_stream(toggles: DataFrame, p: Params = DEFAULT_PARAMS, delay: s
     """Closed mute windows (device_id, start_ts, end_ts): by the next press, or by themselves through a timer."""
     span = int(p.mute_s) * 1_000_000
 
-    def fold(dev, rows, folded, passed):
-        start, done = folded.get("start"), []
-        for us in rows["_us"].tolist() if len(rows) else []:
+    def fold(rows, folded, passed):
+        done = []
+        for dev, us in zip(_devices(rows), rows["_us"].tolist()) if len(rows) else ():
+            start = folded.pop(dev, None)
             if start is not None and us < start + span:
                 done.append((dev, start, us))
-                start = None
             else:
                 if start is not None:
                     done.append((dev, start, start + span))
-                start = us
-        if start is not None and start + span < passed:
-            done.append((dev, start, start + span))
-            start = None
-        out = pd.DataFrame(done, columns=[DEV, "start_us", "end_us"]) if done else None
-        return out, {"start": start}, None if start is None else start + span + 1
+                folded[dev] = us
+        for dev, start in list(folded.items()):
+            if start + span < passed:
+                done.append((dev, start, start + span))
+                del folded[dev]
+        wake = min(folded.values()) + span + 1 if folded else None
+        if not done:
+            return None, wake
+        dev, start, end = zip(*done)
+        return pd.DataFrame({DEV: _ids(dev), "start_us": start, "end_us": end}), wake
 
     out = ordered(toggles.select(DEV, "ts", "event_id", _closing(toggles).alias(CLOSING)), fold, ["_us", "event_id"], WINDOW_OUT, delay)
     at = lambda c: instant_to_ntz(F.timestamp_micros(c))
@@ -380,26 +414,26 @@ def event_log_stream(rows: DataFrame, p: Params = DEFAULT_PARAMS, delay: str = "
     names = [f.name for f in keep]
     n_sample, n_press = FEED_PLACE["sample"], FEED_PLACE["press"]
 
-    def fold(dev, rows, folded, passed):
+    def fold(rows, folded, passed):
         if not len(rows):
-            return None, folded, None
-        until, seen = folded.get("until", 0), folded.get("seen", False)
-        opens, muted = [], []
-        for place, us in zip(rows["_place"].tolist(), rows["_us"].tolist()):
-            muted.append(until > us)
+            return None, None
+        devices, seen = _devices(rows), []
+        good = ((rows["_place"] == n_sample) & rows["reason"].isna()).tolist()
+        for dev, place, us, ok, pred in zip(devices, rows["_place"].tolist(), rows["_us"].tolist(), good, rows["pred_num"].tolist()):
+            first = dev not in folded
+            until, normal, anomaly = folded.get(dev, (0, 0, 0))
+            muted, opens = until > us, None
             if place == n_press:
-                until = 0 if until > us else us + span
-                opens.append(until > 0)
-            else:
-                opens.append(None)
-        good = (rows["_place"] == n_sample) & rows["reason"].isna()
-        normal = (good & (rows["pred_num"] == 0)).cumsum() + folded.get("normal", 0)
-        anomaly = (good & (rows["pred_num"] != 0)).cumsum() + folded.get("anomaly", 0)
+                until = 0 if muted else us + span
+                opens = until > 0
+            normal, anomaly = normal + (ok and pred == 0), anomaly + (ok and pred != 0)
+            folded[dev] = (until, normal, anomaly)
+            seen.append((opens, muted, first, normal, anomaly))
         out = rows[names].copy()
-        out["opens"], out["muted"] = pd.array(opens, dtype="boolean"), muted
-        out["first"] = [not seen] + [False] * (len(rows) - 1)
-        out["normal"], out["anomaly"] = normal.astype("int64"), anomaly.astype("int64")
-        return out, {"until": until, "seen": True, "normal": int(normal.iloc[-1]), "anomaly": int(anomaly.iloc[-1])}, None
+        out[DEV], out["event_id"] = _ids(devices), _ids(out["event_id"])
+        opens, out["muted"], out["first"], out["normal"], out["anomaly"] = zip(*seen)
+        out["opens"] = pd.array(opens, dtype="boolean")
+        return out, None
 
     place = F.lit(None).cast("int")
     for kind, n in FEED_PLACE.items():

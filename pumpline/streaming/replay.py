@@ -31,12 +31,15 @@ def replay(spark: SparkSession, df: DataFrame, path: str, n_slices: int = 4, ts:
     File sources admit files in modification order, so slices are written one after
     another; a micro-batch takes as many files as the largest slice has (the
     adaptive shuffle decides).  Rows of the first slice for which ``late`` holds
-    arrive after the last slice, long behind the watermark.  ``end_after_s`` marks the
+    arrive after the last slice, long behind the watermark.  ``df`` is computed once, into
+    the shared folder; its span and the slices are read from there.  ``end_after_s`` marks the
     rows (column ``CLOSING``) and adds a closing one, so much after the end: it
     carries the watermark past everything that waits for it.
     """
     if end_after_s is not None:
         df = df.withColumn(CLOSING, F.lit(False))
+    df.write.parquet(f"{path}_all")
+    df = spark.read.schema(df.schema).parquet(f"{path}_all")
     sec = X.epoch_seconds(ts)
     lo, hi = df.agg(F.min(sec), F.max(sec)).first()
     if lo is None:

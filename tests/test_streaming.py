@@ -2,9 +2,13 @@
 
 from datetime import datetime, timedelta
 
+import pandas as pd
+from pyspark.sql import functions as F
+
+from pumpline.config import DEFAULT_PARAMS as D
 from pumpline.session import work_path
 from pumpline.streaming import pipelines as S
-from pumpline.streaming.replay import Replay, source
+from pumpline.streaming.replay import Replay, replay, source
 
 SCHEMA = "event_id long, device_id long, ts timestamp_ntz, pred double, s04 double, s10 double"
 T0 = datetime(2024, 1, 10)
@@ -147,3 +151,48 @@ def test_rows_without_a_device_are_one_more_device(spark):
     out = _drained(spark, feed, lambda s, d: S.event_log_stream(s, P, d), "odd_log", 60)
     cols = ("device_id", "ts", "seq", "event_id", "tag", "level", "message", "normal", "anomaly", "muted", "line")
     assert _rows(spark.read.parquet(out), *cols) == _rows(eventlog.event_log(feed, P), *cols)
+
+
+def test_state_calls_follow_the_groups_not_the_devices(spark):
+    from pyspark.sql import types as T
+    rows = spark.range(4000).select((F.col("id") % 500).alias("device_id"), F.lit(T0).alias("t0"), F.col("id").alias("event_id"))
+    rows = rows.select("device_id", (F.col("t0").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("event_id"))).alias("ts"), "event_id")
+    rp = replay(spark, rows, work_path(spark, "groups_src"), 3, key="event_id", end_after_s=60)
+
+    def fold(rows, folded, passed):
+        for dev in S._devices(rows) if len(rows) else ():
+            folded[dev] = folded.get(dev, 0) + 1
+        return pd.DataFrame({"devices": [len(folded)], "n_rows": [len(rows)]}), None
+
+    out = T.StructType([T.StructField("devices", T.LongType()), T.StructField("n_rows", T.LongType())])
+    path, ck = work_path(spark, "groups_out"), work_path(spark, "groups_ck")
+    S.run_to_files(S.ordered(source(spark, rp), fold, ["_us", "event_id"], out, rp.delay, groups=4), path, ck)
+    calls = spark.read.parquet(path).collect()
+    assert sum(c.n_rows for c in calls) == 4000
+    assert len(calls) < 40 and max(c.devices for c in calls) > 60
+
+
+def test_ids_keep_their_digits_next_to_nulls(spark):
+    big = 2**53 + 1
+    rows = [(big, T0, big, True), (big + 2, T0, None, False), (None, T0, big + 4, False)]
+    status = spark.createDataFrame(rows, "device_id long, ts timestamp_ntz, event_id long, online boolean").withColumn("source", F.lit("speed"))
+    samples = spark.createDataFrame([(d, t + timedelta(seconds=1), e, 0.0, 1.0, 2.0) for d, t, e, _ in rows],
+                                    "device_id long, ts timestamp_ntz, event_id long, pred double, s04 double, s10 double")
+    rp = replay(spark, S.mixed_feed(samples, status), work_path(spark, "big_src"), 1, key="event_id", end_after_s=60)
+    path, ck = work_path(spark, "big_out"), work_path(spark, "big_ck")
+    S.run_to_files(S.device_state_stream(source(spark, rp), D, rp.delay), path, ck)
+    got = {(r.device_id, r.event_id, r.online_asof) for r in spark.read.parquet(path).collect()}
+    assert got == {(d, e, on) for d, _, e, on in rows}
+
+
+def test_replay_computes_its_input_once(spark):
+    done = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        done.add(1)
+        return x
+
+    rows = spark.range(0, 100, 1, 2).select("id", F.udf(seen, "long")("id").alias("event_id"))
+    rows = rows.select("event_id", (F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("event_id"))).alias("ts"))
+    rp = replay(spark, rows, work_path(spark, "once"), 4, key="event_id")
+    assert spark.read.parquet(rp.path).count() == 100 and done.value == 100

@@ -286,13 +286,28 @@ def export_lines(lines_since_clear: DataFrame, p: Params = DEFAULT_PARAMS) -> Da
     return body.select(DEV, F.explode(F.when(F.col("_n") == 1, F.concat(first, own)).otherwise(own)).alias("x")).select(DEV, "x.line_no", "x.line")
 
 
+#: What one task of the export writes at most, on average.  Each device costs a folder and a file,
+#: which may take longer than its lines, so the tasks follow both.
+EXPORT_DEVICES, EXPORT_LINES = 256, 200_000
+
+
+def export_parts(lines: DataFrame) -> int:
+    """Tasks that write the export of ``lines``: they follow the devices and the lines."""
+    n_lines, n_devices = lines.agg(F.count(F.lit(1)), F.approx_count_distinct(DEV)).first()
+    return max(1, -(-n_lines // EXPORT_LINES), -(-n_devices // EXPORT_DEVICES))
+
+
 def write_export(lines: DataFrame, path: str) -> None:
     """Write export text per device folder, lines in order.
 
     Range partitioning on (device, line_no) spreads a long log over several
-    ordered files (part-00000, part-00001, ...) instead of one task per device;
-    the adaptive shuffle sizes the parts.
+    ordered files (part-00000, part-00001, ...) instead of one task per device, and
+    many devices over many tasks (the adaptive shuffle would size the parts by their bytes
+    alone).  The lines are saved first: they are counted and sampled before they are written.
     """
-    (lines.repartitionByRange(DEV, "line_no")
+    spark, saved = lines.sparkSession, work_path(lines.sparkSession, "log-export-lines")
+    lines.write.parquet(saved)
+    lines = spark.read.schema(lines.schema).parquet(saved)
+    (lines.repartitionByRange(export_parts(lines), DEV, "line_no")
           .sortWithinPartitions(DEV, "line_no")
           .select(DEV, "line").write.mode("overwrite").partitionBy(DEV).text(path))

@@ -183,6 +183,17 @@ def test_export_text_in_order(spark):
     assert text == [f"line {i}" for i in range(1, 301)]
 
 
+def test_export_of_many_devices_is_spread_over_tasks(spark):
+    n = 2 * eventlog.EXPORT_DEVICES
+    lines = spark.range(2 * n).select((F.col("id") % n).alias("device_id"), F.floor(F.col("id") / n).alias("line_no"),
+                                      F.concat_ws(" ", "id", F.lit("x")).alias("line"))
+    path = work_path(spark, "export_many")
+    eventlog.write_export(lines, path)
+    back = spark.read.text(path).select("device_id", "value", F.regexp_extract(F.input_file_name(), r"/(part-\d+)", 1).alias("part"))
+    assert back.select("part").distinct().count() >= 2
+    assert {(r[0], r[1]) for r in back.collect()} == {(i % n, f"{i} x") for i in range(2 * n)}
+
+
 def test_write_with_metrics_counts_in_one_pass(spark):
     df = spark.createDataFrame([("NORMAL",), ("BROKEN",), (None,), ("NORMAL",)], "machine_status string")
     df = df.union(spark.createDataFrame([("MAINT",), ("MAINT",)], "machine_status string"))

@@ -196,3 +196,27 @@ def test_replay_computes_its_input_once(spark):
     rows = rows.select("event_id", (F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("event_id"))).alias("ts"))
     rp = replay(spark, rows, work_path(spark, "once"), 4, key="event_id")
     assert spark.read.parquet(rp.path).count() == 100 and done.value == 100
+
+
+def test_counters_and_recent_alerts_keep_a_state_per_group(spark):
+    n = 700  # devices, more than there are groups
+    sec = F.floor(F.col("id") / n).cast("int")
+    samples = spark.range(2 * n).select((F.col("id") % n).alias("device_id"), F.col("id").alias("event_id"),
+                                        (F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(secs=sec)).alias("ts"),
+                                        F.lit(float(D.alert_pred)).alias("pred"), F.lit(1.0).alias("s04"), F.lit(1.0).alias("s10"))
+    status = spark.createDataFrame([], "device_id long, ts timestamp_ntz, event_id long, source string, online boolean")
+
+    def drained(rows, stream, run, name, tail):
+        rp = replay(spark, rows, work_path(spark, f"{name}_src"), 1, key="event_id", end_after_s=tail)
+        path, ck = work_path(spark, f"{name}_out"), work_path(spark, f"{name}_ck")
+        q = run(stream(source(spark, rp), D, rp.delay), path, ck)
+        held = max(x["stateOperators"][0]["numRowsTotal"] for x in q.recentProgress if x["stateOperators"])
+        assert 0 < held < n
+        return path
+
+    path = drained(S.mixed_feed(samples, status, None), S.counters_stream, S.run_foreach_batch, "many_counters", 60)
+    got = S.latest_per_key(spark, path, ["device_id"]).collect()
+    assert sorted((r.device_id, r.session_alerts, r.total_reconnects) for r in got) == [(d, 2, 0) for d in range(n)]
+    path = drained(samples, S.recent_alerts_exact_stream, S.run_to_files, "many_recent", 2 * D.recent_horizon_s)
+    got = spark.read.parquet(path).where("event_id is not null").collect()
+    assert sorted((r.event_id, r.recent_alerts) for r in got) == [(e, 1 + e // n) for e in range(2 * n)]

@@ -10,6 +10,7 @@ from pumpline.config import DEFAULT_PARAMS, Params
 from pumpline.functions import expressions as X
 from pumpline.plans import sequencing as Q
 from pumpline.session import work_path
+from pumpline.sources import folders
 
 DEV = "device_id"
 ORDER = ["ts", "event_id"]
@@ -304,10 +305,9 @@ def write_export(lines: DataFrame, path: str) -> None:
     ordered files (part-00000, part-00001, ...) instead of one task per device, and
     many devices over many tasks (the adaptive shuffle would size the parts by their bytes
     alone).  The lines are saved first: they are counted and sampled before they are written.
+    How the files are opened is the part of ``folders``: it takes longer than their lines.
     """
     spark, saved = lines.sparkSession, work_path(lines.sparkSession, "log-export-lines")
     lines.write.parquet(saved)
     lines = spark.read.schema(lines.schema).parquet(saved)
-    (lines.repartitionByRange(export_parts(lines), DEV, "line_no")
-          .sortWithinPartitions(DEV, "line_no")
-          .select(DEV, "line").write.mode("overwrite").partitionBy(DEV).text(path))
+    folders.write_text_folders(lines.repartitionByRange(export_parts(lines), DEV, "line_no").sortWithinPartitions(DEV, "line_no"), DEV, "line", path)

@@ -17,7 +17,7 @@ from pumpline.config import TESTDATA_PARAMS as P
 from pumpline.functions import expressions as X
 from pumpline.operators import clean, eventlog, jobs, ml, monitor
 from pumpline.session import work_path
-from pumpline.sources import external, files, testdata as td, wide
+from pumpline.sources import external, files, folders, testdata as td, wide
 
 Query = Callable[[SparkSession, str], DataFrame]
 R_COLS = td.READING_COLUMNS
@@ -428,7 +428,7 @@ def q_log_export_files(spark, sf):
     """The export as files, one folder for each device, read back as text."""
     path = work_path(spark, "log_export")
     eventlog.write_export(eventlog.export_lines(_lines_since_clear(spark, sf), P), path)
-    return spark.read.text(path).select(F.col("device_id").cast("long").alias("device_id"), F.col("value").alias("line"))
+    return folders.read_text_folders(spark, path, "device_id").select(F.col("device_id").cast("long").alias("device_id"), F.col("value").alias("line"))
 
 
 # --- G: machine learning ------------------------------------------------------------------

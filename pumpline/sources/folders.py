@@ -153,6 +153,19 @@ def write_text_folders(df: DataFrame, key: str, line: str, path: str) -> None:
         _remove(stage)
 
 
+def read_text_folders(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """(``key`` as text, value) of each line of the folders.
+
+    The key is read from the file's path.  Spark's partition discovery would look up each folder
+    in a linked list of all of them: its time on the driver grows with the square of their number.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    name = F.regexp_extract("file", f"/{key}=([^/]*)/[^/]*$", 1)
+    plain = lambda c: F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
+    # escaped once in the folder's name and once in the address of the file
+    return lines.select(F.when(name != NO_VALUE, plain(plain(name))).alias(key), "value")
+
+
 def _remove(folder: str) -> None:
     """Remove a folder; a task that outlives its job no longer finds it and ends."""
     if os.path.lexists(folder):

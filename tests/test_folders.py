@@ -92,3 +92,26 @@ def test_other_file_systems_take_sparks_writer(spark, monkeypatch):
     monkeypatch.setattr(folders, "local_path", lambda *_: None)
     folders.write_text_folders(spark.createDataFrame([(1, "x"), (2, "y")], "device_id long, line string"), "device_id", "line", path)
     assert sorted((r.device_id, r.value) for r in spark.read.text(path).collect()) == [(1, "x"), (2, "y")]
+
+
+def test_folders_are_read_with_their_keys(spark):
+    keys = ["a", None, "x/y", "a b", "a+b", "50%", "k=v", "q?#*", "{z}", "[1]^", "泵", "1\n2", "..", "%2F", "-7"]
+    path = _own(spark, "tf_read")
+    rows = [(k, f"{n} {i}") for n, k in enumerate(keys) for i in range(3)]
+    folders.write_text_folders(spark.createDataFrame(rows, "k string, line string").repartition(1).sortWithinPartitions("k"), "k", "line", path)
+    assert sorted(map(repr, folders.read_text_folders(spark, path, "k").collect())) == sorted(f"Row(k={k!r}, value={v!r})" for k, v in rows)
+    folders.write_text_folders(spark.createDataFrame([], "k string, line string"), "k", "line", path)
+    assert folders.read_text_folders(spark, path, "k").collect() == []
+
+
+def test_export_is_read_without_partition_discovery(spark):
+    """Discovery looks up each folder in a linked list of all folders."""
+    from pumpline.plans import catalog
+    from tests.conftest import SF_SMALL
+
+    df = catalog.q_log_export_files(spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" in plan and "_metadata" in df._jdf.queryExecution().analyzed().toString()
+    relation = df._jdf.queryExecution().optimizedPlan().collectLeaves().head().relation()
+    assert relation.partitionSchema().isEmpty()
+    assert df.count() > 0 and df.filter("device_id IS NULL OR line IS NULL").count() == 0
